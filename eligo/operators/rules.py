@@ -12,7 +12,7 @@ import dataclasses
 import itertools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eligo import constants as K
 from eligo.schemas import DECISION_KEYS
@@ -21,7 +21,7 @@ from eligo.schemas import DECISION_KEYS
 class Facts:
     """Boolean views of the decision keys of one row (columns named as in the features table)."""
 
-    def __init__(self, df_or_prefix=None, cs_12: str = K.CS_12):
+    def __init__(self, cs_12: str = K.CS_12):
         self._cs_12 = cs_12
 
     @staticmethod
@@ -182,17 +182,23 @@ CATEGORY_DOMAINS = {
 def decision_table(spark: SparkSession, rule_set: RuleSet = D3) -> DataFrame:
     """Every combination of the 12 decision keys (2*3*4*2^9 = 12,288 rows) with its label.
 
-    Built as a chain of cross joins of tiny literal frames; the size is fixed
-    by the key domains, never by the data, so it is safe to broadcast.
+    Row ``i`` of ``spark.range`` is decoded into one combination (mixed-radix
+    digits: the first key varies fastest), so no join is needed. The size is
+    fixed by the key domains, never by the data, so the table is safe to broadcast.
     """
-    frames = []
+    radix, cols = 1, []
     for key in DECISION_KEYS:
         values = CATEGORY_DOMAINS.get(key, (False, True))
-        dtype = T.StringType() if key in CATEGORY_DOMAINS else T.BooleanType()
-        frames.append(spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(key, dtype, False)])))
-    table = frames[0]
-    for frame in frames[1:]:
-        table = table.crossJoin(frame)
+        digit = (F.col("id") / F.lit(radix)).cast("long") % F.lit(len(values))
+        if key in CATEGORY_DOMAINS:
+            expr = None
+            for i, v in enumerate(values):
+                expr = F.when(digit == i, F.lit(v)) if expr is None else expr.when(digit == i, F.lit(v))
+            cols.append(expr.alias(key))
+        else:
+            cols.append((digit == 1).alias(key))
+        radix *= len(values)
+    table = spark.range(radix, numPartitions=1).select(*cols)
     return table.withColumn("expungability", rule_set.label())
 
 

@@ -47,3 +47,130 @@ def classify_outcomes(spark, sf_dir):
 @register
 def classify_features(spark, sf_dir):
     return C.split_tables(wide(spark, sf_dir))[0]
+
+
+D2 = dataclasses.replace(PARITY, dialect="d2", apply_cutoff=False)
+D1 = dataclasses.replace(PARITY, dialect="d1")
+
+
+def _by_charge(df: DataFrame, *cols) -> DataFrame:
+    return df.select(F.col("id").alias("charge_id"), *cols)
+
+
+# --- features -----------------------------------------------------------------------
+
+@register
+def disposition_category(spark, sf_dir):
+    from eligo.functions.categories import disposition_category as dc
+    return charges(spark, sf_dir).select("id", "disposition_code", "plea", dc().alias("disposition_category"))
+
+
+@register
+def code_section_category(spark, sf_dir):
+    rows = C.clean_for_rules(charges(spark, sf_dir), PARITY)
+    return rows.select("id", "code_section", "code_section_category")
+
+
+@register
+def has_conviction(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "has_conviction")
+
+
+@register
+def last_hearing_date(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "last_hearing_date", "last_hearing_delta")
+
+
+@register
+def last_felony_conviction_date(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "last_felony_conviction_date", "last_felony_conviction_delta")
+
+
+@register
+def next_conviction_date(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "next_conviction_date", "next_conviction_delta")
+
+
+@register
+def gap_days(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "last_hearing_delta", "last_felony_conviction_delta",
+                      "next_conviction_delta", "from_present_delta")
+
+
+@register
+def gap_flags(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "arrest_disqualifier", "felony_conviction_disqualifier",
+                      "next_conviction_disqualifier_after_misdemeanor", "next_conviction_disqualifier_after_felony",
+                      "pending_after_misdemeanor", "pending_after_felony")
+
+
+@register
+def class_flags(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "has_class_1_or_2", "has_class_3_or_4")
+
+
+# --- rules --------------------------------------------------------------------------
+
+@register
+def base_label_d3(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "base_label")
+
+
+@register
+def base_label_d2(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir, D2), "base_label")
+
+
+@register
+def base_label_d1(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir, D1), "base_label")
+
+
+@register
+def decision_table_join(spark, sf_dir):
+    from eligo.operators.rules import decision_table, lookup_labels
+    from eligo.schemas import DECISION_KEYS
+    features = wide(spark, sf_dir).select("id", *DECISION_KEYS)
+    return _by_charge(lookup_labels(features, decision_table(spark)), "expungability")
+
+
+@register
+def sameday_rule(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "sameday_disqualifier", F.col("sameday_label"))
+
+
+@register
+def lifetime_rule(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir), "lifetime_disqualifier", "expungability")
+
+
+@register
+def lifetime_rule_d2(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir, D2), "sameday_disqualifier", "lifetime_disqualifier", "expungability")
+
+
+@register
+def rules_off(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir, C.with_rules_off(PARITY)), "sameday_disqualifier",
+                      "lifetime_disqualifier", "expungability")
+
+
+@register
+def reason_text(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir, D2), "expungability", "reason")
+
+
+@register
+def old_rule_flag(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir, D2), "old_expungable")
+
+
+@register
+def interval_flags_d2(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir, D2),
+                      F.col("arrest_disqualifier").alias("arrests"),
+                      F.col("felony_conviction_disqualifier").alias("felony10"),
+                      F.col("next_conviction_disqualifier_after_misdemeanor").alias("sevenyear"),
+                      F.col("next_conviction_disqualifier_after_felony").alias("tenyear"),
+                      F.col("pending_after_misdemeanor").alias("within7"),
+                      F.col("pending_after_felony").alias("within10"))

@@ -20,6 +20,9 @@ SESSION_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Used only when this module starts the JVM (local runs, tests, bench).
+LOCAL_JVM_CONF = {"spark.driver.memory": "16g"}
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "eligo", extra: dict | None = None) -> SparkSession:
@@ -28,6 +31,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_CONF)
+    conf.update(LOCAL_JVM_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

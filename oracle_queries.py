@@ -203,3 +203,97 @@ ORACLE: dict[str, str] = {
         "SELECT id AS charge_id, 'default' AS run_id, expungability FROM final"),
     "classify_features": with_pipeline(f"SELECT {FEATURE_COLS} FROM final"),
 }
+
+
+def _ids(cols: str, **kw) -> str:
+    return with_pipeline(f"SELECT id AS charge_id, {cols} FROM final", **kw)
+
+
+D2 = {"dialect": "d2", "apply_cutoff": False}
+
+REASON_CASE = """CASE
+  WHEN disposition_category = 'Dismissed' AND charge_category = 'Felony' THEN 'Dismissal of felony charges'
+  WHEN disposition_category = 'Dismissed' AND charge_category = 'Misdemeanor' AND arrest_disqualifier
+    THEN 'Dismissal of misdemeanor charges, but with arrests or charges in the past 3 years'
+  WHEN disposition_category = 'Dismissed' AND charge_category = 'Misdemeanor' AND has_conviction
+    THEN 'Dismissal of misdemeanor charges with no arrests or charges in the past 3 years, but with prior convictions on the person''s record'
+  WHEN disposition_category = 'Dismissed' AND charge_category = 'Misdemeanor'
+    THEN 'Dismissal of misdemeanor charges with no arrests or charges in the past 3 years and no convictions on the person''s record'
+  WHEN disposition_category = 'Deferral Dismissal' AND charge_category = 'Misdemeanor'
+       AND code_section_category = 'covered in 19.2-392.6 - A'
+    THEN 'Deferred dismissal of misdemeanor charges covered under 19.2-392.6-A'
+  WHEN disposition_category IN ('Deferral Dismissal', 'Conviction') AND charge_category = 'Misdemeanor'
+       AND code_section_category = 'excluded by 19.2-392.12'
+    THEN 'Conviction or deferred dismissal of misdemeanor charges that are excluded from expungement by 19.2-392.12'
+  WHEN disposition_category = 'Deferral Dismissal' AND charge_category = 'Misdemeanor'
+    THEN 'Deferred dismissal of misdemeanor charges not covered under 19.2-392.6-A'
+  WHEN disposition_category = 'Conviction' AND charge_category = 'Misdemeanor'
+       AND next_conviction_disqualifier_after_misdemeanor
+    THEN 'Conviction of misdemeanor charges that are not excluded from expungement by 19.2-392.12, but with convictions of another kind within 7 years from disposition date'
+  WHEN disposition_category = 'Conviction' AND charge_category = 'Misdemeanor'
+       AND code_section_category IN ('covered in 19.2-392.6 - A', 'covered in 19.2-392.6 - B')
+       AND base_label IN ('Automatic (pending)', 'Petition (pending)')
+    THEN 'Conviction of misdemeanor charges listed in 19.2-392.6 B with no convictions since the disposition date. However, because the disposition date is within 7 years of the current date, the record is not yet eligible for expungement'
+  WHEN disposition_category = 'Conviction' AND charge_category = 'Misdemeanor'
+       AND code_section_category IN ('covered in 19.2-392.6 - A', 'covered in 19.2-392.6 - B')
+    THEN 'Conviction of misdemeanor charges listed in 19.2-392.6 B with no convictions within 7 years from disposition date'
+  WHEN disposition_category = 'Conviction' AND charge_category = 'Misdemeanor'
+       AND has_class_3_or_4 AND felony_conviction_disqualifier AND has_class_1_or_2
+    THEN 'Conviction of misdemeanor charges not listed in 19.2-392.6 A or B and not ineligible for expungement under 19.2-392.12, but with a prior conviction for a class 1 or 2 felony or another felony punishable by imprisonment for life'
+  WHEN disposition_category = 'Conviction' AND charge_category = 'Misdemeanor'
+       AND base_label IN ('Automatic (pending)', 'Petition (pending)')
+    THEN 'Conviction of misdemeanor charges not listed in 19.2-392.6 A or B and not ineligible for expungement under 19.2-392.12, with no felonies within the last 10 years, no class 3 or 4 felony conviction within the past 20 years, no class 1 or 2 felony or any other felony punishable by imprisonment for life, and no convictions of another kind since the disposition date. However, because the disposition date is within 7 years of the current date, the record is not yet eligible for expungement'
+  WHEN disposition_category = 'Conviction' AND charge_category = 'Misdemeanor'
+    THEN 'Conviction of misdemeanor charges not listed in 19.2-392.6 A or B and not ineligible for expungement under 19.2-392.12, with no felonies within the last 10 years, no class 3 or 4 felony conviction within the past 20 years, no class 1 or 2 felony or any other felony punishable by imprisonment for life, and no convictions of another kind within 7 years from disposition date'
+  WHEN disposition_category IN ('Deferral Dismissal', 'Conviction') AND charge_category = 'Felony'
+       AND code_section_category = 'excluded by 19.2-392.12'
+    THEN 'Conviction or deferred dismissal of felony charges that are ineligible for expungement under 19.2-392.12'
+  WHEN disposition_category IN ('Deferral Dismissal', 'Conviction') AND charge_category = 'Felony'
+       AND next_conviction_disqualifier_after_felony
+    THEN 'Conviction or deferred dismissal of felony charges, but with convictions within 10 years from disposition date'
+  WHEN disposition_category IN ('Deferral Dismissal', 'Conviction') AND charge_category = 'Felony'
+       AND has_class_3_or_4 AND felony_conviction_disqualifier AND has_class_1_or_2
+    THEN 'Conviction or deferred dismissal of felony charges, but with a prior conviction of a Class 1 or 2 felony or any other felony punishable by imprisonment for life'
+  WHEN disposition_category IN ('Deferral Dismissal', 'Conviction') AND charge_category = 'Felony'
+       AND base_label IN ('Automatic (pending)', 'Petition (pending)')
+    THEN 'Conviction or deferred dismissal of felony charges that are not ones listed under 19.2-392.12, with no felonies within the last 10 years, no class 3 or 4 felony conviction within the past 20 years, no class 1 or 2 felony or any other felony punishable by imprisonment for life, and no convictions of another kind since disposition date. However, because the disposition date is within 10 years of the current date, the record is not yet eligible for expungement'
+  WHEN disposition_category IN ('Deferral Dismissal', 'Conviction') AND charge_category = 'Felony'
+    THEN 'Conviction or deferred dismissal of felony charges that are not ones listed under 19.2-392.12, with no felonies within the last 10 years, no class 3 or 4 felony conviction within the past 20 years, no class 1 or 2 felony or any other felony punishable by imprisonment for life, and no convictions of another kind within 10 years from disposition date'
+END"""
+
+LIFETIME_SUFFIX_SQL = ("'; HOWEVER, the outcome is changed to not eligible because the lifetime limit of two "
+                       "expungements has been exceeded'")
+
+ORACLE.update({
+    "disposition_category": f"""WITH charges AS ({CHARGES_SQL})
+SELECT id, disposition_code, plea,
+  CASE WHEN plea IN ('Alford','Guilty','Nolo Contendere') AND ({DISPOSITION_CASE}) = 'Dismissed'
+       THEN 'Deferral Dismissal' ELSE {DISPOSITION_CASE} END AS disposition_category
+FROM charges""",
+    "code_section_category": with_pipeline("SELECT id, code_section, code_section_category FROM c2"),
+    "has_conviction": _ids("has_conviction"),
+    "last_hearing_date": _ids("last_hearing_date, last_hearing_delta"),
+    "last_felony_conviction_date": _ids("last_felony_conviction_date, last_felony_conviction_delta"),
+    "next_conviction_date": _ids("next_conviction_date, next_conviction_delta"),
+    "gap_days": _ids("last_hearing_delta, last_felony_conviction_delta, next_conviction_delta, from_present_delta"),
+    "gap_flags": _ids("arrest_disqualifier, felony_conviction_disqualifier, "
+                      "next_conviction_disqualifier_after_misdemeanor, next_conviction_disqualifier_after_felony, "
+                      "pending_after_misdemeanor, pending_after_felony"),
+    "class_flags": _ids("has_class_1_or_2, has_class_3_or_4"),
+    "base_label_d3": _ids("base_label"),
+    "base_label_d2": _ids("base_label", **D2),
+    "base_label_d1": _ids("base_label", dialect="d1"),
+    "decision_table_join": _ids("base_label AS expungability"),
+    "sameday_rule": _ids("sameday_disqualifier, sameday_label"),
+    "lifetime_rule": _ids("lifetime_disqualifier, expungability"),
+    "lifetime_rule_d2": _ids("sameday_disqualifier, lifetime_disqualifier, expungability", **D2),
+    "rules_off": _ids("sameday_disqualifier, lifetime_disqualifier, expungability", sameday=False, lifetime=False),
+    "reason_text": _ids(f"""expungability, {REASON_CASE} ||
+        CASE WHEN coalesce(lifetime_disqualifier, false) AND sameday_label <> 'Not eligible'
+             THEN {LIFETIME_SUFFIX_SQL} ELSE '' END AS reason""", **D2),
+    "old_rule_flag": _ids("disposition_category = 'Dismissed' AS old_expungable", **D2),
+    "interval_flags_d2": _ids("arrest_disqualifier AS arrests, felony_conviction_disqualifier AS felony10, "
+                              "next_conviction_disqualifier_after_misdemeanor AS sevenyear, "
+                              "next_conviction_disqualifier_after_felony AS tenyear, "
+                              "pending_after_misdemeanor AS within7, pending_after_felony AS within10", **D2),
+})
