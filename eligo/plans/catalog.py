@@ -174,3 +174,316 @@ def interval_flags_d2(spark, sf_dir):
                       F.col("next_conviction_disqualifier_after_felony").alias("tenyear"),
                       F.col("pending_after_misdemeanor").alias("within7"),
                       F.col("pending_after_felony").alias("within10"))
+
+
+# --- ingest ---------------------------------------------------------------------------
+
+INGEST_AS_OF = PARITY_CUTOFF
+
+
+def cleaned(spark, sf_dir):
+    """Charges through the ingest chain (raw layout -> rename -> date filter -> race -> fips)."""
+    from eligo.operators.clean import clean_charges, to_raw_layout
+    return clean_charges(to_raw_layout(charges(spark, sf_dir)), as_of=INGEST_AS_OF)
+
+
+@register
+def race_standardize(spark, sf_dir):
+    from eligo.functions.text import standardize_race
+    return charges(spark, sf_dir).select("id", F.col("race").alias("race_raw"),
+                                         standardize_race("race").alias("race"))
+
+
+@register
+def race_standardize_alt(spark, sf_dir):
+    from eligo.functions.text import standardize_race_field
+    return charges(spark, sf_dir).select("id", standardize_race_field("race").alias("race_field"))
+
+
+@register
+def fips_pad(spark, sf_dir):
+    from eligo.functions.text import fix_fips
+    return charges(spark, sf_dir).select("id", F.col("fips").alias("fips_raw"), fix_fips("fips").alias("fips"))
+
+
+@register
+def ingest_clean(spark, sf_dir):
+    return cleaned(spark, sf_dir)
+
+
+# --- history variants -------------------------------------------------------------------
+
+@register
+def lookback_flags_d0(spark, sf_dir):
+    from eligo.operators.lookback import FLAGS, lookback_flags
+    return _by_charge(lookback_flags(charges(spark, sf_dir)), *FLAGS)
+
+
+@register
+def feature_summary_d0(spark, sf_dir):
+    from eligo.operators.lookback import flag_summary, lookback_flags
+    return flag_summary(lookback_flags(charges(spark, sf_dir)))
+
+
+@register
+def mode_impute(spark, sf_dir):
+    from eligo.operators.impute import impute_mode
+    rows = C.clean_for_rules(charges(spark, sf_dir), D2)
+    return _by_charge(impute_mode(rows), "race", "sex")
+
+
+# --- per-person and old-vs-new totals -----------------------------------------------------
+
+def _person_counts(spark, sf_dir):
+    from eligo import constants as K
+    from eligo.operators.reports import conditional_counts
+    w = wide(spark, sf_dir, D2)
+    label = F.col("expungability")
+    return conditional_counts(w, ["person_id"], {
+        "automatic": label == K.AUTOMATIC,
+        "petition": label == K.PETITION,
+        "automatic_pending": label == K.AUTOMATIC_PENDING,
+        "petition_pending": label == K.PETITION_PENDING,
+        "not_eligible": label == K.NOT_ELIGIBLE,
+        "old_petition": F.col("old_expungable"),
+        "old_not_eligible": ~F.col("old_expungable"),
+    })
+
+
+@register
+def person_label_counts(spark, sf_dir):
+    return _person_counts(spark, sf_dir)
+
+
+TOTAL_COLS = ["automatic", "petition", "not_eligible", "old_petition", "old_not_eligible"]
+
+
+def _totals(spark, sf_dir):
+    from eligo.operators.reports import column_sums
+    return column_sums(_person_counts(spark, sf_dir), TOTAL_COLS)
+
+
+@register
+def old_vs_new_totals(spark, sf_dir):
+    t = _totals(spark, sf_dir)
+    return t.withColumn("difference", (F.col("old_petition") + F.col("old_not_eligible"))
+                        - (F.col("automatic") + F.col("petition") + F.col("not_eligible")))
+
+
+@register
+def old_vs_new_unpivot(spark, sf_dir):
+    from eligo import constants as K
+    from eligo.operators.reports import unpivot
+    long = unpivot(_totals(spark, sf_dir), [], TOTAL_COLS, "name", "value")
+    label = None
+    for raw, text in K.TOTAL_LABELS.items():
+        label = (F.when(F.col("name") == raw, F.lit(text)) if label is None
+                 else label.when(F.col("name") == raw, F.lit(text)))
+    return long.withColumns({
+        "law": F.when(F.col("name").contains("old"), F.lit("Old Law")).otherwise(F.lit("New Law")),
+        "label": label,
+    })
+
+
+# --- distributions ----------------------------------------------------------------------
+
+@register
+def code_distribution(spark, sf_dir):
+    from eligo.operators.reports import distribution
+    return distribution(cleaned(spark, sf_dir), "code_section")
+
+
+@register
+def code_cumulative(spark, sf_dir):
+    from eligo.operators.reports import cumulative_share, distribution
+    return cumulative_share(distribution(cleaned(spark, sf_dir), "code_section"), "code_section")
+
+
+@register
+def race_distribution(spark, sf_dir):
+    from eligo.operators.reports import distribution
+    return distribution(cleaned(spark, sf_dir), "race")
+
+
+@register
+def code_by_race(spark, sf_dir):
+    from eligo.operators.reports import counts, cumulative_share, distribution, share_of_total
+    clean = cleaned(spark, sf_dir)
+    # At most 99 values can each hold more than 1 % of the rows, so the list is broadcast.
+    top = cumulative_share(distribution(clean, "code_section"), "code_section").select("code_section")
+    joined = clean.join(F.broadcast(top), "code_section")
+    return share_of_total(counts(joined, "code_section", "race"), within=("code_section",))
+
+
+@register
+def top_races(spark, sf_dir):
+    from eligo.operators.reports import top_k
+    return top_k(cleaned(spark, sf_dir), "race", 10)
+
+
+@register
+def race_by_sex(spark, sf_dir):
+    from eligo.operators.reports import count_nonnull_by
+    return count_nonnull_by(wide(spark, sf_dir), ["race", "sex"], "expungability")
+
+
+@register
+def distinct_counts(spark, sf_dir):
+    return charges(spark, sf_dir).agg(F.count("person_id").alias("n_rows"),
+                                      F.count_distinct("person_id").alias("n_persons"),
+                                      F.count_distinct("code_section").alias("n_codes"))
+
+
+@register
+def missing_code_count(spark, sf_dir):
+    from eligo.functions.text import is_missing
+    return (charges(spark, sf_dir).groupBy(F.year("hearing_date").alias("year"))
+            .agg(F.count_if(is_missing("code_section")).alias("n_missing"), F.count(F.lit(1)).alias("n_rows")))
+
+
+@register
+def profile_pivot(spark, sf_dir):
+    from eligo import constants as K
+    from eligo.operators.reports import profile
+    df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
+    return profile(df, "year", "disposition_code", list(K.PROFILE_DISPOSITIONS))
+
+
+@register
+def race_field_counts(spark, sf_dir):
+    from eligo.functions.text import standardize_race_field
+    from eligo.operators.reports import value_counts
+    df = charges(spark, sf_dir).filter(F.col("code_section").isin("A.46.2-862"))
+    return value_counts(df.select(standardize_race_field("race").alias("race")), "race")
+
+
+@register
+def rare_disposition_localities(spark, sf_dir):
+    from eligo import constants as K
+    from eligo.operators.reports import value_counts
+    return value_counts(charges(spark, sf_dir).filter(F.col("disposition_code").isin(*K.RARE_DISPOSITIONS)),
+                        "fips")
+
+
+@register
+def code_pattern_by_year(spark, sf_dir):
+    df = charges(spark, sf_dir).filter(F.col("code_section").rlike("18.2-248.1"))
+    return df.groupBy(F.year("hearing_date").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register
+def group_having(spark, sf_dir):
+    from eligo.operators.reports import group_mean_having
+    return group_mean_having(wide(spark, sf_dir), "race", "last_hearing_delta", min_count=1)
+
+
+# --- query list (old analysis) ----------------------------------------------------------------
+
+QL_COLS = ["hearing_date", "person_id", "code_section", "disposition_code", "charge_type"]
+
+
+def _query_list(spark, sf_dir):
+    from eligo.operators.querylist import apply_query_list
+    return apply_query_list(charges(spark, sf_dir), keep=QL_COLS)
+
+
+@register
+def query_list_union(spark, sf_dir):
+    return _query_list(spark, sf_dir)
+
+
+@register
+def query_list_by_year(spark, sf_dir):
+    return _query_list(spark, sf_dir).groupBy(F.year("hearing_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register
+def query_list_by_year_reference(spark, sf_dir):
+    return _query_list(spark, sf_dir).groupBy(F.year("hearing_date").alias("year"), "reference").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register
+def query_list_by_year_code(spark, sf_dir):
+    return _query_list(spark, sf_dir).groupBy(F.year("hearing_date").alias("year"), "code_section").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def _year_summary(spark, sf_dir):
+    from eligo.operators.querylist import match_count, old_law
+    # One pass: a row's weight in the UNION ALL is the number of queries it matches.
+    return (charges(spark, sf_dir).groupBy(F.year("hearing_date").alias("year"))
+            .agg(F.count(F.lit(1)).alias("total"), F.count_if(old_law()).alias("old_law"),
+                 F.sum(match_count()).cast("long").alias("new_law")))
+
+
+@register
+def year_summary(spark, sf_dir):
+    return _year_summary(spark, sf_dir)
+
+
+@register
+def year_summary_percent(spark, sf_dir):
+    from eligo.operators.reports import unpivot
+    long = unpivot(_year_summary(spark, sf_dir), ["year", "total"], ["new_law", "old_law"],
+                   "eligibility", "raw_count")
+    pct = F.round(F.col("raw_count").cast("double") * F.lit(100.0) / F.col("total").cast("double"), 1)
+    return long.withColumns({"percent": F.format_string("%.1f%%", pct),
+                             "count_text": F.format_number(F.col("raw_count"), 0)})
+
+
+# --- samples, increments, comparisons ------------------------------------------------------------
+
+@register
+def sample_persons_join(spark, sf_dir):
+    from eligo.operators.sampling import sample_rows
+    return sample_rows(charges(spark, sf_dir), 100).select("id", "person_id")
+
+
+EARLIER = dataclasses.replace(PARITY, cutoff_date="2005-12-31")
+
+
+@register
+def unprocessed_anti_join(spark, sf_dir):
+    from eligo.operators.sampling import unprocessed
+    done = wide(spark, sf_dir, EARLIER).select("person_id")
+    return unprocessed(charges(spark, sf_dir), done).select("id", "person_id")
+
+
+D2_CUT = dataclasses.replace(PARITY, dialect="d2")
+
+
+@register
+def run_diff(spark, sf_dir):
+    a = wide(spark, sf_dir).select(F.col("id").alias("charge_id"), F.col("expungability").alias("label_d3"))
+    b = wide(spark, sf_dir, D2_CUT).select(F.col("id").alias("charge_id"),
+                                           F.col("expungability").alias("label_d2"))
+    return a.join(b, "charge_id").filter(F.col("label_d3") != F.col("label_d2"))
+
+
+@register
+def confusion_matrix(spark, sf_dir):
+    from eligo.operators.reports import crosstab_counts
+    from eligo.operators.rules import decision_table, lookup_labels
+    from eligo.schemas import DECISION_KEYS
+    feats = wide(spark, sf_dir).select("base_label", *DECISION_KEYS)
+    table = decision_table(spark).withColumnRenamed("expungability", "prediction")
+    return crosstab_counts(lookup_labels(feats, table).withColumnRenamed("base_label", "label"),
+                           "label", "prediction")
+
+
+@register
+def peek_charges(spark, sf_dir):
+    from eligo.operators.sampling import peek
+    return peek(charges(spark, sf_dir), 5)
+
+
+@register
+def distinct_persons(spark, sf_dir):
+    return charges(spark, sf_dir).select("person_id").distinct()
+
+
+@register
+def person_lookup(spark, sf_dir):
+    return charges(spark, sf_dir).filter(F.col("person_id") == 1)

@@ -297,3 +297,178 @@ FROM charges""",
                               "next_conviction_disqualifier_after_felony AS tenyear, "
                               "pending_after_misdemeanor AS within7, pending_after_felony AS within10", **D2),
 })
+
+
+CH = f"charges AS ({CHARGES_SQL})"
+
+RACE_SQL = """CASE
+    WHEN regexp_matches(upper(race), 'OTHER|MISSING|UNKNOWN') THEN 'Unknown'
+    WHEN regexp_matches(upper(race), 'AMERICAN INDIAN|NATIVE') THEN 'American Indian or Alaskan Native'
+    WHEN regexp_matches(upper(race), '(^|[^A-Z])ASIAN') THEN 'Asian or Pacific Islander'
+    WHEN regexp_matches(upper(race), 'WHITE|CAUCASIAN') THEN 'White'
+    WHEN regexp_matches(upper(race), 'BLACK') THEN 'Black'
+    ELSE race END"""
+RACE_FIELD_X = r"regexp_replace(regexp_replace(upper(race), '\(.*?\)', '', 'g'), '^\s+|\s+$', '', 'g')"
+RACE_FIELD_SQL = f"""CASE {RACE_FIELD_X}
+    WHEN 'WHITE CAUCASIAN' THEN 'WHITE' WHEN 'AMERICAN INDIAN' THEN 'AMERICAN INDIAN OR ALASKAN NATIVE'
+    WHEN 'OTHER' THEN 'UNKNOWN' WHEN 'MISSING' THEN 'UNKNOWN' ELSE {RACE_FIELD_X} END"""
+FIPS_SQL = "CASE WHEN length(fips) < 3 THEN lpad(fips, 3, '0') ELSE fips END"
+CLEAN = (f"{CH}, clean AS (SELECT id, person_id, hearing_date, code_section, charge_type, charge_class, "
+         f"disposition_code, plea, {RACE_SQL} AS race, sex, {FIPS_SQL} AS fips FROM charges "
+         f"WHERE hearing_date <= DATE '{PARITY_CUTOFF}')")
+DIST = ("dist AS (SELECT code_section, count(*) AS n, ROUND(CAST(count(*) AS DOUBLE) * 100.0 / "
+        "CAST(SUM(count(*)) OVER () AS DOUBLE), 2) AS percent FROM clean GROUP BY code_section)")
+CUM = ("cum AS (SELECT *, ROUND(SUM(percent) OVER (ORDER BY percent DESC, code_section ASC NULLS FIRST "
+       "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS cumulative_percent FROM dist WHERE percent > 1.0)")
+
+LOOKBACK = f"""{CH},
+r AS (SELECT *, CAST(hearing_date - DATE '1970-01-01' AS INTEGER) AS day,
+        coalesce(disposition_code IN ('Guilty', 'Guilty In Absentia'), false) AS conv FROM charges),
+r2 AS (SELECT *, conv AND coalesce(charge_type = 'Felony', false) AS fel FROM r),
+lb AS (SELECT id,
+  coalesce(bool_or(conv) OVER (PARTITION BY person_id ORDER BY day RANGE BETWEEN 2556 PRECEDING AND 1 PRECEDING),
+           false) AS seven_year,
+  coalesce(bool_or(fel) OVER (PARTITION BY person_id ORDER BY day RANGE BETWEEN 3652 PRECEDING AND 1 PRECEDING),
+           false) AS ten_year,
+  coalesce(bool_or(fel AND coalesce(charge_class IN ('1','2'), false)) OVER (PARTITION BY person_id ORDER BY day
+           RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS class_12,
+  coalesce(bool_or(fel AND coalesce(charge_class IN ('3','4'), false)) OVER (PARTITION BY person_id ORDER BY day
+           RANGE BETWEEN 7305 PRECEDING AND 1 PRECEDING), false) AS class_34
+  FROM r2)"""
+
+PERSON_COUNTS = """pc AS (SELECT person_id,
+    CAST(SUM(CASE WHEN expungability = 'Automatic' THEN 1 ELSE 0 END) AS BIGINT) AS automatic,
+    CAST(SUM(CASE WHEN expungability = 'Petition' THEN 1 ELSE 0 END) AS BIGINT) AS petition,
+    CAST(SUM(CASE WHEN expungability = 'Automatic (pending)' THEN 1 ELSE 0 END) AS BIGINT) AS automatic_pending,
+    CAST(SUM(CASE WHEN expungability = 'Petition (pending)' THEN 1 ELSE 0 END) AS BIGINT) AS petition_pending,
+    CAST(SUM(CASE WHEN expungability = 'Not eligible' THEN 1 ELSE 0 END) AS BIGINT) AS not_eligible,
+    CAST(SUM(CASE WHEN disposition_category = 'Dismissed' THEN 1 ELSE 0 END) AS BIGINT) AS old_petition,
+    CAST(SUM(CASE WHEN disposition_category = 'Dismissed' THEN 0 ELSE 1 END) AS BIGINT) AS old_not_eligible
+  FROM final GROUP BY person_id)"""
+TOTALS = ("tot AS (SELECT CAST(SUM(automatic) AS BIGINT) AS automatic, CAST(SUM(petition) AS BIGINT) AS petition, "
+          "CAST(SUM(not_eligible) AS BIGINT) AS not_eligible, CAST(SUM(old_petition) AS BIGINT) AS old_petition, "
+          "CAST(SUM(old_not_eligible) AS BIGINT) AS old_not_eligible FROM pc)")
+
+
+def _ql_select(ref: str, title: str, codes: str, dispositions: str, types: str | None = None) -> str:
+    where = f"code_section IN ({codes}) AND disposition_code IN ({dispositions})"
+    if types:
+        where += f" AND charge_type IN ({types})"
+    return (f"SELECT '{ref}' AS reference, '{title}' AS title, hearing_date, person_id, code_section, "
+            f"disposition_code, charge_type FROM charges WHERE {where}")
+
+
+_T1 = "Automatic sealing of offenses resulting in a deferred and dismissed disposition or conviction."
+_T2 = "Sealing of offenses resulting in a deferred and dismissed disposition or conviction by petition."
+QL = f"""{CH}, ql AS (
+  {_ql_select('19.2-392.6.A', _T1, "'4.1-305','18.2-250.1'", "'Dismissed'")}
+  UNION ALL {_ql_select('19.2-392.6.B', _T1, "'4.1-305','18.2-96','18.2-103','18.2-119','18.2-120','18.2-134'", "'Guilty'")}
+  UNION ALL {_ql_select('19.2-392.6.B-misdemeanor', _T1, "'18.2-248.1','18.2-250.1','18.2-415'", "'Guilty'", "'Misdemeanor'")}
+  UNION ALL {_ql_select('19.2-392.12', _T2, SEC_12, "'Deferred','Dismissed'")})"""
+OLD_LAW_SQL = ("'Dismissed','Dismissed/Other','Nolle Prosequi','Not Guilty/Acquitted',"
+               "'Not Guilty By Reason Of Insanity','Not True Bill','Not Guilty','Not Guilty/Insanity'")
+YEAR_SUMMARY = f"""{QL},
+t AS (SELECT year(hearing_date) AS year, count(*) AS total,
+        count(*) FILTER (WHERE disposition_code IN ({OLD_LAW_SQL})) AS old_law FROM charges GROUP BY 1),
+nl AS (SELECT year(hearing_date) AS year, count(*) AS new_law FROM ql GROUP BY 1),
+ys AS (SELECT t.year, t.total, t.old_law, CAST(coalesce(nl.new_law, 0) AS BIGINT) AS new_law
+       FROM t LEFT JOIN nl ON t.year = nl.year)"""
+
+PROFILE_VALUES = (
+    "MISSING", "Appeal Withdrawn", "Dismissed", "Guilty", "Mistrial", "No Indictment Presented", "Nolle Prosequi",
+    "Not Guilty By Reason Of Insanity", "Not Guilty/Acquitted", "Not True Bill", "Remanded", "Resolved",
+    "Sentence/Probation Revoked", "Certified To Grand Jury", "Complied With Law", "Defendant Not Found",
+    "Fugitive File", "Guilty In Absentia", "Not Guilty", "Other", "Prepaid",
+    "Transferred To Another Jurisdiction/Court", "Extradition Waived", "Denied", "Granted", "Dismissed/Other",
+    "Not Guilty/Insanity", "Bond Forfeited", "Certified Misdemeanor", "Extradition Ordered",
+    "Adjudicated Habitual Offender",
+)
+PROFILE = ", ".join(f"count(*) FILTER (WHERE v = '{v}') AS \"{v}\"" for v in PROFILE_VALUES)
+
+ORACLE.update({
+    "race_standardize": f"WITH {CH} SELECT id, race AS race_raw, {RACE_SQL} AS race FROM charges",
+    "race_standardize_alt": f"WITH {CH} SELECT id, {RACE_FIELD_SQL} AS race_field FROM charges",
+    "fips_pad": f"WITH {CH} SELECT id, fips AS fips_raw, {FIPS_SQL} AS fips FROM charges",
+    "ingest_clean": f"WITH {CLEAN} SELECT * FROM clean",
+    "lookback_flags_d0": f"WITH {LOOKBACK} SELECT id AS charge_id, seven_year, ten_year, class_12, class_34 FROM lb",
+    "feature_summary_d0": f"""WITH {LOOKBACK} SELECT count(*) AS total_rows,
+        count(*) FILTER (WHERE seven_year) AS seven_year_rows, count(*) FILTER (WHERE ten_year) AS ten_year_rows,
+        count(*) FILTER (WHERE class_12) AS class_12_rows, count(*) FILTER (WHERE class_34) AS class_34_rows
+        FROM lb""",
+    "mode_impute": with_pipeline("""SELECT f.id AS charge_id, coalesce(f.race, rm.race, 'MISSING') AS race,
+        coalesce(f.sex, sm.sex, 'MISSING') AS sex
+      FROM final f
+      LEFT JOIN (SELECT person_id, race FROM (SELECT person_id, race, row_number() OVER (PARTITION BY person_id
+                 ORDER BY cnt DESC, race ASC) AS rk FROM (SELECT person_id, race, count(*) AS cnt FROM final
+                 WHERE race IS NOT NULL GROUP BY person_id, race)) WHERE rk = 1) rm ON f.person_id = rm.person_id
+      LEFT JOIN (SELECT person_id, sex FROM (SELECT person_id, sex, row_number() OVER (PARTITION BY person_id
+                 ORDER BY cnt DESC, sex ASC) AS rk FROM (SELECT person_id, sex, count(*) AS cnt FROM final
+                 WHERE sex IS NOT NULL GROUP BY person_id, sex)) WHERE rk = 1) sm ON f.person_id = sm.person_id""",
+                                 **D2),
+    "person_label_counts": with_pipeline(f", {PERSON_COUNTS} SELECT * FROM pc", **D2).replace(
+        ")\n, pc AS", "),\npc AS"),
+    "old_vs_new_totals": with_pipeline(f", {PERSON_COUNTS}, {TOTALS} SELECT *, (old_petition + old_not_eligible) - "
+                                       "(automatic + petition + not_eligible) AS difference FROM tot", **D2),
+    "old_vs_new_unpivot": with_pipeline(f""", {PERSON_COUNTS}, {TOTALS},
+        lg AS (UNPIVOT tot ON automatic, petition, not_eligible, old_petition, old_not_eligible
+               INTO NAME name VALUE value)
+        SELECT name, value, CASE WHEN contains(name, 'old') THEN 'Old Law' ELSE 'New Law' END AS law,
+          CASE name WHEN 'automatic' THEN 'Automatic Exp.' WHEN 'petition' THEN 'Exp. w/ Petition'
+            WHEN 'not_eligible' THEN 'Not Eligible' WHEN 'old_petition' THEN 'Exp. w/ Petition'
+            WHEN 'old_not_eligible' THEN 'Not Eligible' END AS label FROM lg""", **D2),
+    "code_distribution": f"WITH {CLEAN}, {DIST} SELECT * FROM dist",
+    "code_cumulative": f"WITH {CLEAN}, {DIST}, {CUM} SELECT * FROM cum",
+    "race_distribution": f"""WITH {CLEAN} SELECT race, count(*) AS n, ROUND(CAST(count(*) AS DOUBLE) * 100.0 /
+        CAST(SUM(count(*)) OVER () AS DOUBLE), 2) AS percent FROM clean GROUP BY race""",
+    "code_by_race": f"""WITH {CLEAN}, {DIST}, {CUM}
+        SELECT c.code_section, e.race, count(*) AS n, ROUND(CAST(count(*) AS DOUBLE) * 100.0 /
+          CAST(SUM(count(*)) OVER (PARTITION BY c.code_section) AS DOUBLE), 2) AS percent
+        FROM cum c JOIN clean e ON c.code_section = e.code_section GROUP BY c.code_section, e.race""",
+    "top_races": f"""WITH {CLEAN} SELECT race, count(*) AS n FROM clean GROUP BY race
+        ORDER BY n DESC, race ASC NULLS FIRST LIMIT 10""",
+    "race_by_sex": with_pipeline("SELECT race, sex, count(expungability) AS n FROM final GROUP BY race, sex"),
+    "distinct_counts": f"""WITH {CH} SELECT count(person_id) AS n_rows, count(DISTINCT person_id) AS n_persons,
+        count(DISTINCT code_section) AS n_codes FROM charges""",
+    "missing_code_count": f"""WITH {CH} SELECT year(hearing_date) AS year,
+        count(*) FILTER (WHERE code_section IS NULL OR code_section = '') AS n_missing, count(*) AS n_rows
+        FROM charges GROUP BY 1""",
+    "profile_pivot": f"""WITH {CH}, p AS (SELECT year(hearing_date) AS year,
+        coalesce(nullif(disposition_code, ''), 'MISSING') AS v FROM charges)
+        SELECT year, {PROFILE} FROM p GROUP BY year""",
+    "race_field_counts": f"""WITH {CH}, x AS (SELECT {RACE_FIELD_SQL} AS race FROM charges
+        WHERE code_section IN ('A.46.2-862')) SELECT race, count(*) AS n FROM x WHERE race IS NOT NULL
+        GROUP BY race""",
+    "rare_disposition_localities": f"""WITH {CH} SELECT fips, count(*) AS n FROM charges
+        WHERE disposition_code IN ('Complied With Law','Resolved','Certified Misdemeanor','Granted','Denied')
+          AND fips IS NOT NULL GROUP BY fips""",
+    "code_pattern_by_year": f"""WITH {CH} SELECT year(hearing_date) AS year, count(*) AS n FROM charges
+        WHERE regexp_matches(code_section, '18.2-248.1') GROUP BY 1""",
+    "group_having": with_pipeline("""SELECT race, count(*) AS n, ROUND(avg(last_hearing_delta), 4) AS mean_value
+        FROM final GROUP BY race HAVING count(*) > 1 AND avg(last_hearing_delta) IS NOT NULL"""),
+    "query_list_union": f"WITH {QL} SELECT * FROM ql",
+    "query_list_by_year": f"WITH {QL} SELECT year(hearing_date) AS year, count(*) AS n FROM ql GROUP BY 1",
+    "query_list_by_year_reference": f"""WITH {QL} SELECT year(hearing_date) AS year, reference, count(*) AS n
+        FROM ql GROUP BY 1, 2""",
+    "query_list_by_year_code": f"""WITH {QL} SELECT year(hearing_date) AS year, code_section, count(*) AS n
+        FROM ql GROUP BY 1, 2""",
+    "year_summary": f"WITH {YEAR_SUMMARY} SELECT * FROM ys",
+    "year_summary_percent": f"""WITH {YEAR_SUMMARY},
+        lg AS (UNPIVOT ys ON new_law, old_law INTO NAME eligibility VALUE raw_count)
+        SELECT year, total, eligibility, raw_count,
+          printf('%.1f%%', ROUND(CAST(raw_count AS DOUBLE) * 100.0 / CAST(total AS DOUBLE), 1)) AS percent,
+          format('{{:,}}', raw_count) AS count_text FROM lg""",
+    "sample_persons_join": f"""WITH {CH}, ids AS (SELECT person_id FROM (SELECT DISTINCT person_id FROM charges
+        WHERE person_id IS NOT NULL) ORDER BY md5(CAST(person_id AS VARCHAR) || ':12345'), person_id LIMIT 100)
+        SELECT c.id, c.person_id FROM charges c JOIN ids ON c.person_id = ids.person_id""",
+    "unprocessed_anti_join": with_pipeline("""SELECT c.id, c.person_id FROM charges c
+        WHERE c.person_id NOT IN (SELECT person_id FROM final)""", cutoff="2005-12-31"),
+    "run_diff": f"""SELECT a.charge_id, a.label_d3, b.label_d2 FROM
+        ({with_pipeline("SELECT id AS charge_id, expungability AS label_d3 FROM final")}) a JOIN
+        ({with_pipeline("SELECT id AS charge_id, expungability AS label_d2 FROM final", dialect="d2")}) b
+        ON a.charge_id = b.charge_id WHERE a.label_d3 <> b.label_d2""",
+    "confusion_matrix": with_pipeline("SELECT base_label AS label, base_label AS prediction, count(*) AS n "
+                                      "FROM final GROUP BY 1, 2"),
+    "peek_charges": f"WITH {CH} SELECT * FROM charges ORDER BY id LIMIT 5",
+    "distinct_persons": f"WITH {CH} SELECT DISTINCT person_id FROM charges",
+    "person_lookup": f"WITH {CH} SELECT * FROM charges WHERE person_id = 1",
+})
