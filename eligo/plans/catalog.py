@@ -487,3 +487,8 @@ def distinct_persons(spark, sf_dir):
 @register
 def person_lookup(spark, sf_dir):
     return charges(spark, sf_dir).filter(F.col("person_id") == 1)
+
+
+@register
+def classified_file_d2(spark, sf_dir):
+    return C.classified_file(wide(spark, sf_dir, D2))

@@ -169,3 +169,26 @@ def classify(charges: DataFrame, cfg: RunConfig | None = None) -> tuple[DataFram
 
 def with_rules_off(cfg: RunConfig) -> RunConfig:
     return dataclasses.replace(cfg, sameday_rule=False, lifetime_rule=False)
+
+
+def classified_file(wide: DataFrame) -> DataFrame:
+    """The 28-column per-charge file of the older per-person flow (raw + derived + labels)."""
+    from eligo.operators.impute import impute_mode
+    w = impute_mode(wide)
+    return w.select(
+        "person_id", F.col("hearing_date").alias("HearingDate"), F.col("code_section").alias("CodeSection"),
+        F.col("code_section_category").alias("codesection"), F.col("charge_type").alias("ChargeType"),
+        F.col("charge_category").alias("chargetype"), F.col("charge_class").alias("Class"),
+        F.col("disposition_code").alias("DispositionCode"), F.col("disposition_category").alias("disposition"),
+        F.col("plea").alias("Plea"), F.col("race").alias("Race"), F.col("sex").alias("Sex"), "fips",
+        F.col("has_conviction").alias("convictions"), F.col("arrest_disqualifier").alias("arrests"),
+        F.col("felony_conviction_disqualifier").alias("felony10"),
+        F.col("next_conviction_disqualifier_after_misdemeanor").alias("sevenyear"),
+        F.col("next_conviction_disqualifier_after_felony").alias("tenyear"),
+        F.col("pending_after_misdemeanor").alias("within7"), F.col("pending_after_felony").alias("within10"),
+        F.col("has_class_1_or_2").alias("class1_2"), F.col("has_class_3_or_4").alias("class3_4"),
+        F.col("expungability").alias("expungable"), "old_expungable",
+        F.col("sameday_label").alias("expungable_no_lifetimelimit"), "reason",
+        F.coalesce(F.col("sameday_disqualifier"), F.lit(False)).alias("sameday"),
+        F.coalesce(F.col("lifetime_disqualifier"), F.lit(False)).alias("lifetime"),
+    )

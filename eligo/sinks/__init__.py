@@ -1 +1 @@
-"""sinks."""
+"""Sinks: result tables keyed by run id, full refreshes, person-clustered exports."""

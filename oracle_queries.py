@@ -472,3 +472,28 @@ ORACLE.update({
     "distinct_persons": f"WITH {CH} SELECT DISTINCT person_id FROM charges",
     "person_lookup": f"WITH {CH} SELECT * FROM charges WHERE person_id = 1",
 })
+
+
+ORACLE["classified_file_d2"] = with_pipeline(f"""SELECT f.person_id, f.hearing_date AS HearingDate,
+    f.code_section AS CodeSection, f.code_section_category AS codesection, f.charge_type AS ChargeType,
+    f.charge_category AS chargetype, f.charge_class AS Class, f.disposition_code AS DispositionCode,
+    f.disposition_category AS disposition, f.plea AS Plea, coalesce(f.race, rm.race, 'MISSING') AS Race,
+    coalesce(f.sex, sm.sex, 'MISSING') AS Sex, f.fips, f.has_conviction AS convictions,
+    f.arrest_disqualifier AS arrests, f.felony_conviction_disqualifier AS felony10,
+    f.next_conviction_disqualifier_after_misdemeanor AS sevenyear,
+    f.next_conviction_disqualifier_after_felony AS tenyear, f.pending_after_misdemeanor AS within7,
+    f.pending_after_felony AS within10, f.has_class_1_or_2 AS class1_2, f.has_class_3_or_4 AS class3_4,
+    f.expungability AS expungable, f.disposition_category = 'Dismissed' AS old_expungable,
+    f.sameday_label AS expungable_no_lifetimelimit,
+    {REASON_CASE.replace('disposition_category', 'f.disposition_category').replace('charge_category', 'f.charge_category')} ||
+      CASE WHEN coalesce(f.lifetime_disqualifier, false) AND f.sameday_label <> 'Not eligible'
+           THEN {LIFETIME_SUFFIX_SQL} ELSE '' END AS reason,
+    coalesce(f.sameday_disqualifier, false) AS sameday, coalesce(f.lifetime_disqualifier, false) AS lifetime
+  FROM final f
+  LEFT JOIN (SELECT person_id, race FROM (SELECT person_id, race, row_number() OVER (PARTITION BY person_id
+             ORDER BY cnt DESC, race ASC) AS rk FROM (SELECT person_id, race, count(*) AS cnt FROM final
+             WHERE race IS NOT NULL GROUP BY person_id, race)) WHERE rk = 1) rm ON f.person_id = rm.person_id
+  LEFT JOIN (SELECT person_id, sex FROM (SELECT person_id, sex, row_number() OVER (PARTITION BY person_id
+             ORDER BY cnt DESC, sex ASC) AS rk FROM (SELECT person_id, sex, count(*) AS cnt FROM final
+             WHERE sex IS NOT NULL GROUP BY person_id, sex)) WHERE rk = 1) sm ON f.person_id = sm.person_id""",
+                                             **D2)
