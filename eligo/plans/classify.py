@@ -177,9 +177,9 @@ def classified_file(wide: DataFrame) -> DataFrame:
     w = impute_mode(wide)
     return w.select(
         "person_id", F.col("hearing_date").alias("HearingDate"), F.col("code_section").alias("CodeSection"),
-        F.col("code_section_category").alias("codesection"), F.col("charge_type").alias("ChargeType"),
-        F.col("charge_category").alias("chargetype"), F.col("charge_class").alias("Class"),
-        F.col("disposition_code").alias("DispositionCode"), F.col("disposition_category").alias("disposition"),
+        "code_section_category", F.col("charge_type").alias("ChargeType"),
+        "charge_category", F.col("charge_class").alias("Class"),
+        F.col("disposition_code").alias("DispositionCode"), "disposition_category",
         F.col("plea").alias("Plea"), F.col("race").alias("Race"), F.col("sex").alias("Sex"), "fips",
         F.col("has_conviction").alias("convictions"), F.col("arrest_disqualifier").alias("arrests"),
         F.col("felony_conviction_disqualifier").alias("felony10"),

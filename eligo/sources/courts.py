@@ -13,10 +13,12 @@ DISTRICT_RENAMES = {"FinalDisposition": "DispositionCode", "HearingPlea": "Plea"
                     "Gender": "Sex"}
 CIRCUIT_RENAMES = {"HearingPlea": "Plea"}
 
-# Columns of the classified (per-charge result) CSV, in file order.
+# Columns of the classified (per-charge result) CSV, in file order. The derived
+# categories are named *_category: the file's own names differ from the raw
+# columns only by case, which Spark (case-insensitive) cannot hold side by side.
 CLASSIFIED_COLUMNS = (
-    "person_id", "HearingDate", "CodeSection", "codesection", "ChargeType", "chargetype", "Class",
-    "DispositionCode", "disposition", "Plea", "Race", "Sex", "fips", "convictions", "arrests", "felony10",
+    "person_id", "HearingDate", "CodeSection", "code_section_category", "ChargeType", "charge_category", "Class",
+    "DispositionCode", "disposition_category", "Plea", "Race", "Sex", "fips", "convictions", "arrests", "felony10",
     "sevenyear", "tenyear", "within7", "within10", "class1_2", "class3_4", "expungable", "old_expungable",
     "expungable_no_lifetimelimit", "reason", "sameday", "lifetime",
 )

@@ -69,7 +69,7 @@ def _labels_sql(dialect: str) -> str:
 
 
 def pipeline_sql(dialect: str = "d3", sameday: bool = True, lifetime: bool = True,
-                 cutoff: str = PARITY_CUTOFF, apply_cutoff: bool = True) -> str:
+                 cutoff: str = PARITY_CUTOFF, apply_cutoff: bool = True, source: str = CHARGES_SQL) -> str:
     """CTE chain ending in relation ``final`` (one row per classified charge)."""
     cut = f"DATE '{cutoff}'"
     where = f"hearing_date < {cut}" if apply_cutoff else "hearing_date IS NOT NULL"
@@ -114,7 +114,7 @@ def pipeline_sql(dialect: str = "d3", sameday: bool = True, lifetime: bool = Tru
                  OR (disposition_category = 'Deferral Dismissal' AND coalesce(sameday_disqualifier, false)))"""
     else:
         lt = "CAST(NULL AS BOOLEAN)"
-    return f"""charges AS ({CHARGES_SQL}),
+    return f"""charges AS ({source}),
 c0 AS (
   SELECT *, {DISPOSITION_CASE} AS dc0, charge_type AS charge_category, coalesce(code_section, 'MISSING') AS cs
   FROM charges
@@ -475,9 +475,9 @@ ORACLE.update({
 
 
 ORACLE["classified_file_d2"] = with_pipeline(f"""SELECT f.person_id, f.hearing_date AS HearingDate,
-    f.code_section AS CodeSection, f.code_section_category AS codesection, f.charge_type AS ChargeType,
-    f.charge_category AS chargetype, f.charge_class AS Class, f.disposition_code AS DispositionCode,
-    f.disposition_category AS disposition, f.plea AS Plea, coalesce(f.race, rm.race, 'MISSING') AS Race,
+    f.code_section AS CodeSection, f.code_section_category, f.charge_type AS ChargeType,
+    f.charge_category, f.charge_class AS Class, f.disposition_code AS DispositionCode,
+    f.disposition_category, f.plea AS Plea, coalesce(f.race, rm.race, 'MISSING') AS Race,
     coalesce(f.sex, sm.sex, 'MISSING') AS Sex, f.fips, f.has_conviction AS convictions,
     f.arrest_disqualifier AS arrests, f.felony_conviction_disqualifier AS felony10,
     f.next_conviction_disqualifier_after_misdemeanor AS sevenyear,
