@@ -35,7 +35,9 @@ def with_person_key(df: DataFrame, person_col: str = "person_id", id_col: str =
 
 
 def person_window():
-    return Window.partitionBy(*PERSON_KEYS)
+    """Whole-person frame, ordered by day only so that it shares one sort with the day-ordered windows."""
+    return (Window.partitionBy(*PERSON_KEYS).orderBy("_day")
+            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
 
 
 def day_ordered():

@@ -41,3 +41,36 @@ def test_entry_and_contract(spark):
     for name, fn in qs.items():
         cols = fn(spark, SF_SMALL).columns
         assert len(cols) == len(set(cols)), name
+
+
+def test_hot_group_join_is_split(spark):
+    """A third of all rows in one (person, day, category) group: AQE splits that join partition."""
+    from pyspark.sql import functions as F
+    from eligo.sources.fixtures import load_charges
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        base = load_charges(spark, "/root/testdata/sf0.01")
+        hot = spark.range(8000).select(
+            (F.col("id") + 10_000_000).alias("id"), F.lit(7).cast("long").alias("person_id"),
+            F.lit("2010-05-05").cast("date").alias("hearing_date"), F.lit("18.2-96").alias("code_section"),
+            F.lit("Misdemeanor").alias("charge_type"), F.lit(None).cast("string").alias("charge_class"),
+            F.lit("Guilty").alias("disposition_code"), F.lit(None).cast("string").alias("plea"),
+            F.lit(None).cast("string").alias("race"), F.lit(None).cast("string").alias("sex"),
+            F.lit("1").alias("fips"))
+        out = classify_rows(base.unionByName(hot), RunConfig(cutoff_date="2019-12-31")).groupBy(
+            "expungability").count()
+        total = sum(r["count"] for r in out.collect())
+        assert "isSkew=true" in _plan(out)
+        assert total == classify_rows(base, RunConfig(cutoff_date="2019-12-31")).count() + 8000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
