@@ -492,3 +492,47 @@ def person_lookup(spark, sf_dir):
 @register
 def classified_file_d2(spark, sf_dir):
     return C.classified_file(wide(spark, sf_dir, D2))
+
+
+@register
+def person_file_lines(spark, sf_dir):
+    from eligo.sinks.tables import person_file_line
+    return charges(spark, sf_dir).select("id", "person_id", person_file_line().alias("line"))
+
+
+@register
+def profile_totals(spark, sf_dir):
+    from eligo import constants as K
+    from eligo.operators.reports import column_sums, profile
+    df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
+    return column_sums(profile(df, "year", "disposition_code", list(K.PROFILE_DISPOSITIONS)),
+                       list(K.PROFILE_DISPOSITIONS))
+
+
+# The notebook's distribution query, run as SQL text over a temp view.
+CODE_DISTRIBUTION_SQL = """
+WITH code_distribution AS (
+    SELECT code_section, COUNT(*) AS n,
+           ROUND(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS percent
+    FROM expunge_clean
+    GROUP BY code_section
+)
+SELECT *, ROUND(SUM(percent) OVER (ORDER BY percent DESC, code_section
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS cumulative_percent
+FROM code_distribution
+WHERE percent > 1.0
+"""
+
+
+@register
+def code_distribution_sql(spark, sf_dir):
+    cleaned(spark, sf_dir).createOrReplaceTempView("expunge_clean")
+    return spark.sql(CODE_DISTRIBUTION_SQL)
+
+
+@register
+def ml_tree_predict(spark, sf_dir):
+    from eligo.operators.tree import predict, train_tree
+    from eligo.schemas import DECISION_KEYS
+    feats = wide(spark, sf_dir).select("id", *DECISION_KEYS)
+    return _by_charge(predict(train_tree(spark), feats), F.col("predicted_label"))

@@ -52,14 +52,14 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a private folder made and
-    registered; on a cluster the setting is always read, never replaced.
+    Order: the session setting, then a folder already registered on the
+    SparkContext, and only when neither exists (local runs, tests) a private
+    temporary folder registered with ``setCheckpointDir``. A cluster setting is
+    always read, never replaced.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="eligo-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        sc.setCheckpointDir(current)
     return current

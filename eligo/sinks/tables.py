@@ -105,6 +105,18 @@ def write_person_clustered(df: DataFrame, path: str, prefix_len: int = 5) -> Non
     out.write.mode("overwrite").partitionBy("person_prefix").parquet(path)
 
 
+PERSON_FILE_FIELDS = ("person_id", "hearing_date", "code_section", "charge_type", "charge_class",
+                      "disposition_code", "plea", "race", "sex", "fips")
+
+
+def person_file_line(fields=PERSON_FILE_FIELDS):
+    """One comma-separated text line per charge; the first comma inside a field becomes '..'
+    and a missing value is written as 'NA'."""
+    from eligo.functions.text import first_comma_to_dots
+    return F.concat_ws(",", *[F.coalesce(first_comma_to_dots(F.col(c).cast("string")), F.lit("NA"))
+                              for c in fields])
+
+
 def append_table(df: DataFrame, path: str) -> None:
     """Create-or-append."""
     df.write.mode("append").parquet(path)

@@ -1 +1 @@
-"""streaming."""
+"""Incremental ingest with Structured Streaming (the restartable form of the batch ingest)."""

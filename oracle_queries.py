@@ -497,3 +497,18 @@ ORACLE["classified_file_d2"] = with_pipeline(f"""SELECT f.person_id, f.hearing_d
              ORDER BY cnt DESC, sex ASC) AS rk FROM (SELECT person_id, sex, count(*) AS cnt FROM final
              WHERE sex IS NOT NULL GROUP BY person_id, sex)) WHERE rk = 1) sm ON f.person_id = sm.person_id""",
                                              **D2)
+
+
+def _line_field(c: str) -> str:
+    return f"coalesce(regexp_replace(CAST({c} AS VARCHAR), ',', '..'), 'NA')"
+
+
+ORACLE.update({
+    "person_file_lines": f"""WITH {CH} SELECT id, person_id, concat_ws(',', {', '.join(_line_field(c) for c in (
+        'person_id', 'hearing_date', 'code_section', 'charge_type', 'charge_class', 'disposition_code', 'plea',
+        'race', 'sex', 'fips'))}) AS line FROM charges""",
+    "profile_totals": f"""WITH {CH}, p AS (SELECT coalesce(nullif(disposition_code, ''), 'MISSING') AS v FROM charges)
+        SELECT {PROFILE} FROM p""",
+    "code_distribution_sql": f"WITH {CLEAN}, {DIST}, {CUM} SELECT * FROM cum",
+    "ml_tree_predict": _ids("base_label AS predicted_label"),
+})

@@ -1,0 +1,21 @@
+"""Incremental ingest picks up each file exactly once."""
+
+from eligo.streaming.ingest import ingest_new_files
+
+HEADER = "id,person_id,HearingDate,CodeSection,ChargeType,Class,DispositionCode,Plea,Race,Sex,fips\n"
+
+
+def test_incremental_ingest_exactly_once(spark, tmp_path):
+    src = tmp_path / "incoming"
+    src.mkdir()
+    out = str(tmp_path / "charges")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(str(tmp_path / "ckpt"))
+    (src / "a.csv").write_text(HEADER + "1,10,2015-01-01,18.2-95,Misdemeanor,,Guilty,,WHITE,Male,7\n")
+    assert ingest_new_files(spark, str(src), out, as_of="2020-01-01") == 1
+    assert ingest_new_files(spark, str(src), out, as_of="2020-01-01") == 0
+    (src / "b.csv").write_text(HEADER + "2,11,2016-01-01,18.2-96,Felony,3,Dismissed,,black,Female,51003\n"
+                                        "3,11,2031-01-01,18.2-96,Felony,3,Dismissed,,black,Female,1\n")
+    ingest_new_files(spark, str(src), out, as_of="2020-01-01")
+    rows = {r["id"]: (r["race"], r["fips"]) for r in spark.read.parquet(out).collect()}
+    assert rows == {1: ("White", "007"), 2: ("Black", "51003")}
