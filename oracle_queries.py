@@ -368,9 +368,9 @@ QL = f"""{CH}, ql AS (
 OLD_LAW_SQL = ("'Dismissed','Dismissed/Other','Nolle Prosequi','Not Guilty/Acquitted',"
                "'Not Guilty By Reason Of Insanity','Not True Bill','Not Guilty','Not Guilty/Insanity'")
 YEAR_SUMMARY = f"""{QL},
-t AS (SELECT year(hearing_date) AS year, count(*) AS total,
+t AS (SELECT CAST(year(hearing_date) AS INTEGER) AS year, count(*) AS total,
         count(*) FILTER (WHERE disposition_code IN ({OLD_LAW_SQL})) AS old_law FROM charges GROUP BY 1),
-nl AS (SELECT year(hearing_date) AS year, count(*) AS new_law FROM ql GROUP BY 1),
+nl AS (SELECT CAST(year(hearing_date) AS INTEGER) AS year, count(*) AS new_law FROM ql GROUP BY 1),
 ys AS (SELECT t.year, t.total, t.old_law, CAST(coalesce(nl.new_law, 0) AS BIGINT) AS new_law
        FROM t LEFT JOIN nl ON t.year = nl.year)"""
 
@@ -429,10 +429,10 @@ ORACLE.update({
     "race_by_sex": with_pipeline("SELECT race, sex, count(expungability) AS n FROM final GROUP BY race, sex"),
     "distinct_counts": f"""WITH {CH} SELECT count(person_id) AS n_rows, count(DISTINCT person_id) AS n_persons,
         count(DISTINCT code_section) AS n_codes FROM charges""",
-    "missing_code_count": f"""WITH {CH} SELECT year(hearing_date) AS year,
+    "missing_code_count": f"""WITH {CH} SELECT CAST(year(hearing_date) AS INTEGER) AS year,
         count(*) FILTER (WHERE code_section IS NULL OR code_section = '') AS n_missing, count(*) AS n_rows
         FROM charges GROUP BY 1""",
-    "profile_pivot": f"""WITH {CH}, p AS (SELECT year(hearing_date) AS year,
+    "profile_pivot": f"""WITH {CH}, p AS (SELECT CAST(year(hearing_date) AS INTEGER) AS year,
         coalesce(nullif(disposition_code, ''), 'MISSING') AS v FROM charges)
         SELECT year, {PROFILE} FROM p GROUP BY year""",
     "race_field_counts": f"""WITH {CH}, x AS (SELECT {RACE_FIELD_SQL} AS race FROM charges
@@ -441,15 +441,15 @@ ORACLE.update({
     "rare_disposition_localities": f"""WITH {CH} SELECT fips, count(*) AS n FROM charges
         WHERE disposition_code IN ('Complied With Law','Resolved','Certified Misdemeanor','Granted','Denied')
           AND fips IS NOT NULL GROUP BY fips""",
-    "code_pattern_by_year": f"""WITH {CH} SELECT year(hearing_date) AS year, count(*) AS n FROM charges
+    "code_pattern_by_year": f"""WITH {CH} SELECT CAST(year(hearing_date) AS INTEGER) AS year, count(*) AS n FROM charges
         WHERE regexp_matches(code_section, '18.2-248.1') GROUP BY 1""",
     "group_having": with_pipeline("""SELECT race, count(*) AS n, ROUND(avg(last_hearing_delta), 4) AS mean_value
         FROM final GROUP BY race HAVING count(*) > 1 AND avg(last_hearing_delta) IS NOT NULL"""),
     "query_list_union": f"WITH {QL} SELECT * FROM ql",
-    "query_list_by_year": f"WITH {QL} SELECT year(hearing_date) AS year, count(*) AS n FROM ql GROUP BY 1",
-    "query_list_by_year_reference": f"""WITH {QL} SELECT year(hearing_date) AS year, reference, count(*) AS n
+    "query_list_by_year": f"WITH {QL} SELECT CAST(year(hearing_date) AS INTEGER) AS year, count(*) AS n FROM ql GROUP BY 1",
+    "query_list_by_year_reference": f"""WITH {QL} SELECT CAST(year(hearing_date) AS INTEGER) AS year, reference, count(*) AS n
         FROM ql GROUP BY 1, 2""",
-    "query_list_by_year_code": f"""WITH {QL} SELECT year(hearing_date) AS year, code_section, count(*) AS n
+    "query_list_by_year_code": f"""WITH {QL} SELECT CAST(year(hearing_date) AS INTEGER) AS year, code_section, count(*) AS n
         FROM ql GROUP BY 1, 2""",
     "year_summary": f"WITH {YEAR_SUMMARY} SELECT * FROM ys",
     "year_summary_percent": f"""WITH {YEAR_SUMMARY},
