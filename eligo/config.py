@@ -84,3 +84,16 @@ class RunConfig:
                     "covered_sections_b_misdemeanor", "excluded_sections_twelve"):
             row[key] = list(row[key])
         return row
+
+
+def load_config(path: str) -> RunConfig:
+    """Read a run configuration file (YAML when PyYAML is installed, else JSON)."""
+    with open(path) as fh:
+        text = fh.read()
+    try:
+        import yaml  # optional
+        values = yaml.safe_load(text)
+    except ImportError:
+        import json
+        values = json.loads(text)
+    return RunConfig.from_mapping(values or {})
