@@ -9,6 +9,8 @@ duplicates rows. The checkpoint lives under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -21,9 +23,16 @@ RAW_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in (
     "Sex", "fips")])
 
 
+def stream_name(source_dir: str, charges_path: str) -> str:
+    """Checkpoint name of one (source, target) pair: the same on every rerun, distinct between pairs."""
+    digest = hashlib.sha1(f"{source_dir}->{charges_path}".encode()).hexdigest()[:16]
+    return f"charges_ingest_{digest}"
+
+
 def ingest_new_files(spark: SparkSession, source_dir: str, charges_path: str, as_of: str | None = None,
-                     name: str = "charges_ingest", max_files_per_trigger: int | None = None) -> int:
+                     name: str | None = None, max_files_per_trigger: int | None = None) -> int:
     """Append cleaned rows of not-yet-seen CSV files in ``source_dir``; returns rows written this run."""
+    name = name or stream_name(source_dir, charges_path)
     reader = spark.readStream.schema(RAW_CSV_SCHEMA).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

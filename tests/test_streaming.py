@@ -9,8 +9,6 @@ def test_incremental_ingest_exactly_once(spark, tmp_path):
     src = tmp_path / "incoming"
     src.mkdir()
     out = str(tmp_path / "charges")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(str(tmp_path / "ckpt"))
     (src / "a.csv").write_text(HEADER + "1,10,2015-01-01,18.2-95,Misdemeanor,,Guilty,,WHITE,Male,7\n")
     assert ingest_new_files(spark, str(src), out, as_of="2020-01-01") == 1
     assert ingest_new_files(spark, str(src), out, as_of="2020-01-01") == 0
