@@ -30,7 +30,7 @@ def rename_columns(raw: DataFrame, keep_id: bool = True) -> DataFrame:
 
 
 def to_raw_layout(charges: DataFrame) -> DataFrame:
-    """Inverse of :func:`rename_columns` (charges layout -> raw ``expunge`` layout)."""
+    """Inverse of :func:`rename_columns` (charges layout -> raw court-record layout)."""
     back = {v: k for k, v in RAW_TO_CHARGES.items() if k != v}
     return charges.withColumnsRenamed(back)
 

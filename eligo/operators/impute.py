@@ -20,12 +20,22 @@ def person_modes(rows: DataFrame, col: str, keys=PERSON_KEYS) -> DataFrame:
             .select(*keys, F.col(col).alias(f"_mode_{col}")))
 
 
-def impute_mode(rows: DataFrame, cols=("race", "sex"), keys=PERSON_KEYS) -> DataFrame:
-    """Replace nulls of each column by the person's mode; 'MISSING' when the person has no value."""
+def all_modes(source: DataFrame, cols=("race", "sex"), keys=PERSON_KEYS) -> DataFrame:
+    """One row per person with ``_mode_<col>`` for each column."""
     modes = None
     for c in cols:
-        m = person_modes(rows, c, keys)
+        m = person_modes(source, c, keys)
         modes = m if modes is None else modes.join(m, list(keys), "full")
-    out = rows.join(modes, list(keys), "left")
+    return modes
+
+
+def impute_mode(rows: DataFrame, cols=("race", "sex"), keys=PERSON_KEYS, source: DataFrame | None = None) -> DataFrame:
+    """Replace nulls of each column by the person's mode; 'MISSING' when the person has no value.
+
+    ``source`` (default ``rows``) is where the modes are counted; pass the
+    cleaned charge rows when ``rows`` is an expensive derived result, so that
+    result is computed once and only joined with the per-person modes.
+    """
+    out = rows.join(all_modes(rows if source is None else source, cols, keys), list(keys), "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_mode_{c}"), F.lit(K.MISSING)) for c in cols}) \
         .drop(*[f"_mode_{c}" for c in cols])

@@ -29,7 +29,22 @@ def filter_on_query(df: DataFrame, query: Mapping, keep: Sequence[str] | None =
 
 def apply_query_list(df: DataFrame, queries: Sequence[Mapping] = K.QUERY_LIST,
                      keep: Sequence[str] | None = None) -> DataFrame:
-    """UNION ALL of the per-query matches: a row matching two queries appears twice."""
+    """UNION ALL of the per-query matches: a row matching two queries appears twice.
+
+    One scan: each row gets the array of the queries it matches, and
+    ``explode`` emits one copy per match (the UNION ALL multiplicity).
+    """
+    tags = F.array(*[F.when(query_predicate(q), F.struct(F.lit(q["reference"]).alias("reference"),
+                                                           F.lit(q["title"]).alias("title")))
+                     for q in queries])
+    cols = list(keep or df.columns)
+    return (df.select(*cols, F.explode(F.array_compact(tags)).alias("_q"))
+            .select(F.col("_q.reference").alias("reference"), F.col("_q.title").alias("title"), *cols))
+
+
+def apply_query_list_by_union(df: DataFrame, queries: Sequence[Mapping] = K.QUERY_LIST,
+                              keep: Sequence[str] | None = None) -> DataFrame:
+    """The same result as a literal UNION ALL of per-query filters (one scan per query)."""
     return union_all([filter_on_query(df, q, keep) for q in queries])
 
 

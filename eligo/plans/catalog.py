@@ -491,7 +491,8 @@ def person_lookup(spark, sf_dir):
 
 @register
 def classified_file_d2(spark, sf_dir):
-    return C.classified_file(wide(spark, sf_dir, D2))
+    ch = charges(spark, sf_dir)
+    return C.classified_file(C.classify_rows(ch, D2), C.clean_for_rules(ch, D2))
 
 
 @register
@@ -514,7 +515,7 @@ CODE_DISTRIBUTION_SQL = """
 WITH code_distribution AS (
     SELECT code_section, COUNT(*) AS n,
            ROUND(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS percent
-    FROM expunge_clean
+    FROM charges_clean
     GROUP BY code_section
 )
 SELECT *, ROUND(SUM(percent) OVER (ORDER BY percent DESC, code_section
@@ -526,7 +527,7 @@ WHERE percent > 1.0
 
 @register
 def code_distribution_sql(spark, sf_dir):
-    cleaned(spark, sf_dir).createOrReplaceTempView("expunge_clean")
+    cleaned(spark, sf_dir).createOrReplaceTempView("charges_clean")
     return spark.sql(CODE_DISTRIBUTION_SQL)
 
 

@@ -171,10 +171,15 @@ def with_rules_off(cfg: RunConfig) -> RunConfig:
     return dataclasses.replace(cfg, sameday_rule=False, lifetime_rule=False)
 
 
-def classified_file(wide: DataFrame) -> DataFrame:
-    """The 28-column per-charge file of the older per-person flow (raw + derived + labels)."""
+def classified_file(wide: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """The 28-column per-charge file of the older per-person flow (raw + derived + labels).
+
+    ``rows`` are the cleaned charge rows the modes of race and sex are counted
+    on (they are the same rows as in ``wide``; counting there avoids
+    recomputing the classification).
+    """
     from eligo.operators.impute import impute_mode
-    w = impute_mode(wide)
+    w = impute_mode(wide, source=rows)
     return w.select(
         "person_id", F.col("hearing_date").alias("HearingDate"), F.col("code_section").alias("CodeSection"),
         "code_section_category", F.col("charge_type").alias("ChargeType"),

@@ -51,3 +51,13 @@ def test_unprocessed_anti_join(spark):
     work = frame(spark, [charge(1, 1, "2015-01-01"), charge(2, 2, "2015-01-01")])
     done = spark.createDataFrame([(1,)], "person_id long")
     assert [r["id"] for r in unprocessed(work, done).collect()] == [2]
+
+
+def test_query_list_single_pass_equals_union(spark):
+    from eligo.operators.querylist import apply_query_list_by_union
+    from eligo.sources.fixtures import load_charges
+    df = load_charges(spark, "/root/testdata/sf0.001")
+    keep = ["id", "code_section", "disposition_code"]
+    a = sorted(tuple(r) for r in apply_query_list(df, keep=keep).collect())
+    b = sorted(tuple(r) for r in apply_query_list_by_union(df, keep=keep).collect())
+    assert a == b and len(a) > 0
