@@ -19,7 +19,7 @@ from eligo.functions.categories import (
 from eligo.functions.dates import gap_flag
 from eligo.operators import history as H
 from eligo.operators.reasons import reason_text
-from eligo.operators.rules import RULE_SETS
+from eligo.operators.rules import RULE_SETS, RuleSet
 from eligo.schemas import FEATURES, OUTCOMES
 
 AUTO_LABELS = (K.AUTOMATIC, K.AUTOMATIC_PENDING)
@@ -91,9 +91,9 @@ def group_features(rows: DataFrame, cfg: RunConfig) -> DataFrame:
     return groups
 
 
-def label_groups(groups: DataFrame, cfg: RunConfig) -> DataFrame:
+def label_groups(groups: DataFrame, cfg: RunConfig, rule_set: RuleSet | None = None) -> DataFrame:
     """Base label, same-day rule and the inputs of the lifetime rule, per group."""
-    rules = RULE_SETS[cfg.dialect]
+    rules = rule_set or RULE_SETS[cfg.dialect]
     g = groups.withColumns({"base_label": rules.label(), "_rule": rules.rule_id()})
     not_auto = ~F.col("base_label").isin(*AUTO_LABELS)
     if cfg.sameday_rule:
@@ -128,11 +128,16 @@ def label_groups(groups: DataFrame, cfg: RunConfig) -> DataFrame:
     return g.withColumn("_lifetime_applies", applicable)
 
 
-def classify_rows(charges: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Wide per-charge result: charge columns, features, labels, reason."""
+def classify_rows(charges: DataFrame, cfg: RunConfig, rule_set: RuleSet | None = None) -> DataFrame:
+    """Wide per-charge result: charge columns, features, labels, reason.
+
+    ``rule_set`` replaces the dialect's rules with a caller's own (a list of
+    (name, label, Column predicate) rules over the feature columns); it is
+    evaluated on the reduced table like the built-in sets.
+    """
     cfg = cfg.resolved()
     rows = clean_for_rules(charges, cfg)
-    groups = label_groups(group_features(rows, cfg), cfg)
+    groups = label_groups(group_features(rows, cfg), cfg, rule_set)
     out = rows.join(groups.drop("_ids"), list(H.GROUP_KEYS))
     if cfg.lifetime_rule:
         over = (F.col("_need") <= 0) | (F.col("_thr").isNotNull() & (F.col("id") >= F.col("_thr")))
@@ -162,9 +167,10 @@ def split_tables(wide: DataFrame) -> tuple[DataFrame, DataFrame]:
     return features, outcomes
 
 
-def classify(charges: DataFrame, cfg: RunConfig | None = None) -> tuple[DataFrame, DataFrame]:
+def classify(charges: DataFrame, cfg: RunConfig | None = None,
+             rule_set: RuleSet | None = None) -> tuple[DataFrame, DataFrame]:
     """Public entry: charges -> (features, outcomes)."""
-    return split_tables(classify_rows(charges, cfg or RunConfig()))
+    return split_tables(classify_rows(charges, cfg or RunConfig(), rule_set))
 
 
 def with_rules_off(cfg: RunConfig) -> RunConfig:

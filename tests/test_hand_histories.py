@@ -120,3 +120,15 @@ def test_randomize_run_id_resolved_once(spark):
     out = classify_rows(frame(spark, [charge(1, 1, "2015-01-01"), charge(2, 2, "2015-01-01")]), cfg)
     ids = {r["run_id"] for r in out.collect()}
     assert len(ids) == 1 and "randomize" not in ids
+
+
+def test_caller_rule_set(spark):
+    """A caller's own rules run through the same pipeline (same-day and lifetime rules included)."""
+    from eligo.operators.rules import Rule, RuleSet
+    strict = RuleSet("only_clean_dismissals", (
+        Rule("clean", K.AUTOMATIC, lambda x: x.dismissed & ~x.convictions & ~x.arrests),
+    ))
+    rows = [charge(1, 1, "2015-01-01", disp="Dismissed"), charge(2, 2, "2015-01-01", disp="Guilty"),
+            charge(3, 2, "2016-06-01", disp="Dismissed")]
+    out = classify_rows(frame(spark, rows), CFG, strict).select("id", "expungability").collect()
+    assert {r["id"]: r["expungability"] for r in out} == {1: K.AUTOMATIC, 2: K.NOT_ELIGIBLE, 3: K.NOT_ELIGIBLE}
