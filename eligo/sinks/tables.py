@@ -121,3 +121,14 @@ def person_file_line(fields=PERSON_FILE_FIELDS):
 def append_table(df: DataFrame, path: str) -> None:
     """Create-or-append."""
     df.write.mode("append").parquet(path)
+
+
+def write_decision_table(spark: SparkSession, path: str, rule_set=None, fmt: str = "parquet") -> None:
+    """The labelled decision table (12 keys + label) as a training / reference file (CSV or Parquet)."""
+    from eligo.operators.rules import D3, decision_table
+    table = decision_table(spark, rule_set or D3)
+    writer = table.coalesce(1).write.mode("overwrite")  # 12,288 rows: one small file
+    if fmt == "csv":
+        writer.option("header", True).csv(path)
+    else:
+        writer.parquet(path)

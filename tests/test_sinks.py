@@ -45,3 +45,10 @@ def test_person_clustered_write(spark, tmp_path):
                                  path)
     df = spark.read.parquet(path)
     assert {r["person_prefix"] for r in df.collect()} == {12345, 12349}
+
+
+def test_write_decision_table(spark, tmp_path):
+    path = str(tmp_path / "training_set")
+    sinks.write_decision_table(spark, path, fmt="csv")
+    df = spark.read.option("header", True).csv(path)
+    assert df.count() == 12288 and len(df.columns) == 13
