@@ -62,7 +62,9 @@ def charges_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def load_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return charges_from_orders(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    from eligo.sources.tables import spread
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    return charges_from_orders(spread(orders, "o_orderkey"))
 
 
 def _sql_case(expr: str, values, default=None) -> str:

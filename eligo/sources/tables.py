@@ -7,6 +7,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eligo.config import RunConfig
 
 
+def spread(df: DataFrame, key: str = "id") -> DataFrame:
+    """Hash-distribute a scan that yields fewer splits than the cluster has task slots.
+
+    A small table stored as one Parquet row group is one split, so every
+    stage reading it runs as one task. Below the session's default
+    parallelism the rows are hash-partitioned by ``key`` (deterministic on
+    retry); a large table already has many splits and is returned untouched,
+    so no shuffle is added at scale. Only the number of partitions is looked
+    up (planning, no job).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key)
+
+
 def read_charges(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
