@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from eligo import constants as K
-from eligo.operators.rules import Facts
+from eligo.operators.rules import facts
 
 PENDING_LABELS = (K.AUTOMATIC_PENDING, K.PETITION_PENDING)
 
@@ -21,7 +21,7 @@ def reason_text(label_col: str = "base_label", strict: bool = False) -> Column:
     the three" (otherwise any one failing condition suffices, as in the rule
     tables), which makes the class 3/4 and felony texts reachable.
     """
-    x = Facts()
+    x = facts()
     pending = F.coalesce(F.col(label_col).isin(*PENDING_LABELS), F.lit(False))
     if strict:
         blocked = x.class3_4 | x.felony10 | x.class1_2

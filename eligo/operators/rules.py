@@ -9,6 +9,7 @@ rule set labels charge rows, category groups or the generated decision table.
 from __future__ import annotations
 
 import dataclasses
+import functools
 import itertools
 from collections.abc import Callable
 
@@ -32,52 +33,58 @@ class Facts:
         return F.coalesce(F.col(name) == F.lit(value), F.lit(False))
 
     # categories
-    @property
+    @functools.cached_property
     def misdemeanor(self): return self._is("charge_category", K.MISDEMEANOR)
-    @property
+    @functools.cached_property
     def felony(self): return self._is("charge_category", K.FELONY)
-    @property
+    @functools.cached_property
     def conviction(self): return self._is("disposition_category", K.CONVICTION)
-    @property
+    @functools.cached_property
     def dismissed(self): return self._is("disposition_category", K.DISMISSED)
-    @property
+    @functools.cached_property
     def deferral(self): return self._is("disposition_category", K.DEFERRAL)
-    @property
+    @functools.cached_property
     def cs_a(self): return self._is("code_section_category", K.CS_A)
-    @property
+    @functools.cached_property
     def cs_b(self): return self._is("code_section_category", K.CS_B)
-    @property
+    @functools.cached_property
     def cs_12(self): return self._is("code_section_category", self._cs_12)
-    @property
+    @functools.cached_property
     def cs_elsewhere(self): return self._is("code_section_category", K.CS_ELSEWHERE)
     # history flags
-    @property
+    @functools.cached_property
     def arrests(self): return self._flag("arrest_disqualifier")
-    @property
+    @functools.cached_property
     def convictions(self): return self._flag("has_conviction")
-    @property
+    @functools.cached_property
     def felony10(self): return self._flag("felony_conviction_disqualifier")
-    @property
+    @functools.cached_property
     def sevenyear(self): return self._flag("next_conviction_disqualifier_after_misdemeanor")
-    @property
+    @functools.cached_property
     def tenyear(self): return self._flag("next_conviction_disqualifier_after_felony")
-    @property
+    @functools.cached_property
     def within7(self): return self._flag("pending_after_misdemeanor")
-    @property
+    @functools.cached_property
     def within10(self): return self._flag("pending_after_felony")
-    @property
+    @functools.cached_property
     def class1_2(self): return self._flag("has_class_1_or_2")
-    @property
+    @functools.cached_property
     def class3_4(self): return self._flag("has_class_3_or_4")
     # first-table extras
-    @property
+    @functools.cached_property
     def anyfelony(self): return self._flag("any_felony")
-    @property
+    @functools.cached_property
     def sameday(self): return self._flag("same_day_charge")
-    @property
+    @functools.cached_property
     def lifetime(self): return self._flag("lifetime_flag")
 
 
+@functools.lru_cache(maxsize=None)
+def facts(cs_12: str = K.CS_12) -> Facts:
+    """Shared fact columns (unresolved column expressions, valid on any frame with these columns)."""
+    return Facts(cs_12=cs_12)
+
+
 @dataclasses.dataclass(frozen=True)
 class Rule:
     name: str
@@ -94,7 +101,7 @@ class RuleSet:
 
     def label(self) -> Column:
         """The label column: the last matching rule in list order, else the default."""
-        x = Facts(cs_12=self.cs_12)
+        x = facts(self.cs_12)
         expr = None
         for rule in reversed(self.rules):
             cond = rule.when(x)
@@ -103,7 +110,7 @@ class RuleSet:
 
     def rule_id(self) -> Column:
         """Name of the deciding rule (null when the default applies)."""
-        x = Facts(cs_12=self.cs_12)
+        x = facts(self.cs_12)
         expr = None
         for rule in reversed(self.rules):
             cond = rule.when(x)

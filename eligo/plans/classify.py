@@ -94,7 +94,7 @@ def group_features(rows: DataFrame, cfg: RunConfig) -> DataFrame:
 def label_groups(groups: DataFrame, cfg: RunConfig, rule_set: RuleSet | None = None) -> DataFrame:
     """Base label, same-day rule and the inputs of the lifetime rule, per group."""
     rules = rule_set or RULE_SETS[cfg.dialect]
-    g = groups.withColumns({"base_label": rules.label(), "_rule": rules.rule_id()})
+    g = groups.withColumn("base_label", rules.label())
     not_auto = ~F.col("base_label").isin(*AUTO_LABELS)
     if cfg.sameday_rule:
         day_not_auto = F.bool_or(not_auto).over(H.same_day())
