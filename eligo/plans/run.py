@@ -28,14 +28,13 @@ def run_classification(spark: SparkSession, root: str, cfg: RunConfig | None = N
     'In Progress' to 'Completed', 'Canceled' or 'Failed'.
     """
     cfg = (cfg or RunConfig()).resolved()
-    sinks.clear_run(spark, root, cfg.id)
     start = dt.datetime.now()
     sinks.write_run_record(spark, root, cfg, "In Progress", start)
     status = "Failed"
     try:
         source = charges if charges is not None else spark.read.parquet(f"{root}/charges")
         features, outcomes = classify(source, cfg)
-        sinks.write_results(features if write_features else None, outcomes, root)
+        sinks.write_results(features if write_features else None, outcomes, root, cfg.id)
         status = "Completed"
     except KeyboardInterrupt:
         status = "Canceled"

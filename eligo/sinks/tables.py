@@ -1,10 +1,11 @@
 """Writers for charges, runs, features and outcomes.
 
-Results are Parquet tables partitioned by ``run_id``. Writing a run uses
-dynamic partition overwrite, so a repeated run id replaces exactly its own
-partition (the old run's features and outcomes go with it) and other runs
-stay untouched. Every write is a Spark job whose tasks commit atomically, so a
-lost executor only re-runs its tasks.
+Results are Parquet tables partitioned by ``run_id`` (``runs`` by ``id``).
+A run is written straight into its own partition directory with
+``mode("overwrite")``, so a repeated run id replaces exactly that run (its
+features and outcomes go with it, even when the new run is empty) and other
+runs stay untouched. Every write is a Spark job whose tasks commit
+atomically, so a lost executor only re-runs its tasks.
 """
 
 from __future__ import annotations
@@ -17,9 +18,15 @@ from eligo.config import RunConfig
 from eligo.schemas import CHARGES, FEATURES, OUTCOMES, RUNS
 
 
-def _dynamic(writer_df: DataFrame):
-    writer_df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    return writer_df.write
+def _run_path(root: str, table: str, run_id: str) -> str:
+    key = "id" if table == "runs" else "run_id"
+    return f"{root}/{table}/{key}={run_id}"
+
+
+def _write_run_partition(df: DataFrame, root: str, table: str, run_id: str) -> None:
+    """Overwrite exactly one run's partition directory (an empty frame empties it)."""
+    key = "id" if table == "runs" else "run_id"
+    df.drop(key).write.mode("overwrite").parquet(_run_path(root, table, run_id))
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
@@ -58,41 +65,33 @@ def run_record(spark: SparkSession, cfg: RunConfig, status: str, start_at: dt.da
 
 def write_run_record(spark: SparkSession, root: str, cfg: RunConfig, status: str, start_at: dt.datetime,
                      end_at: dt.datetime | None = None) -> None:
-    """Insert or replace the run's own row (its ``id`` partition)."""
-    _dynamic(run_record(spark, cfg, status, start_at, end_at)).mode("overwrite").partitionBy("id") \
-        .parquet(f"{root}/runs")
+    """Insert or replace the run's own row (its ``id=`` partition)."""
+    _write_run_partition(run_record(spark, cfg, status, start_at, end_at), root, "runs", cfg.id)
 
 
-def write_results(features: DataFrame | None, outcomes: DataFrame, root: str) -> None:
-    """Replace the run's partition of outcomes (and of features, when given)."""
-    if features is not None:
-        _dynamic(features).mode("overwrite").partitionBy("run_id").parquet(f"{root}/features")
-    _dynamic(outcomes).mode("overwrite").partitionBy("run_id").parquet(f"{root}/outcomes")
+def write_results(features: DataFrame | None, outcomes: DataFrame, root: str, run_id: str) -> None:
+    """Replace the run's partition of outcomes and of features.
 
+    Without features, the run's features partition is emptied, so features of
+    an earlier run with the same id never outlive it.
+    """
+    spark = outcomes.sparkSession
+    if features is None:
+        features = spark.createDataFrame([], FEATURES)
+    _write_run_partition(features, root, "features", run_id)
+    _write_run_partition(outcomes, root, "outcomes", run_id)
 
-def clear_run(spark: SparkSession, root: str, run_id: str) -> None:
-    """Remove an earlier run with this id from runs, features and outcomes.
 
-    Done as a dynamic overwrite with an empty frame for runs; features and
-    outcomes partitions are replaced when the new results are written.
-    """
-    for name, key in (("features", "run_id"), ("outcomes", "run_id"), ("runs", "id")):
-        path = f"{root}/{name}"
-        try:
-            current = spark.read.parquet(path)
-        except Exception:  # table not created yet
-            continue
-        if current.filter(F.col(key) == run_id).limit(1).count():
-            jvm = spark.sparkContext._jvm
-            hadoop_path = jvm.org.apache.hadoop.fs.Path(f"{path}/{key}={run_id}")
-            fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            fs.delete(hadoop_path, True)
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A run-partitioned table with its declared schema (so run ids are never re-typed)."""
+    schema = {"runs": RUNS, "features": FEATURES, "outcomes": OUTCOMES}[table]
+    return spark.read.schema(schema).parquet(f"{root}/{table}")
 
 
 def read_run(spark: SparkSession, root: str, table: str, run_id: str) -> DataFrame:
-    """Results of one run (partition pruning on ``run_id``)."""
+    """Results of one run (partition pruning on the run key)."""
     key = "id" if table == "runs" else "run_id"
-    return spark.read.parquet(f"{root}/{table}").filter(F.col(key) == run_id)
+    return read_table(spark, root, table).filter(F.col(key) == run_id)
 
 
 def write_person_clustered(df: DataFrame, path: str, prefix_len: int = 5) -> None:

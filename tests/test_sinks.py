@@ -23,7 +23,7 @@ def test_repeated_run_id_replaces(spark, tmp_path):
     assert sorted(r["charge_id"] for r in a) == [3]
     assert sorted(r["charge_id"] for r in b) == [1, 2]
     assert [r["charge_id"] for r in sinks.read_run(spark, root, "features", "a").collect()] == [3]
-    runs = {r["id"]: r["status"] for r in spark.read.parquet(f"{root}/runs").collect()}
+    runs = {r["id"]: r["status"] for r in sinks.read_table(spark, root, "runs").collect()}
     assert runs == {"a": "Completed", "b": "Completed"}
 
 
@@ -52,3 +52,14 @@ def test_write_decision_table(spark, tmp_path):
     sinks.write_decision_table(spark, path, fmt="csv")
     df = spark.read.option("header", True).csv(path)
     assert df.count() == 12288 and len(df.columns) == 13
+
+
+def test_rerun_with_no_rows_empties_the_run(spark, tmp_path):
+    root = str(tmp_path / "db")
+    cfg = RunConfig(id="42", cutoff_date="2020-12-31")
+    run_classification(spark, root, cfg, write_features=True,
+                       charges=frame(spark, [charge(1, 1, "2015-01-01")]))
+    run_classification(spark, root, cfg, charges=frame(spark, [charge(2, 1, "2030-01-01")]))  # after cutoff
+    assert sinks.read_run(spark, root, "outcomes", "42").count() == 0
+    assert sinks.read_run(spark, root, "features", "42").count() == 0
+    assert [r["status"] for r in sinks.read_run(spark, root, "runs", "42").collect()] == ["Completed"]
