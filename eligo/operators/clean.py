@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from eligo.functions.text import fix_fips, standardize_race
 
-# Raw column -> charges column (the raw ``id`` is carried along as the charge id).
+# Raw column -> charges column (the raw ``id`` is carried along as the charge id).
 RAW_TO_CHARGES = {
     "person_id": "person_id",
     "HearingDate": "hearing_date",

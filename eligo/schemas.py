@@ -59,6 +59,7 @@ PERSON_COUNTS = _struct(
     ("not_eligible", L), ("old_petition", L), ("old_not_eligible", L),
 )
 
+# The court CSV column names (district layout, circuit layout, combined).
 DISTRICT_COLUMNS = ("Locality", "HearingDate", "person_id", "CodeSection", "FinalDisposition", "HearingPlea",
                     "CaseType", "Charge", "Class", "Race", "Gender", "fips")
 CIRCUIT_COLUMNS = ("Locality", "HearingDate", "person_id", "CodeSection", "DispositionCode", "HearingPlea",

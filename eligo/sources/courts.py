@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from eligo.functions.text import year_from_file_name
 from eligo.schemas import CIRCUIT_COLUMNS, COURT_COLUMNS, DISTRICT_COLUMNS
 
+# Layout renames.
 DISTRICT_RENAMES = {"FinalDisposition": "DispositionCode", "HearingPlea": "Plea", "CaseType": "ChargeType",
                     "Gender": "Sex"}
 CIRCUIT_RENAMES = {"HearingPlea": "Plea"}
 
-# Columns of the classified (per-charge result) CSV, in file order. The derived
+# Columns of the classified (per-charge result) CSV, in file order. The derived
 # categories are named *_category: the file's own names differ from the raw
 # columns only by case, which Spark (case-insensitive) cannot hold side by side.
 CLASSIFIED_COLUMNS = (

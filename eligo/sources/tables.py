@@ -17,8 +17,12 @@ def spread(df: DataFrame, key: str = "id") -> DataFrame:
     so no shuffle is added at scale. Only the number of partitions is looked
     up (planning, no job).
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as it is
+        return df
+    if splits >= slots:
         return df
     return df.repartition(slots, key)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from eligo.sources.fixtures import CHARGES_SQL, PARITY_CUTOFF
 
+# Fixed values (the same as eligo.constants), spelled out as SQL lists.
 VALID = ("'Guilty','Guilty In Absentia','Dismissed','Nolle Prosequi','Not Guilty','Not Guilty/Acquitted',"
          "'No Indictment Presented','Not True Bill','Dismissed/Other'")
 SEC_A = "'4.1-305','18.2-250.1'"
