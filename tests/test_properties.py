@@ -115,3 +115,56 @@ def test_rules_off_matches_oracle(spark):
     expected = oracle_result(rows, sameday=False, lifetime=False)
     null_person_ids = {r[0] for r in rows if r[1] is None}
     assert {k: v for k, v in got.items() if k not in null_person_ids} == expected
+
+
+def _duck(rows, sql_with_ch):
+    import duckdb
+    import pandas as pd
+    from tests.helpers import COLS
+    pdf = pd.DataFrame(rows, columns=COLS)
+    con = duckdb.connect()
+    con.register("input_rows", pdf)
+    con.execute("CREATE TABLE input_charges AS SELECT id::BIGINT AS id, person_id::BIGINT AS person_id, "
+                "CAST(hearing_date AS DATE) AS hearing_date, code_section::VARCHAR AS code_section, "
+                "charge_type::VARCHAR AS charge_type, charge_class::VARCHAR AS charge_class, "
+                "disposition_code::VARCHAR AS disposition_code, plea::VARCHAR AS plea, race::VARCHAR AS race, "
+                "sex::VARCHAR AS sex, fips::VARCHAR AS fips FROM input_rows")
+    return con.execute(sql_with_ch).fetchall()
+
+
+def test_lookback_flags_match_oracle(spark):
+    from oracle_queries import CH, LOOKBACK
+    from eligo.operators.lookback import lookback_flags
+    rows = [r for r in random_rows(21) if r[1] is not None]
+    got = {r["id"]: (r["seven_year"], r["ten_year"], r["class_12"], r["class_34"])
+           for r in lookback_flags(frame(spark, rows)).collect()}
+    sql = LOOKBACK.replace(CH, "charges AS (SELECT * FROM input_charges)") + \
+        " SELECT id, seven_year, ten_year, class_12, class_34 FROM lb"
+    expected = {i: tuple(v) for i, *v in _duck(rows, "WITH " + sql)}
+    assert got == expected
+
+
+def test_mode_impute_matches_oracle(spark):
+    from eligo.operators.history import with_person_key
+    from eligo.operators.impute import impute_mode
+    rnd = random.Random(4)
+    rows = []
+    for i, r in enumerate(random_rows(13)):
+        if r[1] is None:
+            continue
+        race = rnd.choice(["A", "B", "C", None, None])
+        sex = rnd.choice(["F", "M", None])
+        rows.append(r[:8] + (race, sex, r[10]))
+    got = {r["id"]: (r["race"], r["sex"])
+           for r in impute_mode(with_person_key(frame(spark, rows))).collect()}
+    sql = """WITH charges AS (SELECT * FROM input_charges),
+      rm AS (SELECT person_id, race FROM (SELECT person_id, race, row_number() OVER (PARTITION BY person_id
+             ORDER BY cnt DESC, race) rk FROM (SELECT person_id, race, count(*) cnt FROM charges
+             WHERE race IS NOT NULL GROUP BY 1, 2)) WHERE rk = 1),
+      sm AS (SELECT person_id, sex FROM (SELECT person_id, sex, row_number() OVER (PARTITION BY person_id
+             ORDER BY cnt DESC, sex) rk FROM (SELECT person_id, sex, count(*) cnt FROM charges
+             WHERE sex IS NOT NULL GROUP BY 1, 2)) WHERE rk = 1)
+      SELECT c.id, coalesce(c.race, rm.race, 'MISSING'), coalesce(c.sex, sm.sex, 'MISSING')
+      FROM charges c LEFT JOIN rm ON c.person_id = rm.person_id LEFT JOIN sm ON c.person_id = sm.person_id"""
+    expected = {i: (a, b) for i, a, b in _duck(rows, sql)}
+    assert got == expected
