@@ -447,8 +447,11 @@ EARLIER = dataclasses.replace(PARITY, cutoff_date="2005-12-31")
 @register
 def unprocessed_anti_join(spark, sf_dir):
     from eligo.operators.sampling import unprocessed
-    done = wide(spark, sf_dir, EARLIER).select("person_id")
-    return unprocessed(charges(spark, sf_dir), done).select("id", "person_id")
+    # Persons an earlier run (cutoff 2005-12-31) produced outcomes for: those with a classifiable
+    # charge before that cutoff (the same set as the run's outcomes, without classifying again).
+    ch = charges(spark, sf_dir)
+    done = C.clean_for_rules(ch, EARLIER).select("person_id")
+    return unprocessed(ch, done).select("id", "person_id")
 
 
 D2_CUT = dataclasses.replace(PARITY, dialect="d2")
