@@ -18,6 +18,8 @@ def spread(df: DataFrame, key: str = "id") -> DataFrame:
     up (planning, no job).
     """
     try:
+        if df.sparkSession.conf.get("eligo.scan.spread", "true") == "false":
+            return df
         slots = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as it is
