@@ -60,6 +60,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local folder "
+                               "is not visible to every executor")
         current = tempfile.mkdtemp(prefix="eligo-ckpt-")
         sc.setCheckpointDir(current)
     return current
