@@ -540,3 +540,26 @@ def ml_tree_predict(spark, sf_dir):
     from eligo.schemas import DECISION_KEYS
     feats = wide(spark, sf_dir).select("id", *DECISION_KEYS)
     return _by_charge(predict(train_tree(spark), feats), F.col("predicted_label"))
+
+
+# A non-default configuration: other year limits, lifetime limit 3, one more B-list section.
+VARIANT = dataclasses.replace(
+    PARITY, id="variant", years_since_arrest=5, years_since_felony=8, years_until_conviction_after_misdemeanor=5,
+    years_until_conviction_after_felony=12, lifetime_limit=3,
+    covered_sections_b=PARITY.covered_sections_b + ("18.2-95",))
+
+
+@register
+def classify_variant_config(spark, sf_dir):
+    return _by_charge(wide(spark, sf_dir, VARIANT), "code_section_category", "arrest_disqualifier",
+                      "felony_conviction_disqualifier", "pending_after_misdemeanor", "pending_after_felony",
+                      "lifetime_disqualifier", "expungability")
+
+
+@register
+def config_variant_diff(spark, sf_dir):
+    a = wide(spark, sf_dir).select(F.col("id").alias("charge_id"), F.col("expungability").alias("label_default"))
+    b = wide(spark, sf_dir, VARIANT).select(F.col("id").alias("charge_id"),
+                                            F.col("expungability").alias("label_variant"))
+    return (a.join(b, "charge_id").filter(F.col("label_default") != F.col("label_variant"))
+            .groupBy("label_default", "label_variant").agg(F.count(F.lit(1)).alias("n_charges")))

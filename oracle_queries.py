@@ -69,20 +69,32 @@ def _labels_sql(dialect: str) -> str:
       ELSE 'Not eligible' END"""
 
 
+def _sql_list(values) -> str:
+    return ",".join("'" + v + "'" for v in values)
+
+
 def pipeline_sql(dialect: str = "d3", sameday: bool = True, lifetime: bool = True,
-                 cutoff: str = PARITY_CUTOFF, apply_cutoff: bool = True, source: str = CHARGES_SQL) -> str:
-    """CTE chain ending in relation ``final`` (one row per classified charge)."""
+                 cutoff: str = PARITY_CUTOFF, apply_cutoff: bool = True, source: str = CHARGES_SQL,
+                 years=(3, 10, 7, 10), limit: int = 2, sections=None) -> str:
+    """CTE chain ending in relation ``final`` (one row per classified charge).
+
+    ``years`` = (since arrest, since felony, until conviction after misdemeanor, after felony);
+    ``sections`` = optional (A, B, B-misdemeanor, 12) lists replacing the defaults.
+    """
+    y_arr, y_fel, y_mis, y_felony_after = years
+    SEC_A_, SEC_B_, SEC_BM_, SEC_12_ = (SEC_A, SEC_B, SEC_BM, SEC_12) if sections is None else tuple(
+        _sql_list(x) for x in sections)
     cut = f"DATE '{cutoff}'"
     where = f"hearing_date < {cut}" if apply_cutoff else "hearing_date IS NOT NULL"
     if dialect == "d3":
-        csc = f"""CASE WHEN cs IN ({SEC_A}) AND disposition_category = 'Deferral Dismissal' THEN 'covered in 19.2-392.6 - A'
-        WHEN cs IN ({SEC_B}) OR (cs IN ({SEC_BM}) AND charge_category = 'Misdemeanor') THEN 'covered in 19.2-392.6 - B'
-        WHEN cs IN ({SEC_12}) THEN 'excluded by 19.2-392.12' ELSE 'covered elsewhere' END"""
+        csc = f"""CASE WHEN cs IN ({SEC_A_}) AND disposition_category = 'Deferral Dismissal' THEN 'covered in 19.2-392.6 - A'
+        WHEN cs IN ({SEC_B_}) OR (cs IN ({SEC_BM_}) AND charge_category = 'Misdemeanor') THEN 'covered in 19.2-392.6 - B'
+        WHEN cs IN ({SEC_12_}) THEN 'excluded by 19.2-392.12' ELSE 'covered elsewhere' END"""
     else:
         twelve = "covered in 19.2-392.12" if dialect == "d1" else "excluded by 19.2-392.12"
-        csc = f"""CASE WHEN cs IN ({SEC_12}) THEN '{twelve}'
-        WHEN cs IN ({SEC_A}) AND disposition_category = 'Deferral Dismissal' THEN 'covered in 19.2-392.6 - A'
-        WHEN cs IN ({SEC_B}) OR (cs IN ({SEC_BM}) AND charge_category = 'Misdemeanor') THEN 'covered in 19.2-392.6 - B'
+        csc = f"""CASE WHEN cs IN ({SEC_12_}) THEN '{twelve}'
+        WHEN cs IN ({SEC_A_}) AND disposition_category = 'Deferral Dismissal' THEN 'covered in 19.2-392.6 - A'
+        WHEN cs IN ({SEC_B_}) OR (cs IN ({SEC_BM_}) AND charge_category = 'Misdemeanor') THEN 'covered in 19.2-392.6 - B'
         ELSE 'covered elsewhere' END"""
     if dialect == "d2":
         c12 = "charge_category = 'Felony' AND coalesce(charge_class IN ('1','2'), false)"
@@ -92,11 +104,11 @@ def pipeline_sql(dialect: str = "d3", sameday: bool = True, lifetime: bool = Tru
         c34 = "fel_conv AND coalesce(charge_class IN ('3','4'), false)"
     dpy = 365.2425 if dialect == "d3" else 365.25
     if dialect == "d3":
-        pend7 = f"coalesce(from_present_delta < {7 * dpy}, false)"
-        pend10 = f"coalesce(from_present_delta < {10 * dpy}, false)"
+        pend7 = f"coalesce(from_present_delta < {y_mis * dpy}, false)"
+        pend10 = f"coalesce(from_present_delta < {y_felony_after * dpy}, false)"
     else:
-        pend7 = f"hearing_date > CAST({cut} - INTERVAL 7 YEAR AS DATE)"
-        pend10 = f"hearing_date > CAST({cut} - INTERVAL 10 YEAR AS DATE)"
+        pend7 = f"hearing_date > CAST({cut} - INTERVAL {y_mis} YEAR AS DATE)"
+        pend10 = f"hearing_date > CAST({cut} - INTERVAL {y_felony_after} YEAR AS DATE)"
     before = "PARTITION BY person_id ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     after = "PARTITION BY person_id ORDER BY day RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
     auto = "('Automatic','Automatic (pending)')"
@@ -110,7 +122,7 @@ def pipeline_sql(dialect: str = "d3", sameday: bool = True, lifetime: bool = Tru
                else "sameday_label <> 'Not eligible'")
     if lifetime:
         lt = f"""(SUM(CASE WHEN {counted} THEN 1 ELSE 0 END) OVER (PARTITION BY person_id ORDER BY hearing_date, id
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 2)
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > {limit})
             AND (disposition_category = 'Conviction'
                  OR (disposition_category = 'Deferral Dismissal' AND coalesce(sameday_disqualifier, false)))"""
     else:
@@ -159,10 +171,10 @@ c4 AS (
 ),
 c5 AS (
   SELECT *,
-    coalesce(last_hearing_delta < {3 * dpy}, false) AS arrest_disqualifier,
-    coalesce(last_felony_conviction_delta < {10 * dpy}, false) AS felony_conviction_disqualifier,
-    coalesce(next_conviction_delta < {7 * dpy}, false) AS next_conviction_disqualifier_after_misdemeanor,
-    coalesce(next_conviction_delta < {10 * dpy}, false) AS next_conviction_disqualifier_after_felony,
+    coalesce(last_hearing_delta < {y_arr * dpy}, false) AS arrest_disqualifier,
+    coalesce(last_felony_conviction_delta < {y_fel * dpy}, false) AS felony_conviction_disqualifier,
+    coalesce(next_conviction_delta < {y_mis * dpy}, false) AS next_conviction_disqualifier_after_misdemeanor,
+    coalesce(next_conviction_delta < {y_felony_after * dpy}, false) AS next_conviction_disqualifier_after_felony,
     {pend7} AS pending_after_misdemeanor,
     {pend10} AS pending_after_felony
   FROM c4
@@ -513,3 +525,21 @@ ORACLE.update({
     "code_distribution_sql": f"WITH {CLEAN}, {DIST}, {CUM} SELECT * FROM cum",
     "ml_tree_predict": _ids("base_label AS predicted_label"),
 })
+
+
+VARIANT = {"years": (5, 8, 5, 12), "limit": 3,
+           "sections": (("4.1-305", "18.2-250.1"),
+                        ("4.1-305", "18.2-96", "18.2-103", "18.2-119", "18.2-120", "18.2-134", "18.2-250.1",
+                         "18.2-415", "18.2-95"),
+                        ("18.2-248.1",),
+                        ("18.2-36.1", "18.2-36.2", "18.2-51.4", "18.2-51.5", "18.2-57.2", "18.2-266", "46.2-341.24"))}
+
+ORACLE.update({
+    "classify_variant_config": _ids("code_section_category, arrest_disqualifier, felony_conviction_disqualifier, "
+                                    "pending_after_misdemeanor, pending_after_felony, lifetime_disqualifier, "
+                                    "expungability", **VARIANT),
+    "config_variant_diff": f"""SELECT a.label_default, b.label_variant, count(*) AS n_charges FROM
+        ({with_pipeline("SELECT id AS charge_id, expungability AS label_default FROM final")}) a JOIN
+        ({with_pipeline("SELECT id AS charge_id, expungability AS label_variant FROM final", **VARIANT)}) b
+        ON a.charge_id = b.charge_id WHERE a.label_default <> b.label_variant GROUP BY 1, 2""",
+})
