@@ -45,3 +45,16 @@ def run_classification(spark: SparkSession, root: str, cfg: RunConfig | None = N
     finally:
         sinks.write_run_record(spark, root, cfg, status, start, dt.datetime.now())
     return cfg.id
+
+
+def classify_table(spark: SparkSession, input_path: str, output_path: str, cfg: RunConfig | None = None,
+                   rule_set=None) -> None:
+    """Classify every person of a charges table and append the per-charge file to ``output_path``
+    (created on first use). One distributed job, not a loop over persons."""
+    import dataclasses
+
+    from eligo.plans.classify import classified_file, classify_rows, clean_for_rules
+    cfg = cfg or dataclasses.replace(RunConfig(), dialect="d2", apply_cutoff=False)
+    charges = spark.read.parquet(input_path)
+    out = classified_file(classify_rows(charges, cfg, rule_set), clean_for_rules(charges, cfg))
+    sinks.append_table(out, output_path)

@@ -63,3 +63,14 @@ def test_rerun_with_no_rows_empties_the_run(spark, tmp_path):
     assert sinks.read_run(spark, root, "outcomes", "42").count() == 0
     assert sinks.read_run(spark, root, "features", "42").count() == 0
     assert [r["status"] for r in sinks.read_run(spark, root, "runs", "42").collect()] == ["Completed"]
+
+
+def test_classify_table_create_then_append(spark, tmp_path):
+    from eligo.plans.run import classify_table
+    src = str(tmp_path / "in")
+    frame(spark, [charge(1, 1, "2015-01-01", disp="Dismissed"), charge(2, 1, "2016-01-01")]).write.parquet(src)
+    out = str(tmp_path / "out")
+    classify_table(spark, src, out)
+    classify_table(spark, src, out)
+    df = spark.read.parquet(out)
+    assert df.count() == 4 and len(df.columns) == 28
