@@ -103,3 +103,18 @@ def group_mean_having(df: DataFrame, key: str, col: str, min_count: int = 1,
 def crosstab_counts(df: DataFrame, row: str, col: str, name: str = "n") -> DataFrame:
     """Long-form contingency table (e.g. label x prediction)."""
     return counts(df, row, col, name=name)
+
+
+def distinct_counts(df: DataFrame, cols: dict[str, str], rows_of: str | None = None, approx: bool = False,
+                    rsd: float = 0.01) -> DataFrame:
+    """``COUNT(col)`` and ``COUNT(DISTINCT col)`` in one pass (one row).
+
+    ``approx`` uses HyperLogLog++ sketches (``approx_count_distinct``, relative
+    error ``rsd``), which merge per task instead of shuffling every distinct value.
+    """
+    aggs = []
+    if rows_of:
+        aggs.append(F.count(rows_of).alias("n_rows"))
+    for name, col in cols.items():
+        aggs.append((F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)).alias(name))
+    return df.agg(*aggs)

@@ -329,9 +329,8 @@ def race_by_sex(spark, sf_dir):
 
 @register
 def distinct_counts(spark, sf_dir):
-    return charges(spark, sf_dir).agg(F.count("person_id").alias("n_rows"),
-                                      F.count_distinct("person_id").alias("n_persons"),
-                                      F.count_distinct("code_section").alias("n_codes"))
+    from eligo.operators.reports import distinct_counts as dc
+    return dc(charges(spark, sf_dir), {"n_persons": "person_id", "n_codes": "code_section"}, rows_of="person_id")
 
 
 @register

@@ -61,3 +61,11 @@ def test_query_list_single_pass_equals_union(spark):
     a = sorted(tuple(r) for r in apply_query_list(df, keep=keep).collect())
     b = sorted(tuple(r) for r in apply_query_list_by_union(df, keep=keep).collect())
     assert a == b and len(a) > 0
+
+
+def test_distinct_counts_exact_and_approx(spark):
+    df = spark.range(2000).selectExpr("id % 500 AS p", "cast(id % 7 AS string) AS c")
+    exact = RP.distinct_counts(df, {"n_p": "p", "n_c": "c"}, rows_of="p").first()
+    assert (exact["n_rows"], exact["n_p"], exact["n_c"]) == (2000, 500, 7)
+    approx = RP.distinct_counts(df, {"n_p": "p"}, approx=True, rsd=0.02).first()
+    assert abs(approx["n_p"] - 500) <= 30
