@@ -19,9 +19,19 @@ def sample_ids(df: DataFrame, n: int, seed: int = 12345, key: str = "person_id")
     return ids.orderBy(sample_key(key, seed), F.col(key)).limit(n)
 
 
+# Largest sample whose id list is broadcast (8-byte ids: at most ~80 MB).
+MAX_BROADCAST_SAMPLE = 10_000_000
+
+
 def sample_rows(df: DataFrame, n: int, seed: int = 12345, key: str = "person_id") -> DataFrame:
-    """All rows of ``n`` sampled persons. The id list holds exactly n rows, so it is broadcast."""
-    return df.join(F.broadcast(sample_ids(df, n, seed, key)), key)
+    """All rows of ``n`` sampled persons.
+
+    The id list holds at most ``n`` rows, so it is broadcast when ``n`` is at
+    most :data:`MAX_BROADCAST_SAMPLE`; a larger sample uses an ordinary join
+    that AQE plans from runtime sizes.
+    """
+    ids = sample_ids(df, n, seed, key)
+    return df.join(F.broadcast(ids) if n <= MAX_BROADCAST_SAMPLE else ids, key)
 
 
 def unprocessed(work: DataFrame, done: DataFrame, key: str = "person_id") -> DataFrame:
