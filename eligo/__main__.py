@@ -20,9 +20,14 @@ def main(argv=None):
     cls.add_argument("--root", required=True)
     cls.add_argument("--config", default=None, help="YAML/JSON run configuration")
     cls.add_argument("--write-features", action="store_true")
+    for p in (ing, cls):
+        p.add_argument("--shuffle-partitions", type=int, default=None,
+                       help="spark.sql.shuffle.partitions (about input bytes / 256 MB at scale)")
     args = parser.parse_args(argv)
 
     spark = get_spark()
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.command == "ingest":
         from eligo.plans.run import run_ingestion
         run_ingestion(spark.read.parquet(args.raw), args.root, as_of=args.as_of, clear_existing=not args.append)

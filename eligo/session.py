@@ -66,3 +66,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="eligo-ckpt-")
         sc.setCheckpointDir(current)
     return current
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024, minimum: int = 8) -> int:
+    """Shuffle partition count so each reduce partition holds about ``target_bytes``.
+
+    AQE coalesces partitions that turn out small but never splits large ones
+    (except skewed join partitions), so the count must be large enough for
+    the biggest shuffle: e.g. 100 TB of charges -> about 400,000 partitions at 256 MB.
+    """
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))

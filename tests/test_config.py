@@ -26,3 +26,9 @@ def test_invalid_values_rejected():
 def test_randomize_resolves_once():
     cfg = RunConfig(id="randomize").resolved()
     assert cfg.id != "randomize" and cfg.resolved().id == cfg.id
+
+
+def test_shuffle_partition_sizing():
+    from eligo.session import shuffle_partitions_for
+    assert shuffle_partitions_for(100 * 1024 ** 4) == 409600
+    assert shuffle_partitions_for(10) == 8
