@@ -1,7 +1,9 @@
 """The classification plan: clean -> reduce -> history windows -> rules -> same-day -> lifetime.
 
-Shuffles of charge rows: one partial aggregation (to category groups), one
-partial top-k (lifetime thresholds) and one join back of the group results.
+The charge rows are read three times (column-pruned) and shuffled in full
+only once, for the join back of the group results. The other two shuffles
+carry map-side-reduced rows: a partial aggregation to (person, day, category
+triple) groups and a partial top-k of ids per group (lifetime thresholds).
 Everything else runs on the reduced group table.
 """
 
