@@ -168,3 +168,27 @@ def test_mode_impute_matches_oracle(spark):
       FROM charges c LEFT JOIN rm ON c.person_id = rm.person_id LEFT JOIN sm ON c.person_id = sm.person_id"""
     expected = {i: (a, b) for i, a, b in _duck(rows, sql)}
     assert got == expected
+
+
+def boundary_rows(seed, n_people=60):
+    """Histories whose day gaps sit at and around the 3/7/10-year thresholds."""
+    import datetime as dt
+    rnd = random.Random(seed)
+    gaps = [1, 1094, 1095, 1096, 2555, 2556, 2557, 3651, 3652, 3653, 0]
+    rows, next_id = [], 1
+    for person in range(n_people):
+        day = dt.date(1995, 1, 1) + dt.timedelta(days=rnd.randint(0, 4000))
+        for _ in range(rnd.randint(2, 8)):
+            rows.append(charge(next_id, person, day, ctype=rnd.choice(["Misdemeanor", "Felony"]),
+                               disp=rnd.choice(DISPS[:5]), code=rnd.choice(CODES), plea=rnd.choice(PLEAS),
+                               cls=rnd.choice(CLASSES)))
+            next_id += 1
+            day = day + dt.timedelta(days=rnd.choice(gaps))
+    return rows
+
+
+@pytest.mark.parametrize("dialect", ["d3", "d2"])
+def test_boundary_gaps_match_oracle(spark, dialect):
+    rows = boundary_rows(17)
+    cfg = RunConfig(cutoff_date=CUTOFF, dialect=dialect)
+    assert spark_result(spark, rows, cfg) == oracle_result(rows, dialect=dialect)
