@@ -9,7 +9,7 @@ The same definition is given as SQL text for the DuckDB oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Cutoff used by parity runs (the cutoff filter then removes some rows).
 PARITY_CUTOFF = "2019-12-31"
@@ -27,38 +27,35 @@ RACES = ("Black (Non-Hispanic)", "WHITE", "White Caucasian (Non-Hispanic)", "Asi
 CLASSES = {0: "1", 1: "2", 2: "3", 3: "4", 4: None}  # every other remainder -> '6'
 
 
-def _pick(index: Column, values) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        expr = F.when(index == i, lit) if expr is None else expr.when(index == i, lit)
-    return expr
+def _spark_case(expr: str, values, default: str = "NULL") -> str:
+    def lit(v):
+        return "NULL" if v is None else "'" + v.replace("'", "\\'") + "'"
+    parts = " ".join(f"WHEN {i} THEN {lit(v)}" for i, v in enumerate(values))
+    return f"CASE {expr} {parts} ELSE {default} END"
+
+
+# Spark SQL text of the view (one selectExpr: the plan is built in a single call).
+CHARGES_SPARK_EXPRS = (
+    "o_orderkey AS id",
+    "o_custkey AS person_id",
+    "date_add(DATE'1994-01-01', CAST(floor(datediff(CAST(o_orderdate AS DATE), DATE'1995-01-01') / 30) * 120 AS INT))"
+    " AS hearing_date",
+    _spark_case("o_orderkey % 11", CODE_SECTIONS) + " AS code_section",
+    "CASE WHEN o_orderkey % 5 = 3 THEN 'Felony' WHEN o_orderkey % 5 = 4 AND o_orderkey % 4 = 0 THEN 'Infraction'"
+    " ELSE 'Misdemeanor' END AS charge_type",
+    _spark_case("o_orderkey % 17", [CLASSES[i] for i in range(5)], "'6'") + " AS charge_class",
+    _spark_case("(o_orderkey + o_custkey) % 13", DISPOSITIONS) + " AS disposition_code",
+    _spark_case("(o_orderkey * 3 + o_custkey) % 7", PLEAS) + " AS plea",
+    _spark_case("o_custkey % 12", RACES) + " AS race",
+    "CASE WHEN (o_custkey + o_orderkey) % 9 = 0 THEN NULL WHEN (o_custkey + o_orderkey) % 9 <= 2 THEN 'Female'"
+    " ELSE 'Male' END AS sex",
+    "CAST((o_custkey * 7) % 1200 AS STRING) AS fips",
+)
 
 
 def charges_from_orders(orders: DataFrame) -> DataFrame:
     """Charges view (schema of the ``charges`` table) from an ``orders`` DataFrame."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    bins = F.floor(F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date")) / 30)
-    hearing = F.date_add(F.lit("1994-01-01").cast("date"), (bins * 120).cast("int"))
-    charge_type = (F.when(k % 5 == 3, F.lit("Felony"))
-                   .when((k % 5 == 4) & (k % 4 == 0), F.lit("Infraction"))
-                   .otherwise(F.lit("Misdemeanor")))
-    charge_class = _pick(k % 17, [CLASSES[i] for i in range(5)]).otherwise(F.lit("6"))
-    sex = (F.when((c + k) % 9 == 0, F.lit(None).cast("string")).when((c + k) % 9 <= 2, "Female")
-           .otherwise("Male"))
-    return orders.select(
-        k.alias("id"),
-        c.alias("person_id"),
-        hearing.alias("hearing_date"),
-        _pick(k % 11, CODE_SECTIONS).alias("code_section"),
-        charge_type.alias("charge_type"),
-        charge_class.alias("charge_class"),
-        _pick((k + c) % 13, DISPOSITIONS).alias("disposition_code"),
-        _pick((k * 3 + c) % 7, PLEAS).alias("plea"),
-        _pick(c % 12, RACES).alias("race"),
-        sex.alias("sex"),
-        ((c * 7) % 1200).cast("string").alias("fips"),
-    )
+    return orders.selectExpr(*CHARGES_SPARK_EXPRS)
 
 
 def load_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
