@@ -234,10 +234,10 @@ def mode_impute(spark, sf_dir):
 
 # --- per-person and old-vs-new totals -----------------------------------------------------
 
-def _person_counts(spark, sf_dir):
+def _person_counts(spark, sf_dir, cfg=None):
     from eligo import constants as K
     from eligo.operators.reports import conditional_counts
-    w = wide(spark, sf_dir, D2)
+    w = wide(spark, sf_dir, cfg or D2)
     label = F.col("expungability")
     return conditional_counts(w, ["person_id"], {
         "automatic": label == K.AUTOMATIC,
@@ -562,3 +562,13 @@ def config_variant_diff(spark, sf_dir):
                                             F.col("expungability").alias("label_variant"))
     return (a.join(b, "charge_id").filter(F.col("label_default") != F.col("label_variant"))
             .groupBy("label_default", "label_variant").agg(F.count(F.lit(1)).alias("n_charges")))
+
+
+@register
+def persons_without_counts(spark, sf_dir):
+    """Persons in the charges whose label counts are missing: the run (cutoff 2005-12-31) had no
+    classifiable charge of theirs."""
+    persons = charges(spark, sf_dir).select("person_id").distinct()
+    counts = _person_counts(spark, sf_dir, EARLIER)
+    return (persons.join(counts, "person_id", "left").filter(F.col("automatic").isNull())
+            .select("person_id"))

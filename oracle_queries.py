@@ -543,3 +543,8 @@ ORACLE.update({
         ({with_pipeline("SELECT id AS charge_id, expungability AS label_variant FROM final", **VARIANT)}) b
         ON a.charge_id = b.charge_id WHERE a.label_default <> b.label_variant GROUP BY 1, 2""",
 })
+
+
+ORACLE["persons_without_counts"] = with_pipeline(f""", {PERSON_COUNTS}
+    SELECT p.person_id FROM (SELECT DISTINCT person_id FROM charges) p
+    LEFT JOIN pc ON p.person_id = pc.person_id WHERE pc.automatic IS NULL""", cutoff="2005-12-31")
