@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eligo.config import RunConfig
 
 
+# Most partitions a small single-split input is spread over (a big cluster's slot count
+# would only make thousands of tiny tasks).
+MAX_SPREAD = 64
+
+
 def spread(df: DataFrame, key: str = "id") -> DataFrame:
     """Hash-distribute a scan that yields fewer splits than the cluster has task slots.
 
@@ -24,9 +29,10 @@ def spread(df: DataFrame, key: str = "id") -> DataFrame:
         splits = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as it is
         return df
-    if splits >= slots:
+    target = min(slots, MAX_SPREAD)
+    if splits >= target:
         return df
-    return df.repartition(slots, key)
+    return df.repartition(target, key)
 
 
 def read_charges(spark: SparkSession, path: str) -> DataFrame:
