@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import dataclasses
-import functools
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 

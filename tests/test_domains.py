@@ -1,6 +1,5 @@
 """Domain tests: every disposition value of the profiles, and the prototype's two example persons."""
 
-import datetime as dt
 
 from eligo import constants as K
 from eligo.functions.categories import disposition_category
