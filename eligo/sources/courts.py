@@ -1,4 +1,9 @@
-"""Court CSV sources: district and circuit layouts, multi-file scans, classified files."""
+"""Court CSV sources: district and circuit layouts, multi-file scans, classified files.
+
+Uncompressed or bzip2 CSV files are split into many tasks; a gzip file is
+read by one task whatever its size, so large raw shards should be stored
+splittable or ingested once into Parquet.
+"""
 
 from __future__ import annotations
 
