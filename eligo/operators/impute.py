@@ -21,12 +21,23 @@ def person_modes(rows: DataFrame, col: str, keys=PERSON_KEYS) -> DataFrame:
 
 
 def all_modes(source: DataFrame, cols=("race", "sex"), keys=PERSON_KEYS) -> DataFrame:
-    """One row per person with ``_mode_<col>`` for each column."""
-    modes = None
-    for c in cols:
-        m = person_modes(source, c, keys)
-        modes = m if modes is None else modes.join(m, list(keys), "full")
-    return modes
+    """One row per person with ``_mode_<col>`` for each column, from a single pass over ``source``.
+
+    Each row contributes one (column, value) pair per column; pairs are
+    counted per person (partial aggregation), the top value per (person,
+    column) is kept by ``row_number() = 1`` (ties: smallest value), and a
+    pivot over the fixed column names makes one row per person.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_val"))
+                                for c in cols]))
+    counts = (source.select(*keys, pairs.alias("_p"))
+              .select(*keys, F.col("_p._col").alias("_col"), F.col("_p._val").alias("_val"))
+              .filter(F.col("_val").isNotNull())
+              .groupBy(*keys, "_col", "_val").agg(F.count(F.lit(1)).alias("_cnt")))
+    w = Window.partitionBy(*keys, "_col").orderBy(F.desc("_cnt"), F.asc("_val"))
+    top = counts.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
+    wide = top.groupBy(*keys).pivot("_col", list(cols)).agg(F.first("_val"))
+    return wide.select(*keys, *[F.col(c).alias(f"_mode_{c}") for c in cols])
 
 
 def impute_mode(rows: DataFrame, cols=("race", "sex"), keys=PERSON_KEYS, source: DataFrame | None = None) -> DataFrame:
