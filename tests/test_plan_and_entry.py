@@ -75,3 +75,25 @@ def test_hot_group_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_classification_plan_shape(spark):
+    """Static plan at scale settings: 3 column-pruned scans, 5 exchanges, one of them full rows."""
+    import re
+
+    from eligo.plans import catalog
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "eligo.scan.spread": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        plan = _plan(catalog.classify_outcomes(spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
+    assert len(exchanges) == 5, exchanges
+    assert plan.count("FileScan parquet") == 3
+    assert plan.count("WindowGroupLimit") == 2  # partial before the exchange, final after it
+    assert "SortMergeJoin" in plan and "CartesianProduct" not in plan
