@@ -71,3 +71,15 @@ def reduce_sum(cols: list[Column]) -> Column:
 def old_law(col: str = "disposition_code") -> Column:
     """Eligible under the old law: the disposition is one of the dismissal-like codes."""
     return F.coalesce(F.col(col).isin(*K.OLD_LAW_DISPOSITIONS), F.lit(False))
+
+
+def law_totals(df: DataFrame, keys, queries: Sequence[Mapping] = K.QUERY_LIST) -> DataFrame:
+    """Per key combination (e.g. source file and year): all rows, old-law rows, and new-law rows
+    (query-list matches, counted with UNION ALL multiplicity), in one aggregation."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), F.count_if(old_law()).alias("old_law"),
+                                 F.sum(match_count(queries)).cast("long").alias("new_law"))
+
+
+def roll_up(totals: DataFrame, keys) -> DataFrame:
+    """Sum per-file totals to coarser keys (e.g. per year)."""
+    return totals.groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in ("total", "old_law", "new_law")])

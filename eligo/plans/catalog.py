@@ -409,11 +409,9 @@ def query_list_by_year_code(spark, sf_dir):
 
 
 def _year_summary(spark, sf_dir):
-    from eligo.operators.querylist import match_count, old_law
+    from eligo.operators.querylist import law_totals
     # One pass: a row's weight in the UNION ALL is the number of queries it matches.
-    return (charges(spark, sf_dir).groupBy(F.year("hearing_date").alias("year"))
-            .agg(F.count(F.lit(1)).alias("total"), F.count_if(old_law()).alias("old_law"),
-                 F.sum(match_count()).cast("long").alias("new_law")))
+    return law_totals(charges(spark, sf_dir).withColumn("year", F.year("hearing_date")), ["year"])
 
 
 @register

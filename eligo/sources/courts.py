@@ -86,8 +86,13 @@ def read_court_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
 
 
 def read_court_dir(spark: SparkSession, directory: str, years: Iterable[int] | None = None,
-                   courts: Iterable[str] = ("district", "circuit"), kind: str = "criminal") -> DataFrame:
-    """Multi-file scan by glob: ``{court}_{kind}_{year}_*.csv``; the year filter is in the glob itself."""
+                   courts: Iterable[str] = ("district", "circuit"), kind: str = "criminal",
+                   path_regex: str | None = None) -> DataFrame:
+    """Multi-file scan by glob: ``{court}_{kind}_{year}_*.csv``; the year filter is in the glob itself.
+
+    ``path_regex`` keeps only rows from files whose path matches (a filter on
+    the file-path metadata column).
+    """
     year_part = "{" + ",".join(str(y) for y in years) + "}" if years else "*"
     frames = []
     for court in courts:
@@ -97,6 +102,8 @@ def read_court_dir(spark: SparkSession, directory: str, years: Iterable[int] | N
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
+    if path_regex:
+        out = out.filter(F.col("source_file").rlike(path_regex))
     return out.withColumn("year", year_from_file_name("source_file"))
 
 

@@ -128,3 +128,8 @@ def test_race_rules_against_python(spark):
     df = spark.createDataFrame([(t,) for t in samples], "race string")
     for r in df.select("race", standardize_race("race").alias("s")).collect():
         assert r["s"] == py(r["race"]), r
+
+
+def test_court_dir_path_regex(spark, court_dir):
+    df = read_court_dir(spark, court_dir, path_regex="_2009_")
+    assert [r["person_id"] for r in df.collect()] == [43]

@@ -69,3 +69,15 @@ def test_distinct_counts_exact_and_approx(spark):
     assert (exact["n_rows"], exact["n_p"], exact["n_c"]) == (2000, 500, 7)
     approx = RP.distinct_counts(df, {"n_p": "p"}, approx=True, rsd=0.02).first()
     assert abs(approx["n_p"] - 500) <= 30
+
+
+def test_law_totals_per_file_roll_up(spark):
+    from eligo.operators.querylist import law_totals, roll_up
+    rows = [charge(1, 1, "2015-01-01", code="4.1-305", disp="Dismissed"),
+            charge(2, 1, "2015-02-01", code="18.2-250.1", disp="Dismissed"),
+            charge(3, 2, "2015-03-01", code="18.2-95", disp="Guilty")]
+    df = frame(spark, rows).withColumn("file", F.when(F.col("id") == 3, "b").otherwise("a")) \
+        .withColumn("year", F.year("hearing_date"))
+    per_file = {r["file"]: (r["total"], r["old_law"], r["new_law"]) for r in law_totals(df, ["file", "year"]).collect()}
+    assert per_file == {"a": (2, 2, 2), "b": (1, 0, 0)}
+    assert [tuple(r) for r in roll_up(law_totals(df, ["file", "year"]), ["year"]).collect()] == [(2015, 3, 2, 2)]
