@@ -16,10 +16,13 @@ def main(argv=None):
     ing.add_argument("--root", required=True)
     ing.add_argument("--as-of", default=None, help="drop hearings after this date (default: today)")
     ing.add_argument("--append", action="store_true", help="append instead of a full refresh")
+    ing.add_argument("--buckets", type=int, default=None, help="partition charges by this many person buckets")
     cls = sub.add_parser("classify", help="classify ROOT/charges into a run")
     cls.add_argument("--root", required=True)
     cls.add_argument("--config", default=None, help="YAML/JSON run configuration")
     cls.add_argument("--write-features", action="store_true")
+    cls.add_argument("--resumable-buckets", type=int, default=None,
+                     help="classify bucket by bucket of persons; a rerun skips finished buckets")
     for p in (ing, cls):
         p.add_argument("--shuffle-partitions", type=int, default=None,
                        help="spark.sql.shuffle.partitions (about input bytes / 256 MB at scale)")
@@ -30,11 +33,16 @@ def main(argv=None):
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.command == "ingest":
         from eligo.plans.run import run_ingestion
-        run_ingestion(spark.read.parquet(args.raw), args.root, as_of=args.as_of, clear_existing=not args.append)
+        run_ingestion(spark.read.parquet(args.raw), args.root, as_of=args.as_of, clear_existing=not args.append,
+                      buckets=args.buckets)
     else:
-        from eligo.plans.run import run_classification
+        from eligo.plans.run import run_classification, run_classification_resumable
         cfg = load_config(args.config) if args.config else RunConfig()
-        run_id = run_classification(spark, args.root, cfg, write_features=args.write_features)
+        if args.resumable_buckets:
+            run_id = run_classification_resumable(spark, args.root, cfg, buckets=args.resumable_buckets,
+                                                  write_features=args.write_features)
+        else:
+            run_id = run_classification(spark, args.root, cfg, write_features=args.write_features)
         print(run_id)
 
 

@@ -39,8 +39,17 @@ def create_tables(spark: SparkSession, root: str) -> None:
         w.parquet(f"{root}/{name}")
 
 
-def write_charges(charges: DataFrame, root: str, clear_existing: bool = True) -> None:
-    """Load cleaned charges. A full refresh (default) also clears runs, features and outcomes."""
+def person_bucket(n: int) -> "F.Column":
+    """Hash bucket of the person (a charge without a person id is its own person)."""
+    return F.pmod(F.xxhash64(F.coalesce(F.col("person_id"), -F.col("id") - 1)), F.lit(n)).cast("int")
+
+
+def write_charges(charges: DataFrame, root: str, clear_existing: bool = True, buckets: int | None = None) -> None:
+    """Load cleaned charges. A full refresh (default) also clears runs, features and outcomes.
+
+    With ``buckets``, the table is partitioned by ``person_bucket`` so a
+    classification can read one bucket of persons by partition pruning.
+    """
     spark = charges.sparkSession
     if clear_existing:
         for name, schema, parts in (("runs", RUNS, ["id"]), ("features", FEATURES, ["run_id"]),
@@ -49,9 +58,12 @@ def write_charges(charges: DataFrame, root: str, clear_existing: bool = True) ->
             if parts:
                 w = w.partitionBy(*parts)
             w.parquet(f"{root}/{name}")
-        charges.write.mode("overwrite").parquet(f"{root}/charges")
+    mode = "overwrite" if clear_existing else "append"
+    if buckets:
+        charges.withColumn("person_bucket", person_bucket(buckets)).write.mode(mode) \
+            .partitionBy("person_bucket").parquet(f"{root}/charges")
     else:
-        charges.write.mode("append").parquet(f"{root}/charges")
+        charges.write.mode(mode).parquet(f"{root}/charges")
 
 
 def run_record(spark: SparkSession, cfg: RunConfig, status: str, start_at: dt.datetime,
