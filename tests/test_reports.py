@@ -81,3 +81,13 @@ def test_law_totals_per_file_roll_up(spark):
     per_file = {r["file"]: (r["total"], r["old_law"], r["new_law"]) for r in law_totals(df, ["file", "year"]).collect()}
     assert per_file == {"a": (2, 2, 2), "b": (1, 0, 0)}
     assert [tuple(r) for r in roll_up(law_totals(df, ["file", "year"]), ["year"]).collect()] == [(2015, 3, 2, 2)]
+
+
+def test_mass_index_and_group_mean_having(spark):
+    from eligo.functions.numeric import mass_index
+    df = spark.createDataFrame([("a", 80.0, 200.0), ("a", None, 180.0), ("b", 50.0, 0.0), ("a", 45.0, 150.0)],
+                               "g string, mass double, height double").withColumn("mi", mass_index("mass", "height"))
+    vals = [r["mi"] for r in df.collect()]
+    assert vals[0] == 20.0 and vals[1] is None and vals[2] is None and vals[3] == 20.0
+    out = {r["g"]: (r["n"], r["mean_value"]) for r in RP.group_mean_having(df, "g", "mi", min_count=1).collect()}
+    assert out == {"a": (3, 20.0)}
