@@ -24,14 +24,18 @@ PLEAS = ("Guilty", "Alford", "Nolo Contendere", None, "Not Guilty", "Not Guilty"
 RACES = ("Black (Non-Hispanic)", "WHITE", "White Caucasian (Non-Hispanic)", "Asian Or Pacific Islander",
          "American Indian", "Alaskan Native", "MISSING", "Other(Includes Not Applicable, Unknown)", "Hispanic",
          None, "caucasian", "black")
-CLASSES = {0: "1", 1: "2", 2: "3", 3: "4", 4: None}  # every other remainder -> '6'
+CLASSES = {0: "1", 1: "2", 2: "3", 3: "4", 4: None}  # every other remainder of 17 -> '6'
 
 
-def _spark_case(expr: str, values, default: str = "NULL") -> str:
+def _cycle(expr: str, values) -> str:
+    """The value at position ``expr`` (0-based, always in range) of a constant array.
+
+    An array lookup stays cheap when the optimizer inlines the column into
+    several consumers (a long CASE would be copied into each of them).
+    """
     def lit(v):
-        return "NULL" if v is None else "'" + v.replace("'", "\\'") + "'"
-    parts = " ".join(f"WHEN {i} THEN {lit(v)}" for i, v in enumerate(values))
-    return f"CASE {expr} {parts} ELSE {default} END"
+        return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "\\'") + "'"
+    return f"element_at(array({', '.join(lit(v) for v in values)}), CAST({expr} AS INT) + 1)"
 
 
 # Spark SQL text of the view (one selectExpr: the plan is built in a single call).
@@ -40,15 +44,14 @@ CHARGES_SPARK_EXPRS = (
     "o_custkey AS person_id",
     "date_add(DATE'1994-01-01', CAST(floor(datediff(CAST(o_orderdate AS DATE), DATE'1995-01-01') / 30) * 120 AS INT))"
     " AS hearing_date",
-    _spark_case("o_orderkey % 11", CODE_SECTIONS) + " AS code_section",
+    _cycle("o_orderkey % 11", CODE_SECTIONS) + " AS code_section",
     "CASE WHEN o_orderkey % 5 = 3 THEN 'Felony' WHEN o_orderkey % 5 = 4 AND o_orderkey % 4 = 0 THEN 'Infraction'"
     " ELSE 'Misdemeanor' END AS charge_type",
-    _spark_case("o_orderkey % 17", [CLASSES[i] for i in range(5)], "'6'") + " AS charge_class",
-    _spark_case("(o_orderkey + o_custkey) % 13", DISPOSITIONS) + " AS disposition_code",
-    _spark_case("(o_orderkey * 3 + o_custkey) % 7", PLEAS) + " AS plea",
-    _spark_case("o_custkey % 12", RACES) + " AS race",
-    "CASE WHEN (o_custkey + o_orderkey) % 9 = 0 THEN NULL WHEN (o_custkey + o_orderkey) % 9 <= 2 THEN 'Female'"
-    " ELSE 'Male' END AS sex",
+    _cycle("o_orderkey % 17", [CLASSES.get(i, "6") for i in range(17)]) + " AS charge_class",
+    _cycle("(o_orderkey + o_custkey) % 13", DISPOSITIONS) + " AS disposition_code",
+    _cycle("(o_orderkey * 3 + o_custkey) % 7", PLEAS) + " AS plea",
+    _cycle("o_custkey % 12", RACES) + " AS race",
+    _cycle("(o_custkey + o_orderkey) % 9", (None, "Female", "Female") + ("Male",) * 6) + " AS sex",
     "CAST((o_custkey * 7) % 1200 AS STRING) AS fips",
 )
 
