@@ -38,7 +38,9 @@ def clean_for_rules(charges: DataFrame, cfg: RunConfig) -> DataFrame:
           .filter(F.col("charge_type").isin(*K.CHARGE_TYPES)))
     df = H.with_person_key(df)
     df = df.withColumns({
-        "disposition_category": disposition_category(),
+        # Never null after the validity filter; saying so keeps the optimizer from adding an inferred
+        # not-null filter on this join key that would re-evaluate the whole category expression.
+        "disposition_category": F.coalesce(disposition_category(), F.lit(K.MISSING)),
         "charge_category": charge_category(),
     })
     return df.withColumn("code_section_category", code_section_category(
