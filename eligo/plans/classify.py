@@ -129,7 +129,8 @@ def label_groups(groups: DataFrame, cfg: RunConfig, rule_set: RuleSet | None = N
     applicable = ((F.col("disposition_category") == F.lit(K.CONVICTION))
                   | ((F.col("disposition_category") == F.lit(K.DEFERRAL))
                      & F.coalesce(F.col("sameday_disqualifier"), F.lit(False))))
-    return g.withColumn("_lifetime_applies", applicable)
+    # The reason depends on group values only: evaluated once per group, not per charge.
+    return g.withColumns({"_lifetime_applies": applicable, "_reason": reason_text()})
 
 
 def classify_rows(charges: DataFrame, cfg: RunConfig, rule_set: RuleSet | None = None) -> DataFrame:
@@ -158,8 +159,7 @@ def classify_rows(charges: DataFrame, cfg: RunConfig, rule_set: RuleSet | None =
     lifetime_hit = F.coalesce(F.col("lifetime_disqualifier"), F.lit(False)) & (
         F.col("sameday_label") != F.lit(K.NOT_ELIGIBLE))
     out = out.withColumn("reason", F.concat(
-        reason_text(),
-        F.when(lifetime_hit, F.lit(K.LIFETIME_SUFFIX)).otherwise(F.lit(""))))
+        F.col("_reason"), F.when(lifetime_hit, F.lit(K.LIFETIME_SUFFIX)).otherwise(F.lit(""))))
     return out
 
 
