@@ -64,7 +64,7 @@ def oracle_result(rows, **kw):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("dialect", ["d3", "d2"])
+@pytest.mark.parametrize("dialect", ["d3", "d2", "d1"])
 def test_random_histories_match_oracle(spark, seed, dialect):
     rows = random_rows(seed)
     cfg = RunConfig(cutoff_date=CUTOFF, dialect=dialect)
