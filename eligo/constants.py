@@ -282,3 +282,13 @@ TOTAL_LABELS = {
     "old_petition": "Exp. w/ Petition",
     "old_not_eligible": "Not Eligible",
 }
+
+# Charge-type values of the per-file profile (blank/null counted as MISSING).
+PROFILE_CHARGE_TYPES = (
+    "MISSING", "Civil", "Felony", "Infraction", "Misdemeanor", "Other (Animal Violations, Bond Appeals)", "F",
+    "Capias", "Other", "Show Cause", "Non Case", "Civil Violation",
+    "Restricted Operator's License For Fine and Costs Only", "Motion [18.2-271.1(E)]",
+)
+
+# Plea values of the per-file profile (blank/null counted as MISSING).
+PROFILE_PLEAS = ("MISSING", "Guilty", "Nolo Contendere", "Not Guilty", "Tried In Absentia", "Alford")

@@ -74,11 +74,11 @@ def profile(df: DataFrame, key: str, col: str, values: list[str], missing: str =
     """Wide category profile: one row per ``key``, one count column per value of ``col``.
 
     Blank and null values count under ``missing``; absent combinations are 0.
-    ``values`` fixes the columns, so Spark needs no extra pass to find them.
+    With the value list fixed, this is one aggregation of conditional counts
+    (a pivot without a discovery pass; column names may hold any characters).
     """
     label = F.coalesce(F.nullif(F.col(col), F.lit("")), F.lit(missing))
-    return (df.withColumn("_value", label).groupBy(key).pivot("_value", list(values))
-            .agg(F.count(F.lit(1))).fillna(0, subset=list(values)))
+    return df.groupBy(key).agg(*[F.count_if(label == F.lit(v)).alias(v) for v in values])
 
 
 def unpivot(df: DataFrame, ids: list[str], values: list[str], name: str = "name",

@@ -505,8 +505,8 @@ def profile_totals(spark, sf_dir):
     from eligo import constants as K
     from eligo.operators.reports import column_sums, profile
     df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
-    return column_sums(profile(df, "year", "disposition_code", list(K.PROFILE_DISPOSITIONS)),
-                       list(K.PROFILE_DISPOSITIONS))
+    totals = profile(df, "year", "disposition_code", list(K.PROFILE_DISPOSITIONS))
+    return totals.agg(*[F.sum(F.col(f"`{c}`")).cast("long").alias(c) for c in K.PROFILE_DISPOSITIONS])
 
 
 # The notebook's distribution query, run as SQL text over a temp view.
@@ -569,3 +569,19 @@ def persons_without_counts(spark, sf_dir):
     counts = _person_counts(spark, sf_dir, EARLIER)
     return (persons.join(counts, "person_id", "left").filter(F.col("automatic").isNull())
             .select("person_id"))
+
+
+@register
+def profile_pivot_charge_type(spark, sf_dir):
+    from eligo import constants as K
+    from eligo.operators.reports import profile
+    df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
+    return profile(df, "year", "charge_type", list(K.PROFILE_CHARGE_TYPES))
+
+
+@register
+def profile_pivot_plea(spark, sf_dir):
+    from eligo import constants as K
+    from eligo.operators.reports import profile
+    df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
+    return profile(df, "year", "plea", list(K.PROFILE_PLEAS))

@@ -548,3 +548,21 @@ ORACLE.update({
 ORACLE["persons_without_counts"] = with_pipeline(f""", {PERSON_COUNTS}
     SELECT p.person_id FROM (SELECT DISTINCT person_id FROM charges) p
     LEFT JOIN pc ON p.person_id = pc.person_id WHERE pc.automatic IS NULL""", cutoff="2005-12-31")
+
+
+def _profile_sql(column: str, values) -> str:
+    cols = ", ".join("count(*) FILTER (WHERE v = '" + v.replace("'", "''") + "') AS \"" + v + "\"" for v in values)
+    return f"""WITH {CH}, p AS (SELECT CAST(year(hearing_date) AS INTEGER) AS year,
+        coalesce(nullif({column}, ''), 'MISSING') AS v FROM charges)
+        SELECT year, {cols} FROM p GROUP BY year"""
+
+
+# Fixed values (the same as eligo.constants).
+ORACLE.update({
+    "profile_pivot_charge_type": _profile_sql("charge_type", (
+        "MISSING", "Civil", "Felony", "Infraction", "Misdemeanor", "Other (Animal Violations, Bond Appeals)", "F",
+        "Capias", "Other", "Show Cause", "Non Case", "Civil Violation",
+        "Restricted Operator's License For Fine and Costs Only", "Motion [18.2-271.1(E)]")),
+    "profile_pivot_plea": _profile_sql("plea", (
+        "MISSING", "Guilty", "Nolo Contendere", "Not Guilty", "Tried In Absentia", "Alford")),
+})
