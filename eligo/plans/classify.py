@@ -166,9 +166,13 @@ def classify_rows(charges: DataFrame, cfg: RunConfig, rule_set: RuleSet | None =
 def split_tables(wide: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Features and outcomes projections (``id`` becomes ``charge_id``)."""
     wide = wide.withColumnRenamed("id", "charge_id")
-    features = wide.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FEATURES.fields])
-    outcomes = wide.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in OUTCOMES.fields])
-    return features, outcomes
+    have = {f.name: f.dataType for f in wide.schema.fields}
+
+    def project(schema):
+        return wide.select(*[F.col(f.name) if have.get(f.name) == f.dataType
+                             else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    return project(FEATURES), project(OUTCOMES)
 
 
 def classify(charges: DataFrame, cfg: RunConfig | None = None,
