@@ -10,13 +10,43 @@ def sample_key(key: str = "person_id", seed: int = 12345) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-def sample_ids(df: DataFrame, n: int, seed: int = 12345, key: str = "person_id") -> DataFrame:
+# Above this sample size the top-n is taken after a threshold filter (see ``sample_ids``).
+LARGE_SAMPLE = 100_000
+
+
+def _order_prefix(key: str, seed: int) -> Column:
+    """First 60 bits of the md5 order key as a number (same order as the hex string's prefix)."""
+    return F.conv(F.substring(sample_key(key, seed), 1, 15), 16, 10).cast("long")
+
+
+def sample_ids(df: DataFrame, n: int, seed: int = 12345, key: str = "person_id",
+               large: int = LARGE_SAMPLE) -> DataFrame:
     """Exactly ``n`` distinct non-null ids (or all, if fewer), without replacement.
 
-    The limit is the feature here; Spark plans it as a per-task top-n and a merge of at most n rows per task.
+    The limit is the feature here. For small ``n`` Spark plans a per-task
+    top-n and one merge of at most n rows per task. For large ``n`` that merge
+    would gather n rows from every partition into one task, so the ids are
+    first cut at an approximate quantile of their order key (a little above
+    the n-th value, widened if it falls short), and the exact top-n runs on
+    the few survivors. Both paths return the same ids; only scalars (a count
+    and a quantile) reach the driver.
     """
     ids = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    return ids.orderBy(sample_key(key, seed), F.col(key)).limit(n)
+    ordered = (sample_key(key, seed), F.col(key))
+    if n <= large:
+        return ids.orderBy(*ordered).limit(n)
+    keyed = ids.withColumn("_k", _order_prefix(key, seed))
+    total = keyed.count()
+    if n >= total:
+        return ids
+    fraction = min(1.0, n / total * 1.05 + 1000 / total)
+    while fraction < 1.0:
+        cut = keyed.agg(F.percentile_approx("_k", fraction, 100_000).alias("c")).first()["c"]
+        candidates = keyed.filter(F.col("_k") <= F.lit(cut))
+        if candidates.count() >= n:
+            return candidates.drop("_k").orderBy(*ordered).limit(n)
+        fraction = min(1.0, fraction * 1.5)
+    return ids.orderBy(*ordered).limit(n)
 
 
 # Largest sample whose id list is broadcast (8-byte ids: at most ~80 MB).

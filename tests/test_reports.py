@@ -91,3 +91,10 @@ def test_mass_index_and_group_mean_having(spark):
     assert vals[0] == 20.0 and vals[1] is None and vals[2] is None and vals[3] == 20.0
     out = {r["g"]: (r["n"], r["mean_value"]) for r in RP.group_mean_having(df, "g", "mi", min_count=1).collect()}
     assert out == {"a": (3, 20.0)}
+
+
+def test_large_sample_path_equals_top_n(spark):
+    df = spark.range(20000).withColumnRenamed("id", "person_id").repartition(9)
+    small = sorted(r[0] for r in sample_ids(df, 3000).collect())
+    large = sorted(r[0] for r in sample_ids(df, 3000, large=10).collect())
+    assert small == large and len(small) == 3000
