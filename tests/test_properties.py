@@ -192,3 +192,41 @@ def test_boundary_gaps_match_oracle(spark, dialect):
     rows = boundary_rows(17)
     cfg = RunConfig(cutoff_date=CUTOFF, dialect=dialect)
     assert spark_result(spark, rows, cfg) == oracle_result(rows, dialect=dialect)
+
+
+def test_generated_histories_match_oracle(spark):
+    """Hypothesis-generated histories: few persons, many shared days, gaps near the thresholds."""
+    import datetime as dt
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    base = dt.date(2000, 1, 1)
+    offsets = st.sampled_from([0, 0, 1, 1094, 1095, 1096, 2556, 2557, 3652, 3653, 5000])
+    charge_st = st.tuples(
+        st.integers(0, 3),                                    # person
+        st.lists(offsets, min_size=1, max_size=3).map(sum),   # day offset from 2000-01-01
+        st.sampled_from(["Misdemeanor", "Felony"]),
+        st.sampled_from(["Guilty", "Dismissed", "Nolle Prosequi", "Guilty In Absentia"]),
+        st.sampled_from(["18.2-96", "18.2-266", "18.2-95", "4.1-305", None]),
+        st.sampled_from(["Guilty", None, "Alford"]),
+        st.sampled_from(["1", "3", "6", None]),
+    )
+    cases = []
+
+    @settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(st.lists(charge_st, min_size=1, max_size=25), st.randoms(use_true_random=False))
+    def collect(items, rnd):
+        ids = rnd.sample(range(1, 10_000), len(items))
+        cases.append([charge(i, p, base + dt.timedelta(days=d), ctype=t, disp=disp, code=code, plea=plea, cls=cls)
+                      for i, (p, d, t, disp, code, plea, cls) in zip(ids, items)])
+
+    collect()
+    rows = [r for case in cases for r in case]
+    # Give each case its own persons so one Spark run checks every case.
+    shifted = []
+    for n, case in enumerate(cases):
+        shifted += [(r[0] + n * 10_000, r[1] + n * 10,) + r[2:] for r in case]
+    cfg = RunConfig(cutoff_date=CUTOFF)
+    assert spark_result(spark, shifted, cfg) == oracle_result(shifted)
+    assert rows
