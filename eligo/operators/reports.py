@@ -67,7 +67,7 @@ def conditional_counts(df: DataFrame, keys: list[str], conditions: dict[str, Col
 
 def column_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     """Sums ignoring nulls (one row)."""
-    return df.agg(*[F.sum(c).cast("long").alias(c) for c in cols])
+    return df.agg(*[F.sum(F.col(f"`{c}`")).cast("long").alias(c) for c in cols])
 
 
 def profile(df: DataFrame, key: str, col: str, values: list[str], missing: str = "MISSING") -> DataFrame:
