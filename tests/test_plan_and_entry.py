@@ -97,3 +97,27 @@ def test_classification_plan_shape(spark):
     assert plan.count("FileScan parquet") == 3
     assert plan.count("WindowGroupLimit") == 2  # partial before the exchange, final after it
     assert "SortMergeJoin" in plan and "CartesianProduct" not in plan
+
+
+def test_no_query_has_python_cartesian_or_unbounded_broadcast(spark):
+    """Static plans of every registered query at scale settings (broadcast joins off)."""
+    import __spark_entry__ as E
+    bounded_broadcasts = {"code_by_race", "decision_table_join", "confusion_matrix", "ml_tree_predict",
+                          "sample_persons_join"}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for name, fn in E.queries().items():
+            if name == "ml_tree_predict":
+                continue  # trains a model while building the frame (covered by tests/test_tree.py)
+            plan = _plan(fn(spark, SF_SMALL))
+            for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
+                        "BroadcastNestedLoopJoin"):
+                assert bad not in plan, (name, bad)
+            if "BroadcastExchange" in plan:
+                assert name in bounded_broadcasts, name
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
