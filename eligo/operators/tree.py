@@ -25,6 +25,17 @@ def _prepare(df: DataFrame) -> DataFrame:
     return df.withColumns({f"{b}_x": F.coalesce(F.col(b), F.lit(False)).cast("double") for b in BOOLEAN})
 
 
+_MODELS: dict = {}
+
+
+def fitted_tree(spark: SparkSession, rule_set: RuleSet = D3, max_depth: int = 20) -> PipelineModel:
+    """:func:`train_tree`, fitted once per Spark application and rule set (the training table is fixed)."""
+    key = (spark.sparkContext.applicationId, rule_set.name, max_depth)
+    if key not in _MODELS:
+        _MODELS[key] = train_tree(spark, rule_set, max_depth)
+    return _MODELS[key]
+
+
 def train_tree(spark: SparkSession, rule_set: RuleSet = D3, max_depth: int = 20) -> PipelineModel:
     """One-hot encode the categories, fit a fully grown tree on every combination."""
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep") for c in CATEGORICAL]

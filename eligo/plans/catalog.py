@@ -532,10 +532,10 @@ def code_distribution_sql(spark, sf_dir):
 
 @register
 def ml_tree_predict(spark, sf_dir):
-    from eligo.operators.tree import predict, train_tree
+    from eligo.operators.tree import fitted_tree, predict
     from eligo.schemas import DECISION_KEYS
     feats = wide(spark, sf_dir).select("id", *DECISION_KEYS)
-    return _by_charge(predict(train_tree(spark), feats), F.col("predicted_label"))
+    return _by_charge(predict(fitted_tree(spark), feats), F.col("predicted_label"))
 
 
 # A non-default configuration: other year limits, lifetime limit 3, one more B-list section.
