@@ -230,3 +230,14 @@ def test_generated_histories_match_oracle(spark):
     cfg = RunConfig(cutoff_date=CUTOFF)
     assert spark_result(spark, shifted, cfg) == oracle_result(shifted)
     assert rows
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3])
+def test_other_lifetime_limits_match_oracle(spark, limit):
+    import dataclasses as dc
+    rows = random_rows(31)
+    cfg = dc.replace(RunConfig(cutoff_date=CUTOFF), lifetime_limit=limit)
+    got = spark_result(spark, rows, cfg)
+    expected = oracle_result(rows, limit=limit)
+    null_person_ids = {r[0] for r in rows if r[1] is None}
+    assert {k: v for k, v in got.items() if k not in null_person_ids} == expected
