@@ -241,3 +241,13 @@ def test_other_lifetime_limits_match_oracle(spark, limit):
     expected = oracle_result(rows, limit=limit)
     null_person_ids = {r[0] for r in rows if r[1] is None}
     assert {k: v for k, v in got.items() if k not in null_person_ids} == expected
+
+
+@pytest.mark.parametrize("sameday,lifetime", [(False, True), (True, False)])
+def test_one_rule_off_matches_oracle(spark, sameday, lifetime):
+    rows = random_rows(41)
+    cfg = dataclasses.replace(RunConfig(cutoff_date=CUTOFF), sameday_rule=sameday, lifetime_rule=lifetime)
+    got = spark_result(spark, rows, cfg)
+    expected = oracle_result(rows, sameday=sameday, lifetime=lifetime)
+    null_person_ids = {r[0] for r in rows if r[1] is None}
+    assert {k: v for k, v in got.items() if k not in null_person_ids} == expected
