@@ -17,13 +17,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from eligo import constants as K
 from eligo.functions.categories import is_conviction, is_felony_conviction
 from eligo.functions.dates import day_number, from_day_number
 
 PERSON_KEYS = ("_pid", "_pnull")
 COMBO_KEYS = ("charge_category", "disposition_category", "code_section_category")
+# The category triple travels through shuffles as small integer codes (1-based positions in these domains).
+CATEGORY_DOMAINS = {
+    "charge_category": (K.MISDEMEANOR, K.FELONY),
+    "disposition_category": (K.CONVICTION, K.DISMISSED, K.DEFERRAL),
+    "code_section_category": (K.CS_A, K.CS_B, K.CS_12, K.CS_ELSEWHERE, K.CS_12_D1),
+}
+CODE_KEYS = ("_cc", "_dc", "_csc")
 DAY_KEYS = PERSON_KEYS + ("hearing_date",)
-GROUP_KEYS = DAY_KEYS + COMBO_KEYS
+GROUP_KEYS = DAY_KEYS + CODE_KEYS
 
 
 def with_person_key(df: DataFrame, person_col: str = "person_id", id_col: str = "id") -> DataFrame:
@@ -34,6 +42,20 @@ def with_person_key(df: DataFrame, person_col: str = "person_id", id_col: str =
     })
 
 
+def with_category_codes(rows: DataFrame) -> DataFrame:
+    """Add the integer codes of the category triple (the grouping and join keys)."""
+    return rows.withColumns({
+        code: F.array_position(F.array(*[F.lit(v) for v in CATEGORY_DOMAINS[name]]), F.col(name)).cast("byte")
+        for code, name in zip(CODE_KEYS, COMBO_KEYS)})
+
+
+def decode_categories(groups: DataFrame) -> DataFrame:
+    """Category text back from the codes (once per group row)."""
+    return groups.withColumns({
+        name: F.element_at(F.array(*[F.lit(v) for v in CATEGORY_DOMAINS[name]]), F.col(code).cast("int"))
+        for code, name in zip(CODE_KEYS, COMBO_KEYS)})
+
+
 def person_window():
     """Whole-person frame, ordered by day only so that it shares one sort with the day-ordered windows."""
     return (Window.partitionBy(*PERSON_KEYS).orderBy("_day")
@@ -82,9 +104,8 @@ def reduce_to_groups(rows: DataFrame, extra_aggs: dict[str, Column] | None = Non
         "_c34_any": F.bool_or(_flag_or_false(felony & c34)),
     }
     aggs.update(extra_aggs or {})
-    return (rows.groupBy(*GROUP_KEYS)
-            .agg(*[expr.alias(name) for name, expr in aggs.items()])
-            .withColumn("_day", day_number("hearing_date")))
+    grouped = rows.groupBy(*GROUP_KEYS).agg(*[expr.alias(name) for name, expr in aggs.items()])
+    return decode_categories(grouped).withColumn("_day", day_number("hearing_date"))
 
 
 def history_columns(groups: DataFrame, cutoff: str) -> DataFrame:

@@ -43,13 +43,14 @@ def clean_for_rules(charges: DataFrame, cfg: RunConfig) -> DataFrame:
         "disposition_category": F.coalesce(disposition_category(), F.lit(K.MISSING)),
         "charge_category": charge_category(),
     })
-    return df.withColumn("code_section_category", code_section_category(
+    df = df.withColumn("code_section_category", code_section_category(
         sections_a=cfg.covered_sections_a, sections_b=cfg.covered_sections_b,
         sections_b_misdemeanor=cfg.covered_sections_b_misdemeanor,
         sections_twelve=cfg.excluded_sections_twelve,
         twelve_first=cfg.dialect != "d3",
         twelve_label=K.CS_12_D1 if cfg.dialect == "d1" else K.CS_12,
     ))
+    return H.with_category_codes(df)
 
 
 def _disqualifiers(cfg: RunConfig) -> dict[str, Column]:
@@ -143,7 +144,8 @@ def classify_rows(charges: DataFrame, cfg: RunConfig, rule_set: RuleSet | None =
     cfg = cfg.resolved()
     rows = clean_for_rules(charges, cfg)
     groups = label_groups(group_features(rows, cfg), cfg, rule_set)
-    out = rows.join(groups.drop("_ids"), list(H.GROUP_KEYS))
+    # The category text comes from the group side: the charge rows travel with the small codes only.
+    out = rows.drop(*H.COMBO_KEYS).join(groups.drop("_ids"), list(H.GROUP_KEYS))
     if cfg.lifetime_rule:
         over = (F.col("_need") <= 0) | (F.col("_thr").isNotNull() & (F.col("id") >= F.col("_thr")))
         out = out.withColumn("lifetime_disqualifier", over & F.col("_lifetime_applies"))
