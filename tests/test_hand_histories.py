@@ -132,3 +132,12 @@ def test_caller_rule_set(spark):
             charge(3, 2, "2016-06-01", disp="Dismissed")]
     out = classify_rows(frame(spark, rows), CFG, strict).select("id", "expungability").collect()
     assert {r["id"]: r["expungability"] for r in out} == {1: K.AUTOMATIC, 2: K.NOT_ELIGIBLE, 3: K.NOT_ELIGIBLE}
+
+
+def test_empty_and_all_invalid_inputs(spark):
+    from eligo.plans.classify import classify
+    features, outcomes = classify(frame(spark, []), CFG)
+    assert features.count() == 0 and outcomes.count() == 0
+    invalid = [charge(1, 1, "2015-01-01", disp="Prepaid"), charge(2, 2, "2015-01-01", ctype="Infraction")]
+    features, outcomes = classify(frame(spark, invalid), CFG)
+    assert outcomes.count() == 0 and len(features.columns) == 23
