@@ -17,8 +17,8 @@ def register_views(charges: DataFrame, cfg: RunConfig | None = None, prefix: str
     cfg = (cfg or RunConfig()).resolved()
     wide = classify_rows(charges, cfg)
     features, outcomes = split_tables(wide)
-    views = {"charges": charges, "classified": wide.drop("_pid", "_pnull"), "features": features,
-             "outcomes": outcomes}
+    public = wide.select(*[c for c in wide.columns if not c.startswith("_")])
+    views = {"charges": charges, "classified": public, "features": features, "outcomes": outcomes}
     for name, df in views.items():
         df.createOrReplaceTempView(prefix + name)
     return [prefix + n for n in views]
