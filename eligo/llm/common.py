@@ -35,3 +35,12 @@ def text_bytes(col: str = "text") -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker process.
+
+    Functions of this package are shipped by value, so their module globals last for one task only.
+    """
+    import sys
+    return sys.__dict__.setdefault("_eligo_llm_cache", {})
