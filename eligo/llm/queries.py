@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from eligo.llm import mixing, sharding, simhash
+from eligo.llm import mixing, ppm, quality, sharding, simhash, token_records
 
 QUERIES = {
+    "op1_token_records": token_records.op1_query,
     "op2_source_mixing": mixing.op2_query,
     "op3_simhash": simhash.op3_query,
+    "op4_ppm_scores": ppm.op4_query,
+    "op9_quality_rules": quality.op9_query,
     "op10_sharding": sharding.op10_query,
 }
 

@@ -147,6 +147,10 @@ def _search_units(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
             found = spanning_links([f for f, p in zip(fps, parts) if p == i], [f for f, p in zip(fps, parts) if p == j], radius)
         out.extend(found)
 
+    def signed(out: list) -> pa.RecordBatch:
+        ends = np.array(out, dtype=np.uint64).view(np.int64)
+        return pa.record_batch([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
     key, fps, parts = None, [], []
     for batch in batches:
         if not batch.num_rows:
@@ -161,15 +165,15 @@ def _search_units(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
                 if len(fps) > 1:
                     flush(fps, parts, key[2], key[3], out)
                 key, fps, parts = this, [], []
-            fps.extend(cols[5][s:e].tolist())
+            fps.extend(cols[5][s:e].view(np.uint64).tolist())  # unsigned: bit_count of a negative int differs
             parts.extend(cols[4][s:e].tolist())
         if out:
-            yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+            yield signed(out)
     out = []
     if len(fps) > 1:
         flush(fps, parts, key[2], key[3], out)
     if out:
-        yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+        yield signed(out)
 
 
 def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tree_size: int = TREE) -> DataFrame:
