@@ -40,7 +40,8 @@ from eligo.llm.common import documents, text_bytes, work_path, worker_cache
 END_ID = 0
 PIECES = 500_000   # pieces remembered by a worker process
 MASK_DELTA = 0xA282EAD8
-HEAD = struct.Struct("<qB")
+HEAD = "<qB"
+HEAD_SIZE = struct.calcsize(HEAD)
 INDEX = "shard int, file string, doc_id long, offset long, length long, n_tokens long"
 
 
@@ -192,7 +193,7 @@ def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str)
             continue
         ids = batch.column(0)
         codes = [enc.encode(t.as_py().decode("utf-8", "replace")) + end for t in batch.column(1)]
-        payloads = [HEAD.pack(i.as_py() or 0, flag | (not i.is_valid)) + c for i, c in zip(ids, codes)]
+        payloads = [struct.pack(HEAD, i.as_py() or 0, flag | (not i.is_valid)) + c for i, c in zip(ids, codes)]
         sizes = [struct.pack("<Q", len(p)) for p in payloads]
         size_crc, data_crc = masked(crc32c(sizes)).astype("<u4"), masked(crc32c(payloads)).astype("<u4")
         if out is None:
@@ -205,7 +206,7 @@ def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str)
         n = batch.num_rows
         yield pa.record_batch(
             [pa.array([shard] * n, pa.int32()), pa.array([name] * n), ids, pa.array(offsets), pa.array(lengths),
-             pa.array((lengths - HEAD.size) // enc.width)], ["shard", "file", "doc_id", "offset", "length", "n_tokens"])
+             pa.array((lengths - HEAD_SIZE) // enc.width)], ["shard", "file", "doc_id", "offset", "length", "n_tokens"])
     if out is not None:
         out.close()
 
@@ -235,13 +236,13 @@ def _checked(frames: list[tuple[bytes, bytes, bytes, bytes]]) -> list[tuple[int
             raise CorruptRecord("a record's checksum does not match")
     out = []
     for p in payloads:
-        doc, flag = HEAD.unpack_from(p)
-        out.append((None if flag & 1 else doc, np.frombuffer(p, "<u4" if flag & 2 else "<u2", offset=HEAD.size)))
+        doc, flag = struct.unpack_from(HEAD, p)
+        out.append((None if flag & 1 else doc, np.frombuffer(p, "<u4" if flag & 2 else "<u2", offset=HEAD_SIZE)))
     return out
 
 
 def _frames(stream, chunk: int = 8 << 20) -> Iterator[list[tuple[bytes, bytes, bytes, bytes]]]:
-    """The records of a file in order, some at a time; lengths are checked before they are trusted."""
+    """The records of a file in order, some at a time; a large length is checked before so much is read."""
     held, at, found, size = b"", 0, [], 0
     while True:
         if len(held) - at < 12:
@@ -251,9 +252,9 @@ def _frames(stream, chunk: int = 8 << 20) -> Iterator[list[tuple[bytes, bytes, b
             if len(held) < 12:
                 raise CorruptRecord("the file ends within a record")
         length_bytes, length_crc = held[at:at + 8], held[at + 8:at + 12]
-        if masked(crc32c([length_bytes]))[0] != int.from_bytes(length_crc, "little"):
-            raise CorruptRecord("a record's length does not match its checksum")
         need = 16 + int.from_bytes(length_bytes, "little")
+        if need > chunk and masked(crc32c([length_bytes]))[0] != int.from_bytes(length_crc, "little"):
+            raise CorruptRecord("a record's length does not match its checksum")
         if len(held) - at < need:
             held, at = held[at:] + stream.read(max(chunk, need)), 0
             if len(held) < need:
