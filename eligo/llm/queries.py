@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from eligo.llm import mixing, ppm, quality, sharding, simhash, token_records
+from eligo.llm import decontaminate, mixing, ppm, preference, quality, sharding, simhash, token_counts, token_records
 
 QUERIES = {
     "op1_token_records": token_records.op1_query,
     "op2_source_mixing": mixing.op2_query,
     "op3_simhash": simhash.op3_query,
     "op4_ppm_scores": ppm.op4_query,
+    "op5_preference_pairs": preference.op5_query,
+    "op6_token_counts": token_counts.op6_query,
+    "op7_decontamination": decontaminate.op7_query,
     "op9_quality_rules": quality.op9_query,
     "op10_sharding": sharding.op10_query,
 }
 
-ORACLE: dict[str, str] = {}
+# The other operators hash, walk or fit in ways SQL cannot express; tests/llm holds them against brute force.
+ORACLE: dict[str, str] = {
+    "op5_preference_pairs": preference.ORACLE,
+}
