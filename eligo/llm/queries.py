@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eligo.llm import decontaminate, mixing, ppm, preference, quality, sharding, simhash, token_counts, token_records
+from eligo.llm import decontaminate, mixing, paragraphs, ppm, preference, quality, sharding, simhash, token_counts, token_records
 
 QUERIES = {
     "op1_token_records": token_records.op1_query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_preference_pairs": preference.op5_query,
     "op6_token_counts": token_counts.op6_query,
     "op7_decontamination": decontaminate.op7_query,
+    "op8_paragraph_dedup": paragraphs.op8_query,
     "op9_quality_rules": quality.op9_query,
     "op10_sharding": sharding.op10_query,
 }
