@@ -64,15 +64,19 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every document, written once to the shared folder."""
+    """(row, doc_id, fp) for every document, written once to the shared folder.
+
+    ``row`` is the document's place in the scan: it tells rows with one id apart, and finds them again in
+    another scan of the same table.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), width) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            found = [fingerprint(t.as_py(), width) for t in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.int64())], ["row", "doc_id", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    return materialize(rows.mapInArrow(run, "doc_id long, fp long"), "fingerprints")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
+    return materialize(rows.mapInArrow(run, "row long, doc_id long, fp long"), "fingerprints")
 
 
 def block_masks(blocks: int = BLOCKS, radius: int = RADIUS) -> list[int]:
@@ -193,28 +197,30 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, blocks: int = B
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id): every document with its fingerprint and its group's smallest id."""
+    """(row, doc_id, fp, component_id, root): every document with its fingerprint, its group's smallest id and
+    one of the group's fingerprints."""
     rows = fingerprints(docs, width)
     classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     roots = connected_components(fingerprint_links(classes.select("fp"), radius))
     joined = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialize(joined.join(least, "root").select("fp", "component_id"), "fingerprint-groups")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = materialize(joined.join(least, "root").select("fp", "component_id", "root"), "fingerprint-groups")
+    return rows.join(named, "fp").select("row", "doc_id", "fp", "component_id", "root")
 
 
 def deduplicated(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents less near-copies: of each group the one with the smallest id stays.
+    """The documents less near-copies: of each group one stays, with the smallest id (null last, then by place).
 
-    Rows that repeat such an id are cut to one; a group whose ids are all null keeps its rows.
+    ``docs`` must be a table scan, whose rows are found again by their place.
     """
     found = near_duplicates(docs, width, radius)
-    keep = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("doc_id", "_id"))
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["_id"]))
-    once = kept.filter("_n = 1 or _id is null").select(*[docs[c] for c in docs.columns])
-    more = kept.filter("_n > 1 and _id is not null").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
-    return once.unionByName(more)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    keep = found.groupBy("root").agg(F.min(first)["row"].alias("_kept_row")).select("_kept_row")
+    name = "_row"
+    while name in docs.columns:
+        name = "_" + name
+    numbered = docs.withColumn(name, F.monotonically_increasing_id())
+    return numbered.join(keep, F.col(name) == F.col("_kept_row"), "left_semi").select(*[numbered[c] for c in docs.columns])
 
 
 def op3_query(spark: SparkSession, sf_dir: str) -> DataFrame:
