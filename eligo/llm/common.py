@@ -33,6 +33,14 @@ def text_bytes(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not use."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

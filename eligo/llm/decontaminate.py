@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eligo.llm.common import documents, text_bytes
+from eligo.llm.common import documents, fresh, text_bytes
 
 SIMILARITY = 0.8
 MIN_WORDS = 8
@@ -247,9 +247,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = S
     """The documents that hold no item; the rows go by once per block and are not shuffled."""
     from pyspark.sql import types as T
     spark, out = docs.sparkSession, docs
-    name = "_text"
-    while name in docs.columns:
-        name = "_" + name
+    name = fresh(docs, "_text")
     for block in item_blocks(benchmark, min_words):
         index = spark.sparkContext.broadcast(build_index(block))
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from eligo.llm.common import WORD, documents, materialize
+from eligo.llm.common import WORD, documents, fresh, materialize
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3          # times its size that a source may be taken
@@ -198,11 +198,12 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     share the mean of what is taken of them.
     """
     _, taken = mix(docs, seed=seed)
-    times = (taken.groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_x"))
-             .withColumn("_n", F.floor(F.col("_x") + F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 20)) / float(1 << 20)))
-             .select(F.col("doc_id").alias("_id"), F.coalesce("_n", F.lit(1)).cast("int").alias("_n")))
-    out = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"])).filter("_n > 0")
-    return out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[docs[c] for c in docs.columns])
+    of, times = fresh(docs, "_of"), fresh(docs, "_times")
+    chance = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 20)) / float(1 << 20)
+    share = (taken.groupBy("doc_id").agg((F.sum("taken") / F.nullif(F.sum("size"), F.lit(0))).alias("x"))
+             .select(F.col("doc_id").alias(of), F.coalesce(F.floor(F.col("x") + chance), F.lit(1)).cast("int").alias(times)))
+    out = docs.join(share, docs["doc_id"].eqNullSafe(share[of])).filter(F.col(times) > 0)
+    return out.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[docs[c] for c in docs.columns])
 
 
 def op2_query(spark: SparkSession, sf_dir: str) -> DataFrame:

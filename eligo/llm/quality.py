@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from eligo.llm.common import documents, materialize, text_bytes
+from eligo.llm.common import documents, fresh, materialize, text_bytes
 
 MAX_FALSE_REJECTION = 0.02  # of a stratum's good documents, over all rules
 DELTA = 0.05                # chance that any stratum's promise fails
@@ -157,11 +157,11 @@ def certified_cutoffs(counted: DataFrame, labels: DataFrame, max_false_rejection
             .groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")))
 
 
-def verdict(rules: dict | None = None, c: str = "") -> Column:
+def verdict(rules: dict | None = None, c: str = "", cutoffs: str = "cutoffs") -> Column:
     """True unless a base rule or a certified cutoff rejects the row; ``cutoffs`` is null where none is certified."""
     out = ~base_failed(c)
     for r in rules or RULES:
-        out = out & F.coalesce(rule_value(r, c) <= F.col("cutoffs")[r], F.lit(True))
+        out = out & F.coalesce(rule_value(r, c) <= F.col(cutoffs)[r], F.lit(True))
     return out
 
 
@@ -186,12 +186,10 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     counted = materialize(with_counts(docs.select("doc_id", stratum().alias("stratum"), "text"), "c")
                           .select("doc_id", "stratum", "c.*"), "quality-counts")
-    cutoffs = certified_cutoffs(counted, labels).withColumnRenamed("stratum", "_stratum")
-    name = "_counts"
-    while name in docs.columns:
-        name = "_" + name
-    out = with_counts(docs, name).join(F.broadcast(cutoffs), stratum().eqNullSafe(F.col("_stratum")), "left")
-    return out.filter(verdict(c=name + ".")).select(*docs.columns)
+    name, of, cuts = fresh(docs, "_counts"), fresh(docs, "_of"), fresh(docs, "_cutoffs")
+    cutoffs = certified_cutoffs(counted, labels).select(F.col("stratum").alias(of), F.col("cutoffs").alias(cuts))
+    out = with_counts(docs, name).join(F.broadcast(cutoffs), stratum().eqNullSafe(F.col(of)), "left")  # bounded: see there
+    return out.filter(verdict(c=name + ".", cutoffs=cuts)).select(*docs.columns)
 
 
 def op9_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eligo.llm.common import documents, materialize, text_bytes
+from eligo.llm.common import documents, fresh, materialize, text_bytes
 from eligo.llm.components import connected_components
 
 SHINGLE = 4
@@ -215,12 +215,10 @@ def deduplicated(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) ->
     """
     found = near_duplicates(docs, width, radius)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    keep = found.groupBy("root").agg(F.min(first)["row"].alias("_kept_row")).select("_kept_row")
-    name = "_row"
-    while name in docs.columns:
-        name = "_" + name
+    name, kept = fresh(docs, "_row"), fresh(docs, "_kept")
+    keep = found.groupBy("root").agg(F.min(first)["row"].alias("least")).select(F.col("least").alias(kept))
     numbered = docs.withColumn(name, F.monotonically_increasing_id())
-    return numbered.join(keep, F.col(name) == F.col("_kept_row"), "left_semi").select(*[numbered[c] for c in docs.columns])
+    return numbered.join(keep, F.col(name) == F.col(kept), "left_semi").select(*[numbered[c] for c in docs.columns])
 
 
 def op3_query(spark: SparkSession, sf_dir: str) -> DataFrame:
