@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import re
 import uuid
 from collections.abc import Mapping
 
@@ -11,6 +12,9 @@ from eligo import constants as K
 
 DIALECTS = ("d3", "d2", "d1")
 
+# A run id names a directory of the result tables, so only characters that paths never escape are allowed.
+RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
+
 
 @dataclasses.dataclass(frozen=True)
 class RunConfig:
@@ -42,6 +46,8 @@ class RunConfig:
     def __post_init__(self):
         if self.dialect not in DIALECTS:
             raise ValueError(f"unknown dialect {self.dialect!r}; expected one of {DIALECTS}")
+        if not RUN_ID.fullmatch(self.id):
+            raise ValueError(f"run id {self.id!r}: letters, digits, '.', '_' and '-' only, a letter or digit first")
         dt.date.fromisoformat(self.cutoff_date)
         for name in ("years_since_arrest", "years_since_felony",
                      "years_until_conviction_after_misdemeanor", "years_until_conviction_after_felony"):

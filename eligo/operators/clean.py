@@ -55,10 +55,3 @@ def clean_charges(raw: DataFrame, as_of: str | dt.date | None = None) -> DataFra
             .transform(lambda d: filter_hearing_dates(d, as_of))
             .transform(standardize_race_column)
             .transform(fix_fips_codes))
-
-
-def drop_invalid(df: DataFrame) -> DataFrame:
-    """Rows the rules cannot classify (invalid disposition or charge type), for a side count."""
-    from eligo import constants as K
-    return df.filter(~F.coalesce(F.col("disposition_code").isin(*K.VALID_DISPOSITIONS), F.lit(False))
-                     | ~F.coalesce(F.col("charge_type").isin(*K.CHARGE_TYPES), F.lit(False)))

@@ -53,6 +53,26 @@ def clean_for_rules(charges: DataFrame, cfg: RunConfig) -> DataFrame:
     return H.with_category_codes(df)
 
 
+# Why a charge takes no part in a classification, in the order in which the reasons are looked for.
+DROP_REASONS = ("no hearing date", "on or after the cutoff", "invalid disposition", "not a misdemeanor or felony")
+
+
+def drop_reason(cfg: RunConfig) -> Column:
+    """The first reason to leave the charge out; null for the charges that :func:`clean_for_rules` keeps."""
+    held = F.coalesce(F.col("disposition_code").isin(*K.VALID_DISPOSITIONS), F.lit(False))
+    kind = F.coalesce(F.col("charge_type").isin(*K.CHARGE_TYPES), F.lit(False))
+    late = F.lit(cfg.apply_cutoff) & (F.col("hearing_date") >= F.lit(cfg.cutoff_date).cast("date"))
+    return (F.when(F.col("hearing_date").isNull(), DROP_REASONS[0]).when(late, DROP_REASONS[1])
+            .when(~held, DROP_REASONS[2]).when(~kind, DROP_REASONS[3]))
+
+
+def dropped_counts(charges: DataFrame, cfg: RunConfig) -> DataFrame:
+    """(run_id, reason, n_charges): how many charges the classification leaves out, and why."""
+    return (charges.select(drop_reason(cfg).alias("reason")).filter("reason is not null")
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("n_charges"))
+            .select(F.lit(cfg.id).alias("run_id"), "reason", "n_charges"))
+
+
 def _disqualifiers(cfg: RunConfig) -> dict[str, Column]:
     dpy = cfg.days_per_year
     flags = {

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eligo.config import RunConfig
 from eligo.operators.clean import clean_charges
-from eligo.plans.classify import classify
+from eligo.plans.classify import classify, classify_rows, dropped_counts
+from eligo.schemas import FEATURES, OUTCOMES
 from eligo.sinks import tables as sinks
 
 log = logging.getLogger(__name__)
@@ -21,21 +25,31 @@ def run_ingestion(raw: DataFrame, root: str, as_of: str | None = None, clear_exi
     sinks.write_charges(clean_charges(raw, as_of), root, clear_existing=clear_existing, buckets=buckets)
 
 
+def _publish(spark: SparkSession, root: str, cfg: RunConfig, staged: str, write_features: bool, charges: DataFrame) -> None:
+    """Write the run's tables from the staged classification."""
+    wide = spark.read.parquet(staged)
+    project = lambda schema: wide.select(*[f.name for f in schema.fields if f.name != "run_id"])
+    sinks.write_results(project(FEATURES) if write_features else None, project(OUTCOMES), root, cfg.id,
+                        dropped_counts(charges, cfg))
+    sinks.delete(spark, staged)
+
+
 def run_classification(spark: SparkSession, root: str, cfg: RunConfig | None = None,
                        write_features: bool = False, charges: DataFrame | None = None) -> str:
     """Classify the charges table into ``outcomes`` (and ``features``) under the run id.
 
-    A repeated run id replaces the earlier run. The run record goes from
-    'In Progress' to 'Completed', 'Canceled' or 'Failed'.
+    A repeated run id replaces the earlier run. The run record goes from 'In Progress' to 'Completed', 'Canceled'
+    or 'Failed'. The classification runs once, into a staging table, and the result tables are projections of it.
     """
     cfg = (cfg or RunConfig()).resolved()
     start = dt.datetime.now()
     sinks.write_run_record(spark, root, cfg, "In Progress", start)
     status = "Failed"
     try:
-        source = charges if charges is not None else spark.read.parquet(f"{root}/charges")
-        features, outcomes = classify(source, cfg)
-        sinks.write_results(features if write_features else None, outcomes, root, cfg.id)
+        source = charges if charges is not None else spark.read.parquet(f"{root}/charges").drop("person_bucket")
+        staged = f"{root}/_staging/{cfg.id}-{uuid.uuid4().hex}"
+        stage_table(source, cfg, write_features).write.parquet(staged)
+        _publish(spark, root, cfg, staged, write_features, source)
         status = "Completed"
     except KeyboardInterrupt:
         status = "Canceled"
@@ -48,6 +62,15 @@ def run_classification(spark: SparkSession, root: str, cfg: RunConfig | None = N
     return cfg.id
 
 
+def stage_table(charges: DataFrame, cfg: RunConfig, write_features: bool) -> DataFrame:
+    """Outcome columns and, if wanted, feature columns of one classification."""
+    if not write_features:
+        return classify(charges, cfg)[1].drop("run_id")
+    wide = classify_rows(charges, cfg).withColumnRenamed("id", "charge_id")
+    return wide.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in
+                         [*FEATURES.fields, *OUTCOMES.fields[2:]] if f.name != "run_id"])
+
+
 def classify_table(spark: SparkSession, input_path: str, output_path: str, cfg: RunConfig | None = None,
                    rule_set=None) -> None:
     """Classify every person of a charges table and append the per-charge file to ``output_path``
@@ -61,48 +84,43 @@ def classify_table(spark: SparkSession, input_path: str, output_path: str, cfg:
     sinks.append_table(out, output_path)
 
 
-def _done_buckets(spark: SparkSession, path: str) -> set[int]:
-    """Buckets whose staged output exists (from the file listing; no job runs)."""
-    import re
-    try:
-        files = spark.read.parquet(path).inputFiles()
-    except Exception:  # nothing staged yet
-        return set()
-    return {int(m.group(1)) for f in files if (m := re.search(r"/bucket=(\d+)/", f))}
+def _staging_key(charges: DataFrame, cfg: RunConfig, buckets: int, write_features: bool) -> str:
+    """Names the staged work of one run: another input, configuration or layout never meets it."""
+    facts = [repr(cfg), buckets, write_features, sorted(charges.inputFiles())]
+    return hashlib.sha256(json.dumps(facts).encode()).hexdigest()[:32]
 
 
-def run_classification_resumable(spark: SparkSession, root: str, cfg: RunConfig | None = None, buckets: int = 16,
+def run_classification_resumable(spark: SparkSession, root: str, cfg: RunConfig | None = None, buckets: int | None = None,
                                  write_features: bool = False) -> str:
-    """Classify the charges table bucket by bucket of persons; a rerun skips finished buckets.
-
-    Persons are independent, so each bucket is an exact classification of
-    its persons. Each bucket overwrites its own staging directory (rerunning
-    a bucket is idempotent), and the run is published into its ``run_id``
-    partitions in one final write. With a charges table written by
-    ``run_ingestion(..., buckets=n)`` (same ``n``), each bucket reads only its
-    own partition; otherwise every bucket scans the table.
+    """Classify the charges table bucket by bucket of persons; a rerun after a failure skips finished buckets.
+
+    Persons are independent, so each bucket is an exact classification of its persons. A bucket counts as finished
+    once its job has committed (its success marker is there). The staged buckets belong to one configuration, one
+    set of input files and one bucket count; they are deleted when the run is published, so a later run with the
+    same id starts anew. With a charges table written by ``run_ingestion(..., buckets=n)`` the number of buckets is
+    the table's (another number is refused) and each bucket reads its own partition; else it is ``buckets`` (16),
+    and every bucket scans the table.
     """
-    from pyspark.sql import functions as F
-
     cfg = (cfg or RunConfig()).resolved()
-    staging = f"{root}/_staging/{cfg.id}"
+    layout = sinks.bucket_layout(spark, root)
+    if layout and buckets and buckets != layout:
+        raise ValueError(f"{root}/charges has {layout} person buckets, not {buckets}")
+    charges = spark.read.parquet(f"{root}/charges")
+    if "person_bucket" in charges.columns and not layout:
+        raise ValueError(f"{root}/charges is partitioned by person bucket, but their number is not stored beside it")
+    n = layout or buckets or 16
+    staging = f"{root}/_staging/{cfg.id}-{_staging_key(charges, cfg, n, write_features)}"
     start = dt.datetime.now()
     sinks.write_run_record(spark, root, cfg, "In Progress", start)
     status = "Failed"
     try:
-        charges = spark.read.parquet(f"{root}/charges")
-        if "person_bucket" not in charges.columns:
-            charges = charges.withColumn("person_bucket", sinks.person_bucket(buckets))
-        done = _done_buckets(spark, f"{staging}/outcomes")
-        for b in range(buckets):
-            if b in done:
-                continue
-            features, outcomes = classify(charges.filter(F.col("person_bucket") == b).drop("person_bucket"), cfg)
-            if write_features:
-                features.write.mode("overwrite").parquet(f"{staging}/features/bucket={b}")
-            outcomes.write.mode("overwrite").parquet(f"{staging}/outcomes/bucket={b}")
-        staged_features = spark.read.parquet(f"{staging}/features").drop("bucket") if write_features else None
-        sinks.write_results(staged_features, spark.read.parquet(f"{staging}/outcomes").drop("bucket"), root, cfg.id)
+        if not layout:
+            charges = charges.withColumn("person_bucket", sinks.person_bucket(n))
+        for b in range(n):
+            if not sinks.exists(spark, f"{staging}/bucket={b}/_SUCCESS"):
+                part = charges.filter(F.col("person_bucket") == b).drop("person_bucket")
+                stage_table(part, cfg, write_features).write.mode("overwrite").parquet(f"{staging}/bucket={b}")
+        _publish(spark, root, cfg, staging, write_features, charges.drop("person_bucket"))
         status = "Completed"
     except KeyboardInterrupt:
         status = "Canceled"

@@ -14,11 +14,6 @@ CHARGES = _struct(
     ("charge_class", S), ("disposition_code", S), ("plea", S), ("race", S), ("sex", S), ("fips", S),
 )
 
-RAW_CHARGES = _struct(
-    ("id", L), ("person_id", L), ("HearingDate", D), ("CodeSection", S), ("ChargeType", S), ("Class", S),
-    ("DispositionCode", S), ("Plea", S), ("Race", S), ("Sex", S), ("fips", S),
-)
-
 RUNS = T.StructType([
     T.StructField("id", S, False), T.StructField("start_at", TS), T.StructField("end_at", TS),
     T.StructField("status", S), T.StructField("cutoff_date", D),
@@ -29,6 +24,7 @@ RUNS = T.StructType([
     T.StructField("years_until_conviction_after_misdemeanor", I),
     T.StructField("years_until_conviction_after_felony", I),
     T.StructField("lifetime_rule", B), T.StructField("sameday_rule", B),
+    T.StructField("dialect", S), T.StructField("apply_cutoff", B), T.StructField("lifetime_limit", I),
 ])
 
 RUN_STATUSES = ("In Progress", "Completed", "Failed", "Canceled")
@@ -54,10 +50,8 @@ DECISION_KEYS = (
     "has_class_1_or_2", "has_class_3_or_4",
 )
 
-PERSON_COUNTS = _struct(
-    ("person_id", L), ("automatic", L), ("petition", L), ("automatic_pending", L), ("petition_pending", L),
-    ("not_eligible", L), ("old_petition", L), ("old_not_eligible", L),
-)
+# Charges a run left out, by reason (the first that applies) and their number.
+DROPPED = _struct(("run_id", S), ("reason", S), ("n_charges", L))
 
 # The court CSV column names (district layout, circuit layout, combined).
 DISTRICT_COLUMNS = ("Locality", "HearingDate", "person_id", "CodeSection", "FinalDisposition", "HearingPlea",
@@ -67,7 +61,3 @@ CIRCUIT_COLUMNS = ("Locality", "HearingDate", "person_id", "CodeSection", "Dispo
 COURT_COLUMNS = ("Locality", "HearingDate", "person_id", "CodeSection", "DispositionCode", "Plea",
                  "ChargeType", "Charge", "Class", "Race", "Sex", "fips", "CourtType")
 
-
-def court_csv_schema(columns) -> T.StructType:
-    types = {"HearingDate": D, "person_id": L}
-    return T.StructType([T.StructField(c, types.get(c, S), True) for c in columns])

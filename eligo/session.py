@@ -15,12 +15,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
 
-# Used only when this module starts the JVM (local runs, tests, bench).
-LOCAL_JVM_CONF = {"spark.driver.memory": "16g"}
+# Used only when this module starts the JVM of a local master (tests, bench): there the driver does the work.
+LOCAL_JVM_CONF = {"spark.driver.memory": "8g"}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -30,7 +29,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_CONF)
-    conf.update(LOCAL_JVM_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_JVM_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

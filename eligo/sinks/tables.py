@@ -15,28 +15,43 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eligo.config import RunConfig
-from eligo.schemas import CHARGES, FEATURES, OUTCOMES, RUNS
+from eligo.schemas import CHARGES, DROPPED, FEATURES, OUTCOMES, RUNS
+
+# Run-partitioned tables and their partition column.
+RESULT_TABLES = {"runs": (RUNS, "id"), "features": (FEATURES, "run_id"), "outcomes": (OUTCOMES, "run_id"),
+                 "dropped": (DROPPED, "run_id")}
 
 
 def _run_path(root: str, table: str, run_id: str) -> str:
-    key = "id" if table == "runs" else "run_id"
-    return f"{root}/{table}/{key}={run_id}"
+    return f"{root}/{table}/{RESULT_TABLES[table][1]}={run_id}"
 
 
 def _write_run_partition(df: DataFrame, root: str, table: str, run_id: str) -> None:
     """Overwrite exactly one run's partition directory (an empty frame empties it)."""
-    key = "id" if table == "runs" else "run_id"
-    df.drop(key).write.mode("overwrite").parquet(_run_path(root, table, run_id))
+    df.drop(RESULT_TABLES[table][1]).write.mode("overwrite").parquet(_run_path(root, table, run_id))
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
     """Empty tables with the declared schemas (no-op for tables that exist)."""
-    for name, schema, parts in (("charges", CHARGES, []), ("runs", RUNS, ["id"]),
-                                ("features", FEATURES, ["run_id"]), ("outcomes", OUTCOMES, ["run_id"])):
-        w = spark.createDataFrame([], schema).write.mode("ignore")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(f"{root}/{name}")
+    spark.createDataFrame([], CHARGES).write.mode("ignore").parquet(f"{root}/charges")
+    for name, (schema, key) in RESULT_TABLES.items():
+        spark.createDataFrame([], schema).write.mode("ignore").partitionBy(key).parquet(f"{root}/{name}")
+
+
+def path_of(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = path_of(spark, path)
+    return fs.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = path_of(spark, path)
+    fs.delete(p, True)
 
 
 def person_bucket(n: int) -> "F.Column":
@@ -44,26 +59,35 @@ def person_bucket(n: int) -> "F.Column":
     return F.pmod(F.xxhash64(F.coalesce(F.col("person_id"), -F.col("id") - 1)), F.lit(n)).cast("int")
 
 
+def bucket_layout(spark: SparkSession, root: str) -> int | None:
+    """Person buckets that the charges table is partitioned by (None: not at all)."""
+    if not exists(spark, f"{root}/charges_layout"):
+        return None
+    return spark.read.parquet(f"{root}/charges_layout").first()["buckets"]
+
+
 def write_charges(charges: DataFrame, root: str, clear_existing: bool = True, buckets: int | None = None) -> None:
-    """Load cleaned charges. A full refresh (default) also clears runs, features and outcomes.
+    """Load cleaned charges. A full refresh (default) also clears runs, features, outcomes and drop counts.
 
-    With ``buckets``, the table is partitioned by ``person_bucket`` so a
-    classification can read one bucket of persons by partition pruning.
+    With ``buckets``, the table is partitioned by ``person_bucket`` so a classification can read one bucket of
+    persons by partition pruning; the number is stored beside the table, and an append must keep it. A refresh
+    overwrites whole tables, whatever the session's overwrite mode: a dynamic overwrite would keep the
+    partitions that the new load does not touch.
     """
     spark = charges.sparkSession
     if clear_existing:
-        for name, schema, parts in (("runs", RUNS, ["id"]), ("features", FEATURES, ["run_id"]),
-                                    ("outcomes", OUTCOMES, ["run_id"])):
-            w = spark.createDataFrame([], schema).write.mode("overwrite")
-            if parts:
-                w = w.partitionBy(*parts)
-            w.parquet(f"{root}/{name}")
-    mode = "overwrite" if clear_existing else "append"
+        for name, (schema, key) in RESULT_TABLES.items():
+            (spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy(key).parquet(f"{root}/{name}"))
+        (spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite")
+         .parquet(f"{root}/charges_layout"))
+    elif exists(spark, f"{root}/charges") and (now := bucket_layout(spark, root)) != buckets:
+        raise ValueError(f"{root}/charges has {now or 'no'} person buckets; an append with {buckets or 'none'} would mix layouts")
+    writer = charges if not buckets else charges.withColumn("person_bucket", person_bucket(buckets))
+    writer = writer.write.mode("overwrite" if clear_existing else "append").option("partitionOverwriteMode", "static")
     if buckets:
-        charges.withColumn("person_bucket", person_bucket(buckets)).write.mode(mode) \
-            .partitionBy("person_bucket").parquet(f"{root}/charges")
-    else:
-        charges.write.mode(mode).parquet(f"{root}/charges")
+        writer = writer.partitionBy("person_bucket")
+    writer.parquet(f"{root}/charges")
 
 
 def run_record(spark: SparkSession, cfg: RunConfig, status: str, start_at: dt.datetime,
@@ -81,8 +105,9 @@ def write_run_record(spark: SparkSession, root: str, cfg: RunConfig, status: str
     _write_run_partition(run_record(spark, cfg, status, start_at, end_at), root, "runs", cfg.id)
 
 
-def write_results(features: DataFrame | None, outcomes: DataFrame, root: str, run_id: str) -> None:
-    """Replace the run's partition of outcomes and of features.
+def write_results(features: DataFrame | None, outcomes: DataFrame, root: str, run_id: str,
+                  dropped: DataFrame | None = None) -> None:
+    """Replace the run's partition of outcomes, of features and of the counts of dropped charges.
 
     Without features, the run's features partition is emptied, so features of
     an earlier run with the same id never outlive it.
@@ -91,19 +116,18 @@ def write_results(features: DataFrame | None, outcomes: DataFrame, root: str, ru
     if features is None:
         features = spark.createDataFrame([], FEATURES)
     _write_run_partition(features, root, "features", run_id)
+    _write_run_partition(dropped if dropped is not None else spark.createDataFrame([], DROPPED), root, "dropped", run_id)
     _write_run_partition(outcomes, root, "outcomes", run_id)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A run-partitioned table with its declared schema (so run ids are never re-typed)."""
-    schema = {"runs": RUNS, "features": FEATURES, "outcomes": OUTCOMES}[table]
-    return spark.read.schema(schema).parquet(f"{root}/{table}")
+    return spark.read.schema(RESULT_TABLES[table][0]).parquet(f"{root}/{table}")
 
 
 def read_run(spark: SparkSession, root: str, table: str, run_id: str) -> DataFrame:
     """Results of one run (partition pruning on the run key)."""
-    key = "id" if table == "runs" else "run_id"
-    return read_table(spark, root, table).filter(F.col(key) == run_id)
+    return read_table(spark, root, table).filter(F.col(RESULT_TABLES[table][1]) == run_id)
 
 
 def write_person_clustered(df: DataFrame, path: str, prefix_len: int = 5) -> None:

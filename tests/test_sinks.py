@@ -2,9 +2,14 @@
 
 import dataclasses
 
+import pytest
+
 from eligo.config import RunConfig
-from eligo.plans.run import run_classification
+from eligo.plans.run import run_classification, run_classification_resumable
+from eligo.schemas import FEATURES
 from eligo.sinks import tables as sinks
+from eligo.sources.fixtures import load_charges
+from tests.conftest import SF_SMALL
 from tests.helpers import charge, frame
 
 
@@ -76,56 +81,106 @@ def test_classify_table_create_then_append(spark, tmp_path):
     assert df.count() == 4 and len(df.columns) == 28
 
 
-def test_resumable_run_equals_single_run(spark, tmp_path):
+def _load(spark, root, rows, buckets=None, **kw):
     from eligo.operators.clean import to_raw_layout
-    from eligo.plans.run import run_classification_resumable, run_ingestion
-    from eligo.sources.fixtures import load_charges
+    from eligo.plans.run import run_ingestion
+    run_ingestion(to_raw_layout(rows), root, as_of="2020-01-01", buckets=buckets, **kw)
+
+
+def _outcomes(spark, root, run_id):
+    return sorted((r["charge_id"], r["expungability"]) for r in sinks.read_run(spark, root, "outcomes", run_id).collect())
+
+
+@pytest.mark.parametrize("buckets,mode", [(None, "static"), (4, "dynamic")])
+def test_refresh_leaves_the_new_rows_alone(spark, tmp_path, buckets, mode):
     root = str(tmp_path / "db")
-    run_ingestion(to_raw_layout(load_charges(spark, "/root/testdata/sf0.001")), root, as_of="2020-01-01", buckets=4)
-    cfg = RunConfig(id="whole", cutoff_date="2019-12-31")
-    run_classification(spark, root, cfg)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        _load(spark, root, frame(spark, [charge(i, i, "2015-01-01") for i in range(40)]), buckets)
+        run_classification(spark, root, RunConfig(id="a", cutoff_date="2020-12-31"), write_features=True)
+        assert sinks.read_run(spark, root, "outcomes", "a").count() == 40
+        _load(spark, root, frame(spark, [charge(99, 7, "2015-01-01")]), buckets)
+        assert [r["id"] for r in spark.read.parquet(f"{root}/charges").collect()] == [99]
+        for table in ("outcomes", "features", "runs", "dropped"):
+            assert sinks.read_table(spark, root, table).count() == 0, table
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_append_keeps_the_bucket_layout(spark, tmp_path):
+    root, rows = str(tmp_path / "db"), frame(spark, [charge(1, 1, "2015-01-01")])
+    _load(spark, root, rows, 4)
+    for other in (None, 2):
+        with pytest.raises(ValueError, match="buckets"):
+            _load(spark, root, rows, other, clear_existing=False)
+    _load(spark, root, rows, 4, clear_existing=False)
+    assert spark.read.parquet(f"{root}/charges").count() == 2
+    with pytest.raises(ValueError, match="4 person buckets"):
+        run_classification_resumable(spark, root, buckets=2)
+
+
+def test_resumable_run_equals_single_run_also_after_changes(spark, tmp_path):
+    root, cfg = str(tmp_path / "db"), RunConfig(id="whole", cutoff_date="2019-12-31")
     part = dataclasses.replace(cfg, id="parts")
-    run_classification_resumable(spark, root, part, buckets=4)
-    run_classification_resumable(spark, root, part, buckets=4)  # rerun: every bucket already staged
-    a = {(r["charge_id"], r["expungability"]) for r in sinks.read_run(spark, root, "outcomes", "whole").collect()}
-    b = [(r["charge_id"], r["expungability"]) for r in sinks.read_run(spark, root, "outcomes", "parts").collect()]
-    assert len(b) == len(set(b)) and set(b) == a and a
+    all_rows = load_charges(spark, SF_SMALL)
+    _load(spark, root, all_rows, 4)
+    run_classification(spark, root, cfg)
+    run_classification_resumable(spark, root, part)
+    assert _outcomes(spark, root, "parts") == _outcomes(spark, root, "whole") != []
+    # The same run id with other charges, then with other rules: published anew, nothing of before.
+    half = str(tmp_path / "half")
+    all_rows.filter("id % 2 = 0").write.parquet(half)
+    _load(spark, root, spark.read.parquet(half), 4)
+    for change in ({}, {"sameday_rule": False, "lifetime_rule": False}):
+        run_classification(spark, root, dataclasses.replace(cfg, **change))
+        run_classification_resumable(spark, root, dataclasses.replace(part, **change), write_features=bool(change))
+        assert _outcomes(spark, root, "parts") == _outcomes(spark, root, "whole") != []
+    assert sinks.read_run(spark, root, "features", "parts").count() == len(_outcomes(spark, root, "parts"))
 
 
 def test_resume_after_failure_skips_finished_buckets(spark, tmp_path, monkeypatch):
-    import pytest
-
     import eligo.plans.run as run_mod
-    from eligo.operators.clean import to_raw_layout
-    from eligo.sources.fixtures import load_charges
-    root = str(tmp_path / "db")
-    run_mod.run_ingestion(to_raw_layout(load_charges(spark, "/root/testdata/sf0.001")), root, as_of="2020-01-01",
-                          buckets=4)
-    cfg = RunConfig(id="r", cutoff_date="2019-12-31")
-    real = run_mod.classify
-    calls = []
+    root, cfg = str(tmp_path / "db"), RunConfig(id="r", cutoff_date="2019-12-31")
+    _load(spark, root, load_charges(spark, SF_SMALL), 4)
+    real, calls = run_mod.stage_table, []
 
-    def failing(df, c):
+    def failing(*args):
         calls.append(1)
         if len(calls) == 3:
             raise RuntimeError("driver lost")
-        return real(df, c)
+        return real(*args)
 
-    monkeypatch.setattr(run_mod, "classify", failing)
+    monkeypatch.setattr(run_mod, "stage_table", failing)
     with pytest.raises(RuntimeError):
-        run_mod.run_classification_resumable(spark, root, cfg, buckets=4)
-    counted = []
-
-    def counting(df, c):
-        counted.append(1)
-        return real(df, c)
-
-    monkeypatch.setattr(run_mod, "classify", counting)
-    run_mod.run_classification_resumable(spark, root, cfg, buckets=4)
-    assert len(counted) == 2  # buckets 0 and 1 were already staged
-    whole = dataclasses.replace(cfg, id="whole")
-    monkeypatch.setattr(run_mod, "classify", real)
-    run_mod.run_classification(spark, root, whole)
-    a = {(r["charge_id"], r["expungability"]) for r in sinks.read_run(spark, root, "outcomes", "whole").collect()}
-    b = [(r["charge_id"], r["expungability"]) for r in sinks.read_run(spark, root, "outcomes", "r").collect()]
-    assert len(b) == len(set(b)) and set(b) == a
+        run_classification_resumable(spark, root, cfg)
+    run_classification_resumable(spark, root, cfg)
+    assert len(calls) == 3 + 2  # buckets 0 and 1 were staged before
+    run_classification(spark, root, dataclasses.replace(cfg, id="whole"))
+    assert _outcomes(spark, root, "r") == _outcomes(spark, root, "whole") != []
+
+
+def test_features_and_outcomes_come_from_one_classification(spark, tmp_path, monkeypatch):
+    import eligo.plans.classify as classify_mod
+    import eligo.plans.run as run_mod
+    calls, real = [], classify_mod.classify_rows
+    for mod in (classify_mod, run_mod):
+        monkeypatch.setattr(mod, "classify_rows", lambda *a, **k: calls.append(1) or real(*a, **k))
+    root = str(tmp_path / "db")
+    rows = frame(spark, [charge(1, 1, "2015-01-01"), charge(2, 1, "2016-01-01", disp="Prepaid")])
+    run_classification(spark, root, RunConfig(id="a", cutoff_date="2020-12-31"), write_features=True, charges=rows)
+    assert len(calls) == 1
+    assert set(sinks.read_run(spark, root, "features", "a").columns) == {f.name for f in FEATURES.fields}
+    dropped = {r["reason"]: r["n_charges"] for r in sinks.read_run(spark, root, "dropped", "a").collect()}
+    assert dropped == {"invalid disposition": 1}
+
+
+def test_run_ids_and_the_full_record(spark, tmp_path):
+    for bad in ("2024/a b", "a=b", "", "..", "%41"):
+        with pytest.raises(ValueError, match="run id"):
+            RunConfig(id=bad)
+    root, cfg = str(tmp_path / "db"), RunConfig(id="2024-01.a_B", dialect="d2", apply_cutoff=False, lifetime_limit=3)
+    run_classification(spark, root, cfg, charges=frame(spark, [charge(1, 1, "2015-01-01")]))
+    assert sinks.read_run(spark, root, "outcomes", cfg.id).count() == 1
+    row = sinks.read_run(spark, root, "runs", cfg.id).first()
+    again = RunConfig.from_mapping({k: v for k, v in row.asDict().items() if k not in ("start_at", "end_at", "status")})
+    assert again == cfg
