@@ -263,17 +263,6 @@ LIFETIME_SUFFIX = (
 # Rare dispositions looked up in the edge-case analysis.
 RARE_DISPOSITIONS = ("Complied With Law", "Resolved", "Certified Misdemeanor", "Granted", "Denied")
 
-# Disposition values of the per-file profile (blank/null counted as MISSING).
-PROFILE_DISPOSITIONS = (
-    "MISSING", "Appeal Withdrawn", "Dismissed", "Guilty", "Mistrial", "No Indictment Presented", "Nolle Prosequi",
-    "Not Guilty By Reason Of Insanity", "Not Guilty/Acquitted", "Not True Bill", "Remanded", "Resolved",
-    "Sentence/Probation Revoked", "Certified To Grand Jury", "Complied With Law", "Defendant Not Found",
-    "Fugitive File", "Guilty In Absentia", "Not Guilty", "Other", "Prepaid",
-    "Transferred To Another Jurisdiction/Court", "Extradition Waived", "Denied", "Granted", "Dismissed/Other",
-    "Not Guilty/Insanity", "Bond Forfeited", "Certified Misdemeanor", "Extradition Ordered",
-    "Adjudicated Habitual Offender",
-)
-
 # Labels of the old-vs-new totals.
 TOTAL_LABELS = {
     "automatic": "Automatic Exp.",
@@ -282,13 +271,3 @@ TOTAL_LABELS = {
     "old_petition": "Exp. w/ Petition",
     "old_not_eligible": "Not Eligible",
 }
-
-# Charge-type values of the per-file profile (blank/null counted as MISSING).
-PROFILE_CHARGE_TYPES = (
-    "MISSING", "Civil", "Felony", "Infraction", "Misdemeanor", "Other (Animal Violations, Bond Appeals)", "F",
-    "Capias", "Other", "Show Cause", "Non Case", "Civil Violation",
-    "Restricted Operator's License For Fine and Costs Only", "Motion [18.2-271.1(E)]",
-)
-
-# Plea values of the per-file profile (blank/null counted as MISSING).
-PROFILE_PLEAS = ("MISSING", "Guilty", "Nolo Contendere", "Not Guilty", "Tried In Absentia", "Alford")

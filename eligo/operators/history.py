@@ -53,7 +53,7 @@ def decode_categories(groups: DataFrame) -> DataFrame:
     """Category text back from the codes (once per group row)."""
     return groups.withColumns({
         name: F.element_at(F.array(*[F.lit(v) for v in CATEGORY_DOMAINS[name]]), F.col(code).cast("int"))
-        for code, name in zip(CODE_KEYS, COMBO_KEYS)})
+        for code, name in zip(CODE_KEYS, COMBO_KEYS) if code in groups.columns})
 
 
 def person_window():
@@ -86,8 +86,8 @@ def _flag_or_false(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def reduce_to_groups(rows: DataFrame, extra_aggs: dict[str, Column] | None = None) -> DataFrame:
-    """One row per (person, day, category triple) with the row count and class flags.
+def reduce_to_groups(rows: DataFrame, keys=GROUP_KEYS) -> DataFrame:
+    """One row per (person, day, categories) with the row count and class flags.
 
     Partial aggregation happens before the exchange, so the shuffle carries at
     most one row per group per map task.
@@ -103,8 +103,7 @@ def reduce_to_groups(rows: DataFrame, extra_aggs: dict[str, Column] | None = Non
         "_c12_any": F.bool_or(_flag_or_false(felony & c12)),
         "_c34_any": F.bool_or(_flag_or_false(felony & c34)),
     }
-    aggs.update(extra_aggs or {})
-    grouped = rows.groupBy(*GROUP_KEYS).agg(*[expr.alias(name) for name, expr in aggs.items()])
+    grouped = rows.groupBy(*keys).agg(*[expr.alias(name) for name, expr in aggs.items()])
     return decode_categories(grouped).withColumn("_day", day_number("hearing_date"))
 
 
@@ -144,16 +143,16 @@ def history_columns(groups: DataFrame, cutoff: str) -> DataFrame:
             }))
 
 
-def smallest_ids(rows: DataFrame, k: int) -> DataFrame:
-    """Per (person, day, category triple): the ``k`` smallest charge ids, as a sorted array.
+def smallest_ids(rows: DataFrame, k: int, keys=GROUP_KEYS) -> DataFrame:
+    """Per (person, day, categories): the ``k`` smallest charge ids, as a sorted array.
 
     ``row_number() <= k`` is planned as a partial ``WindowGroupLimit`` before
     the exchange, so a hot group ships at most ``k`` ids per map task.
     """
-    ranked = (rows.select(*GROUP_KEYS, "id")
-              .withColumn("_rk", F.row_number().over(Window.partitionBy(*GROUP_KEYS).orderBy("id")))
+    ranked = (rows.select(*keys, "id")
+              .withColumn("_rk", F.row_number().over(Window.partitionBy(*keys).orderBy("id")))
               .filter(F.col("_rk") <= k))
-    return ranked.groupBy(*GROUP_KEYS).agg(F.array_sort(F.collect_list("id")).alias("_ids"))
+    return ranked.groupBy(*keys).agg(F.array_sort(F.collect_list("id")).alias("_ids"))
 
 
 def kth_counted_id_of_day(counted: Column, need: Column) -> Column:

@@ -2,51 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from eligo import constants as K
 from eligo.operators.history import PERSON_KEYS
-
-
-def person_modes(rows: DataFrame, col: str, keys=PERSON_KEYS) -> DataFrame:
-    """Most frequent non-null value of ``col`` per person; ties go to the smallest value.
-
-    Counts per (person, value) are partial aggregates, and the ranking window
-    runs over distinct values of one person only.
-    """
-    w = Window.partitionBy(*keys).orderBy(F.desc("_cnt"), F.asc(col))
-    return (rows.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_cnt"))
-            .withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
-            .select(*keys, F.col(col).alias(f"_mode_{col}")))
+from eligo.operators.sampling import salted_join
 
 
 def all_modes(source: DataFrame, cols=("race", "sex"), keys=PERSON_KEYS) -> DataFrame:
-    """One row per person with ``_mode_<col>`` for each column, from a single pass over ``source``.
+    """One row per person with ``_mode_<col>``: the most frequent non-null value, the smallest of equals.
 
-    Each row contributes one (column, value) pair per column; pairs are
-    counted per person (partial aggregation), the top value per (person,
-    column) is kept by ``row_number() = 1`` (ties: smallest value), and a
-    pivot over the fixed column names makes one row per person.
+    One aggregation; each task first counts a person's values on its own.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_val"))
-                                for c in cols]))
-    counts = (source.select(*keys, pairs.alias("_p"))
-              .select(*keys, F.col("_p._col").alias("_col"), F.col("_p._val").alias("_val"))
-              .filter(F.col("_val").isNotNull())
-              .groupBy(*keys, "_col", "_val").agg(F.count(F.lit(1)).alias("_cnt")))
-    w = Window.partitionBy(*keys, "_col").orderBy(F.desc("_cnt"), F.asc("_val"))
-    top = counts.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1)
-    wide = top.groupBy(*keys).pivot("_col", list(cols)).agg(F.first("_val"))
-    return wide.select(*keys, *[F.col(c).alias(f"_mode_{c}") for c in cols])
+    return source.groupBy(*keys).agg(*[F.mode(F.col(c).cast("string"), True).alias(f"_mode_{c}") for c in cols])
 
 
 def impute_mode(rows: DataFrame, cols=("race", "sex"), keys=PERSON_KEYS, source: DataFrame | None = None) -> DataFrame:
     """Replace nulls of each column by the person's mode; 'MISSING' when the person has no value.
 
-    ``source`` (default ``rows``) is where the modes are counted; pass the
-    cleaned charge rows when ``rows`` is an expensive derived result, so that
-    result is computed once and only joined with the per-person modes.
+    ``source`` (default ``rows``) is where the modes are counted. Pass the cleaned charge rows when ``rows`` is an
+    expensive derived result: it is then computed once and joined as a whole. Without ``source`` the rows that
+    miss nothing pass by, and only the others are joined. The join spreads one person's rows over several parts.
     """
-    out = rows.join(all_modes(rows if source is None else source, cols, keys), list(keys), "left")
-    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_mode_{c}"), F.lit(K.MISSING)) for c in cols}) \
-        .drop(*[f"_mode_{c}" for c in cols])
+    modes = all_modes(rows if source is None else source, cols, keys)
+
+    def filled(part: DataFrame) -> DataFrame:
+        out = salted_join(part, modes, *keys, how="left", by="id")
+        return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_mode_{c}"), F.lit(K.MISSING)) for c in cols}) \
+            .drop(*[f"_mode_{c}" for c in cols])
+
+    if source is not None:
+        return filled(rows)
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+    return rows.filter(~missing).unionByName(filled(rows.filter(missing)))

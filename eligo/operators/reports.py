@@ -1,9 +1,9 @@
 """Analysis reports: counts, shares, cumulative shares, cross-tabs, profiles, reshaping.
 
-Every report aggregates first (partial aggregation before the shuffle); the
-only windows without a partition key (grand-total shares, cumulative share)
-run on already grouped rows whose number is bounded by the category
-vocabulary, never by the data.
+Every report aggregates first (partial aggregation before the shuffle). A grand
+total is a scalar subquery, so the groups of a share are never gathered in one
+task; the only window without a partition key (cumulative share) runs on the
+values with more than one percent, which are at most 99.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ def value_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:
 
 def share_of_total(grouped: DataFrame, count_col: str = "n", name: str = "percent",
                    within: tuple[str, ...] = (), decimals: int = 2) -> DataFrame:
-    """``ROUND(n * 100.0 / SUM(n) OVER (PARTITION BY within), decimals)`` on grouped rows."""
-    total = F.sum(count_col).over(Window.partitionBy(*within))
+    """``ROUND(n * 100.0 / total, decimals)`` on grouped rows; the total is over all rows, or per ``within``."""
+    total = F.sum(count_col).over(Window.partitionBy(*within)) if within else grouped.agg(F.sum(count_col)).scalar()
     return grouped.withColumn(name, F.round(F.col(count_col).cast("double") * F.lit(100.0)
                                             / total.cast("double"), decimals))
 
@@ -67,18 +67,21 @@ def conditional_counts(df: DataFrame, keys: list[str], conditions: dict[str, Col
 
 def column_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     """Sums ignoring nulls (one row)."""
-    return df.agg(*[F.sum(F.col(f"`{c}`")).cast("long").alias(c) for c in cols])
+    return df.agg(*[F.sum(F.col("`" + c.replace("`", "``") + "`")).cast("long").alias(c) for c in cols])
 
 
-def profile(df: DataFrame, key: str, col: str, values: list[str], missing: str = "MISSING") -> DataFrame:
-    """Wide category profile: one row per ``key``, one count column per value of ``col``.
+def profile(df: DataFrame, key: str, col: str, missing: str = "MISSING") -> DataFrame:
+    """Wide category profile: one row per ``key``, one count column per value of ``col`` that occurs.
 
-    Blank and null values count under ``missing``; absent combinations are 0.
-    With the value list fixed, this is one aggregation of conditional counts
-    (a pivot without a discovery pass; column names may hold any characters).
+    Blank and null values count under ``missing``; absent combinations are 0. The rows are counted per (key,
+    value) first; the values found become the columns. More values than ``spark.sql.pivotMaxValues`` (10,000 by
+    default) raise an error; none is left out.
     """
-    label = F.coalesce(F.nullif(F.col(col), F.lit("")), F.lit(missing))
-    return df.groupBy(key).agg(*[F.count_if(label == F.lit(v)).alias(v) for v in values])
+    label = F.coalesce(F.nullif(F.col(col).cast("string"), F.lit("")), F.lit(missing))
+    counted = df.groupBy(key, label.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    wide = counted.groupBy(key).pivot("_value").agg(F.sum("_n"))
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    return wide.select(key, *[F.coalesce(F.col(quoted(c)), F.lit(0)).alias(c) for c in wide.columns[1:]])
 
 
 def unpivot(df: DataFrame, ids: list[str], values: list[str], name: str = "name",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+# Parts that one person's rows are spread over in a join with one row per person.
+SALTS = 8
 
 
 def sample_key(key: str = "person_id", seed: int = 12345) -> Column:
@@ -10,63 +13,46 @@ def sample_key(key: str = "person_id", seed: int = 12345) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-# Above this sample size the top-n is taken after a threshold filter (see ``sample_ids``).
-LARGE_SAMPLE = 100_000
-
-
-def _order_prefix(key: str, seed: int) -> Column:
-    """First 60 bits of the md5 order key as a number (same order as the hex string's prefix)."""
-    return F.conv(F.substring(sample_key(key, seed), 1, 15), 16, 10).cast("long")
-
+def sample_ids(df: DataFrame, n: int, seed: int = 12345, key: str = "person_id") -> DataFrame:
+    """Exactly ``n`` distinct non-null ids (or all, if fewer), without replacement: the first ``n`` in md5 order.
 
-def sample_ids(df: DataFrame, n: int, seed: int = 12345, key: str = "person_id",
-               large: int = LARGE_SAMPLE) -> DataFrame:
-    """Exactly ``n`` distinct non-null ids (or all, if fewer), without replacement.
-
-    The limit is the feature here. For small ``n`` Spark plans a per-task
-    top-n and one merge of at most n rows per task. For large ``n`` that merge
-    would gather n rows from every partition into one task, so the ids are
-    first cut at an approximate quantile of their order key (a little above
-    the n-th value, widened if it falls short), and the exact top-n runs on
-    the few survivors. Both paths return the same ids; only scalars (a count
-    and a quantile) reach the driver.
+    The ids fall into 4,096 buckets by the first three digits of their order key. The buckets' sizes (at most
+    4,096 rows) say how many ids lie before each, and ids are ranked within their bucket only, so no task merges
+    the sample, whatever its size. Nothing runs until the result is used.
     """
-    ids = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    ordered = (sample_key(key, seed), F.col(key))
-    if n <= large:
-        return ids.orderBy(*ordered).limit(n)
-    keyed = ids.withColumn("_k", _order_prefix(key, seed))
-    total = keyed.count()
-    if n >= total:
-        return ids
-    fraction = min(1.0, n / total * 1.05 + 1000 / total)
-    while fraction < 1.0:
-        cut = keyed.agg(F.percentile_approx("_k", fraction, 100_000).alias("c")).first()["c"]
-        candidates = keyed.filter(F.col("_k") <= F.lit(cut))
-        if candidates.count() >= n:
-            return candidates.drop("_k").orderBy(*ordered).limit(n)
-        fraction = min(1.0, fraction * 1.5)
-    return ids.orderBy(*ordered).limit(n)
-
-
-# Largest sample whose id list is broadcast (8-byte ids: at most ~80 MB).
-MAX_BROADCAST_SAMPLE = 10_000_000
+    order = sample_key(key, seed)
+    ids = df.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_order", order)
+    ids = ids.withColumn("_bucket", F.substring("_order", 1, 3))
+    sizes = ids.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_bucket")) - F.col("_size"))
+    needed = sizes.filter(F.col("_before") < n).select("_bucket", "_before")
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_order", key))
+    return (ids.join(F.broadcast(needed), "_bucket").withColumn("_rank", rank)
+            .filter(F.col("_before") + F.col("_rank") <= n).select(key))
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 12345, key: str = "person_id") -> DataFrame:
-    """All rows of ``n`` sampled persons.
+    """All rows of ``n`` sampled persons."""
+    return salted_join(df, sample_ids(df, n, seed, key), key)
+
+
+def salted_join(rows: DataFrame, ids: DataFrame, *keys: str, how: str = "inner", by: str | None = None) -> DataFrame:
+    """Join ``rows`` with a side that has one row per key, null-safe, one key's rows spread over SALTS parts.
 
-    The id list holds at most ``n`` rows, so it is broadcast when ``n`` is at
-    most :data:`MAX_BROADCAST_SAMPLE`; a larger sample uses an ordinary join
-    that AQE plans from runtime sizes.
+    The small side is repeated once per part. ``by`` (default: all columns) tells the rows of a key apart.
     """
-    ids = sample_ids(df, n, seed, key)
-    return df.join(F.broadcast(ids) if n <= MAX_BROADCAST_SAMPLE else ids, key)
+    part = F.pmod(F.xxhash64(*([by] if by else rows.columns)), F.lit(SALTS)).cast("int")
+    left = rows.withColumn("_part", part)
+    right = ids.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    right = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    on = [F.col("_part") == F.col("_of"), *[F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]]
+    return left.join(right, on, how).drop("_part", "_of", *[f"_key_{k}" for k in keys])
 
 
 def unprocessed(work: DataFrame, done: DataFrame, key: str = "person_id") -> DataFrame:
-    """Rows of ``work`` whose key has no entry in ``done`` (left anti join)."""
-    return work.join(done.select(key).distinct(), key, "left_anti")
+    """Rows of ``work`` whose key has no entry in ``done``: the open ids by an anti join, then their rows."""
+    left = work.select(key).distinct().join(done.select(key).distinct(), key, "left_anti")
+    return salted_join(work, left, key)
 
 
 def peek(df: DataFrame, n: int = 5, order: str = "id") -> DataFrame:

@@ -341,10 +341,9 @@ def missing_code_count(spark, sf_dir):
 
 @register
 def profile_pivot(spark, sf_dir):
-    from eligo import constants as K
     from eligo.operators.reports import profile
     df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
-    return profile(df, "year", "disposition_code", list(K.PROFILE_DISPOSITIONS))
+    return profile(df, "year", "disposition_code")
 
 
 @register
@@ -455,10 +454,9 @@ D2_CUT = dataclasses.replace(PARITY, dialect="d2")
 
 @register
 def run_diff(spark, sf_dir):
-    a = wide(spark, sf_dir).select(F.col("id").alias("charge_id"), F.col("expungability").alias("label_d3"))
-    b = wide(spark, sf_dir, D2_CUT).select(F.col("id").alias("charge_id"),
-                                           F.col("expungability").alias("label_d2"))
-    return a.join(b, "charge_id").filter(F.col("label_d3") != F.col("label_d2"))
+    both = C.label_variants(charges(spark, sf_dir), {"label_d3": PARITY, "label_d2": D2_CUT})
+    return (both.filter(F.col("label_d3") != F.col("label_d2"))
+            .select(F.col("id").alias("charge_id"), "label_d3", "label_d2"))
 
 
 @register
@@ -502,32 +500,46 @@ def person_file_lines(spark, sf_dir):
 
 @register
 def profile_totals(spark, sf_dir):
-    from eligo import constants as K
     from eligo.operators.reports import column_sums, profile
     df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
-    return column_sums(profile(df, "year", "disposition_code", list(K.PROFILE_DISPOSITIONS)),
-                       list(K.PROFILE_DISPOSITIONS))
-
-
-# The notebook's distribution query, run as SQL text over a temp view.
-CODE_DISTRIBUTION_SQL = """
-WITH code_distribution AS (
-    SELECT code_section, COUNT(*) AS n,
-           ROUND(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS percent
-    FROM charges_clean
-    GROUP BY code_section
-)
-SELECT *, ROUND(SUM(percent) OVER (ORDER BY percent DESC, code_section
-                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS cumulative_percent
-FROM code_distribution
-WHERE percent > 1.0
+    wide = profile(df, "year", "disposition_code")
+    return column_sums(wide, [c for c in wide.columns if c != "year"])
+
+
+# Ad-hoc SQL over a temp view: the most frequent code sections with their running share.
+FREQUENT_CODES_SQL = """
+SELECT code_section, n, percent,
+       round(sum(percent) OVER (ORDER BY percent DESC, code_section), 2) AS cumulative_percent
+FROM (SELECT code_section, count(*) AS n,
+             round(count(*) * 100D / (SELECT count(*) FROM charges_clean), 2) AS percent
+      FROM charges_clean GROUP BY code_section)
+WHERE percent > 1
 """
 
 
 @register
 def code_distribution_sql(spark, sf_dir):
     cleaned(spark, sf_dir).createOrReplaceTempView("charges_clean")
-    return spark.sql(CODE_DISTRIBUTION_SQL)
+    return spark.sql(FREQUENT_CODES_SQL)
+
+
+@register
+def dropped_charges(spark, sf_dir):
+    """Charges that the classification leaves out, by reason."""
+    return C.dropped_counts(charges(spark, sf_dir), PARITY).select("reason", "n_charges")
+
+
+@register
+def reason_text_no_lifetime(spark, sf_dir):
+    """Without the lifetime step the same-day remark stays in the reason."""
+    return _by_charge(wide(spark, sf_dir, dataclasses.replace(D2, lifetime_rule=False)), "expungability", "reason")
+
+
+@register
+def large_sample(spark, sf_dir):
+    """A sample that takes many buckets whole and cuts one."""
+    from eligo.operators.sampling import sample_ids
+    return sample_ids(charges(spark, sf_dir), 7_000, key="id")
 
 
 @register
@@ -554,10 +566,8 @@ def classify_variant_config(spark, sf_dir):
 
 @register
 def config_variant_diff(spark, sf_dir):
-    a = wide(spark, sf_dir).select(F.col("id").alias("charge_id"), F.col("expungability").alias("label_default"))
-    b = wide(spark, sf_dir, VARIANT).select(F.col("id").alias("charge_id"),
-                                            F.col("expungability").alias("label_variant"))
-    return (a.join(b, "charge_id").filter(F.col("label_default") != F.col("label_variant"))
+    both = C.label_variants(charges(spark, sf_dir), {"label_default": PARITY, "label_variant": VARIANT})
+    return (both.filter(F.col("label_default") != F.col("label_variant"))
             .groupBy("label_default", "label_variant").agg(F.count(F.lit(1)).alias("n_charges")))
 
 
@@ -573,15 +583,13 @@ def persons_without_counts(spark, sf_dir):
 
 @register
 def profile_pivot_charge_type(spark, sf_dir):
-    from eligo import constants as K
     from eligo.operators.reports import profile
     df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
-    return profile(df, "year", "charge_type", list(K.PROFILE_CHARGE_TYPES))
+    return profile(df, "year", "charge_type")
 
 
 @register
 def profile_pivot_plea(spark, sf_dir):
-    from eligo import constants as K
     from eligo.operators.reports import profile
     df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
-    return profile(df, "year", "plea", list(K.PROFILE_PLEAS))
+    return profile(df, "year", "plea")

@@ -27,8 +27,9 @@ from eligo.schemas import FEATURES, OUTCOMES
 AUTO_LABELS = (K.AUTOMATIC, K.AUTOMATIC_PENDING)
 
 
-def clean_for_rules(charges: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Cutoff filter (strict), valid dispositions, misdemeanor/felony only, then the categories."""
+def kept_charges(charges: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Cutoff filter (strict), valid dispositions, misdemeanor/felony only (for every dialect); the person key and the
+    charge and disposition categories. What is left out is counted by :func:`dropped_counts`."""
     df = charges
     if cfg.apply_cutoff:
         df = df.filter(F.col("hearing_date") < F.lit(cfg.cutoff_date).cast("date"))
@@ -37,20 +38,27 @@ def clean_for_rules(charges: DataFrame, cfg: RunConfig) -> DataFrame:
     df = (df.filter(F.col("disposition_code").isin(*K.VALID_DISPOSITIONS))
           .filter(F.col("charge_type").isin(*K.CHARGE_TYPES)))
     df = H.with_person_key(df)
-    df = df.withColumns({
+    return df.withColumns({
         # Never null after the validity filter; saying so keeps the optimizer from adding an inferred
         # not-null filter on this join key that would re-evaluate the whole category expression.
         "disposition_category": F.coalesce(disposition_category(), F.lit(K.MISSING)),
         "charge_category": charge_category(),
     })
-    df = df.withColumn("code_section_category", code_section_category(
+
+
+def section_category(cfg: RunConfig) -> Column:
+    return code_section_category(
         sections_a=cfg.covered_sections_a, sections_b=cfg.covered_sections_b,
         sections_b_misdemeanor=cfg.covered_sections_b_misdemeanor,
         sections_twelve=cfg.excluded_sections_twelve,
         twelve_first=cfg.dialect != "d3",
         twelve_label=K.CS_12_D1 if cfg.dialect == "d1" else K.CS_12,
-    ))
-    return H.with_category_codes(df)
+    )
+
+
+def clean_for_rules(charges: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The charges that take part, with their category triple as text and as codes."""
+    return H.with_category_codes(kept_charges(charges, cfg).withColumn("code_section_category", section_category(cfg)))
 
 
 # Why a charge takes no part in a classification, in the order in which the reasons are looked for.
@@ -103,7 +111,11 @@ def group_features(rows: DataFrame, cfg: RunConfig) -> DataFrame:
     if cfg.lifetime_rule:
         # Both sides are hash-partitioned on the group keys, so this join adds no exchange.
         groups = groups.join(H.smallest_ids(rows, cfg.lifetime_limit + 1), list(H.GROUP_KEYS))
-    groups = H.history_columns(groups, cfg.cutoff_date)
+    return rule_inputs(H.history_columns(groups, cfg.cutoff_date), cfg)
+
+
+def rule_inputs(groups: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The configuration's flags on top of the history columns."""
     groups = groups.withColumns(_disqualifiers(cfg))
     if cfg.dialect == "d2":
         # Older rules test felony class without the conviction condition.
@@ -150,8 +162,10 @@ def label_groups(groups: DataFrame, cfg: RunConfig, rule_set: RuleSet | None = N
     applicable = ((F.col("disposition_category") == F.lit(K.CONVICTION))
                   | ((F.col("disposition_category") == F.lit(K.DEFERRAL))
                      & F.coalesce(F.col("sameday_disqualifier"), F.lit(False))))
-    # The reason depends on group values only: evaluated once per group, not per charge.
-    return g.withColumns({"_lifetime_applies": applicable, "_reason": reason_text()})
+    # The reason depends on group values only: evaluated once per group, not per charge. The texts belong to the
+    # later rule sets; the first one decides by other conditions and has none.
+    reason = F.lit(None).cast("string") if cfg.dialect == "d1" else reason_text()
+    return g.withColumns({"_lifetime_applies": applicable, "_reason": reason})
 
 
 def classify_rows(charges: DataFrame, cfg: RunConfig, rule_set: RuleSet | None = None) -> DataFrame:
@@ -167,8 +181,7 @@ def classify_rows(charges: DataFrame, cfg: RunConfig, rule_set: RuleSet | None =
     # The category text comes from the group side: the charge rows travel with the small codes only.
     out = rows.drop(*H.COMBO_KEYS).join(groups.drop("_ids"), list(H.GROUP_KEYS))
     if cfg.lifetime_rule:
-        over = (F.col("_need") <= 0) | (F.col("_thr").isNotNull() & (F.col("id") >= F.col("_thr")))
-        out = out.withColumn("lifetime_disqualifier", over & F.col("_lifetime_applies"))
+        out = out.withColumn("lifetime_disqualifier", over_limit() & F.col("_lifetime_applies"))
         final = F.when(F.col("lifetime_disqualifier"), F.lit(K.NOT_ELIGIBLE)).otherwise(F.col("sameday_label"))
     else:
         out = out.withColumn("lifetime_disqualifier", F.lit(None).cast("boolean"))
@@ -180,9 +193,59 @@ def classify_rows(charges: DataFrame, cfg: RunConfig, rule_set: RuleSet | None =
     })
     lifetime_hit = F.coalesce(F.col("lifetime_disqualifier"), F.lit(False)) & (
         F.col("sameday_label") != F.lit(K.NOT_ELIGIBLE))
-    out = out.withColumn("reason", F.concat(
-        F.col("_reason"), F.when(lifetime_hit, F.lit(K.LIFETIME_SUFFIX)).otherwise(F.lit(""))))
-    return out
+    suffix = F.when(lifetime_hit, F.lit(K.LIFETIME_SUFFIX))
+    if not cfg.lifetime_rule:  # the lifetime step writes the reason anew; without it the same-day remark stays
+        suffix = F.when(F.col("sameday_label") != F.col("base_label"), F.lit(K.SAMEDAY_SUFFIX))
+    return out.withColumn("reason", F.concat(F.col("_reason"), suffix.otherwise(F.lit(""))))
+
+
+def over_limit(suffix: str = "") -> Column:
+    """Is the charge past the person's lifetime limit (earlier days count first, then smaller ids of the day)?"""
+    need, at = F.col("_need" + suffix), F.col("_thr" + suffix)
+    return (need <= 0) | (at.isNotNull() & (F.col("id") >= at))
+
+
+def label_variants(charges: DataFrame, variants: dict[str, RunConfig]) -> DataFrame:
+    """``id`` and one column per named configuration with its label: a comparison in one pass, without a join on ids.
+
+    The configurations must take the same charges (cutoff). The charges are grouped once, by the code-section
+    categories of all configurations together; the history is shared, and each configuration adds its labels to
+    the groups.
+    """
+    configs = {name: cfg.resolved() for name, cfg in variants.items()}
+    first = next(iter(configs.values()))
+    if any((c.cutoff_date, c.apply_cutoff) != (first.cutoff_date, first.apply_cutoff) for c in configs.values()):
+        raise ValueError("the compared configurations must have the same cutoff")
+    rows = H.with_category_codes(kept_charges(charges, first).withColumn("code_section_category", section_category(first)))
+    rows = rows.drop("_csc", "code_section_category")
+    domain = H.CATEGORY_DOMAINS["code_section_category"]
+    for name, cfg in configs.items():
+        code = F.array_position(F.array(*[F.lit(v) for v in domain]), section_category(cfg)).cast("byte")
+        rows = rows.withColumn(f"_csc_{name}", code)
+    keys = [*H.DAY_KEYS, "_cc", "_dc", *[f"_csc_{name}" for name in configs]]
+    groups = H.reduce_to_groups(rows, keys)
+    if any(c.lifetime_rule for c in configs.values()):
+        groups = groups.join(H.smallest_ids(rows, max(c.lifetime_limit for c in configs.values()) + 1, keys), keys)
+    shared = H.history_columns(groups, first.cutoff_date)
+    shared = shared.withColumns({"_class_12": F.col("has_class_1_or_2"), "_class_34": F.col("has_class_3_or_4")})
+    columns, out = shared.columns, shared
+    kept = ("_need", "_thr", "_lifetime_applies", "sameday_label")
+    added: list[str] = []
+    for name, cfg in configs.items():
+        text = F.element_at(F.array(*[F.lit(v) for v in domain]), F.col(f"_csc_{name}").cast("int"))
+        one = label_groups(rule_inputs(out.withColumn("code_section_category", text), cfg), cfg)
+        if cfg.dialect == "d2":  # rule_inputs put other class flags in place of the shared ones
+            one = one.withColumns({"has_class_1_or_2": F.col("_class_12"), "has_class_3_or_4": F.col("_class_34")})
+        out = one.select(*columns, *added, *[F.col(c).alias(f"{c}_{name}") for c in kept])
+        added += [f"{c}_{name}" for c in kept]
+    joined = rows.select("id", *keys).join(out.select(*keys, *added), keys)
+    labels = []
+    for name, cfg in configs.items():
+        label = F.col(f"sameday_label_{name}")
+        if cfg.lifetime_rule:
+            label = F.when(over_limit("_" + name) & F.col(f"_lifetime_applies_{name}"), F.lit(K.NOT_ELIGIBLE)).otherwise(label)
+        labels.append(label.alias(name))
+    return joined.select("id", *labels)
 
 
 def split_tables(wide: DataFrame) -> tuple[DataFrame, DataFrame]:

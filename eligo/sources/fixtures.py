@@ -62,9 +62,8 @@ def charges_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def load_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eligo.sources.tables import spread
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
-    return charges_from_orders(spread(orders, "o_orderkey"))
+    return charges_from_orders(orders)
 
 
 def _sql_case(expr: str, values, default=None) -> str:

@@ -7,34 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eligo.config import RunConfig
 
 
-# Most partitions a small single-split input is spread over (a big cluster's slot count
-# would only make thousands of tiny tasks).
-MAX_SPREAD = 64
-
-
-def spread(df: DataFrame, key: str = "id") -> DataFrame:
-    """Hash-distribute a scan that yields fewer splits than the cluster has task slots.
-
-    A small table stored as one Parquet row group is one split, so every
-    stage reading it runs as one task. Below the session's default
-    parallelism the rows are hash-partitioned by ``key`` (deterministic on
-    retry); a large table already has many splits and is returned untouched,
-    so no shuffle is added at scale. Only the number of partitions is looked
-    up (planning, no job).
-    """
-    try:
-        if df.sparkSession.conf.get("eligo.scan.spread", "true") == "false":
-            return df
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as it is
-        return df
-    target = min(slots, MAX_SPREAD)
-    if splits >= target:
-        return df
-    return df.repartition(target, key)
-
-
 def read_charges(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -52,12 +24,3 @@ def read_charges_jdbc(spark: SparkSession, url: str, table: str, num_partitions:
     """Parallel JDBC scan split into ranges of ``partition_column`` (one connection per task)."""
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper,
                            numPartitions=num_partitions, properties=properties or {})
-
-
-def person_history(charges: DataFrame, person_id: int) -> DataFrame:
-    """All charges of one person (a pushed-down equality filter)."""
-    return charges.filter(F.col("person_id") == F.lit(person_id))
-
-
-def distinct_ids(charges: DataFrame, col: str = "person_id") -> DataFrame:
-    return charges.select(col).distinct()

@@ -277,6 +277,9 @@ END"""
 LIFETIME_SUFFIX_SQL = ("'; HOWEVER, the outcome is changed to not eligible because the lifetime limit of two "
                        "expungements has been exceeded'")
 
+SAMEDAY_SUFFIX_SQL = ("'; HOWEVER, the outcome is changed to petition because of a conviction on the same day of something "
+                      "that is not automatically expungable'")
+
 ORACLE.update({
     "disposition_category": f"""WITH charges AS ({CHARGES_SQL})
 SELECT id, disposition_code, plea,
@@ -387,17 +390,6 @@ nl AS (SELECT CAST(year(hearing_date) AS INTEGER) AS year, count(*) AS new_law F
 ys AS (SELECT t.year, t.total, t.old_law, CAST(coalesce(nl.new_law, 0) AS BIGINT) AS new_law
        FROM t LEFT JOIN nl ON t.year = nl.year)"""
 
-PROFILE_VALUES = (
-    "MISSING", "Appeal Withdrawn", "Dismissed", "Guilty", "Mistrial", "No Indictment Presented", "Nolle Prosequi",
-    "Not Guilty By Reason Of Insanity", "Not Guilty/Acquitted", "Not True Bill", "Remanded", "Resolved",
-    "Sentence/Probation Revoked", "Certified To Grand Jury", "Complied With Law", "Defendant Not Found",
-    "Fugitive File", "Guilty In Absentia", "Not Guilty", "Other", "Prepaid",
-    "Transferred To Another Jurisdiction/Court", "Extradition Waived", "Denied", "Granted", "Dismissed/Other",
-    "Not Guilty/Insanity", "Bond Forfeited", "Certified Misdemeanor", "Extradition Ordered",
-    "Adjudicated Habitual Offender",
-)
-PROFILE = ", ".join(f"count(*) FILTER (WHERE v = '{v}') AS \"{v}\"" for v in PROFILE_VALUES)
-
 ORACLE.update({
     "race_standardize": f"WITH {CH} SELECT id, race AS race_raw, {RACE_SQL} AS race FROM charges",
     "race_standardize_alt": f"WITH {CH} SELECT id, {RACE_FIELD_SQL} AS race_field FROM charges",
@@ -445,9 +437,6 @@ ORACLE.update({
     "missing_code_count": f"""WITH {CH} SELECT CAST(year(hearing_date) AS INTEGER) AS year,
         count(*) FILTER (WHERE code_section IS NULL OR code_section = '') AS n_missing, count(*) AS n_rows
         FROM charges GROUP BY 1""",
-    "profile_pivot": f"""WITH {CH}, p AS (SELECT CAST(year(hearing_date) AS INTEGER) AS year,
-        coalesce(nullif(disposition_code, ''), 'MISSING') AS v FROM charges)
-        SELECT year, {PROFILE} FROM p GROUP BY year""",
     "race_field_counts": f"""WITH {CH}, x AS (SELECT {RACE_FIELD_SQL} AS race FROM charges
         WHERE code_section IN ('A.46.2-862')) SELECT race, count(*) AS n FROM x WHERE race IS NOT NULL
         GROUP BY race""",
@@ -520,8 +509,6 @@ ORACLE.update({
     "person_file_lines": f"""WITH {CH} SELECT id, person_id, concat_ws(',', {', '.join(_line_field(c) for c in (
         'person_id', 'hearing_date', 'code_section', 'charge_type', 'charge_class', 'disposition_code', 'plea',
         'race', 'sex', 'fips'))}) AS line FROM charges""",
-    "profile_totals": f"""WITH {CH}, p AS (SELECT coalesce(nullif(disposition_code, ''), 'MISSING') AS v FROM charges)
-        SELECT {PROFILE} FROM p""",
     "code_distribution_sql": f"WITH {CLEAN}, {DIST}, {CUM} SELECT * FROM cum",
     "ml_tree_predict": _ids("base_label AS predicted_label"),
 })
@@ -550,19 +537,27 @@ ORACLE["persons_without_counts"] = with_pipeline(f""", {PERSON_COUNTS}
     LEFT JOIN pc ON p.person_id = pc.person_id WHERE pc.automatic IS NULL""", cutoff="2005-12-31")
 
 
-def _profile_sql(column: str, values) -> str:
-    cols = ", ".join("count(*) FILTER (WHERE v = '" + v.replace("'", "''") + "') AS \"" + v + "\"" for v in values)
+def _profile_sql(column: str) -> str:
+    """The values, and so the columns, come from the data."""
     return f"""WITH {CH}, p AS (SELECT CAST(year(hearing_date) AS INTEGER) AS year,
         coalesce(nullif({column}, ''), 'MISSING') AS v FROM charges)
-        SELECT year, {cols} FROM p GROUP BY year"""
+        SELECT * FROM (PIVOT p ON v USING count(*) GROUP BY year)"""
 
 
-# Fixed values (the same as eligo.constants).
 ORACLE.update({
-    "profile_pivot_charge_type": _profile_sql("charge_type", (
-        "MISSING", "Civil", "Felony", "Infraction", "Misdemeanor", "Other (Animal Violations, Bond Appeals)", "F",
-        "Capias", "Other", "Show Cause", "Non Case", "Civil Violation",
-        "Restricted Operator's License For Fine and Costs Only", "Motion [18.2-271.1(E)]")),
-    "profile_pivot_plea": _profile_sql("plea", (
-        "MISSING", "Guilty", "Nolo Contendere", "Not Guilty", "Tried In Absentia", "Alford")),
+    "profile_pivot": _profile_sql("disposition_code"),
+    "profile_pivot_charge_type": _profile_sql("charge_type"),
+    "profile_pivot_plea": _profile_sql("plea"),
+    "profile_totals": f"""WITH {CH}, p AS (SELECT coalesce(nullif(disposition_code, ''), 'MISSING') AS v FROM charges)
+        SELECT * FROM (PIVOT p ON v USING count(*))""",
+    "dropped_charges": f"""WITH {CH}, r AS (SELECT CASE WHEN hearing_date IS NULL THEN 'no hearing date'
+          WHEN hearing_date >= DATE '{PARITY_CUTOFF}' THEN 'on or after the cutoff'
+          WHEN disposition_code IS NULL OR disposition_code NOT IN ({VALID}) THEN 'invalid disposition'
+          WHEN charge_type IS NULL OR charge_type NOT IN ('Misdemeanor', 'Felony') THEN 'not a misdemeanor or felony' END AS reason
+        FROM charges) SELECT reason, count(*) AS n_charges FROM r WHERE reason IS NOT NULL GROUP BY reason""",
+    "reason_text_no_lifetime": _ids(f"""expungability, {REASON_CASE} ||
+        CASE WHEN sameday_label <> base_label THEN {SAMEDAY_SUFFIX_SQL} ELSE '' END AS reason""",
+                                    **D2, lifetime=False),
+    "large_sample": f"""WITH {CH} SELECT id FROM (SELECT DISTINCT id FROM charges)
+        ORDER BY md5(CAST(id AS VARCHAR) || ':12345'), id LIMIT 7000""",
 })

@@ -1,4 +1,4 @@
-"""Domain tests: every disposition value of the profiles, and the prototype's two example persons."""
+"""Domain tests: disposition values of all kinds, and the prototype's two example persons."""
 
 
 from eligo import constants as K
@@ -6,11 +6,13 @@ from eligo.functions.categories import disposition_category
 from eligo.operators.lookback import lookback_flags
 from tests.helpers import charge, frame
 
+# Valid codes and others that occur in court files.
+DISPOSITIONS = K.VALID_DISPOSITIONS + K.RARE_DISPOSITIONS + ("Prepaid", "Mistrial", "Other", "")
 PLEAS = ("Guilty", "Nolo Contendere", "Not Guilty", "Tried In Absentia", "Alford", "", None)
 
 
 def test_every_disposition_and_plea(spark):
-    rows = [(d, p) for d in K.PROFILE_DISPOSITIONS + (None,) for p in PLEAS]
+    rows = [(d, p) for d in DISPOSITIONS + (None,) for p in PLEAS]
     df = spark.createDataFrame(rows, "d string, p string").select("d", "p", disposition_category("d", "p").alias("c"))
     for r in df.collect():
         d, p, c = r["d"], r["p"], r["c"]

@@ -1,6 +1,7 @@
 """Plan shape at scale-relevant points, and the driver contract."""
 
 from eligo.config import RunConfig
+from eligo.plans import catalog
 from eligo.plans.classify import classify_rows
 from eligo.sources.tables import fetch_charges
 from tests.conftest import SF_SMALL
@@ -38,9 +39,7 @@ def test_entry_and_contract(spark):
     assert rows and set(df.columns) == {"expungability", "n_charges"}
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    for name, fn in qs.items():
-        cols = fn(spark, SF_SMALL).columns
-        assert len(cols) == len(set(cols)), name
+    assert set(catalog.QUERIES) <= set(qs)
 
 
 def test_hot_group_join_is_split(spark):
@@ -81,9 +80,7 @@ def test_classification_plan_shape(spark):
     """Static plan at scale settings: 3 column-pruned scans, 5 exchanges, one of them full rows."""
     import re
 
-    from eligo.plans import catalog
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
-            "eligo.scan.spread": "false"}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
@@ -101,18 +98,19 @@ def test_classification_plan_shape(spark):
 
 def test_no_query_has_python_cartesian_or_unbounded_broadcast(spark):
     """Static plans of every registered query at scale settings (broadcast joins off)."""
-    import __spark_entry__ as E
     bounded_broadcasts = {"code_by_race", "decision_table_join", "confusion_matrix", "ml_tree_predict",
-                          "sample_persons_join"}
+                          "sample_persons_join", "large_sample"}
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        for name, fn in E.queries().items():
+        for name, fn in catalog.QUERIES.items():
             if name == "ml_tree_predict":
                 continue  # trains a model while building the frame (covered by tests/test_tree.py)
-            plan = _plan(fn(spark, SF_SMALL))
+            df = fn(spark, SF_SMALL)
+            assert len(df.columns) == len(set(df.columns)), name
+            plan = _plan(df)
             for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
                         "BroadcastNestedLoopJoin"):
                 assert bad not in plan, (name, bad)
@@ -121,3 +119,16 @@ def test_no_query_has_python_cartesian_or_unbounded_broadcast(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_comparing_configurations_classifies_once(spark):
+    """Scans and exchanges of a comparison are those of one classification."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        plan = _plan(catalog.run_diff(spark, SF_SMALL))
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert plan.count("FileScan parquet") == 3 and plan.count("Exchange hashpartitioning") == 5

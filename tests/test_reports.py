@@ -15,11 +15,24 @@ def test_cumulative_share_filters_before_running_sum(spark):
         ("a", 50.0, 50.0), ("b", 30.0, 80.0), ("c", 19.0, 99.0)]
 
 
-def test_profile_fills_zero_and_missing(spark):
-    df = spark.createDataFrame([("f1", "Guilty"), ("f1", ""), ("f2", None), ("f2", "Guilty")], "file string, d string")
-    out = {r["file"]: r.asDict() for r in RP.profile(df, "file", "d", ["MISSING", "Guilty", "Other"]).collect()}
-    assert out["f1"]["Guilty"] == 1 and out["f1"]["MISSING"] == 1 and out["f1"]["Other"] == 0
-    assert out["f2"]["MISSING"] == 1
+def test_profile_counts_every_value_that_occurs(spark):
+    rows = [("f1", "Guilty"), ("f1", ""), ("f2", None), ("f2", "Guilty"), ("f2", "Un.listed `x`"), ("f1", "[a]")]
+    out = RP.profile(spark.createDataFrame(rows, "file string, d string"), "file", "d")
+    got = {r["file"]: r.asDict() for r in out.collect()}
+    assert set(out.columns) == {"file", "Guilty", "MISSING", "Un.listed `x`", "[a]"}
+    assert got["f1"] == {"file": "f1", "Guilty": 1, "MISSING": 1, "Un.listed `x`": 0, "[a]": 1}
+    sums = RP.column_sums(out, out.columns[1:]).first()
+    assert sum(sums) == len(rows)
+
+
+def test_share_needs_no_single_task(spark):
+    grouped = RP.counts(spark.range(1000).selectExpr("id % 300 AS k"), "k")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = RP.share_of_total(grouped)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Window" not in plan.toString()
 
 
 def test_query_list_counts_duplicates(spark):
@@ -93,8 +106,35 @@ def test_mass_index_and_group_mean_having(spark):
     assert out == {"a": (3, 20.0)}
 
 
-def test_large_sample_path_equals_top_n(spark):
+def test_sample_is_the_first_n_in_md5_order(spark):
+    import hashlib
     df = spark.range(20000).withColumnRenamed("id", "person_id").repartition(9)
-    small = sorted(r[0] for r in sample_ids(df, 3000).collect())
-    large = sorted(r[0] for r in sample_ids(df, 3000, large=10).collect())
-    assert small == large and len(small) == 3000
+    order = sorted(range(20000), key=lambda i: hashlib.md5(f"{i}:12345".encode()).hexdigest())
+    for n in (1, 3000, 20000, 30000):
+        assert sorted(r[0] for r in sample_ids(df, n).collect()) == sorted(order[:n])
+
+
+def _most_rows_in_a_task(spark, df):
+    """Rows of the fullest partition of the result, with joins neither broadcast nor coalesced."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return max(r["n"] for r in df().groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_one_persons_rows_are_spread(spark):
+    """A third of the rows belong to one person; no task of the joins gets them all."""
+    from eligo.operators.impute import impute_mode
+    rows = spark.range(30000).selectExpr("id", "IF(id % 3 = 0, 7L, id) AS person_id", "CAST(IF(id % 5 = 0, 'b', NULL) AS STRING) AS race",
+                                         "'M' AS sex", "CAST(IF(id % 3 = 0, 7L, id) AS LONG) AS _pid", "false AS _pnull")
+    done = spark.range(1, 30000, 2).withColumnRenamed("id", "person_id").filter("person_id <> 7")
+    assert _most_rows_in_a_task(spark, lambda: unprocessed(rows, done)) < 5000
+    assert _most_rows_in_a_task(spark, lambda: impute_mode(rows)) < 6000
+    out = impute_mode(rows).groupBy("race").count().collect()
+    assert {r["race"] for r in out} == {"b", "MISSING"} and sum(r["count"] for r in out) == 30000
+    assert unprocessed(rows, done).filter("person_id = 7").count() == 10001
