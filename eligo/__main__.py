@@ -12,7 +12,9 @@ def main(argv=None):
     parser = argparse.ArgumentParser(prog="eligo")
     sub = parser.add_subparsers(dest="command", required=True)
     ing = sub.add_parser("ingest", help="clean raw charges into ROOT/charges")
-    ing.add_argument("--raw", required=True, help="Parquet path of raw charges (raw column names)")
+    given = ing.add_mutually_exclusive_group(required=True)
+    given.add_argument("--raw", help="Parquet path of raw charges (raw column names)")
+    given.add_argument("--csv", nargs="+", help="court CSV files or globs (layout by file name); rows without an id get one")
     ing.add_argument("--root", required=True)
     ing.add_argument("--as-of", default=None, help="drop hearings after this date (default: today)")
     ing.add_argument("--append", action="store_true", help="append instead of a full refresh")
@@ -33,8 +35,15 @@ def main(argv=None):
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.command == "ingest":
         from eligo.plans.run import run_ingestion
-        run_ingestion(spark.read.parquet(args.raw), args.root, as_of=args.as_of, clear_existing=not args.append,
-                      buckets=args.buckets)
+        if args.csv:
+            from eligo.sources.courts import read_court_paths, unparsed_counts, with_charge_ids
+            rows = read_court_paths(spark, args.csv)
+            raw = with_charge_ids(rows)
+        else:
+            raw = spark.read.parquet(args.raw)
+        run_ingestion(raw, args.root, as_of=args.as_of, clear_existing=not args.append, buckets=args.buckets)
+        if args.csv:
+            unparsed_counts(rows).orderBy("source_file", "column").show(1000, truncate=False)
     else:
         from eligo.plans.run import run_classification, run_classification_resumable
         cfg = load_config(args.config) if args.config else RunConfig()

@@ -20,12 +20,15 @@ RAW_TO_CHARGES = {
     "Race": "race",
     "Sex": "sex",
     "fips": "fips",
+    "Locality": "locality",
 }
 
 
 def rename_columns(raw: DataFrame, keep_id: bool = True) -> DataFrame:
-    """Rename raw columns to the charges layout and keep only those columns."""
+    """Rename raw columns to the charges layout and keep only those columns (a table without Locality gets nulls)."""
     cols = (["id"] if keep_id and "id" in raw.columns else []) + list(RAW_TO_CHARGES.values())
+    if "Locality" not in raw.columns:
+        raw = raw.withColumn("Locality", F.lit(None).cast("string"))
     return raw.withColumnsRenamed({k: v for k, v in RAW_TO_CHARGES.items() if k != v}).select(*cols)
 
 

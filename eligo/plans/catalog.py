@@ -359,7 +359,7 @@ def rare_disposition_localities(spark, sf_dir):
     from eligo import constants as K
     from eligo.operators.reports import value_counts
     return value_counts(charges(spark, sf_dir).filter(F.col("disposition_code").isin(*K.RARE_DISPOSITIONS)),
-                        "fips")
+                        "locality")
 
 
 @register

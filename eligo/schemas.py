@@ -12,6 +12,7 @@ def _struct(*fields):
 CHARGES = _struct(
     ("id", L), ("person_id", L), ("hearing_date", D), ("code_section", S), ("charge_type", S),
     ("charge_class", S), ("disposition_code", S), ("plea", S), ("race", S), ("sex", S), ("fips", S),
+    ("locality", S),
 )
 
 RUNS = T.StructType([

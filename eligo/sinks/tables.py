@@ -142,7 +142,7 @@ def write_person_clustered(df: DataFrame, path: str, prefix_len: int = 5) -> Non
 
 
 PERSON_FILE_FIELDS = ("person_id", "hearing_date", "code_section", "charge_type", "charge_class",
-                      "disposition_code", "plea", "race", "sex", "fips")
+                      "disposition_code", "plea", "race", "sex", "fips", "locality")
 
 
 def person_file_line(fields=PERSON_FILE_FIELDS):

@@ -50,9 +50,11 @@ CHARGES_SPARK_EXPRS = (
     _cycle("o_orderkey % 17", [CLASSES.get(i, "6") for i in range(17)]) + " AS charge_class",
     _cycle("(o_orderkey + o_custkey) % 13", DISPOSITIONS) + " AS disposition_code",
     _cycle("(o_orderkey * 3 + o_custkey) % 7", PLEAS) + " AS plea",
-    _cycle("o_custkey % 12", RACES) + " AS race",
+    _cycle("(o_custkey + o_orderkey % 3) % 12", RACES) + " AS race",
     _cycle("(o_custkey + o_orderkey) % 9", (None, "Female", "Female") + ("Male",) * 6) + " AS sex",
     "CAST((o_custkey * 7) % 1200 AS STRING) AS fips",
+    "CASE WHEN o_orderkey % 41 > 0 THEN concat('County ', CAST((o_custkey + o_orderkey) % 50 AS STRING), ', North, VA') END"
+    " AS locality",
 )
 
 
@@ -86,9 +88,11 @@ SELECT o_orderkey AS id, o_custkey AS person_id,
     AS charge_class,
   {_sql_case('(o_orderkey + o_custkey) % 13', DISPOSITIONS)} AS disposition_code,
   {_sql_case('(o_orderkey * 3 + o_custkey) % 7', PLEAS)} AS plea,
-  {_sql_case('o_custkey % 12', RACES)} AS race,
+  {_sql_case('(o_custkey + o_orderkey % 3) % 12', RACES)} AS race,
   CASE (o_custkey + o_orderkey) % 9 WHEN 0 THEN NULL WHEN 1 THEN 'Female' WHEN 2 THEN 'Female' ELSE 'Male' END
     AS sex,
-  CAST((o_custkey * 7) % 1200 AS VARCHAR) AS fips
+  CAST((o_custkey * 7) % 1200 AS VARCHAR) AS fips,
+  CASE WHEN o_orderkey % 41 > 0 THEN 'County ' || CAST((o_custkey + o_orderkey) % 50 AS VARCHAR) || ', North, VA' END
+    AS locality
 FROM orders
 """

@@ -330,7 +330,7 @@ RACE_FIELD_SQL = f"""CASE {RACE_FIELD_X}
     WHEN 'OTHER' THEN 'UNKNOWN' WHEN 'MISSING' THEN 'UNKNOWN' ELSE {RACE_FIELD_X} END"""
 FIPS_SQL = "CASE WHEN length(fips) < 3 THEN lpad(fips, 3, '0') ELSE fips END"
 CLEAN = (f"{CH}, clean AS (SELECT id, person_id, hearing_date, code_section, charge_type, charge_class, "
-         f"disposition_code, plea, {RACE_SQL} AS race, sex, {FIPS_SQL} AS fips FROM charges "
+         f"disposition_code, plea, {RACE_SQL} AS race, sex, {FIPS_SQL} AS fips, locality FROM charges "
          f"WHERE hearing_date <= DATE '{PARITY_CUTOFF}')")
 DIST = ("dist AS (SELECT code_section, count(*) AS n, ROUND(CAST(count(*) AS DOUBLE) * 100.0 / "
         "CAST(SUM(count(*)) OVER () AS DOUBLE), 2) AS percent FROM clean GROUP BY code_section)")
@@ -440,9 +440,9 @@ ORACLE.update({
     "race_field_counts": f"""WITH {CH}, x AS (SELECT {RACE_FIELD_SQL} AS race FROM charges
         WHERE code_section IN ('A.46.2-862')) SELECT race, count(*) AS n FROM x WHERE race IS NOT NULL
         GROUP BY race""",
-    "rare_disposition_localities": f"""WITH {CH} SELECT fips, count(*) AS n FROM charges
+    "rare_disposition_localities": f"""WITH {CH} SELECT locality, count(*) AS n FROM charges
         WHERE disposition_code IN ('Complied With Law','Resolved','Certified Misdemeanor','Granted','Denied')
-          AND fips IS NOT NULL GROUP BY fips""",
+          AND locality IS NOT NULL GROUP BY locality""",
     "code_pattern_by_year": f"""WITH {CH} SELECT CAST(year(hearing_date) AS INTEGER) AS year, count(*) AS n FROM charges
         WHERE regexp_matches(code_section, '18.2-248.1') GROUP BY 1""",
     "group_having": with_pipeline("""SELECT race, count(*) AS n, ROUND(avg(last_hearing_delta), 4) AS mean_value
@@ -508,7 +508,7 @@ def _line_field(c: str) -> str:
 ORACLE.update({
     "person_file_lines": f"""WITH {CH} SELECT id, person_id, concat_ws(',', {', '.join(_line_field(c) for c in (
         'person_id', 'hearing_date', 'code_section', 'charge_type', 'charge_class', 'disposition_code', 'plea',
-        'race', 'sex', 'fips'))}) AS line FROM charges""",
+        'race', 'sex', 'fips', 'locality'))}) AS line FROM charges""",
     "code_distribution_sql": f"WITH {CLEAN}, {DIST}, {CUM} SELECT * FROM cum",
     "ml_tree_predict": _ids("base_label AS predicted_label"),
 })

@@ -13,10 +13,10 @@ COLS = [f.name for f in CHARGES.fields]
 
 
 def charge(id, person, date, ctype="Misdemeanor", disp="Guilty", code="18.2-95", plea=None, cls=None,
-           race=None, sex=None, fips=None):
+           race=None, sex=None, fips=None, locality=None):
     if isinstance(date, str):
         date = dt.date.fromisoformat(date)
-    return (id, person, date, code, ctype, cls, disp, plea, race, sex, fips)
+    return (id, person, date, code, ctype, cls, disp, plea, race, sex, fips, locality)
 
 
 def frame(spark, rows):
@@ -34,5 +34,5 @@ def oracle(rows, select: str, **kw) -> pd.DataFrame:
                 "CAST(hearing_date AS DATE) AS hearing_date, code_section::VARCHAR AS code_section, "
                 "charge_type::VARCHAR AS charge_type, charge_class::VARCHAR AS charge_class, "
                 "disposition_code::VARCHAR AS disposition_code, plea::VARCHAR AS plea, race::VARCHAR AS race, "
-                "sex::VARCHAR AS sex, fips::VARCHAR AS fips FROM input_rows")
+                "sex::VARCHAR AS sex, fips::VARCHAR AS fips, locality::VARCHAR AS locality FROM input_rows")
     return con.execute(with_pipeline(select, source="SELECT * FROM input_charges", **kw)).df()

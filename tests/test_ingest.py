@@ -73,6 +73,46 @@ def test_court_files_both_layouts(spark, court_dir):
     assert rows[43]["HearingDate"] == dt.date(2009, 10, 19)
 
 
+def test_files_are_read_by_column_name_through_to_outcomes(spark, tmp_path):
+    """Two files of one layout with their columns in another order, a repeated row and values that cannot be parsed."""
+    from eligo.__main__ import main
+    from eligo.plans.run import run_classification
+    from eligo.config import RunConfig
+    from eligo.sinks import tables as sinks
+    from eligo.sources.courts import read_court_paths, unparsed_counts, with_charge_ids
+    columns = DISTRICT.split("\n")[0].split(",")
+    rows = [dict(zip(columns, r)) for r in (
+        ["Town", "2015-01-05", "42", "18.2-95", "Guilty", "Guilty", "Misdemeanor", "A, B", "1", "WHITE", "Male", "51", "x"],
+        ["Town", "2015-01-05", "42", "18.2-95", "Guilty", "Guilty", "Misdemeanor", "A, B", "1", "WHITE", "Male", "51", "x"],
+        ["", "5 May", "43a", "18.2-96", "Dismissed", "", "Felony", "C", "", "black", "Female", "760", ""])]
+    (tmp_path / "in").mkdir()
+    import csv
+    for name, order in (("district_criminal_2015_anon_00.csv", columns), ("district_criminal_2016_anon_01.csv", columns[::-1])):
+        with open(tmp_path / "in" / name, "w", newline="") as f:
+            out = csv.DictWriter(f, order)
+            out.writeheader()
+            out.writerows(rows)
+    glob = str(tmp_path / "in" / "*.csv")
+    raw = read_court_paths(spark, [glob])
+    assert {(r["person_id"], r["DispositionCode"], r["Charge"], r["Sex"]) for r in raw.collect()} == {
+        (42, "Guilty", "A, B", "Male"), (None, "Dismissed", "C", "Female")}
+    assert {(r["column"], r["n"]) for r in unparsed_counts(raw).collect()} == {("HearingDate", 1), ("person_id", 1)}
+    ids = [r["id"] for r in with_charge_ids(raw).collect()]
+    assert len(set(ids)) == 6 and sorted(ids) == sorted(r["id"] for r in with_charge_ids(raw.repartition(5)).collect())
+    root = str(tmp_path / "db")
+    main(["ingest", "--csv", glob, "--root", root, "--as-of", "2020-01-01"])
+    charges = spark.read.parquet(f"{root}/charges").collect()
+    assert len({r["id"] for r in charges}) == 4 and {r["locality"] for r in charges} == {"Town"}
+    run_classification(spark, root, RunConfig(id="a"))
+    assert sorted(r["charge_id"] for r in sinks.read_run(spark, root, "outcomes", "a").collect()) == sorted(r["id"] for r in charges)
+
+
+def test_a_missing_column_is_an_error(spark, tmp_path):
+    (tmp_path / "circuit_criminal_2010_anon_00.csv").write_text("Locality,person_id\nTown,1\n")
+    with pytest.raises(ValueError, match="no column HearingDate"):
+        read_court_dir(spark, str(tmp_path))
+
+
 def test_court_dir_glob_with_years(spark, court_dir):
     assert read_court_dir(spark, court_dir, years=[2016], courts=("district",)).count() == 1
 
@@ -88,11 +128,13 @@ def test_year_from_file_name(spark):
 
 
 def test_classified_file_reader(spark, tmp_path):
-    line = ",".join(["1"] + ["v"] * 27) + "\n"
+    line = ",".join(["1", "2015-01-01"] + ["v"] * 11 + ["TRUE"] + ["FALSE"] * 14) + "\n"
     path = tmp_path / "classified.csv"
     path.write_text(line * 3)
     df = read_classified_file(spark, str(path), n=2)
     assert len(df.columns) == 28 and df.count() == 2
+    row = df.first()
+    assert (row["person_id"], row["HearingDate"], row["convictions"], row["lifetime"]) == (1, dt.date(2015, 1, 1), True, False)
 
 
 def test_race_rules_against_python(spark):

@@ -62,7 +62,7 @@ def test_hot_group_join_is_split(spark):
             F.lit("Misdemeanor").alias("charge_type"), F.lit(None).cast("string").alias("charge_class"),
             F.lit("Guilty").alias("disposition_code"), F.lit(None).cast("string").alias("plea"),
             F.lit(None).cast("string").alias("race"), F.lit(None).cast("string").alias("sex"),
-            F.lit("1").alias("fips"))
+            F.lit("1").alias("fips"), F.lit(None).cast("string").alias("locality"))
         out = classify_rows(base.unionByName(hot), RunConfig(cutoff_date="2019-12-31")).groupBy(
             "expungability").count()
         total = sum(r["count"] for r in out.collect())
