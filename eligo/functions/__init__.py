@@ -6,5 +6,5 @@ from eligo.functions.categories import (  # noqa: F401
 )
 from eligo.functions.dates import day_number, from_day_number, gap_flag  # noqa: F401
 from eligo.functions.text import (  # noqa: F401
-    fix_fips, missing_label, standardize_race, standardize_race_field, year_from_file_name,
+    fix_fips, standardize_race, standardize_race_field, year_from_file_name,
 )

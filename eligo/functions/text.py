@@ -46,22 +46,12 @@ def year_from_file_name(col) -> Column:
     return F.regexp_replace(F.regexp_replace(_c(col), r".+criminal_", ""), r"_anon.+$", "")
 
 
-def missing_label(col) -> Column:
-    """Blank or null category -> 'MISSING'."""
-    return F.coalesce(F.nullif(_c(col), F.lit("")), F.lit(K.MISSING))
-
-
 def is_missing(col) -> Column:
     """Null or empty string."""
     c = _c(col)
     return c.isNull() | (c == F.lit(""))
 
 
-def percent_text(ratio, decimals: int = 1) -> Column:
-    """0.1234 -> '12.3%'."""
-    return F.format_string(f"%.{decimals}f%%", _c(ratio) * F.lit(100.0))
-
-
 def first_comma_to_dots(col) -> Column:
     """Replace the first comma of a field by '..' (for comma-free CSV exports)."""
     return F.regexp_replace(_c(col), r"^([^,]*),", "$1..")

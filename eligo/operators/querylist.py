@@ -48,14 +48,6 @@ def apply_query_list_by_union(df: DataFrame, queries: Sequence[Mapping] = K.QUER
     return union_all([filter_on_query(df, q, keep) for q in queries])
 
 
-def matched_once(df: DataFrame, queries: Sequence[Mapping] = K.QUERY_LIST) -> Column:
-    """True when a row matches any query (the de-duplicated count beside the UNION ALL)."""
-    pred = F.lit(False)
-    for q in queries:
-        pred = pred | query_predicate(q)
-    return pred
-
-
 def match_count(queries: Sequence[Mapping] = K.QUERY_LIST) -> Column:
     """Number of queries a row matches (its multiplicity in the UNION ALL), without materialising the union."""
     return reduce_sum([F.when(query_predicate(q), F.lit(1)).otherwise(F.lit(0)) for q in queries])

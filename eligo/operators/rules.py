@@ -108,15 +108,6 @@ class RuleSet:
             expr = F.when(cond, F.lit(rule.label)) if expr is None else expr.when(cond, F.lit(rule.label))
         return expr.otherwise(F.lit(self.default))
 
-    def rule_id(self) -> Column:
-        """Name of the deciding rule (null when the default applies)."""
-        x = facts(self.cs_12)
-        expr = None
-        for rule in reversed(self.rules):
-            cond = rule.when(x)
-            expr = F.when(cond, F.lit(rule.name)) if expr is None else expr.when(cond, F.lit(rule.name))
-        return expr.otherwise(F.lit(None).cast("string"))
-
 
 def _ok3_any(x: Facts) -> Column:
     # Written as an OR in the canonical table (any one of the three suffices).

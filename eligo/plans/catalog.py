@@ -418,6 +418,20 @@ def year_summary(spark, sf_dir):
     return _year_summary(spark, sf_dir)
 
 
+@register
+def year_summary_by_locality(spark, sf_dir):
+    """Totals per (locality, year), as per court file."""
+    from eligo.operators.querylist import law_totals
+    return law_totals(charges(spark, sf_dir).withColumn("year", F.year("hearing_date")), ["locality", "year"])
+
+
+@register
+def year_summary_rolled_up(spark, sf_dir):
+    """The totals per locality and year, summed per year."""
+    from eligo.operators.querylist import roll_up
+    return roll_up(year_summary_by_locality(spark, sf_dir), ["year"])
+
+
 @register
 def year_summary_percent(spark, sf_dir):
     from eligo.operators.reports import unpivot

@@ -383,6 +383,15 @@ QL = f"""{CH}, ql AS (
   UNION ALL {_ql_select('19.2-392.12', _T2, SEC_12, "'Deferred','Dismissed'")})"""
 OLD_LAW_SQL = ("'Dismissed','Dismissed/Other','Nolle Prosequi','Not Guilty/Acquitted',"
                "'Not Guilty By Reason Of Insanity','Not True Bill','Not Guilty','Not Guilty/Insanity'")
+# How many of the queries each charge matches.
+QL_MATCHES = f"""SELECT *,
+    CAST(coalesce(code_section IN ('4.1-305','18.2-250.1') AND disposition_code = 'Dismissed', false) AS INTEGER)
+    + CAST(coalesce(code_section IN ('4.1-305','18.2-96','18.2-103','18.2-119','18.2-120','18.2-134')
+           AND disposition_code = 'Guilty', false) AS INTEGER)
+    + CAST(coalesce(code_section IN ('18.2-248.1','18.2-250.1','18.2-415') AND disposition_code = 'Guilty'
+           AND charge_type = 'Misdemeanor', false) AS INTEGER)
+    + CAST(coalesce(code_section IN ({SEC_12}) AND disposition_code IN ('Deferred','Dismissed'), false) AS INTEGER) AS n_queries
+  FROM charges"""
 YEAR_SUMMARY = f"""{QL},
 t AS (SELECT CAST(year(hearing_date) AS INTEGER) AS year, count(*) AS total,
         count(*) FILTER (WHERE disposition_code IN ({OLD_LAW_SQL})) AS old_law FROM charges GROUP BY 1),
@@ -558,6 +567,10 @@ ORACLE.update({
     "reason_text_no_lifetime": _ids(f"""expungability, {REASON_CASE} ||
         CASE WHEN sameday_label <> base_label THEN {SAMEDAY_SUFFIX_SQL} ELSE '' END AS reason""",
                                     **D2, lifetime=False),
+    "year_summary_rolled_up": f"WITH {YEAR_SUMMARY} SELECT * FROM ys",
+    "year_summary_by_locality": f"""WITH {CH}, q AS ({QL_MATCHES}) SELECT locality, CAST(year(hearing_date) AS INTEGER) AS year,
+        count(*) AS total, count(*) FILTER (WHERE disposition_code IN ({OLD_LAW_SQL})) AS old_law,
+        CAST(sum(n_queries) AS BIGINT) AS new_law FROM q GROUP BY 1, 2""",
     "large_sample": f"""WITH {CH} SELECT id FROM (SELECT DISTINCT id FROM charges)
         ORDER BY md5(CAST(id AS VARCHAR) || ':12345'), id LIMIT 7000""",
 })
