@@ -12,10 +12,12 @@ similarity of their shingle sets. A bucket of more than ``block`` classes is cut
 blocks is compared in a task of its own; within a task pairs that are already joined are passed over, which
 changes no component.
 
-Only digests and band keys are shuffled for all paragraphs. The words of those that share a bucket are read in
-a second scan: a bitmap of fixed size, made from the wanted paragraphs' numbers, tells each task which to pass
-on (a few more slip through and fall out in the join). Paragraphs are numbered by their place in the scan, so the
-input must be a table, or be written to one first.
+Only digests and band keys are shuffled, and of the copies that a task sees of one paragraph only the first: the
+others point to it (a fixed number of digests is remembered; beyond it copies are shuffled like any), so a line
+that many documents share reaches the task that gathers its class once per task that read it. The words of those that share a bucket are read in
+a second scan: a bitmap of fixed size, made from the wanted digests, tells each task which paragraphs to pass on
+(a few more slip through and fall out in the join). The digests, and not places in the scan, tie the two scans
+together, so it does not matter how the files are dealt to tasks, or whether that changes when executors are lost.
 
 Clusters are the components of those links. The first paragraph of a cluster (by document id, null last, then
 place) stays, and the others are removed.
@@ -49,7 +51,7 @@ BLOCK = 256
 LONG_RUN, LAST_CUT, CUT_EVERY = 40, 64, 16  # words
 SEED = 5
 REMEMBERED = 500_000
-BITS = 1 << 26  # of the bitmap of wanted paragraphs
+BITS = 1 << 26  # of the bitmap of wanted digests
 
 _BREAK = re.compile(rb"(?<=[.!?])[ \t\x0b\x0c\r]+|\n")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -129,7 +131,8 @@ def shingles(words: list[bytes]) -> frozenset:
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list, list[int], list[list[bytes]]]]:
-    """(numbers, doc ids, places, words) of a partition's paragraphs, some at a time, numbered from its index."""
+    """(numbers, doc ids, places, words) of a partition's paragraphs, some at a time; the numbers start from its index
+    and name a paragraph within one job."""
     uid = TaskContext.get().partitionId() << 40
     doc, pos, words = [], [], []
     for batch in batches:
@@ -149,30 +152,41 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
         yield np.arange(uid, uid + len(doc)), doc, pos, words
 
 
-UNITS = "d1 long, d2 long, uid long, doc_id long, pos int, n_words int, bands binary"
+UNITS = "d1 long, d2 long, uid long, rep long, doc_id long, pos int, n_words int, bands binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest and band keys of each paragraph."""
+    """Digest and band keys of each paragraph; a copy of an earlier one of this task names that one as ``rep``.
+
+    Copies travel under their ``rep`` instead of the digest (d2 is null), so they do not meet in one task.
+    """
+    first: dict[bytes, int] = {}
     for uid, doc, pos, words in _paragraphs(batches):
-        d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(b" ".join(w)) for w in words), "<i8").reshape(-1, 2)
+        digests = [xxhash.xxh3_128_digest(b" ".join(w)) for w in words]
+        rep = []
+        for u, d in zip(uid.tolist(), digests):
+            r = first.get(d)
+            if r is None:
+                r = u
+                if len(first) < REMEMBERED:
+                    first[d] = u
+            rep.append(r)
+        rep = np.array(rep)
+        own = rep == uid
+        d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+        lead = np.flatnonzero(own)
+        bands = np.full(len(words), None, object)
+        bands[lead] = [k.tobytes() for k in band_keys([words[i] for i in lead])] if len(lead) else []
         yield pa.record_batch(
-            [pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(uid), pa.array(doc, pa.int64()), pa.array(pos, pa.int32()),
-             pa.array([len(w) for w in words], pa.int32()), pa.array([k.tobytes() for k in band_keys(words)], pa.binary())],
-            ["d1", "d2", "uid", "doc_id", "pos", "n_words", "bands"])
-
+            [pa.array(np.where(own, d[:, 0], rep)), pa.array(d[:, 1], mask=~own), pa.array(uid), pa.array(rep), pa.array(doc, pa.int64()),
+             pa.array(pos, pa.int32()), pa.array([len(w) for w in words], pa.int32()), pa.array(bands, pa.binary())],
+            ["d1", "d2", "uid", "rep", "doc_id", "pos", "n_words", "bands"])
 
-def bit_of(uid):
-    """Place of a paragraph's number (an array or a column) in the bitmap."""
-    if isinstance(uid, np.ndarray):
-        return ((uid & ((1 << 40) - 1)) + (uid >> 40) * 1_000_003) % BITS
-    return (uid.bitwiseAND(F.lit((1 << 40) - 1)) + F.shiftright(uid, 40) * 1_000_003) % BITS
 
-
-def wanted_bitmap(uids: DataFrame) -> np.ndarray:
-    """Bits of the numbers in ``uids`` (column cid): BITS / 8 bytes, however many there are."""
-    bit = bit_of(F.col("cid"))
-    rows = uids.select(bit.alias("b")).select(F.shiftright("b", 5).alias("word"), F.expr("shiftleft(1L, cast(b & 31 as int))").alias("m"))
+def wanted_bitmap(digests: DataFrame) -> np.ndarray:
+    """Bits of the digests' first halves (column d1): BITS / 8 bytes, however many there are."""
+    bit = F.col("d1").bitwiseAND(F.lit(BITS - 1))
+    rows = digests.select(bit.alias("b")).select(F.shiftright("b", 5).alias("word"), F.expr("shiftleft(1L, cast(b & 31 as int))").alias("m"))
     table = rows.groupBy("word").agg(F.bit_or("m").alias("m")).toArrow()
     bits = np.zeros(BITS // 32, np.uint32)
     bits[table.column("word").to_numpy()] = table.column("m").to_numpy().astype(np.uint32)
@@ -180,13 +194,23 @@ def wanted_bitmap(uids: DataFrame) -> np.ndarray:
 
 
 def _bodies(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
-    """(uid, words) of the paragraphs whose bit is set."""
+    """(d1, d2, words) of the paragraphs whose bit is set, copies seen by the task left out as far as remembered."""
     bits = wanted.value
-    for uid, _, _, words in _paragraphs(batches):
-        b = bit_of(uid)
-        mine = np.flatnonzero((bits[b >> 5] >> (b & 31).astype(np.uint32)) & 1)
-        if len(mine):
-            yield pa.record_batch([pa.array(uid[mine]), pa.array([b" ".join(words[i]) for i in mine], pa.binary())], ["cid", "body"])
+    sent: set[bytes] = set()
+    for _, _, _, words in _paragraphs(batches):
+        joined = [b" ".join(w) for w in words]
+        digests = [xxhash.xxh3_128_digest(j) for j in joined]
+        d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+        b = d[:, 0] & (BITS - 1)
+        mine = []
+        for i in np.flatnonzero((bits[b >> 5] >> (b & 31).astype(np.uint32)) & 1).tolist():
+            if digests[i] not in sent:
+                mine.append(i)
+                if len(sent) < REMEMBERED:
+                    sent.add(digests[i])
+        if mine:
+            yield pa.record_batch([pa.array(d[mine, 0]), pa.array(d[mine, 1]), pa.array([joined[i] for i in mine], pa.binary())],
+                                  ["d1", "d2", "body"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
@@ -224,21 +248,38 @@ def _number(batch: pa.RecordBatch, keys: int, number: int, key: tuple | None, mo
     return (batch, numbers, np.zeros(n, bool), new), 0, None
 
 
-CLASSES = "cid long, uid long, doc_id long, pos int, n_words int, many boolean, bands binary"
+CLASSES = "cid long, uid long, rep long, doc_id long, pos int, n_words int, many boolean, bands binary, d1 long, d2 long"
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by digest with their class (its first row's number); band keys stay on that row."""
     names = [f.split()[0] for f in CLASSES.split(", ")]
+
+    def leaders() -> Iterator[pa.RecordBatch]:
+        """Rows under their digest; the others pass by."""
+        for batch in batches:
+            own = batch.column(1).is_valid()
+            copies = batch.filter(pa.compute.invert(own))
+            if copies.num_rows:
+                n = copies.num_rows
+                passed.append(pa.RecordBatch.from_arrays(
+                    [pa.nulls(n, pa.int64()), *[copies.column(c) for c in (2, 3, 4, 5, 6)], pa.array([True] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+                    names=names))
+            yield batch.filter(own)
+
+    passed: list[pa.RecordBatch] = []
     cid = 0
-    for batch, number, goes_on, _ in _runs(batches, 2):  # d1, d2, uid, doc_id, pos, n_words, bands
+    for batch, number, goes_on, _ in _runs(leaders(), 2):  # d1, d2, uid, rep, doc_id, pos, n_words, bands
+        yield from passed
+        passed.clear()
         uid, lead = batch.column(2).to_numpy(), number == 0
         first = np.maximum.accumulate(np.where(lead, np.arange(len(number)), -1))
         cids = np.where(first >= 0, uid[np.maximum(first, 0)], cid)
         cid = int(cids[-1])
-        bands = pa.compute.if_else(pa.array(lead), batch.column(6), pa.nulls(batch.num_rows, pa.binary()))
-        yield pa.RecordBatch.from_arrays([pa.array(cids), *[batch.column(c) for c in (2, 3, 4, 5)], pa.array(~lead | goes_on), bands],
-                                         names=names)
+        bands = pa.compute.if_else(pa.array(lead), batch.column(7), pa.nulls(batch.num_rows, pa.binary()))
+        yield pa.RecordBatch.from_arrays([pa.array(cids), *[batch.column(c) for c in (2, 3, 4, 5, 6)], pa.array(~lead | goes_on), bands,
+                                          batch.column(0), batch.column(1)], names=names)
+    yield from passed
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,8 +339,8 @@ def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
 
 
 def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """(a, b): verified links between classes, enough to join every group. ``rows``: (doc_id, text), as cut before."""
-    firsts = classes.filter(F.col("bands").isNotNull())
+    """(a, b): verified links between classes, enough to join every group. ``rows``: (doc_id, text)."""
+    firsts = classes.filter(F.col("bands").isNotNull())  # one row per class
     key = F.conv(F.hex(F.reverse(F.substring("bands", F.lit(1) + F.col("band") * 8, F.lit(8)))), 16, -10).cast("long")
     keyed = firsts.select("cid", "bands", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")).select(key.alias("key"), "cid")
     found = materialize(keyed.repartition("key").sortWithinPartitions("key", "cid")
@@ -308,8 +349,11 @@ def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARI
     cut = (found.join(large.select("key", F.expr(f"cast(last div {block} as int)").alias("blocks")), "key", "left").na.fill(0, ["blocks"])
            .withColumn("part", F.expr(f"cast(place div {block} as int)"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks")))))
-    wanted = classes.sparkSession.sparkContext.broadcast(wanted_bitmap(found))
-    bodies = rows.mapInArrow(lambda it: _bodies(it, wanted), "cid long, body binary")
+    needed = materialize(firsts.select("cid", "d1", "d2").join(found.select("cid").distinct(), "cid"), "paragraph-needed")
+    wanted = classes.sparkSession.sparkContext.broadcast(wanted_bitmap(needed))
+    bodies = (rows.mapInArrow(lambda it: _bodies(it, wanted), "d1 long, d2 long, body binary")
+              .groupBy("d1", "d2").agg(F.first("body").alias("body"))  # copies from other tasks
+              .join(needed, ["d1", "d2"]).select("cid", "body"))
     units = (cut.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cid")
              .join(bodies, "cid").select("key", "i", "j", "part", "cid", "body"))
     return (units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
@@ -326,10 +370,16 @@ def shared_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     units = rows.mapInArrow(_cut, UNITS)
     classes = materialize(units.repartition("d1", "d2").sortWithinPartitions("d1", "d2", "uid")
                           .mapInArrow(_classes, CLASSES), "paragraph-classes")
-    roots = connected_components(near_links(rows, classes, similarity)).withColumnRenamed("node", "cid")
-    members = (classes.select("cid", "uid", "doc_id", "pos", "n_words", "many").join(roots, "cid", "left")
-               .filter("many or root is not null").withColumn("root", F.coalesce("root", "cid")))
-    members = materialize(members, "paragraph-members")
+    roots = connected_components(near_links(rows, classes, similarity)).select(F.col("node").alias("cid"), "root")
+    leaders, columns = classes.filter("rep = uid"), ["cid", "uid", "doc_id", "pos", "n_words"]
+    copies = materialize(classes.filter("rep <> uid").drop("cid").join(leaders.select(F.col("uid").alias("rep"), "cid"), "rep")
+                         .select(*columns), "paragraph-copies")
+    # Classes to report besides those of several leaders: with copies within a task, or linked to others.
+    more = roots.unionByName(copies.select("cid", F.lit(None).cast("long").alias("root"))).groupBy("cid").agg(F.max("root").alias("root"))
+    more = materialize(more.withColumn("found", F.lit(True)), "paragraph-more")
+    members = leaders.join(more, "cid", "left").filter("many or found").select(*columns, "root").unionByName(
+        copies.join(more, "cid", "left").select(*columns, "root"))
+    members = materialize(members.withColumn("root", F.coalesce("root", "cid")), "paragraph-members")
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("pos"), F.col("uid"))
     groups = materialize(members.groupBy("root").agg(
         F.min(first).alias("f"), ((F.min("doc_id") != F.max("doc_id")) | (F.count("doc_id").between(1, F.count(F.lit(1)) - 1))).alias("spans")),

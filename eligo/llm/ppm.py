@@ -20,8 +20,7 @@ and a document's score is the sum over parts. The word counts of the base score
 
 Defined cases: a null text is empty and scored by its end byte; a null ``doc_id`` counts as the empty string
 for the fold, which puts it in training; repeated rows are scored and counted each; without training rows all
-bytes are equally likely; an empty table gives no rows. Rows are told apart by their place in the scan, so the
-input must be a table, or be written to one first.
+bytes are equally likely; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -256,17 +255,21 @@ def train(training: DataFrame, order: int = ORDER) -> tuple[Model, int]:
     return Model(order, grams, rated, words, (total or 0) + docs, types + (docs > 0), distinct, grams.count() + rated.count()), docs
 
 
+SCORED = "doc_id long, held_out boolean, text binary, score double"
+
+
 def _score(batches: Iterator[pa.RecordBatch], part, order: int, which: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows with what this part of the model adds to their score."""
     model = Part(*part.value)
     for batch in batches:
-        total = np.zeros(batch.num_rows)
-        for keys, owner in _positions([t.as_py().lower() for t in batch.column(1)], order):
+        total = batch.column(3).to_numpy().copy()
+        for keys, owner in _positions([t.as_py().lower() for t in batch.column(2)], order):
             if parts > 1:
                 mine = ((keys >> 8) & 0xFFFF) % parts == which
                 keys, owner = keys[mine], owner[mine]
             if len(keys):
                 total += np.bincount(owner, model.log10(keys), batch.num_rows)
-        yield pa.record_batch([batch.column(0), pa.array(total)], ["row", "score"])
+        yield pa.record_batch([*batch.columns[:3], pa.array(total)], ["doc_id", "held_out", "text", "score"])
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBatch]:
@@ -274,7 +277,7 @@ def _tokens(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBa
     log = frequent.value.get
     for batch in batches:
         n, known, logs, rare, times, offsets = [], [], [], [], [], [0]
-        for text in batch.column(1):
+        for text in batch.column(2):
             words = text.as_py().lower().split()
             found = list(map(log, words))
             hits = [x for x in found if x is not None]
@@ -286,20 +289,19 @@ def _tokens(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBa
             times.extend(others.values())
             offsets.append(len(rare))
         pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
-        yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()),
-                               pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)],
-                              ["row", "n_tokens", "known", "logs", "rare"])
+        yield pa.record_batch([batch.column(0), batch.column(1), batch.column(3), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
+                               pa.array(logs, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)],
+                              ["doc_id", "held_out", "score", "n_tokens", "known", "logs", "rare"])
 
 
 def score(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES, frequent: int = FREQUENT) -> DataFrame:
     """Train on the documents outside the held-out fold and score all of them (doc_id, text)."""
     spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), held_out().alias("held_out"),
-                       text_bytes().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_bytes().alias("text"))
     model, ends = train(rows.filter(~F.col("held_out")), order)
 
     parts = max(1, -(-model.entries // max_entries))
-    scored = None
+    scored = rows.withColumn("score", F.lit(0.0))
     for p in range(parts):
         def mine(pair: Column) -> Column:
             return (F.col("level") < 2) | (F.pmod(pair.bitwiseAND(F.lit(0xFFFF)), F.lit(parts)) == p)
@@ -307,17 +309,17 @@ def score(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES, f
         grams = model.grams.filter(mine(F.shiftright("key", 8))).toArrow()
         contexts = model.contexts.filter(mine(F.col("key"))).toArrow()
         part = spark.sparkContext.broadcast(build_part(order, grams, contexts, model.distinct))
-        one = rows.select("row", "text").mapInArrow(
-            lambda it, part=part, p=p: _score(it, part, order, p, parts), "row long, score double")
-        scored = one if scored is None else scored.unionByName(one)
-    scored = materialize(scored.groupBy("row").agg(F.sum("score").alias("score")), "ppm-scores")
+        if p:  # one part at a time in a task's memory
+            scored = materialize(scored, "ppm-scored")
+        scored = scored.mapInArrow(lambda it, part=part, p=p: _score(it, part, order, p, parts), SCORED)
 
     common = model.words.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
     logs = np.log10(common.column("n").to_numpy() + 0.5).tolist() if common.num_rows else []
     table = spark.sparkContext.broadcast(dict(zip((bytes(w) for w in common.column("word").to_pylist()), logs)))
-    tokens = materialize(rows.select("row", "text").mapInArrow(
-        lambda it: _tokens(it, table),
-        "row long, n_tokens long, known long, logs double, rare array<struct<word:binary,n:long>>"), "ppm-tokens")
+    # The row number tells documents apart from here on; it is made once, with the rows it is stored with.
+    tokens = materialize(scored.mapInArrow(
+        lambda it: _tokens(it, table), "doc_id long, held_out boolean, score double, n_tokens long, known long, logs double, "
+        "rare array<struct<word:binary,n:long>>").withColumn("row", F.monotonically_increasing_id()), "ppm-tokens")
     rare = (tokens.select("row", F.inline("rare")).withColumnRenamed("n", "times")
             .join(model.words, "word", "left")
             .groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_logs"),
@@ -325,8 +327,7 @@ def score(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES, f
     norm = float(np.log10(model.tokens + 0.5 * (model.types + 1)))
     end_log = float(np.log10(ends + 0.5))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return (rows.select("row", "doc_id", "held_out")
-            .join(tokens.drop("rare"), "row").join(scored, "row").join(rare, "row", "left")
+    return (tokens.drop("rare").join(rare, "row", "left")
             .select("doc_id", "held_out", "n_tokens",
                     (F.col("known") + zero(F.col("rare_known")) + F.lit(1 if ends else 0)).cast("long").alias("n_known"),
                     F.lit(model.tokens).cast("long").alias("train_tokens"),

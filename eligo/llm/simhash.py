@@ -63,11 +63,10 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > total, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = SHINGLE, row: str | None = None) -> DataFrame:
     """(row, doc_id, fp) for every document, written once to the shared folder.
 
-    ``row`` is the document's place in the scan: it tells rows with one id apart, and finds them again in
-    another scan of the same table.
+    ``row`` tells rows with one id apart: the column ``row`` names, or a number made here.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +74,8 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             found = [fingerprint(t.as_py(), width) for t in batch.column(2)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.int64())], ["row", "doc_id", "fp"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    rows = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     return materialize(rows.mapInArrow(run, "row long, doc_id long, fp long"), "fingerprints")
 
 
@@ -196,10 +196,10 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, blocks: int = B
     return units.mapInArrow(lambda it: _search_units(it, radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, row: str | None = None) -> DataFrame:
     """(row, doc_id, fp, component_id, root): every document with its fingerprint, its group's smallest id and
     one of the group's fingerprints."""
-    rows = fingerprints(docs, width)
+    rows = fingerprints(docs, width, row)
     classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     roots = connected_components(fingerprint_links(classes.select("fp"), radius))
     joined = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -209,15 +209,15 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS)
 
 
 def deduplicated(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents less near-copies: of each group one stays, with the smallest id (null last, then by place).
+    """The documents less near-copies: of each group one stays, with the smallest id (null last, then any one).
 
-    ``docs`` must be a table scan, whose rows are found again by their place.
+    The documents are numbered and written once first, so that the rows found are the rows kept.
     """
-    found = near_duplicates(docs, width, radius)
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     name, kept = fresh(docs, "_row"), fresh(docs, "_kept")
+    numbered = materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered-documents")
+    found = near_duplicates(numbered, width, radius, name)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     keep = found.groupBy("root").agg(F.min(first)["row"].alias("least")).select(F.col("least").alias(kept))
-    numbered = docs.withColumn(name, F.monotonically_increasing_id())
     return numbered.join(keep, F.col(name) == F.col(kept), "left_semi").select(*[numbered[c] for c in docs.columns])
 
 
