@@ -34,8 +34,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eligo.llm.common import documents, materialize, text_bytes
 
-ORDER = 4
-MAX_ENTRIES = 4_000_000   # entries of the model in one part
+ORDER = 5
+MAX_ENTRIES = 6_000_000   # entries of the model in one part
 FREQUENT = 200_000        # words whose counts go to every task
 PAD, END = 0xFE, 0xFF
 WINDOW = 1 << 20          # positions handled at a time
@@ -104,8 +104,28 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+class Sorted:
+    """Sorted int64 keys with values: no spare room, for the tables that only few positions ask."""
+
+    def __init__(self, keys: np.ndarray, *values: np.ndarray):
+        order = np.argsort(keys)
+        # A last key that nothing equals keeps every search within the arrays.
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.values = [np.append(v[order].astype(np.float32), np.float32(0)) for v in values]
+
+    @classmethod
+    def of(cls, keys: np.ndarray, values: list[np.ndarray]) -> Sorted:
+        self = cls.__new__(cls)
+        self.keys, self.values = keys, values
+        return self
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, at, -1)
+
+
 class Lookup:
-    """Open addressing over int64 keys (non-negative); finds many keys at once."""
+    """Open addressing over int64 keys (non-negative); finds many keys at once, fast."""
 
     def __init__(self, keys: np.ndarray, *values: np.ndarray):
         self.bits = max(4, int(2 * max(1, len(keys)) - 1).bit_length())
@@ -156,7 +176,8 @@ def build_part(order: int, grams: pa.Table, contexts: pa.Table, distinct: int) -
         out = []
         for j in range(order + 1):
             pick = rows.column("level").to_numpy() == j
-            table = Lookup(rows.column("key").to_numpy()[pick], *[rows.column(c).to_numpy()[pick] for c in names])
+            kind = Lookup if j == order and names == ["lp"] else Sorted
+            table = kind(rows.column("key").to_numpy()[pick], *[rows.column(c).to_numpy()[pick] for c in names])
             out.append((table.keys, table.values))
         return out
 
@@ -168,7 +189,8 @@ class Part:
 
     def __init__(self, order: int, distinct: int, grams: list[tuple], contexts: list[tuple]):
         self.order, self.distinct = order, distinct
-        self.grams, self.contexts = [Lookup.of(*g) for g in grams], [Lookup.of(*c) for c in contexts]
+        self.grams = [*[Sorted.of(*g) for g in grams[:-1]], Lookup.of(*grams[-1])]
+        self.contexts = [Sorted.of(*c) for c in contexts]
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         top = self.grams[self.order]

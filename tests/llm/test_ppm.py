@@ -76,6 +76,8 @@ def test_lookup():
     table = ppm.Lookup(keys, keys.astype(np.float32))
     slot = table.find(keys)
     assert (table.keys[slot] == keys).all() and (table.values[0][slot] == keys.astype(np.float32)).all()
+    plain = ppm.Sorted(keys[::-1], keys[::-1].astype(np.float32))
+    assert (plain.values[0][plain.find(keys)] == keys.astype(np.float32)).all() and (plain.find(keys + (1 << 41)) == -1).all()
     assert (table.find(keys + (1 << 41)) == -1).all() and ppm.Lookup(keys[:0]).find(keys).max() == -1
 
 
