@@ -57,7 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     always read, never replaced.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+               or sc.getCheckpointDir())
     if not current:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local folder "
