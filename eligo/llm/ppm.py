@@ -39,7 +39,8 @@ MAX_ENTRIES = 6_000_000   # entries of the model in one part
 FREQUENT = 200_000        # words whose counts go to every task
 PAD, END = 0xFE, 0xFF
 WINDOW = 1 << 20          # positions handled at a time
-FLUSH = 1_500_000         # counts held by a task before it passes them on
+MERGE = 600_000           # counts that a task gathers before it adds them up
+FLUSH = 1_500_000         # distinct ones held by a task before it passes them on
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -71,21 +72,26 @@ def _positions(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.
 
 def _count_grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0  # entries not merged yet
 
-    def summed() -> tuple[np.ndarray, np.ndarray]:
-        keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-        return keys, np.bincount(where, np.concatenate([n for _, n in held])).astype(np.int64)
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        keys, n = (np.concatenate(x) for x in zip(*held))
+        sort = np.argsort(keys)
+        keys = keys[sort]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        return keys[first], np.add.reduceat(n[sort], first)
 
     for batch in batches:
         for keys, _ in _positions([t.as_py().lower() for t in batch.column(0)], order):
             held.append(np.unique(keys, return_counts=True))
-            if sum(len(k) for k, _ in held) > 2 * FLUSH:
-                held = [summed()]
+            waiting += len(held[-1][0])
+            if waiting > MERGE:
+                held, waiting = [merged()], 0
                 if len(held[0][0]) > FLUSH:
                     yield pa.record_batch([pa.array(x) for x in held[0]], ["key", "n"])
                     held = []
     if held:
-        yield pa.record_batch([pa.array(x) for x in summed()], ["key", "n"])
+        yield pa.record_batch([pa.array(x) for x in merged()], ["key", "n"])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
