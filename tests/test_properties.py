@@ -154,7 +154,7 @@ def test_mode_impute_matches_oracle(spark):
             continue
         race = rnd.choice(["A", "B", "C", None, None])
         sex = rnd.choice(["F", "M", None])
-        rows.append(r[:8] + (race, sex, r[10]))
+        rows.append(r[:8] + (race, sex) + r[10:])
     got = {r["id"]: (r["race"], r["sex"])
            for r in impute_mode(with_person_key(frame(spark, rows))).collect()}
     sql = """WITH charges AS (SELECT * FROM input_charges),
