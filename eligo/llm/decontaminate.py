@@ -9,10 +9,13 @@ at least the target recall (measured in the tests on random edits). Items are cl
 to a quarter longer than its shortest), and a class walks 1.5 times its shortest length, so that the embedding
 covers the item's size whatever the item.
 
-A window that comes within k edits of an item has at most k words that no item of the class holds. That test
-runs on all positions of all documents by one running count and costs no recall; only the positions that pass
-are embedded. Every candidate (window, item) is then verified by its exact word edit distance: at most
-``1 - similarity`` of the item's words.
+A copy within k edits of an item has at least the item's length less k words, and at most k words that no item of
+the class holds. That test runs on all positions of all documents by one running count, over the shortest length
+that a copy of the class can have, and costs no recall; only the positions that pass are embedded. Every candidate
+(start, item) is then verified by the exact word edit distance with a free end in the text: the least distance of
+the item to the texts of its length less k to its length plus k from there is at most ``1 - similarity`` of the
+item's words. (``free_end=False`` of ``find_items`` compares the text of exactly the item's length instead, which
+counts a net insertion or deletion twice; no query uses it.)
 
 The items go out in blocks of at most ``block_words`` words, a bound that does not depend on the benchmark's
 size; all documents are read against each block. Nothing is shuffled.
@@ -110,6 +113,25 @@ def edit_distance(a: list[int], b: list[int], limit: int) -> int:
     return min(row[-1], over)
 
 
+def prefix_distance(item: list[int], text: list[int], limit: int) -> int:
+    """Least edit distance of ``item`` to a beginning of ``text``, ``limit + 1`` if over ``limit``."""
+    over, n = limit + 1, len(text)
+    row = [j if j <= limit else over for j in range(n + 1)]
+    for i, x in enumerate(item, 1):
+        lo, hi = max(1, i - limit), min(n, i + limit)
+        if lo > n + 1:
+            return over
+        new = [over] * (n + 1)
+        if i <= limit:
+            new[0] = i
+        for j in range(lo, hi + 1):
+            new[j] = min(row[j - 1] + (x != text[j - 1]), row[j] + 1, new[j - 1] + 1)
+        row = new
+        if min(row[lo - 1:hi + 1]) > limit:
+            return over
+    return min(min(row), over)
+
+
 def build_index(items: list[tuple[int, list[bytes]]], seed: int = SEED) -> tuple:
     """Plain data to ship: words, items and, per length class, its walks and the items' sorted keys."""
     words: dict[bytes, int] = {}
@@ -138,7 +160,7 @@ def build_index(items: list[tuple[int, list[bytes]]], seed: int = SEED) -> tuple
     return words, coded, found
 
 
-def find_items(texts: list[bytes], index: tuple, similarity: float = SIMILARITY) -> list[tuple[int, int, int, int]]:
+def find_items(texts: list[bytes], index: tuple, similarity: float = SIMILARITY, free_end: bool = False) -> list[tuple[int, int, int, int]]:
     """(text, item, first word, distance): each text's best window for each item that it holds."""
     words, coded, classes = index
     number = Words(words).__getitem__
@@ -153,7 +175,8 @@ def find_items(texts: list[bytes], index: tuple, similarity: float = SIMILARITY)
             n = len(symbols) - margin
             if n <= 0:
                 continue
-            starts = np.flatnonzero(foreign[lo:lo + n] - foreign[:n] <= edit_limit(hi, similarity))
+            least = lo - edit_limit(lo, similarity) if free_end else lo  # words of the shortest copy
+            starts = np.flatnonzero(foreign[least:least + n] - foreign[:n] <= edit_limit(hi, similarity))
             if not len(starts):
                 continue
             pairs: set[tuple[int, int]] = set()
@@ -171,12 +194,12 @@ def find_items(texts: list[bytes], index: tuple, similarity: float = SIMILARITY)
                 text = bisect_left(at, s + 1) - 1
                 if s >= at[text] + sizes[text]:
                     continue
-                window = symbols[s:min(s + len(ws), at[text] + sizes[text])]
                 limit = edit_limit(len(ws), similarity)
+                window = symbols[s:min(s + len(ws) + (limit if free_end else 0), at[text] + sizes[text])]
                 content = (item, window.tobytes())
                 d = tried.get(content)
                 if d is None:
-                    d = edit_distance(window.tolist(), ws, limit)
+                    d = prefix_distance(ws, window.tolist(), limit) if free_end else edit_distance(window.tolist(), ws, limit)
                     if len(tried) < 100_000:
                         tried[content] = d
                 if d <= limit:
@@ -232,7 +255,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                hits = find_items([t.as_py() for t in batch.column(1)], index.value, similarity)
+                hits = find_items([t.as_py() for t in batch.column(1)], index.value, similarity, free_end=True)
                 if hits:
                     which, *rest = zip(*hits)
                     yield pa.record_batch([batch.column(0).take(pa.array(which)), *[pa.array(c, pa.int64()) for c in rest]],
@@ -253,7 +276,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = S
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                hits = find_items([t.as_py() for t in batch.column(batch.num_columns - 1)], index.value, similarity)
+                hits = find_items([t.as_py() for t in batch.column(batch.num_columns - 1)], index.value, similarity, free_end=True)
                 keep = np.ones(batch.num_rows, bool)
                 keep[[h[0] for h in hits]] = False
                 yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
