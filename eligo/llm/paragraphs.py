@@ -5,6 +5,10 @@ a line is whole paragraphs again; a run of over 40 words without either is cut a
 multiple of 16 (after 64 words at the latest), which falls alike in every copy. Paragraphs are compared by their
 lower-cased (A-Z) words; those under 8 words are too short to tell and are left alone.
 
+Whole lines of 8 words or more are compared as well, with each other: one changed word costs 5 shingles, so that
+only a unit of some 50 words or more can be a near-copy with an edit inside, and a line keeps what its paragraphs
+divide; the paragraphs find what is pasted from one line into another. Below, a unit is a line or a paragraph.
+
 Equal paragraphs form a class. Two different ones are linked if the Jaccard similarity of their sets of 5-word
 shingles is 0.8 or more. Every class gets MinHash bands: 5 bands of 2 rows put a pair of similarity 0.8 into a
 common bucket with probability 1 - 0.36**5 = 0.994. Paragraphs that share a bucket are verified by the exact
@@ -20,7 +24,9 @@ a second scan: a bitmap of fixed size, made from the wanted digests, tells each
 together, so it does not matter how the files are dealt to tasks, or whether that changes when executors are lost.
 
 Clusters are the components of those links. The first paragraph of a cluster (by document id, null last, then
-place) stays, and the others are removed.
+place) stays, and the others are removed. Lines are settled first, and of a cluster of paragraphs the first one
+that is not part of a removed line stays. ``shared_passages`` does both levels (the query); ``shared_paragraphs``
+compares paragraphs alone.
 
 Defined cases: a null or blank text has no paragraphs; repeats within one document are removed like any; a null
 ``doc_id`` takes part, and all null ids count as one document; rows that share an id are reported together;
@@ -32,6 +38,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +58,7 @@ BLOCK = 256
 LONG_RUN, LAST_CUT, CUT_EVERY = 40, 64, 16  # words
 SEED = 5
 REMEMBERED = 500_000
+LINE_MARK = 0x5851F42D4C957F2D  # keeps the buckets of lines apart
 BITS = 1 << 26  # of the bitmap of wanted digests
 
 _BREAK = re.compile(rb"(?<=[.!?])[ \t\x0b\x0c\r]+|\n")
@@ -152,17 +160,86 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
         yield np.arange(uid, uid + len(doc)), doc, pos, words
 
 
-UNITS = "d1 long, d2 long, uid long, rep long, doc_id long, pos int, n_words int, bands binary"
+class Unit(NamedTuple):
+    """A stretch of a text that is compared: paragraphs ``pos`` to ``pos + size``, words ``start`` to ``end``."""
+
+    pos: int
+    size: int
+    start: int
+    end: int
+    line: int            # place of its line in the text's list of units; its own for a line, -1 for none
+
+
+def text_units(spans: list[tuple[int, int]], words: list[list[bytes]], text: bytes) -> list[Unit]:
+    """The units of a text: every line of MIN_WORDS words, each followed by those of its paragraphs that have as many."""
+    out: list[Unit] = []
+    at, n = 0, 0
+    while at < len(spans):
+        end, start = at + 1, n
+        n += len(words[at])
+        while end < len(spans) and text.find(b"\n", spans[end - 1][1], spans[end][0]) < 0:
+            n += len(words[end])
+            end += 1
+        if n - start >= MIN_WORDS:
+            line, k = len(out), start
+            out.append(Unit(at, end - at, start, n, line))
+            for i in range(at, end):
+                if len(words[i]) >= MIN_WORDS:
+                    out.append(Unit(i, 1, k, k + len(words[i]), line))
+                k += len(words[i])
+        at = end
+    return out
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """As ``_paragraphs``, for the units of ``text_units``: (numbers, doc ids, places, words, digests, is a line, distance
+    to the number of the unit's line or -1, paragraphs)."""
+    base = TaskContext.get().partitionId() << 40
+    cols: list[list] = [[] for _ in range(7)]
+
+    def taken() -> tuple:
+        nonlocal base, cols
+        n = len(cols[0])
+        out = (np.arange(base, base + n), *cols)
+        base, cols = base + n, [[] for _ in range(7)]
+        return out
 
+    for batch in batches:
+        for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text = text.as_py()
+            spans = paragraph_spans(text)
+            parts = [text[s:e].lower().split() for s, e in spans]
+            flat = [w for part in parts for w in part]
+            for k, u in enumerate(text_units(spans, parts, text)):
+                words = flat[u.start:u.end]
+                # Lines are compared with lines, paragraphs with paragraphs: a line is no copy of its own paragraph.
+                mark = b"\n" if u.line == k else b""
+                for col, x in zip(cols, (i, u.pos, words, xxhash.xxh3_128_digest(mark + b" ".join(words)), u.line == k,
+                                         k - u.line if u.line >= 0 else -1, u.size)):
+                    col.append(x)
+            if len(cols[0]) >= 20_000:
+                yield taken()
+    if cols[0]:
+        yield taken()
+
+
+def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """``_paragraphs`` in the form of ``_passages``."""
+    for uid, doc, pos, words in _paragraphs(batches):
+        n = len(words)
+        yield uid, doc, pos, words, [xxhash.xxh3_128_digest(b" ".join(w)) for w in words], [False] * n, [-1] * n, [1] * n
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest and band keys of each paragraph; a copy of an earlier one of this task names that one as ``rep``.
+
+UNITS = "d1 long, d2 long, uid long, rep long, doc_id long, pos int, n_words int, bands binary, up int, size int"
+
+
+def _cut(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
+    """Digest and band keys of each unit; a copy of an earlier one of this task names that one as ``rep``.
 
     Copies travel under their ``rep`` instead of the digest (d2 is null), so they do not meet in one task.
     """
     first: dict[bytes, int] = {}
-    for uid, doc, pos, words in _paragraphs(batches):
-        digests = [xxhash.xxh3_128_digest(b" ".join(w)) for w in words]
+    for uid, doc, pos, words, digests, lines, up, size in (_passages if whole else _plain)(batches):
         rep = []
         for u, d in zip(uid.tolist(), digests):
             r = first.get(d)
@@ -176,11 +253,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
         lead = np.flatnonzero(own)
         bands = np.full(len(words), None, object)
-        bands[lead] = [k.tobytes() for k in band_keys([words[i] for i in lead])] if len(lead) else []
+        banded = lead[[len(words[i]) >= MIN_WORDS for i in lead]] if len(lead) else lead
+        if len(banded):
+            keys = band_keys([words[i] for i in banded])
+            keys[np.array(lines)[banded]] ^= np.uint64(LINE_MARK)
+            bands[banded] = [k.tobytes() for k in keys]
         yield pa.record_batch(
             [pa.array(np.where(own, d[:, 0], rep)), pa.array(d[:, 1], mask=~own), pa.array(uid), pa.array(rep), pa.array(doc, pa.int64()),
-             pa.array(pos, pa.int32()), pa.array([len(w) for w in words], pa.int32()), pa.array(bands, pa.binary())],
-            ["d1", "d2", "uid", "rep", "doc_id", "pos", "n_words", "bands"])
+             pa.array(pos, pa.int32()), pa.array([len(w) for w in words], pa.int32()), pa.array(bands, pa.binary()),
+             pa.array(up, pa.int32()), pa.array(size, pa.int32())],
+            ["d1", "d2", "uid", "rep", "doc_id", "pos", "n_words", "bands", "up", "size"])
 
 
 def wanted_bitmap(digests: DataFrame) -> np.ndarray:
@@ -193,13 +275,11 @@ def wanted_bitmap(digests: DataFrame) -> np.ndarray:
     return bits
 
 
-def _bodies(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
+def _bodies(batches: Iterator[pa.RecordBatch], wanted, whole: bool = False) -> Iterator[pa.RecordBatch]:
     """(d1, d2, words) of the paragraphs whose bit is set, copies seen by the task left out as far as remembered."""
     bits = wanted.value
     sent: set[bytes] = set()
-    for _, _, _, words in _paragraphs(batches):
-        joined = [b" ".join(w) for w in words]
-        digests = [xxhash.xxh3_128_digest(j) for j in joined]
+    for _, _, _, words, digests, *_ in (_passages if whole else _plain)(batches):
         d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
         b = d[:, 0] & (BITS - 1)
         mine = []
@@ -209,7 +289,7 @@ def _bodies(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatc
                 if len(sent) < REMEMBERED:
                     sent.add(digests[i])
         if mine:
-            yield pa.record_batch([pa.array(d[mine, 0]), pa.array(d[mine, 1]), pa.array([joined[i] for i in mine], pa.binary())],
+            yield pa.record_batch([pa.array(d[mine, 0]), pa.array(d[mine, 1]), pa.array([b" ".join(words[i]) for i in mine], pa.binary())],
                                   ["d1", "d2", "body"])
 
 
@@ -248,7 +328,7 @@ def _number(batch: pa.RecordBatch, keys: int, number: int, key: tuple | None, mo
     return (batch, numbers, np.zeros(n, bool), new), 0, None
 
 
-CLASSES = "cid long, uid long, rep long, doc_id long, pos int, n_words int, many boolean, bands binary, d1 long, d2 long"
+CLASSES = "cid long, uid long, rep long, doc_id long, pos int, n_words int, many boolean, bands binary, d1 long, d2 long, up int, size int"
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,13 +343,13 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if copies.num_rows:
                 n = copies.num_rows
                 passed.append(pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, pa.int64()), *[copies.column(c) for c in (2, 3, 4, 5, 6)], pa.array([True] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+                    [pa.nulls(n, pa.int64()), *[copies.column(c) for c in (2, 3, 4, 5, 6)], pa.array([True] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), copies.column(8), copies.column(9)],
                     names=names))
             yield batch.filter(own)
 
     passed: list[pa.RecordBatch] = []
     cid = 0
-    for batch, number, goes_on, _ in _runs(leaders(), 2):  # d1, d2, uid, rep, doc_id, pos, n_words, bands
+    for batch, number, goes_on, _ in _runs(leaders(), 2):  # the columns of UNITS
         yield from passed
         passed.clear()
         uid, lead = batch.column(2).to_numpy(), number == 0
@@ -278,7 +358,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cid = int(cids[-1])
         bands = pa.compute.if_else(pa.array(lead), batch.column(7), pa.nulls(batch.num_rows, pa.binary()))
         yield pa.RecordBatch.from_arrays([pa.array(cids), *[batch.column(c) for c in (2, 3, 4, 5, 6)], pa.array(~lead | goes_on), bands,
-                                          batch.column(0), batch.column(1)], names=names)
+                                          batch.column(0), batch.column(1), batch.column(8), batch.column(9)], names=names)
     yield from passed
 
 
@@ -338,7 +418,8 @@ def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
         yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
 
 
-def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK,
+               whole: bool = False) -> DataFrame:
     """(a, b): verified links between classes, enough to join every group. ``rows``: (doc_id, text)."""
     firsts = classes.filter(F.col("bands").isNotNull())  # one row per class
     key = F.conv(F.hex(F.reverse(F.substring("bands", F.lit(1) + F.col("band") * 8, F.lit(8)))), 16, -10).cast("long")
@@ -351,7 +432,7 @@ def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARI
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks")))))
     needed = materialize(firsts.select("cid", "d1", "d2").join(found.select("cid").distinct(), "cid"), "paragraph-needed")
     wanted = classes.sparkSession.sparkContext.broadcast(wanted_bitmap(needed))
-    bodies = (rows.mapInArrow(lambda it: _bodies(it, wanted), "d1 long, d2 long, body binary")
+    bodies = (rows.mapInArrow(lambda it: _bodies(it, wanted, whole), "d1 long, d2 long, body binary")
               .groupBy("d1", "d2").agg(F.first("body").alias("body"))  # copies from other tasks
               .join(needed, ["d1", "d2"]).select("cid", "body"))
     units = (cut.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cid")
@@ -360,18 +441,14 @@ def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARI
             .mapInArrow(lambda it: _verify(it, similarity), "a long, b long"))
 
 
-def shared_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, pos, n_words, cluster, spans, removed) of every paragraph in a cluster of several.
-
-    ``cluster`` is the id of the document with the cluster's first paragraph; ``spans``: the cluster reaches over
-    several documents.
-    """
+def _members(docs: DataFrame, similarity: float, whole: bool) -> DataFrame:
+    """(cid, uid, doc_id, pos, n_words, up, size, root) of every unit in a cluster of several."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    units = rows.mapInArrow(_cut, UNITS)
+    units = rows.mapInArrow(lambda it: _cut(it, whole), UNITS)
     classes = materialize(units.repartition("d1", "d2").sortWithinPartitions("d1", "d2", "uid")
                           .mapInArrow(_classes, CLASSES), "paragraph-classes")
-    roots = connected_components(near_links(rows, classes, similarity)).select(F.col("node").alias("cid"), "root")
-    leaders, columns = classes.filter("rep = uid"), ["cid", "uid", "doc_id", "pos", "n_words"]
+    roots = connected_components(near_links(rows, classes, similarity, whole=whole)).select(F.col("node").alias("cid"), "root")
+    leaders, columns = classes.filter("rep = uid"), ["cid", "uid", "doc_id", "pos", "n_words", "up", "size"]
     copies = materialize(classes.filter("rep <> uid").drop("cid").join(leaders.select(F.col("uid").alias("rep"), "cid"), "rep")
                          .select(*columns), "paragraph-copies")
     # Classes to report besides those of several leaders: with copies within a task, or linked to others.
@@ -379,19 +456,58 @@ def shared_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     more = materialize(more.withColumn("found", F.lit(True)), "paragraph-more")
     members = leaders.join(more, "cid", "left").filter("many or found").select(*columns, "root").unionByName(
         copies.join(more, "cid", "left").select(*columns, "root"))
-    members = materialize(members.withColumn("root", F.coalesce("root", "cid")), "paragraph-members")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("pos"), F.col("uid"))
+    return materialize(members.withColumn("root", F.coalesce("root", "cid")), "paragraph-members")
+
+
+def _judged(members: DataFrame) -> DataFrame:
+    """The members with their cluster, whether it spans several documents, and whether another member stays for them.
+
+    A member whose line is removed (``gone``) stays for others only if there is none besides.
+    """
+    first = F.struct("gone", F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("pos"), F.col("uid"))
     groups = materialize(members.groupBy("root").agg(
         F.min(first).alias("f"), ((F.min("doc_id") != F.max("doc_id")) | (F.count("doc_id").between(1, F.count(F.lit(1)) - 1))).alias("spans")),
         "paragraph-groups")
     return members.join(groups, "root").select(
-        "doc_id", "pos", "n_words", F.col("f.doc_id").alias("cluster"), F.coalesce("spans", F.lit(False)).alias("spans"),
+        *members.columns, F.col("f.doc_id").alias("cluster"), F.coalesce("spans", F.lit(False)).alias("spans"),
         (F.col("uid") != F.col("f.uid")).alias("removed"))
 
 
+def shared_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, pos, n_words, cluster, spans, removed) of every paragraph in a cluster of several, paragraphs alone.
+
+    ``cluster`` is the id of the document with the cluster's first paragraph; ``spans``: the cluster reaches over
+    several documents.
+    """
+    members = _members(docs, similarity, False).withColumn("gone", F.lit(False))
+    return _judged(members).select("doc_id", "pos", "n_words", "cluster", "spans", "removed")
+
+
+def shared_passages(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, pos, size, n_words, cluster, spans, removed, in_spans, in_removed) of every line and paragraph in a
+    cluster of several.
+
+    A unit covers ``size`` paragraphs from ``pos``. ``in_spans``, ``in_removed``: it is a part of a line of which that
+    is true already. ``cluster`` is null unless it spans several documents.
+    """
+    members = _members(docs, similarity, True)
+    lines = materialize(_judged(members.filter("up = 0").withColumn("gone", F.lit(False))), "paragraph-lines")
+    of_line = lines.select(F.col("uid").alias("line"), F.col("spans").alias("in_spans"), F.col("removed").alias("in_removed"))
+    parts = (members.filter("up <> 0").withColumn("line", F.when(F.col("up") > 0, F.col("uid") - F.col("up")))
+             .join(of_line, "line", "left").na.fill(False, ["in_spans", "in_removed"]).withColumn("gone", F.col("in_removed")))
+    no = F.lit(False)
+    out = _judged(materialize(parts, "paragraph-parts")).unionByName(
+        lines.withColumns({"line": F.lit(None).cast("long"), "in_spans": no, "in_removed": no}))
+    return out.select("doc_id", "pos", "size", "n_words", F.when(F.col("spans"), F.col("cluster")).alias("cluster"), "spans", "removed",
+                      "in_spans", "in_removed")
+
+
 def without_paragraphs(docs: DataFrame, shared: DataFrame) -> DataFrame:
     """The documents with the removed paragraphs cut out of their texts (ids must be unique)."""
-    gone = shared.filter("removed").groupBy("doc_id").agg(F.collect_set("pos").alias("gone")).withColumnRenamed("doc_id", "_id")
+    removed = shared.filter("removed")
+    if "size" in shared.columns:
+        removed = removed.withColumn("pos", F.explode(F.sequence("pos", F.expr("pos + size - 1"))))
+    gone = removed.groupBy("doc_id").agg(F.collect_set("pos").alias("gone")).withColumnRenamed("doc_id", "_id")
     joined = docs.select("doc_id", text_bytes().alias("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,10 +524,11 @@ def without_paragraphs(docs: DataFrame, shared: DataFrame) -> DataFrame:
 
 def op8_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    found = shared_paragraphs(docs).groupBy("doc_id").agg(
-        F.count_if("spans").alias("n_shared"), F.count_if("removed").alias("n_removed"),
-        F.sum(F.when(F.col("removed"), F.col("n_words")).otherwise(0)).alias("removed_words"),
-        F.sort_array(F.collect_set(F.when(F.col("spans"), F.col("cluster")))).alias("clusters")).withColumnRenamed("doc_id", "_id")
+    shared, gone = F.expr("spans and not in_spans"), F.expr("removed and not in_removed")
+    found = shared_passages(docs).groupBy("doc_id").agg(
+        F.sum(F.when(shared, F.col("size")).otherwise(0)).alias("n_shared"), F.sum(F.when(gone, F.col("size")).otherwise(0)).alias("n_removed"),
+        F.sum(F.when(gone, F.col("n_words")).otherwise(0)).alias("removed_words"),
+        F.sort_array(F.collect_set("cluster")).alias("clusters")).withColumnRenamed("doc_id", "_id")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return ids.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
