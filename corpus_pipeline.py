@@ -15,7 +15,7 @@ from eligo.llm.common import documents, work_path
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a base rule or a certified cutoff rejects go."""
-    return quality.kept_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.kept_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), joint=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
