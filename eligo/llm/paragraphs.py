@@ -3,7 +3,8 @@
 Paragraphs are cut at line ends and at sentence ends within a line, so that a passage pasted into the middle of
 a line is whole paragraphs again; a run of over 40 words without either is cut after words whose checksum is a
 multiple of 16 (after 64 words at the latest), which falls alike in every copy. Paragraphs are compared by their
-lower-cased (A-Z) words; those under 8 words are too short to tell and are left alone.
+lower-cased (A-Z) words. Consecutive paragraphs under 8 words are merged, by content, until they have 8; what stays
+under 8 words is compared exactly, together with the 8 words before it or the 8 after it, as it tells little alone.
 
 Whole lines of 8 words or more are compared as well, with each other: one changed word costs 5 shingles, so that
 only a unit of some 50 words or more can be a near-copy with an edit inside, and a line keeps what its paragraphs
@@ -38,6 +39,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -170,38 +172,88 @@ class Unit(NamedTuple):
     line: int            # place of its line in the text's list of units; its own for a line, -1 for none
 
 
+def merged(words: list[list[bytes]], first: int, end: int) -> list[tuple[int, int]]:
+    """The run of short paragraphs ``first`` to ``end`` in stretches of MIN_WORDS words at least, or whole if it has fewer
+    than twice as many.
+
+    A stretch ends with a paragraph whose checksum is the least of all whose ends lie within MIN_WORDS words of its own,
+    so copies are cut alike whatever stands around them; after LAST_CUT words without one it ends anyway.
+    """
+    ends = list(accumulate(len(words[i]) for i in range(first, end)))
+    if ends[-1] < 2 * MIN_WORDS:
+        return [(first, end)]
+    marks = [zlib.crc32(b" ".join(words[i])) for i in range(first, end)]
+    out, at, used = [], 0, 0
+    for i, n in enumerate(ends):
+        if ends[-1] - n < MIN_WORDS:
+            break
+        if n - used < MIN_WORDS:
+            continue
+        left, right = i - 1, i + 1
+        while left >= 0 and n - ends[left] < MIN_WORDS and marks[left] > marks[i]:
+            left -= 1
+        while right < len(ends) and ends[right] - n < MIN_WORDS and marks[right] >= marks[i]:
+            right += 1
+        least = (left < 0 or n - ends[left] >= MIN_WORDS) and (right == len(ends) or ends[right] - n >= MIN_WORDS)
+        if least or n - used >= LAST_CUT:
+            out.append((first + at, first + i + 1))
+            at, used = i + 1, n
+    return [*out, (first + at, end)]
+
+
 def text_units(spans: list[tuple[int, int]], words: list[list[bytes]], text: bytes) -> list[Unit]:
-    """The units of a text: every line of MIN_WORDS words, each followed by those of its paragraphs that have as many."""
+    """The units of a text: every line of MIN_WORDS words, each followed by its paragraphs, and the shorter lines. Short
+    paragraphs are merged with those beside them: within their line, or with other short lines."""
     out: list[Unit] = []
-    at, n = 0, 0
+    starts = [0, *accumulate(map(len, words))]
+
+    def add(first: int, end: int, line: int) -> None:
+        """The paragraphs ``first`` to ``end``, the short ones merged."""
+        i = first
+        while i < end:
+            j = i
+            while j < end and len(words[j]) < MIN_WORDS:
+                j += 1
+            for a, b in merged(words, i, j) if j > i else [(i, i + 1)]:
+                out.append(Unit(a, b - a, starts[a], starts[b], line))
+            i = max(j, i + 1)
+
+    at = waiting = 0  # lines from ``waiting`` on are short
     while at < len(spans):
-        end, start = at + 1, n
-        n += len(words[at])
+        end = at + 1
         while end < len(spans) and text.find(b"\n", spans[end - 1][1], spans[end][0]) < 0:
-            n += len(words[end])
             end += 1
-        if n - start >= MIN_WORDS:
-            line, k = len(out), start
-            out.append(Unit(at, end - at, start, n, line))
-            for i in range(at, end):
-                if len(words[i]) >= MIN_WORDS:
-                    out.append(Unit(i, 1, k, k + len(words[i]), line))
-                k += len(words[i])
+        if starts[end] - starts[at] >= MIN_WORDS:
+            add(waiting, at, -1)
+            out.append(Unit(at, end - at, starts[at], starts[end], len(out)))
+            add(at, end, len(out) - 1)
+            waiting = end
         at = end
+    add(waiting, at, -1)
     return out
 
 
+def short_keys(words: list[bytes], start: int, end: int) -> list[bytes]:
+    """What a short unit is known by: itself with the MIN_WORDS words before it, and with those after it; with all of a
+    text that has too few words for either."""
+    own, before, after = (b" ".join(words[i:j]) for i, j in ((start, end), (max(0, start - MIN_WORDS), start), (end, end + MIN_WORDS)))
+    keys = [before + b"\n\n" + own] if start >= MIN_WORDS else []
+    keys += [own + b"\n\n\n" + after] if end + MIN_WORDS <= len(words) else []
+    return keys or [before + b"\n\n" + own + b"\n\n" + after]
+
+
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """As ``_paragraphs``, for the units of ``text_units``: (numbers, doc ids, places, words, digests, is a line, distance
-    to the number of the unit's line or -1, paragraphs)."""
+    to the number of the unit's line or -1, paragraphs, is the row before it again). A short unit has a row for each of
+    its keys."""
     base = TaskContext.get().partitionId() << 40
-    cols: list[list] = [[] for _ in range(7)]
+    cols: list[list] = [[] for _ in range(8)]
 
     def taken() -> tuple:
         nonlocal base, cols
         n = len(cols[0])
         out = (np.arange(base, base + n), *cols)
-        base, cols = base + n, [[] for _ in range(7)]
+        base, cols = base + n, [[] for _ in range(8)]
         return out
 
     for batch in batches:
@@ -210,14 +262,21 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             spans = paragraph_spans(text)
             parts = [text[s:e].lower().split() for s, e in spans]
             flat = [w for part in parts for w in part]
+            line = 0  # row of the line
             for k, u in enumerate(text_units(spans, parts, text)):
                 words = flat[u.start:u.end]
+                if u.line == k:
+                    line = len(cols[0])
                 # Lines are compared with lines, paragraphs with paragraphs: a line is no copy of its own paragraph.
-                mark = b"\n" if u.line == k else b""
-                for col, x in zip(cols, (i, u.pos, words, xxhash.xxh3_128_digest(mark + b" ".join(words)), u.line == k,
-                                         k - u.line if u.line >= 0 else -1, u.size)):
-                    col.append(x)
-            if len(cols[0]) >= 20_000:
+                if len(words) < MIN_WORDS:
+                    keys = short_keys(flat, u.start, u.end)
+                else:
+                    keys = [(b"\n" if u.line == k else b"") + b" ".join(words)]
+                for n, key in enumerate(keys):
+                    up = len(cols[0]) - line if u.line >= 0 else -1
+                    for col, x in zip(cols, (i, u.pos, words, xxhash.xxh3_128_digest(key), u.line == k, up, u.size, n > 0)):
+                        col.append(x)
+            if len(cols[0]) >= 2_000:
                 yield taken()
     if cols[0]:
         yield taken()
@@ -227,10 +286,10 @@ def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """``_paragraphs`` in the form of ``_passages``."""
     for uid, doc, pos, words in _paragraphs(batches):
         n = len(words)
-        yield uid, doc, pos, words, [xxhash.xxh3_128_digest(b" ".join(w)) for w in words], [False] * n, [-1] * n, [1] * n
+        yield uid, doc, pos, words, [xxhash.xxh3_128_digest(b" ".join(w)) for w in words], [False] * n, [-1] * n, [1] * n, [False] * n
 
 
-UNITS = "d1 long, d2 long, uid long, rep long, doc_id long, pos int, n_words int, bands binary, up int, size int"
+UNITS = "d1 long, d2 long, uid long, rep long, doc_id long, pos int, n_words int, bands binary, up int, size int, again boolean"
 
 
 def _cut(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
@@ -239,7 +298,7 @@ def _cut(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.
     Copies travel under their ``rep`` instead of the digest (d2 is null), so they do not meet in one task.
     """
     first: dict[bytes, int] = {}
-    for uid, doc, pos, words, digests, lines, up, size in (_passages if whole else _plain)(batches):
+    for uid, doc, pos, words, digests, lines, up, size, again in (_passages if whole else _plain)(batches):
         rep = []
         for u, d in zip(uid.tolist(), digests):
             r = first.get(d)
@@ -261,8 +320,8 @@ def _cut(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.
         yield pa.record_batch(
             [pa.array(np.where(own, d[:, 0], rep)), pa.array(d[:, 1], mask=~own), pa.array(uid), pa.array(rep), pa.array(doc, pa.int64()),
              pa.array(pos, pa.int32()), pa.array([len(w) for w in words], pa.int32()), pa.array(bands, pa.binary()),
-             pa.array(up, pa.int32()), pa.array(size, pa.int32())],
-            ["d1", "d2", "uid", "rep", "doc_id", "pos", "n_words", "bands", "up", "size"])
+             pa.array(up, pa.int32()), pa.array(size, pa.int32()), pa.array(again, pa.bool_())],
+            ["d1", "d2", "uid", "rep", "doc_id", "pos", "n_words", "bands", "up", "size", "again"])
 
 
 def wanted_bitmap(digests: DataFrame) -> np.ndarray:
@@ -328,7 +387,7 @@ def _number(batch: pa.RecordBatch, keys: int, number: int, key: tuple | None, mo
     return (batch, numbers, np.zeros(n, bool), new), 0, None
 
 
-CLASSES = "cid long, uid long, rep long, doc_id long, pos int, n_words int, many boolean, bands binary, d1 long, d2 long, up int, size int"
+CLASSES = "cid long, uid long, rep long, doc_id long, pos int, n_words int, many boolean, bands binary, d1 long, d2 long, up int, size int, again boolean"
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,7 +402,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if copies.num_rows:
                 n = copies.num_rows
                 passed.append(pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, pa.int64()), *[copies.column(c) for c in (2, 3, 4, 5, 6)], pa.array([True] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), copies.column(8), copies.column(9)],
+                    [pa.nulls(n, pa.int64()), *[copies.column(c) for c in (2, 3, 4, 5, 6)], pa.array([True] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), copies.column(8), copies.column(9), copies.column(10)],
                     names=names))
             yield batch.filter(own)
 
@@ -358,7 +417,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cid = int(cids[-1])
         bands = pa.compute.if_else(pa.array(lead), batch.column(7), pa.nulls(batch.num_rows, pa.binary()))
         yield pa.RecordBatch.from_arrays([pa.array(cids), *[batch.column(c) for c in (2, 3, 4, 5, 6)], pa.array(~lead | goes_on), bands,
-                                          batch.column(0), batch.column(1), batch.column(8), batch.column(9)], names=names)
+                                          batch.column(0), batch.column(1), batch.column(8), batch.column(9), batch.column(10)], names=names)
     yield from passed
 
 
@@ -421,7 +480,7 @@ def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
 def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK,
                whole: bool = False) -> DataFrame:
     """(a, b): verified links between classes, enough to join every group. ``rows``: (doc_id, text)."""
-    firsts = classes.filter(F.col("bands").isNotNull())  # one row per class
+    firsts = classes.filter(F.col("bands").isNotNull())  # one row per class of units that are not short
     key = F.conv(F.hex(F.reverse(F.substring("bands", F.lit(1) + F.col("band") * 8, F.lit(8)))), 16, -10).cast("long")
     keyed = firsts.select("cid", "bands", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")).select(key.alias("key"), "cid")
     found = materialize(keyed.repartition("key").sortWithinPartitions("key", "cid")
@@ -442,13 +501,13 @@ def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARI
 
 
 def _members(docs: DataFrame, similarity: float, whole: bool) -> DataFrame:
-    """(cid, uid, doc_id, pos, n_words, up, size, root) of every unit in a cluster of several."""
+    """(cid, uid, doc_id, pos, n_words, up, size, again, root) of every unit in a cluster of several."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     units = rows.mapInArrow(lambda it: _cut(it, whole), UNITS)
     classes = materialize(units.repartition("d1", "d2").sortWithinPartitions("d1", "d2", "uid")
                           .mapInArrow(_classes, CLASSES), "paragraph-classes")
     roots = connected_components(near_links(rows, classes, similarity, whole=whole)).select(F.col("node").alias("cid"), "root")
-    leaders, columns = classes.filter("rep = uid"), ["cid", "uid", "doc_id", "pos", "n_words", "up", "size"]
+    leaders, columns = classes.filter("rep = uid"), ["cid", "uid", "doc_id", "pos", "n_words", "up", "size", "again"]
     copies = materialize(classes.filter("rep <> uid").drop("cid").join(leaders.select(F.col("uid").alias("rep"), "cid"), "rep")
                          .select(*columns), "paragraph-copies")
     # Classes to report besides those of several leaders: with copies within a task, or linked to others.
@@ -495,11 +554,12 @@ def shared_passages(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     of_line = lines.select(F.col("uid").alias("line"), F.col("spans").alias("in_spans"), F.col("removed").alias("in_removed"))
     parts = (members.filter("up <> 0").withColumn("line", F.when(F.col("up") > 0, F.col("uid") - F.col("up")))
              .join(of_line, "line", "left").na.fill(False, ["in_spans", "in_removed"]).withColumn("gone", F.col("in_removed")))
-    no = F.lit(False)
-    out = _judged(materialize(parts, "paragraph-parts")).unionByName(
-        lines.withColumns({"line": F.lit(None).cast("long"), "in_spans": no, "in_removed": no}))
-    return out.select("doc_id", "pos", "size", "n_words", F.when(F.col("spans"), F.col("cluster")).alias("cluster"), "spans", "removed",
-                      "in_spans", "in_removed")
+    no, span = F.lit(False), F.when(F.col("spans"), F.col("cluster"))
+    parts = (_judged(materialize(parts, "paragraph-parts")).withColumn("piece", F.col("uid") - F.col("again").cast("long"))
+             .groupBy("piece").agg(*[F.first(c).alias(c) for c in ("doc_id", "pos", "size", "n_words", "in_spans", "in_removed")],
+                                   F.min(span).alias("cluster"), F.bool_or("spans").alias("spans"), F.bool_or("removed").alias("removed")))
+    return parts.drop("piece").unionByName(lines.select("doc_id", "pos", "size", "n_words", span.alias("cluster"), "spans", "removed",
+                                                        no.alias("in_spans"), no.alias("in_removed")))
 
 
 def without_paragraphs(docs: DataFrame, shared: DataFrame) -> DataFrame:

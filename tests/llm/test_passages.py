@@ -66,3 +66,33 @@ def test_a_sentence_kept_in_a_removed_line_stays_elsewhere(spark, tmp_path):
     docs = tables.write(spark, [(1, " ".join(line)), (2, " ".join([*line, own])), (3, own)], "doc_id long, text string", tmp_path)
     left = {r.doc_id: r.text for r in P.without_paragraphs(docs, P.shared_passages(docs)).collect()}
     assert left[1].split() == " ".join(line).split() and not left[2].split() and left[3] == own
+
+
+def test_merged_short_paragraphs_are_cut_alike():
+    rng = random.Random(7)
+    short = lambda n: [[b"w%d" % rng.randrange(10**6) for _ in range(rng.randint(1, 7))] for _ in range(n)]
+    passage = short(60)
+    cut = [{tuple(map(tuple, words[a:b])) for a, b in P.merged(words, 0, len(words))}
+           for words in (passage, [*short(9), *passage, *short(5)], [*short(3), *passage])]
+    assert all(len(cut[0] & c) >= .7 * len(cut[0]) for c in cut)
+    for words in (passage, [[b"same"]] * 500, passage[:2]):
+        parts = P.merged(words, 0, len(words))
+        assert [i for a, b in parts for i in range(a, b)] == list(range(len(words)))
+        assert all(P.MIN_WORDS <= sum(map(len, words[a:b])) <= 2 * P.LAST_CUT for a, b in parts) or len(parts) == 1
+
+
+def test_passages_of_short_lines_and_short_pieces(spark, tmp_path):
+    rng = random.Random(8)
+    word = lambda: "w%d" % rng.randrange(10**6)
+    verse = [" ".join(word() for _ in range(rng.randint(2, 6))) for _ in range(40)]
+    own = lambda: " ".join(word() for _ in range(12)) + "."
+    talk = [own(), "Short reply here.", own()]
+    rows = [(1, "\n".join([own(), *verse, own()])), (2, "\n".join([own(), *verse, own()])), (3, " ".join([own(), *talk, own()])),
+            (4, " ".join([own(), *talk, own()])), (5, " ".join([own(), "Short reply here.", own()])), (6, "Yes indeed."), (7, "Yes  indeed.")]
+    docs = tables.write(spark, rows, "doc_id long, text string", tmp_path)
+    found = P.shared_passages(docs)
+    left = {r.doc_id: r.text.split() for r in P.without_paragraphs(docs, found).collect()}
+    lines = rows[1][1].split("\n")
+    assert left[2] == (lines[0] + " " + lines[-1]).split()  # all of the verse goes
+    assert left[4] == rows[3][1].split()[:12] + rows[3][1].split()[-12:]  # the reply goes with what stands around it
+    assert all(left[i] == rows[i - 1][1].split() for i in (1, 3, 5, 6)) and left[7] == []
