@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eligo.llm import alignment, decontaminate, lines, mixing, paragraphs, ppm, preference, quality, sharding, simhash, token_counts, token_records
+from eligo.llm import alignment, collocations, decontaminate, lines, mixing, paragraphs, ppm, preference, quality, sharding, simhash, token_counts, token_records
 
 QUERIES = {
     "op1_token_records": token_records.op1_query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_paragraph_dedup": paragraphs.op8_query,
     "op9_quality_rules": quality.op9_query,
     "op10_sharding": sharding.op10_query,
+    "op11_collocations": collocations.op11_query,
     "op12_token_alignment": alignment.op12_query,
     "op13_line_dedup": lines.op13_query,
 }
@@ -22,5 +23,6 @@ QUERIES = {
 # The other operators hash, walk or fit in ways SQL cannot express; tests/llm holds them against brute force.
 ORACLE: dict[str, str] = {
     "op5_preference_pairs": preference.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op13_line_dedup": lines.ORACLE,
 }
