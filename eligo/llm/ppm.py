@@ -12,15 +12,19 @@ What a context excludes is what its one-byte-longer child saw, and those sets on
 contexts. So per context it is enough to keep T, D and, of its suffix context, the observations (X) and distinct
 bytes (Y) left after excluding its own bytes; both come from one join of the count table with itself.
 
-Scale: counts are summed per task, then by Spark over all training documents; the model grows with the corpus
-and is never cut. It is shipped in parts of at most ``max_entries`` entries, split by the last two context
-bytes (lengths 0 and 1, at most 65,792 entries, go with each part); every part scores the positions it covers,
-and a document's score is the sum over parts. The word counts of the base score are joined by word; only the
-``frequent`` most common words, a fixed number, are shipped to every task.
+Scale: counts are summed per task, then by Spark over all training documents; the model grows with the corpus, is
+never cut and never leaves Spark's tables. The code length of a byte depends only on its longest context and the byte,
+so what the training documents hold is rated in that table, and what only held-out documents hold is rated once per
+distinct pair, by a join per context length on those still open. The texts are cut into chunks of about ``CHUNK`` bytes;
+every chunk asks for its distinct pairs. Questions and rated pairs meet by a remainder of the pair, about
+``max_entries`` rated pairs in one place whatever their contexts are, and the answers go back to the chunk, which sums
+them per document. A worker holds one such place or one chunk at a time. The word counts of the base score are joined by
+word; only the ``frequent`` most common words, a fixed number, are shipped to every task.
 
 Defined cases: a null text is empty and scored by its end byte; a null ``doc_id`` counts as the empty string
 for the fold, which puts it in training; repeated rows are scored and counted each; without training rows all
-bytes are equally likely; an empty table gives no rows.
+bytes are equally likely; a text longer than a chunk is a chunk of its own and is handled in windows; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -30,12 +34,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eligo.llm.common import documents, materialize, text_bytes
 
 ORDER = 5
-MAX_ENTRIES = 6_000_000   # entries of the model in one part
+MAX_ENTRIES = 1_000_000   # rated pairs in one place
+CHUNK = 16 << 20          # bytes of text that ask together
+PRIME, FACTOR, SHIFT = 15_485_863, 73_856_093, 10   # spread pairs over places; products stay far below 64 bits
 FREQUENT = 200_000        # words whose counts go to every task
 PAD, END = 0xFE, 0xFF
 WINDOW = 1 << 20          # positions handled at a time
@@ -110,26 +117,6 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-class Sorted:
-    """Sorted int64 keys with values: no spare room, for the tables that only few positions ask."""
-
-    def __init__(self, keys: np.ndarray, *values: np.ndarray):
-        order = np.argsort(keys)
-        # A last key that nothing equals keeps every search within the arrays.
-        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
-        self.values = [np.append(v[order].astype(np.float32), np.float32(0)) for v in values]
-
-    @classmethod
-    def of(cls, keys: np.ndarray, values: list[np.ndarray]) -> Sorted:
-        self = cls.__new__(cls)
-        self.keys, self.values = keys, values
-        return self
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.keys, keys)
-        return np.where(self.keys[at] == keys, at, -1)
-
-
 class Lookup:
     """Open addressing over int64 keys (non-negative); finds many keys at once, fast."""
 
@@ -149,13 +136,6 @@ class Lookup:
             left = np.delete(left, put)
             slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
 
-    @classmethod
-    def of(cls, keys: np.ndarray, values: list[np.ndarray]) -> Lookup:
-        """A finished table, as ``keys`` and ``values`` of another."""
-        self = cls.__new__(cls)
-        self.bits, self.keys, self.values = len(keys).bit_length() - 1, keys, values
-        return self
-
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
 
@@ -175,72 +155,13 @@ class Lookup:
         return slot
 
 
-def build_part(order: int, grams: pa.Table, contexts: pa.Table, distinct: int) -> tuple:
-    """Tables of one part of the model as plain arrays, ready to be shipped."""
-
-    def tables(rows: pa.Table, names: list[str]) -> list[tuple]:
-        out = []
-        for j in range(order + 1):
-            pick = rows.column("level").to_numpy() == j
-            kind = Lookup if j == order and names == ["lp"] else Sorted
-            table = kind(rows.column("key").to_numpy()[pick], *[rows.column(c).to_numpy()[pick] for c in names])
-            out.append((table.keys, table.values))
-        return out
-
-    return order, distinct, tables(grams, ["lp"]), tables(contexts, ["seen", "escape", "rest", "rest_escape"])
-
-
-class Part:
-    """The entries of one part of the model and the code length of positions under them."""
-
-    def __init__(self, order: int, distinct: int, grams: list[tuple], contexts: list[tuple]):
-        self.order, self.distinct = order, distinct
-        self.grams = [*[Sorted.of(*g) for g in grams[:-1]], Lookup.of(*grams[-1])]
-        self.contexts = [Sorted.of(*c) for c in contexts]
-
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        top = self.grams[self.order]
-        slot = top.find(keys)
-        out = np.where(slot >= 0, top.values[0][slot], 0).astype(np.float64)
-        todo = np.flatnonzero(slot < 0)
-        if len(todo):
-            out[todo] = self._after_miss(keys[todo])
-        return out
-
-    def _after_miss(self, keys: np.ndarray) -> np.ndarray:
-        """Positions whose byte the longest context has not seen."""
-        out = np.zeros(len(keys))
-        open_ = np.arange(len(keys))               # still to be coded
-        started = np.zeros(len(keys), bool)        # in a known context
-        rest = np.zeros(len(keys))                 # log10 of X + Y, as the context before left it
-        rest_escape = np.zeros(len(keys))
-        for j in range(self.order, -1, -1):
-            key = keys[open_] & ((1 << 8 * (j + 1)) - 1)
-            gram, ctx = self.grams[j].find(key), self.contexts[j].find(key >> 8)
-            hit, known = gram >= 0, ctx >= 0
-            seen, escape, left, left_escape = (v[ctx] for v in self.contexts[j].values)
-            begun = started[open_]
-            if j < self.order:
-                code = self.grams[j].values[0][gram] - np.where(begun, rest[open_], seen)
-                done = hit & known
-            else:
-                code, done = np.zeros(len(open_)), np.zeros(len(open_), bool)
-            step = np.where(begun, rest_escape[open_], np.where(known, escape, 0.0))
-            out[open_] += np.where(done, code, step)
-            started[open_] |= known
-            rest[open_], rest_escape[open_] = left, left_escape
-            open_ = open_[~done]
-        out[open_] -= np.log10(max(1, 256 - self.distinct))
-        return out
-
-
 class Model:
     """Count tables of the trie and of the words, in the shared folder."""
 
     def __init__(self, order: int, grams: DataFrame, contexts: DataFrame, words: DataFrame,
-                 tokens: int, types: int, distinct: int, entries: int):
+                 tokens: int, types: int, distinct: int):
         self.order, self.grams, self.contexts, self.words = order, grams, contexts, words
-        self.tokens, self.types, self.distinct, self.entries = tokens, types, distinct, entries
+        self.tokens, self.types, self.distinct = tokens, types, distinct
 
 
 def train(training: DataFrame, order: int = ORDER) -> tuple[Model, int]:
@@ -280,24 +201,116 @@ def train(training: DataFrame, order: int = ORDER) -> tuple[Model, int]:
     total, types = words.agg(F.sum("n"), F.count(F.lit(1))).first()
     docs = counts.filter((F.col("level") == 0) & (F.col("key") == END)).agg(F.sum("n")).first()[0] or 0
     distinct = counts.filter(F.col("level") == 0).count()
-    return Model(order, grams, rated, words, (total or 0) + docs, types + (docs > 0), distinct, grams.count() + rated.count()), docs
+    return Model(order, grams, rated, words, (total or 0) + docs, types + (docs > 0), distinct), docs
 
 
-SCORED = "doc_id long, held_out boolean, text binary, score double"
+def backed_off(model: Model, keys: DataFrame) -> DataFrame:
+    """(key, lp) of bytes that their longest context has not seen in training: one join per context length.
 
+    Tables of context lengths 0 and 1 (65,792 entries at most) and the contexts of length 2 (65,536) may be broadcast.
+    """
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    open_ = keys.select("key", *[F.lit(0.0).alias(c) for c in ("out", "rest", "rest_escape")], F.lit(False).alias("started"))
+    found = []
+    for j in range(model.order, -1, -1):
+        contexts = model.contexts.filter(F.col("level") == j).select(
+            F.col("key").alias("ctx"), "seen", "escape", F.col("rest").alias("left"), F.col("rest_escape").alias("left_escape"))
+        grams = model.grams.filter(F.col("level") == j).select(F.col("key").alias("own"), "lp")
+        own = F.col("key").bitwiseAND(F.lit((1 << 8 * (j + 1)) - 1))
+        rows = open_.withColumn("own", own).withColumn("ctx", F.shiftright(own, 8)).join(F.broadcast(contexts) if j < 3 else contexts, "ctx", "left")
+        if j < model.order:
+            rows = rows.join(F.broadcast(grams) if j < 2 else grams, "own", "left")
+        else:
+            rows = rows.withColumn("lp", F.lit(None).cast("float"))
+        known = F.col("seen").isNotNull()
+        step = F.when(F.col("started"), F.col("rest_escape")).otherwise(zero("escape"))
+        code = F.col("lp") - F.when(F.col("started"), F.col("rest")).otherwise(F.col("seen"))
+        done = F.col("lp").isNotNull() & known
+        rows = materialize(rows.select("key", (F.col("out") + F.when(done, code).otherwise(step)).alias("out"), zero("left").alias("rest"),
+                                       zero("left_escape").alias("rest_escape"), (F.col("started") | known).alias("started"), done.alias("done")), "ppm-backed-off")
+        found.append(rows.filter("done").select("key", F.col("out").alias("lp")))
+        open_ = rows.filter("not done").drop("done")
+    found.append(open_.select("key", (F.col("out") - float(np.log10(max(1, 256 - model.distinct)))).alias("lp")))
+    all_found = found[0]
+    for more in found[1:]:
+        all_found = all_found.unionByName(more)
+    return all_found.withColumn("lp", F.col("lp").cast("float"))
+
+
+CHUNKED = "doc_id long, held_out boolean, text binary, chunk long"
+
+
+def _number_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the number of their chunk: consecutive rows of about ``CHUNK`` bytes together."""
+    chunk, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        numbers = []
+        for text in batch.column(2):
+            length = len(text.as_buffer())
+            if size and size + length > CHUNK:
+                chunk, size = chunk + 1, 0
+            size += length
+            numbers.append(chunk)
+        yield pa.record_batch([*batch.columns, pa.array(numbers, pa.int64())], ["doc_id", "held_out", "text", "chunk"])
+
+
+def place_of(keys: np.ndarray, places: int) -> np.ndarray:
+    return (keys % PRIME * FACTOR >> SHIFT) % places
 
-def _score(batches: Iterator[pa.RecordBatch], part, order: int, which: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows with what this part of the model adds to their score."""
-    model = Part(*part.value)
+
+def _ask(batches: Iterator[pa.RecordBatch], order: int, places: int) -> Iterator[pa.RecordBatch]:
+    """(place, chunk, keys): the distinct pairs of a chunk, by the place where their rates are."""
     for batch in batches:
-        total = batch.column(3).to_numpy().copy()
-        for keys, owner in _positions([t.as_py().lower() for t in batch.column(2)], order):
-            if parts > 1:
-                mine = ((keys >> 8) & 0xFFFF) % parts == which
-                keys, owner = keys[mine], owner[mine]
-            if len(keys):
-                total += np.bincount(owner, model.log10(keys), batch.num_rows)
-        yield pa.record_batch([*batch.columns[:3], pa.array(total)], ["doc_id", "held_out", "text", "score"])
+        chunks = batch.column(1).to_numpy()
+        begins = np.flatnonzero(np.diff(chunks, prepend=-1))
+        for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(chunks)]):
+            held, waiting = [], 0
+            for keys, _ in _positions([t.as_py().lower() for t in batch.column(0).slice(begin, end - begin)], order):
+                held.append(np.unique(keys))
+                waiting += len(held[-1])
+                if waiting > MERGE:
+                    held, waiting = [np.unique(np.concatenate(held))], 0
+            keys = np.unique(np.concatenate(held))
+            place = place_of(keys, places)
+            sort = np.argsort(place, kind="stable")
+            keys, place = keys[sort], place[sort]
+            cuts = np.flatnonzero(np.diff(place, prepend=-1))
+            asked = [keys[i:j].astype("<i8").tobytes() for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)])]
+            yield pa.record_batch([pa.array(place[cuts]), pa.array([int(chunks[begin])] * len(cuts), pa.int64()), pa.array(asked, pa.binary())],
+                                  ["place", "chunk", "keys"])
+
+
+ANSWER = pa.schema([("chunk", pa.int64()), ("keys", pa.binary()), ("lp", pa.binary())])
+
+
+def _answer(rated: pa.Table, asked: pa.Table) -> pa.Table:
+    """The rates of the pairs that each chunk asks for."""
+    keys, lp = rated.column("key").to_numpy(), rated.column("lp").to_numpy()
+    order = np.argsort(keys)
+    keys, lp = keys[order], lp[order].astype("<f4")
+    found = [lp[np.searchsorted(keys, np.frombuffer(q.as_buffer(), "<i8"))].tobytes() for q in asked.column("keys")]
+    return pa.table([asked.column("chunk"), asked.column("keys"), pa.array(found, pa.binary())], schema=ANSWER)
+
+
+def _sum_up(docs: pa.Table, answers: pa.Table, order: int) -> Iterator[pa.RecordBatch]:
+    """The documents of a chunk with their score."""
+    keys = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(k.as_buffer(), "<i8") for k in answers.column("keys")]])
+    lp = np.concatenate([np.zeros(0, np.float32), *[np.frombuffer(v.as_buffer(), "<f4") for v in answers.column("lp")]])
+    keys, once = np.unique(keys, return_index=True)  # a chunk read in two parts has asked for some pairs twice
+    table = Lookup(keys, lp[once])
+    for batch in docs.to_batches(max_chunksize=2_000):
+        total = np.zeros(batch.num_rows)
+        for keys, owner in _positions([t.as_py().lower() for t in batch.column("text")], order):
+            total += np.bincount(owner, table.values[0][table.find(keys)], batch.num_rows)
+        yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), batch.column("text"), pa.array(total)],
+                              ["doc_id", "held_out", "text", "score"])
+
+
+def rated_pairs(model: Model, asked: DataFrame, order: int) -> DataFrame:
+    """(key, lp) of every context and byte of the training documents and of ``asked`` (a column ``text`` of bytes)."""
+    known = model.grams.filter(F.col("level") == order).select("key", "lp")
+    wanted = asked.select("text").mapInArrow(lambda it: _count_grams(it, order), "key long, n long").select("key").distinct()
+    return known.unionByName(backed_off(model, materialize(wanted.join(known.select("key"), "key", "left_anti"), "ppm-unseen")))
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBatch]:
@@ -326,27 +339,25 @@ def score(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES, f
     """Train on the documents outside the held-out fold and score all of them (doc_id, text)."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_bytes().alias("text"))
+    rows = materialize(rows.mapInArrow(_number_chunks, CHUNKED), "ppm-chunks")
     model, ends = train(rows.filter(~F.col("held_out")), order)
 
-    parts = max(1, -(-model.entries // max_entries))
-    scored = rows.withColumn("score", F.lit(0.0))
-    for p in range(parts):
-        def mine(pair: Column) -> Column:
-            return (F.col("level") < 2) | (F.pmod(pair.bitwiseAND(F.lit(0xFFFF)), F.lit(parts)) == p)
-
-        grams = model.grams.filter(mine(F.shiftright("key", 8))).toArrow()
-        contexts = model.contexts.filter(mine(F.col("key"))).toArrow()
-        part = spark.sparkContext.broadcast(build_part(order, grams, contexts, model.distinct))
-        if p:  # one part at a time in a task's memory
-            scored = materialize(scored, "ppm-scored")
-        scored = scored.mapInArrow(lambda it, part=part, p=p: _score(it, part, order, p, parts), SCORED)
+    rated = materialize(rated_pairs(model, rows.filter("held_out"), order), "ppm-rated")
+    places = max(1, -(-rated.count() // max_entries))
+    placed = rated.withColumn("place", F.shiftright(F.col("key") % PRIME * FACTOR, SHIFT) % places)
+    asked = rows.select("text", "chunk").mapInArrow(lambda it: _ask(it, order, places), "place long, chunk long, keys binary")
+    answers = placed.groupBy("place").cogroup(asked.groupBy("place")).applyInArrow(_answer, "chunk long, keys binary, lp binary")
 
     common = model.words.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
     logs = np.log10(common.column("n").to_numpy() + 0.5).tolist() if common.num_rows else []
     table = spark.sparkContext.broadcast(dict(zip((bytes(w) for w in common.column("word").to_pylist()), logs)))
+
+    def finish(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_tokens(_sum_up(chunk, found, order), table))
+
     # The row number tells documents apart from here on; it is made once, with the rows it is stored with.
-    tokens = materialize(scored.mapInArrow(
-        lambda it: _tokens(it, table), "doc_id long, held_out boolean, score double, n_tokens long, known long, logs double, "
+    tokens = materialize(rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        finish, "doc_id long, held_out boolean, score double, n_tokens long, known long, logs double, "
         "rare array<struct<word:binary,n:long>>").withColumn("row", F.monotonically_increasing_id()), "ppm-tokens")
     rare = (tokens.select("row", F.inline("rare")).withColumnRenamed("n", "times")
             .join(model.words, "word", "left")
