@@ -70,16 +70,37 @@ def column_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*[F.sum(F.col("`" + c.replace("`", "``") + "`")).cast("long").alias(c) for c in cols])
 
 
-def profile(df: DataFrame, key: str, col: str, missing: str = "MISSING") -> DataFrame:
-    """Wide category profile: one row per ``key``, one count column per value of ``col`` that occurs.
+def _profile_counts(df: DataFrame, key: str, col: str, missing: str) -> DataFrame:
+    """(key, value, n) of the combinations that occur; blank and null values count under ``missing``."""
+    label = F.coalesce(F.nullif(F.col(col).cast("string"), F.lit("")), F.lit(missing))
+    return df.groupBy(key, label.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
 
-    Blank and null values count under ``missing``; absent combinations are 0. The rows are counted per (key,
-    value) first; the values found become the columns. More values than ``spark.sql.pivotMaxValues`` (10,000 by
-    default) raise an error; none is left out.
+def profile_long(df: DataFrame, key: str, col: str, missing: str = "MISSING") -> DataFrame:
+    """Category profile: (key, value, n) for every key and every value of ``col`` that occur, absent pairs 0.
+
+    The rows are counted once per pair; every key then carries its counts as a map and is laid out over the list of
+    the values found (a scalar, so a profile is for columns of categories). No value is left out; a null key is a key.
     """
+    counted = _profile_counts(df, key, col, missing)
+    values = counted.agg(F.sort_array(F.collect_set("value"))).scalar()
+    keys = counted.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("value", "n"))).alias("_has"))
+    laid = keys.select(key, "_has", F.explode(values).alias("value"))
+    return laid.select(key, "value", F.coalesce(F.try_element_at("_has", F.col("value")), F.lit(0)).cast("long").alias("n"))
+
+
+def profile_totals(df: DataFrame, col: str, missing: str = "MISSING") -> DataFrame:
+    """(value, n): a profile's column totals."""
     label = F.coalesce(F.nullif(F.col(col).cast("string"), F.lit("")), F.lit(missing))
-    counted = df.groupBy(key, label.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    wide = counted.groupBy(key).pivot("_value").agg(F.sum("_n"))
+    return df.groupBy(label.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def profile(df: DataFrame, key: str, col: str, missing: str = "MISSING") -> DataFrame:
+    """Wide category profile: one row per ``key``, one count column per value of ``col`` that occurs, absent ones 0.
+
+    More values than ``spark.sql.pivotMaxValues`` (10,000 by default) raise an error; none is left out.
+    """
+    wide = _profile_counts(df, key, col, missing).groupBy(key).pivot("value").agg(F.sum("n"))
     quoted = lambda c: "`" + c.replace("`", "``") + "`"
     return wide.select(key, *[F.coalesce(F.col(quoted(c)), F.lit(0)).alias(c) for c in wide.columns[1:]])
 

@@ -341,9 +341,9 @@ def missing_code_count(spark, sf_dir):
 
 @register
 def profile_pivot(spark, sf_dir):
-    from eligo.operators.reports import profile
+    from eligo.operators.reports import profile_long
     df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
-    return profile(df, "year", "disposition_code")
+    return profile_long(df, "year", "disposition_code")
 
 
 @register
@@ -514,10 +514,8 @@ def person_file_lines(spark, sf_dir):
 
 @register
 def profile_totals(spark, sf_dir):
-    from eligo.operators.reports import column_sums, profile
-    df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
-    wide = profile(df, "year", "disposition_code")
-    return column_sums(wide, [c for c in wide.columns if c != "year"])
+    from eligo.operators.reports import profile_totals as totals
+    return totals(charges(spark, sf_dir), "disposition_code")
 
 
 # Ad-hoc SQL over a temp view: the most frequent code sections with their running share.
@@ -597,13 +595,13 @@ def persons_without_counts(spark, sf_dir):
 
 @register
 def profile_pivot_charge_type(spark, sf_dir):
-    from eligo.operators.reports import profile
+    from eligo.operators.reports import profile_long
     df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
-    return profile(df, "year", "charge_type")
+    return profile_long(df, "year", "charge_type")
 
 
 @register
 def profile_pivot_plea(spark, sf_dir):
-    from eligo.operators.reports import profile
+    from eligo.operators.reports import profile_long
     df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
-    return profile(df, "year", "plea")
+    return profile_long(df, "year", "plea")

@@ -547,18 +547,20 @@ ORACLE["persons_without_counts"] = with_pipeline(f""", {PERSON_COUNTS}
 
 
 def _profile_sql(column: str) -> str:
-    """The values, and so the columns, come from the data."""
+    """Every year with every value that occurs, and how many charges have both."""
     return f"""WITH {CH}, p AS (SELECT CAST(year(hearing_date) AS INTEGER) AS year,
-        coalesce(nullif({column}, ''), 'MISSING') AS v FROM charges)
-        SELECT * FROM (PIVOT p ON v USING count(*) GROUP BY year)"""
+        coalesce(nullif({column}, ''), 'MISSING') AS value FROM charges),
+        pairs AS (SELECT y.year, v.value FROM (SELECT DISTINCT year FROM p) y CROSS JOIN (SELECT DISTINCT value FROM p) v)
+        SELECT pairs.year, pairs.value, count(p.value) AS n FROM pairs
+        LEFT JOIN p ON p.year IS NOT DISTINCT FROM pairs.year AND p.value = pairs.value GROUP BY 1, 2"""
 
 
 ORACLE.update({
     "profile_pivot": _profile_sql("disposition_code"),
     "profile_pivot_charge_type": _profile_sql("charge_type"),
     "profile_pivot_plea": _profile_sql("plea"),
-    "profile_totals": f"""WITH {CH}, p AS (SELECT coalesce(nullif(disposition_code, ''), 'MISSING') AS v FROM charges)
-        SELECT * FROM (PIVOT p ON v USING count(*))""",
+    "profile_totals": f"""WITH {CH} SELECT coalesce(nullif(disposition_code, ''), 'MISSING') AS value, count(*) AS n
+        FROM charges GROUP BY 1""",
     "dropped_charges": f"""WITH {CH}, r AS (SELECT CASE WHEN hearing_date IS NULL THEN 'no hearing date'
           WHEN hearing_date >= DATE '{PARITY_CUTOFF}' THEN 'on or after the cutoff'
           WHEN disposition_code IS NULL OR disposition_code NOT IN ({VALID}) THEN 'invalid disposition'

@@ -25,6 +25,18 @@ def test_profile_counts_every_value_that_occurs(spark):
     assert sum(sums) == len(rows)
 
 
+def test_long_profile_has_every_pair(spark):
+    rows = [("f1", "Guilty"), ("f1", ""), ("f2", None), (None, "Guilty"), ("f2", "x`y")]
+    df = spark.createDataFrame(rows, "file string, d string")
+    got = {(r.file, r.value): r.n for r in RP.profile_long(df, "file", "d").collect()}
+    want = {(k, v): 0 for k in ("f1", "f2", None) for v in ("Guilty", "MISSING", "x`y")}
+    for k, v in rows:
+        want[k, v or "MISSING"] += 1
+    assert got == want
+    assert {tuple(r) for r in RP.profile_totals(df, "d").collect()} == {("Guilty", 2), ("MISSING", 2), ("x`y", 1)}
+    assert RP.profile_long(df.limit(0), "file", "d").count() == 0
+
+
 def test_share_needs_no_single_task(spark):
     grouped = RP.counts(spark.range(1000).selectExpr("id % 300 AS k"), "k")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
