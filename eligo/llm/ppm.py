@@ -41,11 +41,11 @@ from eligo.llm.common import documents, materialize, text_bytes
 
 ORDER = 5
 MAX_ENTRIES = 1_000_000   # rated pairs in one place
-CHUNK = 16 << 20          # bytes of text that ask together
+CHUNK = 8 << 20           # bytes of text that ask together
 PRIME, FACTOR, SHIFT = 15_485_863, 73_856_093, 10   # spread pairs over places; products stay far below 64 bits
 FREQUENT = 200_000        # words whose counts go to every task
 PAD, END = 0xFE, 0xFF
-WINDOW = 1 << 20          # positions handled at a time
+WINDOW = 1 << 18          # positions handled at a time
 MERGE = 600_000           # counts that a task gathers before it adds them up
 FLUSH = 1_500_000         # distinct ones held by a task before it passes them on
 
@@ -298,7 +298,7 @@ def _sum_up(docs: pa.Table, answers: pa.Table, order: int) -> Iterator[pa.Record
     lp = np.concatenate([np.zeros(0, np.float32), *[np.frombuffer(v.as_buffer(), "<f4") for v in answers.column("lp")]])
     keys, once = np.unique(keys, return_index=True)  # a chunk read in two parts has asked for some pairs twice
     table = Lookup(keys, lp[once])
-    for batch in docs.to_batches(max_chunksize=2_000):
+    for batch in docs.to_batches(max_chunksize=500):
         total = np.zeros(batch.num_rows)
         for keys, owner in _positions([t.as_py().lower() for t in batch.column("text")], order):
             total += np.bincount(owner, table.values[0][table.find(keys)], batch.num_rows)
