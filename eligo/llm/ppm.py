@@ -17,7 +17,7 @@ never cut and never leaves Spark's tables. The code length of a byte depends onl
 so what the training documents hold is rated in that table, and what only held-out documents hold is rated once per
 distinct pair, by a join per context length on those still open. The texts are cut into chunks of about ``CHUNK`` bytes;
 every chunk asks for its distinct pairs. Questions and rated pairs meet by a remainder of the pair, about
-``max_entries`` rated pairs in one place whatever their contexts are, and the answers go back to the chunk, which sums
+``max_entries`` rated pairs in one place at most, whatever their contexts are, and the answers go back to the chunk, which sums
 them per document. A worker holds one such place or one chunk at a time. The word counts of the base score are joined by
 word; only the ``frequent`` most common words, a fixed number, are shipped to every task.
 
@@ -42,6 +42,7 @@ from eligo.llm.common import documents, materialize, text_bytes
 ORDER = 5
 MAX_ENTRIES = 1_000_000   # rated pairs in one place
 CHUNK = 8 << 20           # bytes of text that ask together
+ASKED = 64 << 20          # bytes of text whose questions go to one place on average
 PRIME, FACTOR, SHIFT = 15_485_863, 73_856_093, 10   # spread pairs over places; products stay far below 64 bits
 FREQUENT = 200_000        # words whose counts go to every task
 PAD, END = 0xFE, 0xFF
@@ -258,6 +259,12 @@ def place_of(keys: np.ndarray, places: int) -> np.ndarray:
     return (keys % PRIME * FACTOR >> SHIFT) % places
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys; sorting is several times faster here than the hashing that ``np.unique`` does."""
+    keys = np.sort(keys)
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
+
+
 def _ask(batches: Iterator[pa.RecordBatch], order: int, places: int) -> Iterator[pa.RecordBatch]:
     """(place, chunk, keys): the distinct pairs of a chunk, by the place where their rates are."""
     for batch in batches:
@@ -266,11 +273,11 @@ def _ask(batches: Iterator[pa.RecordBatch], order: int, places: int) -> Iterator
         for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(chunks)]):
             held, waiting = [], 0
             for keys, _ in _positions([t.as_py().lower() for t in batch.column(0).slice(begin, end - begin)], order):
-                held.append(np.unique(keys))
+                held.append(_distinct(keys))
                 waiting += len(held[-1])
                 if waiting > MERGE:
-                    held, waiting = [np.unique(np.concatenate(held))], 0
-            keys = np.unique(np.concatenate(held))
+                    held, waiting = [_distinct(np.concatenate(held))], 0
+            keys = _distinct(np.concatenate(held))
             place = place_of(keys, places)
             sort = np.argsort(place, kind="stable")
             keys, place = keys[sort], place[sort]
@@ -339,11 +346,12 @@ def score(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES, f
     """Train on the documents outside the held-out fold and score all of them (doc_id, text)."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_bytes().alias("text"))
-    rows = materialize(rows.mapInArrow(_number_chunks, CHUNKED), "ppm-chunks")
+    rows = materialize(rows.mapInArrow(_number_chunks, CHUNKED), "ppm-chunks", "zstd")
     model, ends = train(rows.filter(~F.col("held_out")), order)
 
     rated = materialize(rated_pairs(model, rows.filter("held_out"), order), "ppm-rated")
-    places = max(1, -(-rated.count() // max_entries))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    places = max(1, -(-rated.count() // max_entries), -(-size // ASKED))  # as many as the rates or the questions need
     placed = rated.withColumn("place", F.shiftright(F.col("key") % PRIME * FACTOR, SHIFT) % places)
     asked = rows.select("text", "chunk").mapInArrow(lambda it: _ask(it, order, places), "place long, chunk long, keys binary")
     answers = placed.groupBy("place").cogroup(asked.groupBy("place")).applyInArrow(_answer, "chunk long, keys binary, lp binary")
