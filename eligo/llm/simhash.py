@@ -203,7 +203,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS,
     classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     roots = connected_components(fingerprint_links(classes.select("fp"), radius))
     joined = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Stored: a join that reads it through an exchange of its own can be split where one group is large.
+    least = materialize(joined.groupBy("root").agg(F.min("least").alias("component_id")), "fingerprint-least")
     named = materialize(joined.join(least, "root").select("fp", "component_id", "root"), "fingerprint-groups")
     return rows.join(named, "fp").select("row", "doc_id", "fp", "component_id", "root")
 
