@@ -41,7 +41,9 @@ def main(argv=None):
             raw = with_charge_ids(rows)
         else:
             raw = spark.read.parquet(args.raw)
-        run_ingestion(raw, args.root, as_of=args.as_of, clear_existing=not args.append, buckets=args.buckets)
+        load = run_ingestion(raw, args.root, as_of=args.as_of, clear_existing=not args.append, buckets=args.buckets)
+        if load:
+            print(f"loaded {len(load.loaded)} files, {len(load.skipped)} were in already")
         if args.csv:
             unparsed_counts(rows).orderBy("source_file", "column").show(1000, truncate=False)
     else:

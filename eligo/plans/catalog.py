@@ -605,3 +605,20 @@ def profile_pivot_plea(spark, sf_dir):
     from eligo.operators.reports import profile_long
     df = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
     return profile_long(df, "year", "plea")
+
+
+@register
+def key_audit(spark, sf_dir):
+    """Ids of the charges against the features and outcomes of their classification."""
+    from eligo.operators import audit
+    rows = charges(spark, sf_dir)
+    features, outcomes = C.classify(rows, PARITY)
+    return audit.key_audit(rows, features, outcomes)
+
+
+@register
+def key_audit_across_runs(spark, sf_dir):
+    """The same audit with features and outcomes of runs with different cutoffs: features that have no outcome."""
+    from eligo.operators import audit
+    rows = charges(spark, sf_dir)
+    return audit.key_audit(rows.filter("id % 7 <> 0").unionAll(rows.filter("id % 5 = 0")), C.classify(rows, PARITY)[0], C.classify(rows, EARLIER)[1])

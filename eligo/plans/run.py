@@ -11,45 +11,67 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eligo.config import RunConfig
+from eligo.operators.audit import refuse_duplicate_ids
 from eligo.operators.clean import clean_charges
 from eligo.plans.classify import classify, classify_rows, dropped_counts
 from eligo.schemas import FEATURES, OUTCOMES
-from eligo.sinks import tables as sinks
+from eligo.sinks import ledger, tables as sinks
 
 log = logging.getLogger(__name__)
 
 
 def run_ingestion(raw: DataFrame, root: str, as_of: str | None = None, clear_existing: bool = True,
-                  buckets: int | None = None) -> None:
-    """Raw charges -> cleaned charges table (narrow transforms, no shuffle)."""
-    sinks.write_charges(clean_charges(raw, as_of), root, clear_existing=clear_existing, buckets=buckets)
+                  buckets: int | None = None) -> ledger.Load | None:
+    """Raw charges -> cleaned charges table.
 
-
-def _publish(spark: SparkSession, root: str, cfg: RunConfig, staged: str, write_features: bool, charges: DataFrame) -> None:
-    """Write the run's tables from the staged classification."""
+    Rows that name their file (``source_file``) go through the load ledger: an append adds only files that the table
+    does not hold, and refuses changed files and double ids; a refresh begins the ledger anew. Other rows are narrow
+    transforms without a shuffle, and an append of them adds what it is given.
+    """
+    clean = lambda rows: clean_charges(rows, as_of)
+    if "source_file" in raw.columns and not clear_existing:
+        return ledger.append_files(raw, root, clean, buckets)
+    charges = clean(raw)
+    if "source_file" in raw.columns:
+        refuse_duplicate_ids(charges)
+    sinks.write_charges(charges, root, clear_existing=clear_existing, buckets=buckets)
+    if "source_file" in raw.columns:
+        ledger.record_refresh(raw, root)
+    elif clear_existing:
+        sinks.delete(raw.sparkSession, f"{root}/loads")
+    return None
+
+
+def _publish(spark: SparkSession, root: str, cfg: RunConfig, staged: str, write_features: bool, charges: DataFrame) -> str:
+    """Write the run's tables from the staged classification as an attempt; its name, for the record."""
     wide = spark.read.parquet(staged)
     project = lambda schema: wide.select(*[f.name for f in schema.fields if f.name != "run_id"])
-    sinks.write_results(project(FEATURES) if write_features else None, project(OUTCOMES), root, cfg.id,
-                        dropped_counts(charges, cfg))
+    return sinks.write_results(project(FEATURES) if write_features else None, project(OUTCOMES), root, cfg.id,
+                               dropped_counts(charges, cfg))
+
+
+def _clean_up(spark: SparkSession, root: str, run_id: str, staged: str) -> None:
+    """After the record: what is staged and what no reader finds any more."""
     sinks.delete(spark, staged)
+    sinks.remove_unpublished(spark, root, run_id)
 
 
 def run_classification(spark: SparkSession, root: str, cfg: RunConfig | None = None,
                        write_features: bool = False, charges: DataFrame | None = None) -> str:
     """Classify the charges table into ``outcomes`` (and ``features``) under the run id.
 
-    A repeated run id replaces the earlier run. The run record goes from 'In Progress' to 'Completed', 'Canceled'
-    or 'Failed'. The classification runs once, into a staging table, and the result tables are projections of it.
+    A repeated run id replaces the earlier run, in one step: with the record 'Completed', which names the tables. The
+    run record goes from 'In Progress' to 'Completed', 'Canceled' or 'Failed'. The classification runs once, into a staging table, and the result tables are projections of it.
     """
     cfg = (cfg or RunConfig()).resolved()
     start = dt.datetime.now()
     sinks.write_run_record(spark, root, cfg, "In Progress", start)
-    status = "Failed"
+    status, attempt = "Failed", None
     try:
         source = charges if charges is not None else spark.read.parquet(f"{root}/charges").drop("person_bucket")
         staged = f"{root}/_staging/{cfg.id}-{uuid.uuid4().hex}"
         stage_table(source, cfg, write_features).write.parquet(staged)
-        _publish(spark, root, cfg, staged, write_features, source)
+        attempt = _publish(spark, root, cfg, staged, write_features, source)
         status = "Completed"
     except KeyboardInterrupt:
         status = "Canceled"
@@ -58,7 +80,8 @@ def run_classification(spark: SparkSession, root: str, cfg: RunConfig | None = N
         log.exception("classification run %s failed", cfg.id)
         raise
     finally:
-        sinks.write_run_record(spark, root, cfg, status, start, dt.datetime.now())
+        sinks.write_run_record(spark, root, cfg, status, start, dt.datetime.now(), attempt if status == "Completed" else None)
+    _clean_up(spark, root, cfg.id, staged)
     return cfg.id
 
 
@@ -112,7 +135,7 @@ def run_classification_resumable(spark: SparkSession, root: str, cfg: RunConfig
     staging = f"{root}/_staging/{cfg.id}-{_staging_key(charges, cfg, n, write_features)}"
     start = dt.datetime.now()
     sinks.write_run_record(spark, root, cfg, "In Progress", start)
-    status = "Failed"
+    status, attempt = "Failed", None
     try:
         if not layout:
             charges = charges.withColumn("person_bucket", sinks.person_bucket(n))
@@ -120,11 +143,12 @@ def run_classification_resumable(spark: SparkSession, root: str, cfg: RunConfig
             if not sinks.exists(spark, f"{staging}/bucket={b}/_SUCCESS"):
                 part = charges.filter(F.col("person_bucket") == b).drop("person_bucket")
                 stage_table(part, cfg, write_features).write.mode("overwrite").parquet(f"{staging}/bucket={b}")
-        _publish(spark, root, cfg, staging, write_features, charges.drop("person_bucket"))
+        attempt = _publish(spark, root, cfg, staging, write_features, charges.drop("person_bucket"))
         status = "Completed"
     except KeyboardInterrupt:
         status = "Canceled"
         raise
     finally:
-        sinks.write_run_record(spark, root, cfg, status, start, dt.datetime.now())
+        sinks.write_run_record(spark, root, cfg, status, start, dt.datetime.now(), attempt if status == "Completed" else None)
+    _clean_up(spark, root, cfg.id, staging)
     return cfg.id

@@ -1,18 +1,19 @@
 """Writers for charges, runs, features and outcomes.
 
-Results are Parquet tables partitioned by ``run_id`` (``runs`` by ``id``).
-A run is written straight into its own partition directory with
-``mode("overwrite")``, so a repeated run id replaces exactly that run (its
-features and outcomes go with it, even when the new run is empty) and other
-runs stay untouched. Every write is a Spark job whose tasks commit
-atomically, so a lost executor only re-runs its tasks.
+A run's features, outcomes and drop counts are written under a fresh attempt folder
+(``outcomes/run_id=<id>/attempt=<name>``). Run records are only ever added; the last one of a completed run, written
+after its tables, names the attempt, and readers find the tables through it. So a repeated run id replaces exactly
+that run in one step: until the new record is there, also when a run fails between any two writes, readers get
+the whole earlier run. Attempts that no reader can have found any more are removed afterwards. Every write is a Spark job whose
+tasks commit atomically, so a lost executor only re-runs its tasks.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eligo.config import RunConfig
 from eligo.schemas import CHARGES, DROPPED, FEATURES, OUTCOMES, RUNS
@@ -22,20 +23,19 @@ RESULT_TABLES = {"runs": (RUNS, "id"), "features": (FEATURES, "run_id"), "outcom
                  "dropped": (DROPPED, "run_id")}
 
 
-def _run_path(root: str, table: str, run_id: str) -> str:
-    return f"{root}/{table}/{RESULT_TABLES[table][1]}={run_id}"
+# A stored record: the run's row, its place among the run's records, and the attempt that holds the run's tables.
+RECORDS = T.StructType([*RUNS.fields, T.StructField("version", T.LongType()), T.StructField("attempt", T.StringType())])
 
 
-def _write_run_partition(df: DataFrame, root: str, table: str, run_id: str) -> None:
-    """Overwrite exactly one run's partition directory (an empty frame empties it)."""
-    df.drop(RESULT_TABLES[table][1]).write.mode("overwrite").parquet(_run_path(root, table, run_id))
+def attempt_path(root: str, table: str, run_id: str, attempt: str) -> str:
+    return f"{root}/{table}/run_id={run_id}/attempt={attempt}"
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
     """Empty tables with the declared schemas (no-op for tables that exist)."""
     spark.createDataFrame([], CHARGES).write.mode("ignore").parquet(f"{root}/charges")
     for name, (schema, key) in RESULT_TABLES.items():
-        spark.createDataFrame([], schema).write.mode("ignore").partitionBy(key).parquet(f"{root}/{name}")
+        spark.createDataFrame([], RECORDS if name == "runs" else schema).write.mode("ignore").partitionBy(key).parquet(f"{root}/{name}")
 
 
 def path_of(spark: SparkSession, path: str):
@@ -76,8 +76,8 @@ def write_charges(charges: DataFrame, root: str, clear_existing: bool = True, bu
     """
     spark = charges.sparkSession
     if clear_existing:
-        for name, (schema, key) in RESULT_TABLES.items():
-            (spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        for name, (schema, key) in RESULT_TABLES.items():  # the records first: without them nothing is read
+            (spark.createDataFrame([], RECORDS if name == "runs" else schema).write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy(key).parquet(f"{root}/{name}"))
         (spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite")
          .parquet(f"{root}/charges_layout"))
@@ -99,35 +99,86 @@ def run_record(spark: SparkSession, cfg: RunConfig, status: str, start_at: dt.da
     return spark.createDataFrame([tuple(values[f.name] for f in RUNS.fields)], RUNS)
 
 
+def _records(spark: SparkSession, root: str) -> DataFrame:
+    """Every record ever written; few rows per run."""
+    if not exists(spark, f"{root}/runs"):
+        return spark.createDataFrame([], RECORDS)
+    return spark.read.schema(RECORDS).parquet(f"{root}/runs")
+
+
 def write_run_record(spark: SparkSession, root: str, cfg: RunConfig, status: str, start_at: dt.datetime,
-                     end_at: dt.datetime | None = None) -> None:
-    """Insert or replace the run's own row (its ``id=`` partition)."""
-    _write_run_partition(run_record(spark, cfg, status, start_at, end_at), root, "runs", cfg.id)
+                     end_at: dt.datetime | None = None, attempt: str | None = None) -> None:
+    """Add a record of the run; with ``attempt``, the run's tables are those of that attempt from now on.
+
+    The record is one file, which appears whole or not at all.
+    """
+    last = _records(spark, root).filter(F.col("id") == cfg.id).agg(F.max("version")).first()[0] or 0
+    row = run_record(spark, cfg, status, start_at, end_at).drop("id")
+    row = row.withColumns({"version": F.lit(last + 1).cast("long"), "attempt": F.lit(attempt).cast("string")})
+    row.coalesce(1).write.mode("append").parquet(f"{root}/runs/id={cfg.id}")
+
+
+def _published(spark: SparkSession, root: str, run_id: str | None = None) -> list[tuple[str, str, int]]:
+    """(run id, attempt, version) of every published attempt, the latest first; driver-side, a few rows per run."""
+    found = _records(spark, root).filter("attempt is not null")
+    if run_id is not None:
+        found = found.filter(F.col("id") == run_id)
+    return sorted(((r["id"], r["attempt"], r["version"]) for r in found.select("id", "attempt", "version").collect()),
+                  key=lambda x: (-x[2], x[1]))
 
 
 def write_results(features: DataFrame | None, outcomes: DataFrame, root: str, run_id: str,
-                  dropped: DataFrame | None = None) -> None:
-    """Replace the run's partition of outcomes, of features and of the counts of dropped charges.
+                  dropped: DataFrame | None = None) -> str:
+    """Write a run's tables as a new attempt, which nothing reads before a record names it; the attempt's name.
 
-    Without features, the run's features partition is emptied, so features of
-    an earlier run with the same id never outlive it.
+    Without features the run has none, so features of an earlier run with the same id never outlive it.
     """
-    spark = outcomes.sparkSession
-    if features is None:
-        features = spark.createDataFrame([], FEATURES)
-    _write_run_partition(features, root, "features", run_id)
-    _write_run_partition(dropped if dropped is not None else spark.createDataFrame([], DROPPED), root, "dropped", run_id)
-    _write_run_partition(outcomes, root, "outcomes", run_id)
+    attempt = uuid.uuid4().hex
+    for table, df in (("features", features), ("dropped", dropped), ("outcomes", outcomes)):
+        if df is not None:
+            df.drop(RESULT_TABLES[table][1]).write.parquet(attempt_path(root, table, run_id, attempt))
+    return attempt
+
+
+def remove_unpublished(spark: SparkSession, root: str, run_id: str) -> None:
+    """Remove the run's attempts, except the published one and the one before it, which a reader may still hold.
+
+    One job at a time may classify under a run id: an attempt being written by another would go, too.
+    """
+    keep = {attempt for _, attempt, _ in _published(spark, root, run_id)[:2]}
+    for table in ("features", "dropped", "outcomes"):
+        folder, fs = path_of(spark, f"{root}/{table}/run_id={run_id}")
+        for status in fs.listStatus(folder) if fs.exists(folder) else []:
+            name = status.getPath().getName()
+            if name.startswith("attempt=") and name.removeprefix("attempt=") not in keep:
+                fs.delete(status.getPath(), True)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A run-partitioned table with its declared schema (so run ids are never re-typed)."""
-    return spark.read.schema(RESULT_TABLES[table][0]).parquet(f"{root}/{table}")
+    """All runs' rows of a table with its declared schema: the last record of each run, or the tables they name."""
+    schema = RESULT_TABLES[table][0]
+    if table == "runs":
+        last = _records(spark, root).groupBy("id").agg(F.max_by(F.struct(*RUNS.names[1:]), F.struct("version", "attempt")).alias("r"))
+        return last.select("id", "r.*")
+    attempts: dict[str, str] = {}
+    for run, attempt, _ in _published(spark, root):
+        attempts.setdefault(run, attempt)
+    return _read_attempts(spark, root, table, attempts, schema)
+
+
+def _read_attempts(spark: SparkSession, root: str, table: str, attempts: dict[str, str], schema: T.StructType) -> DataFrame:
+    paths = [p for run, attempt in attempts.items() if exists(spark, p := attempt_path(root, table, run, attempt))]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(*paths)
 
 
 def read_run(spark: SparkSession, root: str, table: str, run_id: str) -> DataFrame:
-    """Results of one run (partition pruning on the run key)."""
-    return read_table(spark, root, table).filter(F.col(RESULT_TABLES[table][1]) == run_id)
+    """Results of one run, through its last published record."""
+    if table == "runs":
+        return read_table(spark, root, table).filter(F.col("id") == run_id)
+    found = _published(spark, root, run_id)
+    return _read_attempts(spark, root, table, {run_id: found[0][1]} if found else {}, RESULT_TABLES[table][0])
 
 
 def write_person_clustered(df: DataFrame, path: str, prefix_len: int = 5) -> None:

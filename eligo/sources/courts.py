@@ -101,7 +101,8 @@ def _read(spark: SparkSession, paths, columns, renames, court: str) -> DataFrame
 
 def with_charge_ids(raw: DataFrame) -> DataFrame:
     """A 63-bit charge id for rows without one: a hash of the file's name, the row's text and its number among equal
-    rows of the file. It is the same on every load, whatever the partitioning."""
+    rows of the file. It is the same on every load, whatever the partitioning; ``made_id`` marks it. Ingestion refuses
+    charges whose ids are double."""
     text = [c for c in raw.columns if c not in ("id", "source_file", "unparsed", "year")]
     name = F.element_at(F.split("source_file", "/"), -1)
     equal = F.row_number().over(Window.partitionBy(name, F.xxhash64(*text), *text).orderBy(F.lit(0)))
@@ -109,7 +110,8 @@ def with_charge_ids(raw: DataFrame) -> DataFrame:
     known = [F.col(c).isNull() for c in text]
     made = F.xxhash64(name, *text, *known, F.col("_equal")).bitwiseAND(F.lit((1 << 63) - 1))
     given = F.expr("try_cast(id AS BIGINT)") if "id" in raw.columns else F.lit(None).cast("long")
-    return raw.withColumn("_equal", equal).withColumn("id", F.coalesce(given, made)).drop("_equal")
+    return (raw.withColumn("_equal", equal).withColumn("_given", given)
+            .withColumns({"id": F.coalesce("_given", made), "made_id": F.col("_given").isNull()}).drop("_equal", "_given"))
 
 
 def read_district_files(spark: SparkSession, paths) -> DataFrame:

@@ -576,3 +576,30 @@ ORACLE.update({
     "large_sample": f"""WITH {CH} SELECT id FROM (SELECT DISTINCT id FROM charges)
         ORDER BY md5(CAST(id AS VARCHAR) || ':12345'), id LIMIT 7000""",
 })
+
+
+def _audit_sql(charges: str, outcomes: str) -> str:
+    """Problem by problem, each with joins and groups of its own."""
+    checks = {
+        "charge without id": "SELECT id, 0 AS n FROM ac WHERE id IS NULL",
+        "duplicate charge id": "SELECT id, count(*) + (SELECT count(*) FROM af WHERE af.id = ac.id) + (SELECT count(*) FROM ao WHERE ao.id = ac.id) AS n FROM ac GROUP BY id HAVING count(*) > 1",
+        "duplicate feature": "SELECT id, count(*) AS n FROM af GROUP BY id HAVING count(*) > 1",
+        "duplicate outcome": "SELECT id, count(*) AS n FROM ao GROUP BY id HAVING count(*) > 1",
+        "feature without charge": "SELECT id, count(*) + max((SELECT count(*) FROM ao WHERE ao.id = af.id)) AS n FROM af WHERE id NOT IN (SELECT id FROM ac) GROUP BY id",
+        "outcome without charge": "SELECT id, count(*) + max((SELECT count(*) FROM af WHERE af.id = ao.id)) AS n FROM ao WHERE id NOT IN (SELECT id FROM ac) GROUP BY id",
+        "feature without outcome": "SELECT id, count(*) + max((SELECT count(*) FROM ac WHERE ac.id = af.id)) AS n FROM af WHERE id NOT IN (SELECT id FROM ao) GROUP BY id",
+        "outcome without feature": "SELECT id, count(*) + max((SELECT count(*) FROM ac WHERE ac.id = ao.id)) AS n FROM ao WHERE id NOT IN (SELECT id FROM af) GROUP BY id",
+        "charge without outcome": "SELECT id, count(*) + max((SELECT count(*) FROM af WHERE af.id = ac.id)) AS n FROM ac WHERE id NOT IN (SELECT id FROM ao) GROUP BY id",
+    }
+    parts = " UNION ALL ".join(f"SELECT '{k}' AS problem, count(*) AS n_ids, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, min(id) AS first_id FROM ({q})"
+                               for k, q in checks.items())
+    return f"""WITH ac AS MATERIALIZED ({charges}), af AS MATERIALIZED ({with_pipeline("SELECT id FROM final")}),
+        ao AS MATERIALIZED ({outcomes}) {parts}"""
+
+
+ORACLE.update({
+    "key_audit": _audit_sql(f"WITH {CH} SELECT id FROM charges", with_pipeline("SELECT id FROM final")),
+    "key_audit_across_runs": _audit_sql(
+        f"WITH {CH} SELECT id FROM charges WHERE id % 7 <> 0 UNION ALL SELECT id FROM charges WHERE id % 5 = 0",
+        with_pipeline("SELECT id FROM final", cutoff="2005-12-31")),
+})
