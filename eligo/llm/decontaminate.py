@@ -20,8 +20,11 @@ counts a net insertion or deletion twice; no query uses it.)
 The items go out in blocks of at most ``block_words`` words, a bound that does not depend on the benchmark's
 size; all documents are read against each block. Nothing is shuffled.
 
-Defined cases: null texts have no words; items under ``min_words`` words are too short to tell and are not
-searched; equal items are each reported; a repeated document is reported for each of its rows; an empty
+Items under ``MIN_WORDS`` words, too short for walks, have an edit limit of 0 or 1. One edit leaves one half of an item as
+it is, so the whole item (limit 0) or each half (limit 1) is looked up among all windows of its length by a hash, and
+the starts that fit it are verified like any other candidate; this way loses nothing.
+
+Defined cases: null texts have no words; items without a word are not searched; equal items are each reported; a repeated document is reported for each of its rows; an empty
 benchmark or table gives no hits. Of several matching windows for an item the one of least distance, then least
 start, is reported.
 """
@@ -39,7 +42,7 @@ from eligo.llm.common import documents, fresh, text_bytes
 
 SIMILARITY = 0.8
 MIN_WORDS = 8
-WALKS, SETS, SAMPLES = 8, 8, 4
+WALKS, SETS, SAMPLES = 16, 8, 3
 BLOCK_WORDS = 500_000
 SEED = 11
 CHUNK = 1 << 20  # words handled at a time
@@ -132,13 +135,57 @@ def prefix_distance(item: list[int], text: list[int], limit: int) -> int:
     return min(min(row), over)
 
 
-def build_index(items: list[tuple[int, list[bytes]]], seed: int = SEED) -> tuple:
-    """Plain data to ship: words, items and, per length class, its walks and the items' sorted keys."""
+def window_hashes(symbols: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each place on."""
+    n = max(0, len(symbols) - size + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(size):
+        out = (out ^ symbols[k:k + n].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(32)
+    return out
+
+
+def short_anchors(coded: list[tuple[int, list[int]]], members: list[int], similarity: float) -> list[tuple]:
+    """(size, sorted hashes, item, place in the item, starts beside) of what an unharmed part of a short item looks like."""
+    found: dict[int, list[tuple[int, int, int, int]]] = {}
+    for m in members:
+        ws = coded[m][1]
+        limit, half = edit_limit(len(ws), similarity), len(ws) // 2
+        for at, part, beside in [(0, ws, 0)] if not limit else [(0, ws[:half], 0), (half, ws[half:], 1)]:
+            key = int(window_hashes(np.array(part, np.int32), len(part))[0])
+            found.setdefault(len(part), []).append((key, m, at, beside))
+    out = []
+    for size, rows in sorted(found.items()):
+        rows.sort()
+        keys, *rest = zip(*rows)
+        out.append((size, np.array(keys, np.uint64), *(np.array(c, np.int64) for c in rest)))
+    return out
+
+
+def short_candidates(symbols: np.ndarray, n: int, anchors: list[tuple]) -> set[tuple[int, int]]:
+    """(start, item) of the places where a whole or half short item is found among the first ``n`` words."""
+    pairs: set[tuple[int, int]] = set()
+    for size, keys, items, places, beside in anchors:
+        mine = window_hashes(symbols[:n + size], size)[:n]
+        first = np.searchsorted(keys, mine)
+        for s in np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == mine).tolist():
+            k = int(first[s])
+            while k < len(keys) and keys[k] == mine[s]:
+                at = s - int(places[k])
+                pairs.update((start, int(items[k])) for start in range(at - int(beside[k]), at + int(beside[k]) + 1) if start >= 0)
+                k += 1
+    return pairs
+
+
+def build_index(items: list[tuple[int, list[bytes]]], seed: int = SEED, similarity: float = SIMILARITY) -> tuple:
+    """Plain data to ship: words, items, per length class its walks and the items' sorted keys, and the short items' anchors."""
     words: dict[bytes, int] = {}
     coded = [(i, [words.setdefault(w, len(words) + 1) for w in ws]) for i, ws in items]
     classes: dict[tuple[int, int], list[int]] = {}
+    short = [at for at, (_, ws) in enumerate(coded) if len(ws) < MIN_WORDS]
     for at, (_, ws) in enumerate(coded):
-        classes.setdefault(class_of(len(ws)), []).append(at)
+        if len(ws) >= MIN_WORDS:
+            classes.setdefault(class_of(len(ws)), []).append(at)
     found = []
     for (lo, hi), members in sorted(classes.items()):
         within = np.zeros(len(words) + 1, bool)
@@ -157,22 +204,22 @@ def build_index(items: list[tuple[int, list[bytes]]], seed: int = SEED) -> tuple
             order = np.argsort(keys.ravel(), kind="stable")
             walks.append((bits, steps, keys.ravel()[order], owner[order]))
         found.append((lo, hi, within, walks))
-    return words, coded, found
+    return words, coded, found, short_anchors(coded, short, similarity)
 
 
 def find_items(texts: list[bytes], index: tuple, similarity: float = SIMILARITY, free_end: bool = False) -> list[tuple[int, int, int, int]]:
     """(text, item, first word, distance): each text's best window for each item that it holds."""
-    words, coded, classes = index
+    words, coded, classes, anchors = index
     number = Words(words).__getitem__
     best: dict[tuple[int, int], tuple[int, int]] = {}
     tried: dict[tuple[int, bytes], int] = {}
-    margin = max((hi for _, hi, _, _ in classes), default=0) * 2 + 2
+    margin = max((hi for _, hi, _, _ in classes), default=MIN_WORDS) * 2 + 2
     blank = [0] * margin  # windows do not run from one text into the next
 
     def search(symbols: np.ndarray, at: list[int], which: list[int], sizes: list[int]) -> None:
+        n = len(symbols) - margin
         for lo, hi, within, walks in classes:
             foreign = np.concatenate(([0], np.cumsum(~within[symbols]))).astype(np.int32)
-            n = len(symbols) - margin
             if n <= 0:
                 continue
             least = lo - edit_limit(lo, similarity) if free_end else lo  # words of the shortest copy
@@ -189,23 +236,28 @@ def find_items(texts: list[bytes], index: tuple, similarity: float = SIMILARITY,
                     while k < len(keys) and keys[k] == key:
                         pairs.add((int(starts[s]), int(owner[k])))
                         k += 1
-            for s, item in sorted(pairs):
-                ws = coded[item][1]
-                text = bisect_left(at, s + 1) - 1
-                if s >= at[text] + sizes[text]:
-                    continue
-                limit = edit_limit(len(ws), similarity)
-                window = symbols[s:min(s + len(ws) + (limit if free_end else 0), at[text] + sizes[text])]
-                content = (item, window.tobytes())
-                d = tried.get(content)
-                if d is None:
-                    d = prefix_distance(ws, window.tolist(), limit) if free_end else edit_distance(window.tolist(), ws, limit)
-                    if len(tried) < 100_000:
-                        tried[content] = d
-                if d <= limit:
-                    place = (d, s - at[text])
-                    key = (which[text], item)
-                    best[key] = min(best.get(key, place), place)
+            verify(pairs, symbols, at, which, sizes)
+        if anchors and n > 0:
+            verify(short_candidates(symbols, n, anchors), symbols, at, which, sizes)
+
+    def verify(pairs: set[tuple[int, int]], symbols: np.ndarray, at: list[int], which: list[int], sizes: list[int]) -> None:
+        for s, item in sorted(pairs):
+            ws = coded[item][1]
+            text = bisect_left(at, s + 1) - 1
+            if s >= at[text] + sizes[text]:
+                continue
+            limit = edit_limit(len(ws), similarity)
+            window = symbols[s:min(s + len(ws) + (limit if free_end else 0), at[text] + sizes[text])]
+            content = (item, window.tobytes())
+            d = tried.get(content)
+            if d is None:
+                d = prefix_distance(ws, window.tolist(), limit) if free_end else edit_distance(window.tolist(), ws, limit)
+                if len(tried) < 100_000:
+                    tried[content] = d
+            if d <= limit:
+                place = (d, s - at[text])
+                key = (which[text], item)
+                best[key] = min(best.get(key, place), place)
 
     buffer: list[int] = []
     at: list[int] = []
@@ -227,7 +279,7 @@ def find_items(texts: list[bytes], index: tuple, similarity: float = SIMILARITY,
     return [(t, coded[item][0], s, d) for (t, item), (d, s) in sorted(best.items())]
 
 
-def item_blocks(benchmark: DataFrame, min_words: int = MIN_WORDS, block_words: int = BLOCK_WORDS) -> Iterator[list]:
+def item_blocks(benchmark: DataFrame, min_words: int = 1, block_words: int = BLOCK_WORDS) -> Iterator[list]:
     """The benchmark's items (id, words) in blocks of a bounded number of words."""
     block, size = [], 0
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_bytes().alias("text")).orderBy("item_id", "text")
@@ -244,14 +296,14 @@ def item_blocks(benchmark: DataFrame, min_words: int = MIN_WORDS, block_words: i
         yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = 1) -> DataFrame:
     """(doc_id, item_id, start_word, distance) for every document row and item that it holds."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     schema = "doc_id long, item_id long, start_word long, distance long"
     out = None
     for block in item_blocks(benchmark, min_words):
-        index = spark.sparkContext.broadcast(build_index(block))
+        index = spark.sparkContext.broadcast(build_index(block, similarity=similarity))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -266,13 +318,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = 1) -> DataFrame:
     """The documents that hold no item; the rows go by once per block and are not shuffled."""
     from pyspark.sql import types as T
     spark, out = docs.sparkSession, docs
     name = fresh(docs, "_text")
     for block in item_blocks(benchmark, min_words):
-        index = spark.sparkContext.broadcast(build_index(block))
+        index = spark.sparkContext.broadcast(build_index(block, similarity=similarity))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
