@@ -30,6 +30,8 @@ WEIGHTS = (5, 2, 1)
 LIMIT = 3          # times its size that a source may be taken
 BLOCK = 256        # words a block
 SLOTS = 8192       # block slots an output shard
+SLOTS_PER_TASK = 1 << 15   # slots that one task makes, on average
+GROUP = 1 << 10            # shards summed up as one in running totals
 ROUNDS = 32        # of the permutation
 BUCKETS = 1024     # parts of a source in which running sums are made
 CELLS = 1024       # of the guide table from draws to sources
@@ -99,6 +101,21 @@ def plan_sources(targets: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
                     (F.col("passes") * F.col("blocks") + F.col("last_slots")).alias("slots"))
 
 
+def running_total(rows: DataFrame, value: str, out: str, order: list[str], within: list[str] | None = None, group: str = "shard") -> DataFrame:
+    """``rows`` with the sum of ``value`` over the rows before, by ``order`` (``group`` first), within equal ``within``.
+
+    In two levels: sums of ``GROUP`` consecutive numbers of ``group`` are run through first, one row each.
+    """
+    keys = within or []
+    part = F.expr(f"{group} div {GROUP}")
+    tall = rows.withColumn("_part", part)
+    sums = tall.groupBy(*keys, "_part").agg(F.sum(value).alias("_sum"))
+    sums = sums.withColumn("_before", F.sum("_sum").over(Window.partitionBy(*keys).orderBy("_part")) - F.col("_sum")).drop("_sum")
+    inner = Window.partitionBy(*keys, "_part").orderBy(*order)
+    return (tall.withColumn("_own", F.sum(value).over(inner) - F.col(value)).join(sums, [*keys, "_part"])
+            .withColumn(out, F.col("_before") + F.col("_own")).drop("_part", "_before", "_own"))
+
+
 def draw_slots(plan: DataFrame, slots_per_shard: int = SLOTS, cells: int = CELLS, seed: int = SEED) -> DataFrame:
     """(shard, source_id, j): which of its slots each source has in which shard; j runs from 0 to slots - 1."""
     spark = plan.sparkSession
@@ -116,21 +133,24 @@ def draw_slots(plan: DataFrame, slots_per_shard: int = SLOTS, cells: int = CELLS
     draws = draws.withColumn("cell", F.expr(f"u div {step}"))
     drawn = (draws.join(guide, "cell").filter("u >= lo and u < hi")
              .groupBy("shard", "source_id").agg(F.count(F.lit(1)).alias("n")))
-    run = Window.partitionBy("source_id").orderBy("shard")
     drawn = materialize(
-        drawn.join(wanted.select("source_id", "slots"), "source_id")
-        .withColumn("first", F.sum("n").over(run) - F.col("n"))
+        running_total(drawn.join(wanted.select("source_id", "slots"), "source_id"), "n", "first", ["shard"], ["source_id"])
         .withColumn("kept", F.greatest(F.lit(0), F.least(F.col("n"), F.col("slots") - F.col("first")))), "mix-draws")
-    kept = drawn.filter("kept > 0").select(
+    # Few rows stand for all slots: they are dealt out before the slots are made of them.
+    tasks = max(1, -(-total // SLOTS_PER_TASK))
+    kept = drawn.filter("kept > 0").repartition(tasks, "shard", "source_id").select(
         "shard", "source_id", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("kept") - 1)).alias("j"))
     # Slots over a source's target, numbered through, go to the sources under theirs.
-    spare = (drawn.filter("n > kept").withColumn("spare", F.col("n") - F.col("kept"))
-             .withColumn("e0", F.sum("spare").over(Window.orderBy("shard", "source_id")) - F.col("spare"))
+    spare = (running_total(drawn.filter("n > kept").withColumn("spare", F.col("n") - F.col("kept")), "spare", "e0", ["shard", "source_id"])
+             .repartition(tasks, "shard", "source_id")
              .select("shard", F.explode(F.sequence(F.col("e0"), F.col("e0") + F.col("spare") - 1)).alias("e")))
     short = (wanted.join(drawn.groupBy("source_id").agg(F.sum("n").alias("n")), "source_id", "left").na.fill(0, ["n"])
              .filter("n < slots").withColumn("need", F.col("slots") - F.col("n"))
              .withColumn("e0", F.sum("need").over(Window.orderBy("source_id")) - F.col("need"))
-             .select("source_id", "n", "e0", F.explode(F.sequence(F.col("e0"), F.col("e0") + F.col("need") - 1)).alias("e"))
+             .withColumn("from", F.explode(F.sequence(F.col("e0"), F.col("e0") + F.col("need") - 1, F.lit(SLOTS_PER_TASK).cast("long"))))
+             .repartition(tasks, "source_id", "from")
+             .select("source_id", "n", "e0", F.explode(F.sequence(F.col("from"), F.least(
+                 F.col("e0") + F.col("need"), F.col("from") + SLOTS_PER_TASK) - 1)).alias("e"))
              .select("source_id", (F.col("n") + F.col("e") - F.col("e0")).alias("j"), "e"))
     return kept.unionByName(spare.join(short, "e").select("shard", "source_id", "j"))
 
