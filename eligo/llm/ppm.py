@@ -29,6 +29,8 @@ gives no rows.
 
 from __future__ import annotations
 
+import gc
+import struct
 from collections import Counter
 from collections.abc import Iterator
 
@@ -265,6 +267,16 @@ def _distinct(keys: np.ndarray) -> np.ndarray:
     return keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
 
 
+def pack(keys: np.ndarray) -> bytes:
+    """Ascending keys as compressed differences, which are small numbers mostly."""
+    return struct.pack("<q", len(keys)) + pa.compress(np.diff(keys, prepend=0).astype("<i8").tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    (n,) = struct.unpack_from("<q", packed)
+    return np.cumsum(np.frombuffer(pa.decompress(packed[8:], 8 * n, codec="zstd"), "<i8"))
+
+
 def _ask(batches: Iterator[pa.RecordBatch], order: int, places: int) -> Iterator[pa.RecordBatch]:
     """(place, chunk, keys): the distinct pairs of a chunk, by the place where their rates are."""
     for batch in batches:
@@ -282,7 +294,7 @@ def _ask(batches: Iterator[pa.RecordBatch], order: int, places: int) -> Iterator
             sort = np.argsort(place, kind="stable")
             keys, place = keys[sort], place[sort]
             cuts = np.flatnonzero(np.diff(place, prepend=-1))
-            asked = [keys[i:j].astype("<i8").tobytes() for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)])]
+            asked = [pack(keys[i:j]) for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)])]
             yield pa.record_batch([pa.array(place[cuts]), pa.array([int(chunks[begin])] * len(cuts), pa.int64()), pa.array(asked, pa.binary())],
                                   ["place", "chunk", "keys"])
 
@@ -295,13 +307,13 @@ def _answer(rated: pa.Table, asked: pa.Table) -> pa.Table:
     keys, lp = rated.column("key").to_numpy(), rated.column("lp").to_numpy()
     order = np.argsort(keys)
     keys, lp = keys[order], lp[order].astype("<f4")
-    found = [lp[np.searchsorted(keys, np.frombuffer(q.as_buffer(), "<i8"))].tobytes() for q in asked.column("keys")]
+    found = [lp[np.searchsorted(keys, unpack(q.as_py()))].tobytes() for q in asked.column("keys")]
     return pa.table([asked.column("chunk"), asked.column("keys"), pa.array(found, pa.binary())], schema=ANSWER)
 
 
 def _sum_up(docs: pa.Table, answers: pa.Table, order: int) -> Iterator[pa.RecordBatch]:
     """The documents of a chunk with their score."""
-    keys = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(k.as_buffer(), "<i8") for k in answers.column("keys")]])
+    keys = np.concatenate([np.zeros(0, np.int64), *[unpack(k.as_py()) for k in answers.column("keys")]])
     lp = np.concatenate([np.zeros(0, np.float32), *[np.frombuffer(v.as_buffer(), "<f4") for v in answers.column("lp")]])
     keys, once = np.unique(keys, return_index=True)  # a chunk read in two parts has asked for some pairs twice
     table = Lookup(keys, lp[once])
@@ -342,6 +354,12 @@ def _tokens(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBa
                               ["doc_id", "held_out", "score", "n_tokens", "known", "logs", "rare"])
 
 
+def _release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps, which it does once nothing on the driver refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def score(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES, frequent: int = FREQUENT) -> DataFrame:
     """Train on the documents outside the held-out fold and score all of them (doc_id, text)."""
     spark = docs.sparkSession
@@ -349,7 +367,9 @@ def score(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES, f
     rows = materialize(rows.mapInArrow(_number_chunks, CHUNKED), "ppm-chunks", "zstd")
     model, ends = train(rows.filter(~F.col("held_out")), order)
 
+    _release(spark)
     rated = materialize(rated_pairs(model, rows.filter("held_out"), order), "ppm-rated")
+    _release(spark)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     places = max(1, -(-rated.count() // max_entries), -(-size // ASKED))  # as many as the rates or the questions need
     placed = rated.withColumn("place", F.shiftright(F.col("key") % PRIME * FACTOR, SHIFT) % places)

@@ -103,3 +103,8 @@ def test_places_are_even():
     keys = np.unique(np.concatenate([k for k, _ in ppm._positions(texts, ppm.ORDER)]))
     load = np.bincount(ppm.place_of(keys, 64))
     assert len(load) == 64 and load.max() < 1.2 * load.mean()
+
+
+def test_packed_keys():
+    for keys in (np.zeros(0, np.int64), np.array([7, 1 << 47, (1 << 48) - 1]), np.unique(np.random.default_rng(2).integers(0, 1 << 48, 5000))):
+        assert (ppm.unpack(ppm.pack(keys)) == keys).all()
