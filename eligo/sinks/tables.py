@@ -170,7 +170,7 @@ def _read_attempts(spark: SparkSession, root: str, table: str, attempts: dict[st
     paths = [p for run, attempt in attempts.items() if exists(spark, p := attempt_path(root, table, run, attempt))]
     if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(*paths)
+    return spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(*paths).select(*schema.names)
 
 
 def read_run(spark: SparkSession, root: str, table: str, run_id: str) -> DataFrame:
