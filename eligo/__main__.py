@@ -36,16 +36,15 @@ def main(argv=None):
     if args.command == "ingest":
         from eligo.plans.run import run_ingestion
         if args.csv:
-            from eligo.sources.courts import read_court_paths, unparsed_counts, with_charge_ids
-            rows = read_court_paths(spark, args.csv)
-            raw = with_charge_ids(rows)
+            from eligo.sinks.rejects import load_court_files
+            from eligo.sources.rejects import reject_counts
+            load, rejects = load_court_files(spark, args.csv, args.root, args.as_of, not args.append, args.buckets)
+            reject_counts(rejects).orderBy("source_file", "reason").show(1000, truncate=False)
         else:
-            raw = spark.read.parquet(args.raw)
-        load = run_ingestion(raw, args.root, as_of=args.as_of, clear_existing=not args.append, buckets=args.buckets)
+            load = run_ingestion(spark.read.parquet(args.raw), args.root, as_of=args.as_of, clear_existing=not args.append,
+                                 buckets=args.buckets)
         if load:
             print(f"loaded {len(load.loaded)} files, {len(load.skipped)} were in already")
-        if args.csv:
-            unparsed_counts(rows).orderBy("source_file", "column").show(1000, truncate=False)
     else:
         from eligo.plans.run import run_classification, run_classification_resumable
         cfg = load_config(args.config) if args.config else RunConfig()

@@ -451,6 +451,8 @@ def sample_persons_join(spark, sf_dir):
 
 
 EARLIER = dataclasses.replace(PARITY, cutoff_date="2005-12-31")
+# The first day of the load that `classify_touched_persons` adds.
+LAST_LOAD = "2019-01-01"
 
 
 @register
@@ -607,6 +609,33 @@ def profile_pivot_plea(spark, sf_dir):
     return profile_long(df, "year", "plea")
 
 
+@register
+def frequent_codes(spark, sf_dir):
+    """The report of ``code_cumulative`` without an exchange of all codes."""
+    from eligo.operators.reports import cumulative_share
+    from eligo.operators.summaries import frequent_values
+    return cumulative_share(frequent_values(cleaned(spark, sf_dir), "code_section"), "code_section")
+
+
+@register
+def distinct_sketch_rollup(spark, sf_dir):
+    """Distinct persons per year and in all, from sketches per (locality, year), held against the exact counts."""
+    from eligo.operators import summaries as S
+    rows = charges(spark, sf_dir).withColumn("year", F.year("hearing_date"))
+    stored = S.distinct_sketches(rows, ["locality", "year"], "person_id")
+    return S.compared(stored, rows, "year", "person_id")
+
+
+@register
+def classify_touched_persons(spark, sf_dir):
+    """Outcomes after the hearings of the last year came in: only their persons are classified, the others' outcomes
+    are those of the classification before."""
+    from eligo.plans import touched as T
+    rows = charges(spark, sf_dir)
+    before = C.classify(rows.filter(F.col("hearing_date") < F.lit(LAST_LOAD).cast("date")), PARITY)[1]
+    return T.touched_outcomes(rows, T.known_labels(rows, before, PARITY), PARITY)
+
+
 @register
 def key_audit(spark, sf_dir):
     """Ids of the charges against the features and outcomes of their classification."""

@@ -38,12 +38,12 @@ CLASSIFIED_TYPES = {"person_id": "bigint", "HearingDate": "date", **dict.fromkey
     "old_expungable", "sameday", "lifetime"), "boolean")}
 
 
-def _typed(df: DataFrame) -> DataFrame:
+def typed(df: DataFrame) -> DataFrame:
     """Dates and ids typed; a value that cannot be parsed becomes null, and ``unparsed`` names its column."""
-    typed = {"HearingDate": "date", "person_id": "bigint"}
-    bad = [F.when(F.col(c).isNotNull() & F.expr(f"try_cast({c} AS {t})").isNull(), F.lit(c)) for c, t in typed.items()]
+    types = {"HearingDate": "date", "person_id": "bigint"}
+    bad = [F.when(F.col(c).isNotNull() & F.expr(f"try_cast({c} AS {t})").isNull(), F.lit(c)) for c, t in types.items()]
     return df.withColumn("unparsed", F.array_compact(F.array(*bad))).withColumns(
-        {c: F.expr(f"try_cast({c} AS {t})") for c, t in typed.items()})
+        {c: F.expr(f"try_cast({c} AS {t})") for c, t in types.items()})
 
 
 def unparsed_counts(raw: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def unparsed_counts(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def _files(spark: SparkSession, paths) -> list[str]:
+def files_of(spark: SparkSession, paths) -> list[str]:
     """The files behind paths and globs."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     out = []
@@ -63,8 +63,8 @@ def _files(spark: SparkSession, paths) -> list[str]:
     return out
 
 
-def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """The column names in a CSV file's first line."""
+def first_line(spark: SparkSession, file: str) -> str:
+    """A text file's first line."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(file)
     stream = path.getFileSystem(conf).open(path)
@@ -74,18 +74,23 @@ def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
         line = jvm.java.io.BufferedReader(text).readLine()
     finally:
         stream.close()
-    return tuple(next(csv.reader([line or ""]), ()))
+    return line or ""
+
+
+def column_names(line: str) -> tuple[str, ...]:
+    """The column names in a header line."""
+    return tuple(next(csv.reader([line]), ()))
 
 
 def _read(spark: SparkSession, paths, columns, renames, court: str) -> DataFrame:
     """Columns are bound by name: files with the same header are read together under that header (which Spark checks
     again in every file), and a file that lacks a column is an error."""
-    files = _files(spark, paths)
+    files = files_of(spark, paths)
     if not files:
         raise ValueError(f"no such court files: {paths}")
     by_header: dict[tuple[str, ...], list[str]] = {}
     for f in files:
-        by_header.setdefault(_header(spark, f), []).append(f)
+        by_header.setdefault(column_names(first_line(spark, f)), []).append(f)
     frames = []
     for header, group in by_header.items():
         lacking = [c for c in columns if c not in header]
@@ -96,7 +101,7 @@ def _read(spark: SparkSession, paths, columns, renames, court: str) -> DataFrame
         ids = ["id"] if "id" in header else []
         frames.append(raw.select(*ids, *columns, F.col("_metadata.file_path").alias("source_file")))
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return _typed(df.withColumnsRenamed(renames).withColumn("CourtType", F.lit(court)))
+    return typed(df.withColumnsRenamed(renames).withColumn("CourtType", F.lit(court)))
 
 
 def with_charge_ids(raw: DataFrame) -> DataFrame:
@@ -154,7 +159,7 @@ def read_court_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
 
 def read_court_paths(spark: SparkSession, paths) -> DataFrame:
     """Both layouts from files and globs."""
-    return read_court_files(spark, _files(spark, paths))
+    return read_court_files(spark, files_of(spark, paths))
 
 
 def read_court_dir(spark: SparkSession, directory: str, years: Iterable[int] | None = None,
@@ -168,7 +173,7 @@ def read_court_dir(spark: SparkSession, directory: str, years: Iterable[int] | N
     year_part = "{" + ",".join(str(y) for y in years) + "}" if years else "*"
     frames = []
     for court in courts:
-        files = _files(spark, f"{directory.rstrip('/')}/{court}_{kind}_{year_part}_*.csv")
+        files = files_of(spark, f"{directory.rstrip('/')}/{court}_{kind}_{year_part}_*.csv")
         reader = read_district_files if court == "district" else read_circuit_files
         if files:
             frames.append(reader(spark, files))

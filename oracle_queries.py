@@ -603,3 +603,13 @@ ORACLE.update({
         f"WITH {CH} SELECT id FROM charges WHERE id % 7 <> 0 UNION ALL SELECT id FROM charges WHERE id % 5 = 0",
         with_pipeline("SELECT id FROM final", cutoff="2005-12-31")),
 })
+
+
+ORACLE.update({
+    "frequent_codes": ORACLE["code_cumulative"],
+    "distinct_sketch_rollup": f"""WITH {CH}
+        SELECT 'key' AS level, CAST(year(hearing_date) AS INTEGER) AS year, count(DISTINCT person_id) AS n_distinct, true AS within_error
+        FROM charges GROUP BY 2
+        UNION ALL SELECT 'all', NULL, count(DISTINCT person_id), true FROM charges""",
+    "classify_touched_persons": ORACLE["classify_outcomes"],
+})

@@ -1,0 +1,69 @@
+"""Classifying only the persons with new charges equals a full classification."""
+
+import dataclasses
+import datetime as dt
+import random
+
+import pytest
+
+from eligo.config import RunConfig
+from eligo.plans import touched as T
+from eligo.plans.classify import classify
+from eligo.plans.run import run_classification
+from eligo.sinks import tables as sinks
+from tests.helpers import charge, frame
+
+CFG = RunConfig(id="a", cutoff_date="2020-12-31")
+
+
+def random_charges(rng, ids, persons):
+    return [charge(i, rng.choice(persons), dt.date(2005, 1, 1) + dt.timedelta(rng.choice([0, 30, 1200, 4000, 5500, 6500])),
+                   rng.choice(["Misdemeanor", "Felony", "Other"]), rng.choice(["Guilty", "Dismissed", "Nolle Prosequi", "Prepaid"]),
+                   rng.choice(["18.2-95", "18.2-96", "4.1-305", None]), rng.choice([None, "Guilty"])) for i in ids]
+
+
+def labels(df):
+    return sorted((r["charge_id"], r["run_id"], r["expungability"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("seed", (0, 3))
+def test_random_appends_equal_a_full_classification(spark, seed):
+    rng = random.Random(seed)
+    persons = [None, 0, 7, *range(10, 40)]  # persons 7 and null hold many of the charges
+    old = random_charges(rng, range(1, 201), persons + [7] * 15 + [None] * 10)
+    new = random_charges(rng, range(201, 201 + [0, 1, 6, 25][seed]), [*persons[:12], 99])
+    before = classify(frame(spark, old), CFG)[1]
+    both = frame(spark, old + new)
+    known = T.known_labels(both, before, CFG)
+    assert labels(T.touched_outcomes(both, known, CFG)) == labels(classify(both, CFG)[1])
+    touched = {r["_pid"] for r in T.touched_persons(known).collect()}
+    part = {c[0]: c[1] for c in new if c[4] in ("Misdemeanor", "Felony") and c[6] != "Prepaid" and c[2] < dt.date(2020, 12, 31)}
+    assert touched == {i if p is None else p for i, p in part.items()}
+
+
+def test_untouched_outcomes_are_carried_and_not_made_anew(spark):
+    """A label that no rule would give shows which outcomes were carried over."""
+    rows = frame(spark, [charge(1, 1, "2015-01-01"), charge(2, 2, "2015-01-01"), charge(3, 2, "2016-01-01")])
+    before = spark.createDataFrame([(1, "a", "marked"), (2, "a", "marked"), (8, "a", "gone")], "charge_id long, run_id string, expungability string")
+    got = {r["charge_id"]: r["expungability"] for r in T.touched_outcomes(rows, T.known_labels(rows, before, CFG), CFG).collect()}
+    assert got[1] == "marked" and "marked" not in (got[2], got[3]) and set(got) == {1, 2, 3}
+
+
+def test_runs_over_an_appended_table(spark, tmp_path):
+    root = str(tmp_path / "db")
+    rng = random.Random(9)
+    old, new = random_charges(rng, range(1, 61), list(range(12))), random_charges(rng, range(61, 70), [1, 2, 50])
+    sinks.write_charges(frame(spark, old), root)
+    run_classification(spark, root, CFG)
+    sinks.write_charges(frame(spark, new), root, clear_existing=False)
+    assert T.run_touched(spark, root, "a", dataclasses.replace(CFG, id="b")) == "b"
+    full = labels(classify(frame(spark, old + new), dataclasses.replace(CFG, id="b"))[1])
+    assert labels(sinks.read_run(spark, root, "outcomes", "b")) == full
+    T.run_touched(spark, root, "a", CFG)  # under its own id
+    assert [x[0::2] for x in labels(sinks.read_run(spark, root, "outcomes", "a"))] == [x[0::2] for x in full]
+    assert {r["id"]: r["status"] for r in sinks.read_table(spark, root, "runs").collect()} == {"a": "Completed", "b": "Completed"}
+    assert not list((tmp_path / "db" / "_staging").iterdir())
+    with pytest.raises(ValueError, match="another configuration"):
+        T.run_touched(spark, root, "a", dataclasses.replace(CFG, lifetime_limit=3))
+    with pytest.raises(ValueError, match="no completed run"):
+        T.run_touched(spark, root, "zz", CFG)
