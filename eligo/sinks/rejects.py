@@ -43,11 +43,13 @@ def load_court_files(spark: SparkSession, paths, root: str, as_of: str | None =
     from eligo.plans.run import run_ingestion
     staged = f"{root}/_staging/lines-{uuid.uuid4().hex}"
     lines = read_court_lines(spark, paths)
-    lines.withColumn("rejected", F.col("reason").isNotNull()).write.partitionBy("rejected").parquet(staged)
+    parted = lines.withColumn("rejected", F.col("reason").isNotNull().cast("int"))
+    parted.write.partitionBy("rejected").parquet(staged)
     try:
-        kept = spark.read.schema(lines.schema).parquet(staged)
-        load = run_ingestion(with_charge_ids(charge_rows(kept)), root, as_of, clear_existing, buckets)
-        _write(rejected_lines(kept), root, clear_existing)
+        kept = spark.read.schema(parted.schema).parquet(staged)
+        good, bad = (kept.filter(F.col("rejected") == n).select(*lines.columns) for n in (0, 1))
+        load = run_ingestion(with_charge_ids(charge_rows(good)), root, as_of, clear_existing, buckets)
+        _write(rejected_lines(bad), root, clear_existing)
     finally:
         sinks.delete(spark, staged)
     names = spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in files_of(spark, paths)], "file string")
