@@ -5,7 +5,7 @@ Both are built in the tasks, so what is exchanged does not grow with the number
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Registers of a distinct sketch: 2 ** 12 bytes each.
 SKETCH_BITS = 12
@@ -24,10 +24,12 @@ def frequent_values(df: DataFrame, key: str, min_percent: float = 1.0, decimals:
     named = df.select(F.col(key).alias("_v")).filter("_v IS NOT NULL").stat.freqItems(["_v"], min_percent / 100)
     value = F.col(key)
     candidate = value.isNull() | F.coalesce(F.array_contains(named.scalar(), value), F.lit(False))
-    counted = (df.select(F.when(candidate, value).alias(key), (~candidate).alias("_other")).groupBy(key, "_other")
+    counted = (df.select(key, candidate.alias("_named")).groupBy(F.when(F.col("_named"), value).alias(key), "_named")
                .agg(F.count(F.lit(1)).alias(name)))
-    percent = F.round(F.col(name).cast("double") * F.lit(100.0) / counted.agg(F.sum(name)).scalar().cast("double"), decimals)
-    return counted.filter(~F.col("_other")).select(key, name, percent.alias("percent"))
+    # One window over all rows: at most 100 / min_percent values, null, and the others as one.
+    total = F.sum(name).over(Window.partitionBy())
+    percent = F.round(F.col(name).cast("double") * F.lit(100.0) / total.cast("double"), decimals)
+    return counted.withColumn("percent", percent).filter("_named").select(key, name, "percent")
 
 
 def distinct_sketches(df: DataFrame, keys: list[str], col: str, bits: int = SKETCH_BITS) -> DataFrame:
