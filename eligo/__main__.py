@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from eligo.config import RunConfig, load_config
+from eligo.config import RunConfig, load_config, read_values
 from eligo.session import get_spark
 
 
@@ -19,16 +19,22 @@ def main(argv=None):
     ing.add_argument("--as-of", default=None, help="drop hearings after this date (default: today)")
     ing.add_argument("--append", action="store_true", help="append instead of a full refresh")
     ing.add_argument("--buckets", type=int, default=None, help="partition charges by this many person buckets")
+    ing.add_argument("--person-files", type=int, default=None,
+                     help="with --raw: store charges in this many files by ranges of persons, with a Bloom filter on their ids")
     cls = sub.add_parser("classify", help="classify ROOT/charges into a run")
     cls.add_argument("--root", required=True)
     cls.add_argument("--config", default=None, help="YAML/JSON run configuration")
     cls.add_argument("--write-features", action="store_true")
     cls.add_argument("--resumable-buckets", type=int, default=None,
                      help="classify bucket by bucket of persons; a rerun skips finished buckets")
-    for p in (ing, cls):
+    aud = sub.add_parser("rules", help="which rules of a rule file can never decide, or change no label")
+    aud.add_argument("--rules", required=True, help="YAML/JSON file with name, rules and default")
+    for p in (ing, cls, aud):
         p.add_argument("--shuffle-partitions", type=int, default=None,
                        help="spark.sql.shuffle.partitions (about input bytes / 256 MB at scale)")
     args = parser.parse_args(argv)
+    if args.command == "ingest" and args.csv and args.person_files:
+        parser.error("--person-files goes with --raw")
 
     spark = get_spark()
     if args.shuffle_partitions:
@@ -42,9 +48,12 @@ def main(argv=None):
             reject_counts(rejects).orderBy("source_file", "reason").show(1000, truncate=False)
         else:
             load = run_ingestion(spark.read.parquet(args.raw), args.root, as_of=args.as_of, clear_existing=not args.append,
-                                 buckets=args.buckets)
+                                 buckets=args.buckets, person_files=args.person_files)
         if load:
             print(f"loaded {len(load.loaded)} files, {len(load.skipped)} were in already")
+    elif args.command == "rules":
+        from eligo.operators import rulebook
+        rulebook.rule_audit(spark, rulebook.from_mapping(read_values(args.rules))).orderBy("place").show(rulebook.MAX_RULES, truncate=False)
     else:
         from eligo.plans.run import run_classification, run_classification_resumable
         cfg = load_config(args.config) if args.config else RunConfig()

@@ -92,8 +92,8 @@ class RunConfig:
         return row
 
 
-def load_config(path: str) -> RunConfig:
-    """Read a run configuration file (YAML when PyYAML is installed, else JSON)."""
+def read_values(path: str) -> dict:
+    """The mapping in a file (YAML when PyYAML is installed, else JSON)."""
     with open(path) as fh:
         text = fh.read()
     try:
@@ -102,4 +102,9 @@ def load_config(path: str) -> RunConfig:
     except ImportError:
         import json
         values = json.loads(text)
-    return RunConfig.from_mapping(values or {})
+    return values or {}
+
+
+def load_config(path: str) -> RunConfig:
+    """Read a run configuration file."""
+    return RunConfig.from_mapping(read_values(path))

@@ -651,3 +651,19 @@ def key_audit_across_runs(spark, sf_dir):
     from eligo.operators import audit
     rows = charges(spark, sf_dir)
     return audit.key_audit(rows.filter("id % 7 <> 0").unionAll(rows.filter("id % 5 = 0")), C.classify(rows, PARITY)[0], C.classify(rows, EARLIER)[1])
+
+
+@register
+def classify_by_rule_data(spark, sf_dir):
+    """Outcomes by the canonical rules given as data."""
+    from eligo.operators import rulebook as B
+    return C.classify(charges(spark, sf_dir), PARITY, B.rule_set("d3", B.D3_DATA))[1]
+
+
+@register
+def rule_coverage_d3(spark, sf_dir):
+    """How many charges each rule matches and decides, and which later rules win over it."""
+    from eligo.operators import rulebook as B
+    rows = C.group_features(C.clean_for_rules(charges(spark, sf_dir), dataclasses.replace(PARITY, lifetime_rule=False)),
+                            dataclasses.replace(PARITY, lifetime_rule=False))
+    return B.rule_coverage(rows, B.rule_set("d3", B.D3_DATA), weight="_n")

@@ -21,20 +21,23 @@ log = logging.getLogger(__name__)
 
 
 def run_ingestion(raw: DataFrame, root: str, as_of: str | None = None, clear_existing: bool = True,
-                  buckets: int | None = None) -> ledger.Load | None:
+                  buckets: int | None = None, person_files: int | None = None) -> ledger.Load | None:
     """Raw charges -> cleaned charges table.
 
     Rows that name their file (``source_file``) go through the load ledger: an append adds only files that the table
     does not hold, and refuses changed files and double ids; a refresh begins the ledger anew. Other rows are narrow
-    transforms without a shuffle, and an append of them adds what it is given.
+    transforms without a shuffle, and an append of them adds what it is given. ``person_files`` stores the charges
+    clustered by person (``sinks.clustered``), which takes an exchange; files that go through the ledger are not.
     """
     clean = lambda rows: clean_charges(rows, as_of)
     if "source_file" in raw.columns and not clear_existing:
+        if person_files:
+            raise ValueError("an append through the load ledger is not clustered by person")
         return ledger.append_files(raw, root, clean, buckets)
     charges = clean(raw)
     if "source_file" in raw.columns:
         refuse_duplicate_ids(charges)
-    sinks.write_charges(charges, root, clear_existing=clear_existing, buckets=buckets)
+    sinks.write_charges(charges, root, clear_existing=clear_existing, buckets=buckets, person_files=person_files)
     if "source_file" in raw.columns:
         ledger.record_refresh(raw, root)
     elif clear_existing:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eligo.config import RunConfig
 from eligo.schemas import CHARGES, DROPPED, FEATURES, OUTCOMES, RUNS
+from eligo.sinks import clustered
 
 # Run-partitioned tables and their partition column.
 RESULT_TABLES = {"runs": (RUNS, "id"), "features": (FEATURES, "run_id"), "outcomes": (OUTCOMES, "run_id"),
@@ -66,14 +67,18 @@ def bucket_layout(spark: SparkSession, root: str) -> int | None:
     return spark.read.parquet(f"{root}/charges_layout").first()["buckets"]
 
 
-def write_charges(charges: DataFrame, root: str, clear_existing: bool = True, buckets: int | None = None) -> None:
+def write_charges(charges: DataFrame, root: str, clear_existing: bool = True, buckets: int | None = None,
+                  person_files: int | None = None) -> None:
     """Load cleaned charges. A full refresh (default) also clears runs, features, outcomes and drop counts.
 
     With ``buckets``, the table is partitioned by ``person_bucket`` so a classification can read one bucket of
     persons by partition pruning; the number is stored beside the table, and an append must keep it. A refresh
     overwrites whole tables, whatever the session's overwrite mode: a dynamic overwrite would keep the
-    partitions that the new load does not touch.
+    partitions that the new load does not touch. With ``person_files``, the load is stored in so many files by ranges of
+    persons with a Bloom filter on their ids (``sinks.clustered``); buckets and ranges exclude each other.
     """
+    if buckets and person_files:
+        raise ValueError("charges are stored by buckets or by ranges of persons, not both")
     spark = charges.sparkSession
     if clear_existing:
         for name, (schema, key) in RESULT_TABLES.items():  # the records first: without them nothing is read
@@ -84,7 +89,9 @@ def write_charges(charges: DataFrame, root: str, clear_existing: bool = True, bu
     elif exists(spark, f"{root}/charges") and (now := bucket_layout(spark, root)) != buckets:
         raise ValueError(f"{root}/charges has {now or 'no'} person buckets; an append with {buckets or 'none'} would mix layouts")
     writer = charges if not buckets else charges.withColumn("person_bucket", person_bucket(buckets))
-    writer = writer.write.mode("overwrite" if clear_existing else "append").option("partitionOverwriteMode", "static")
+    if person_files:
+        writer = clustered.by_person(charges, person_files)
+    writer = writer.write.options(**(clustered.BLOOM if person_files else {})).mode("overwrite" if clear_existing else "append").option("partitionOverwriteMode", "static")
     if buckets:
         writer = writer.partitionBy("person_bucket")
     writer.parquet(f"{root}/charges")

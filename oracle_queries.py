@@ -613,3 +613,54 @@ ORACLE.update({
         UNION ALL SELECT 'all', NULL, count(DISTINCT person_id), true FROM charges""",
     "classify_touched_persons": ORACLE["classify_outcomes"],
 })
+
+
+# Each rule as a plain condition over the charge's features.
+_ANY_CLASS = "(NOT has_class_3_or_4 OR NOT felony_conviction_disqualifier OR NOT has_class_1_or_2)"
+_MISD, _FEL = "charge_category = 'Misdemeanor'", "charge_category = 'Felony'"
+_CONV, _DISM, _DEF = (f"disposition_category = '{d}'" for d in ("Conviction", "Dismissed", "Deferral Dismissal"))
+_A, _B, _TWELVE, _ELSE = (f"code_section_category = '{c}'" for c in (
+    "covered in 19.2-392.6 - A", "covered in 19.2-392.6 - B", "excluded by 19.2-392.12", "covered elsewhere"))
+_S3 = f"{_CONV} AND {_MISD} AND ({_A} OR {_B}) AND NOT next_conviction_disqualifier_after_misdemeanor"
+_S8 = f"({_CONV} OR {_DEF}) AND {_FEL} AND NOT ({_TWELVE}) AND {_ANY_CLASS} AND NOT next_conviction_disqualifier_after_felony"
+_S9 = f"{_CONV} AND {_MISD} AND {_ELSE} AND {_ANY_CLASS} AND NOT next_conviction_disqualifier_after_misdemeanor"
+D3_RULES_SQL = (
+    ("S1", "Automatic", f"{_DISM} AND {_MISD} AND NOT arrest_disqualifier AND NOT has_conviction"),
+    ("S2", "Automatic", f"{_DEF} AND {_MISD} AND {_A}"),
+    ("S3", "Automatic", _S3),
+    ("S4", "Automatic (pending)", f"{_S3} AND pending_after_misdemeanor"),
+    ("S5", "Petition", f"{_DEF} AND {_MISD} AND ({_ELSE} OR {_B})"),
+    ("S6", "Petition", f"{_DISM} AND {_FEL}"),
+    ("S7", "Petition", f"{_DISM} AND {_MISD} AND (arrest_disqualifier OR has_conviction)"),
+    ("S8", "Petition", _S8),
+    ("S9", "Petition", _S9),
+    ("S10", "Petition (pending)", f"{_S8} AND pending_after_felony"),
+    ("S11", "Petition (pending)", f"{_S9} AND pending_after_misdemeanor"),
+)
+
+
+def _coverage_sql() -> str:
+    """Every (charge, matching rule) as a row; the last rule of a charge decides, the one before it is the runner-up."""
+    names = ", ".join(f"({i}, '{n}', '{label}')" for i, (n, label, _) in enumerate(D3_RULES_SQL, 1))
+    hits = " UNION ALL ".join(f"SELECT id, {i} AS place FROM final WHERE {c}" for i, (_, _, c) in enumerate(D3_RULES_SQL, 1))
+    return with_pipeline(f""", rules(place, rule, label) AS (VALUES {names}),
+      hits AS ({hits}),
+      ranked AS (SELECT id, place, max(place) OVER (PARTITION BY id) AS winner,
+                        lag(place) OVER (PARTITION BY id ORDER BY place) AS below FROM hits),
+      named AS (SELECT h.place, h.winner, r.label <> coalesce(b.label, 'Not eligible') AS differs
+                FROM ranked h JOIN rules r ON r.place = h.place LEFT JOIN rules b ON b.place = h.below),
+      pairs AS (SELECT DISTINCT h.place, h.winner, w.rule FROM ranked h JOIN rules w ON w.place = h.winner WHERE h.winner > h.place),
+      hidden AS (SELECT place, string_agg(rule, ',' ORDER BY winner) AS hidden_by FROM pairs GROUP BY place),
+      counts AS (SELECT place, count(*) AS n_matched, count(*) FILTER (WHERE place = winner) AS n_decided,
+                        count(*) FILTER (WHERE place = winner AND differs) AS n_needed FROM named GROUP BY place),
+      out AS (SELECT CAST(r.place AS INTEGER) AS place, r.rule, r.label, coalesce(n_matched, 0) AS n_matched,
+                     coalesce(n_decided, 0) AS n_decided, coalesce(n_needed, 0) AS n_needed, coalesce(hidden_by, '') AS hidden_by
+              FROM rules r LEFT JOIN counts c ON c.place = r.place LEFT JOIN hidden h ON h.place = r.place)
+    SELECT *, CASE WHEN n_matched = 0 THEN 'unmatched' WHEN n_decided = 0 THEN 'shadowed' WHEN n_needed = 0 THEN 'redundant'
+                   ELSE 'needed' END AS state FROM out""")
+
+
+ORACLE.update({
+    "classify_by_rule_data": ORACLE["classify_outcomes"],
+    "rule_coverage_d3": _coverage_sql(),
+})
