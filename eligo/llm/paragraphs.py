@@ -17,12 +17,17 @@ similarity of their shingle sets. A bucket of more than ``block`` classes is cut
 blocks is compared in a task of its own; within a task pairs that are already joined are passed over, which
 changes no component.
 
-Only digests and band keys are shuffled, and of the copies that a task sees of one paragraph only the first: the
-others point to it (a fixed number of digests is remembered; beyond it copies are shuffled like any), so a line
-that many documents share reaches the task that gathers its class once per task that read it. The words of those that share a bucket are read in
-a second scan: a bitmap of fixed size, made from the wanted digests, tells each task which paragraphs to pass on
-(a few more slip through and fall out in the join). The digests, and not places in the scan, tie the two scans
-together, so it does not matter how the files are dealt to tasks, or whether that changes when executors are lost.
+The texts are scanned twice. The first scan passes on 32 bits of each digest, and of each band key with 32 bits of the
+digest that has it, packed by slice of the key space; a task passes on two holders of a key at most. Digests met twice
+and band keys met under different digests go into a Bloom filter, 16 bits for each of them (up to ``FILTER_BITS`` in all).
+The second scan shuffles only units whose digest or a band key is in the filter, with those band keys and, for one copy
+a task, the words. A key that the filter has by accident adds rows that later steps drop, and none is missing. The keys,
+and not places in the scan, tie the two scans together, so it does not matter how the files are dealt to tasks, or
+whether that changes when executors are lost.
+
+Of the copies that a task sees of one unit only the first travels under its digest: the others point to it (a fixed
+number of digests is remembered; beyond it copies are shuffled like any), so a line that many documents share reaches
+the task that gathers its class once per task that read it.
 
 Clusters are the components of those links. The first paragraph of a cluster (by document id, null last, then
 place) stays, and the others are removed. Lines are settled first, and of a cluster of paragraphs the first one
@@ -51,6 +56,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eligo.llm.common import documents, materialize, text_bytes, worker_cache
 from eligo.llm.components import connected_components
+from eligo.llm.ppm import _release
 
 MIN_WORDS = 8
 WIDTH = 5
@@ -61,9 +67,13 @@ LONG_RUN, LAST_CUT, CUT_EVERY = 40, 64, 16  # words
 SEED = 5
 REMEMBERED = 500_000
 LINE_MARK = 0x5851F42D4C957F2D  # keeps the buckets of lines apart
-BITS = 1 << 26  # of the bitmap of wanted digests
+FILTER_BITS = 1 << 30  # of the filter of wanted keys at most
+SLICES = 8  # of the key space for each shuffle partition
+PACKED = 200_000  # units whose keys are packed at a time
+PROBES = tuple(np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64))
+LOW = np.uint64(2**32 - 1)
 
-_BREAK = re.compile(rb"(?<=[.!?])[ \t\x0b\x0c\r]+|\n")
+_BREAK = re.compile(rb"[.!?][ \t\x0b\x0c\r]+|\n")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -71,7 +81,7 @@ def paragraph_spans(text: bytes) -> list[tuple[int, int]]:
     """Byte spans of the text's paragraphs, in order; what lies between them is white space."""
     out, at = [], 0
     for m in [*_BREAK.finditer(text), None]:
-        end = m.start() if m else len(text)
+        end = (m.start() + (text[m.start()] != 10) if m else len(text))
         piece = text[at:end]
         if piece.count(b" ") < LONG_RUN:
             if piece.strip():
@@ -103,32 +113,29 @@ class WordHash(dict):
         return h
 
 
-def band_keys(paragraphs: list[list[bytes]]) -> np.ndarray:
-    """Bucket keys, one row per paragraph (of WIDTH words at least) and a column per band."""
+def band_keys(words: list[bytes], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Bucket keys of the stretches ``start`` to ``end`` (of WIDTH words at least) of the words: a row per stretch and a
+    column per band. Stretches may overlap: each window of words is hashed once."""
     number = worker_cache().setdefault("word-hash", WordHash()).__getitem__
     mix, perms = _hashes()
-    sizes = np.fromiter(map(len, paragraphs), np.int64, len(paragraphs))
-    words = np.fromiter((number(w) for p in paragraphs for w in p), np.uint64, int(sizes.sum()))
-    grams = np.zeros(len(words) - WIDTH + 1, np.uint64)
+    hashed = np.fromiter(map(number, words), np.uint64, len(words))
+    hashed ^= hashed >> np.uint64(31)
+    n = len(words) - WIDTH + 1
+    grams = np.zeros(n + 1, np.uint64)  # the last one is for stretches to end at
     for i in range(WIDTH):
-        grams += (words[i:len(grams) + i] ^ (words[i:len(grams) + i] >> np.uint64(31))) * mix[0, i]
-    ends = np.cumsum(sizes)
-    crossing = np.zeros(len(words), bool)  # windows that run into the next paragraph
-    for i in range(1, WIDTH):
-        crossing[ends - i] = True
-    crossing = crossing[:len(grams)]
-    starts = ends - sizes
-    lows = np.empty((BANDS * ROWS, len(paragraphs)), np.uint64)
+        grams[:n] += hashed[i:n + i] * mix[0, i]
+    places = np.stack([start, end - WIDTH + 1], 1).ravel()
+    lows = np.empty((BANDS * ROWS, len(start)), np.uint64)
     for k, (a, b) in enumerate(perms):
-        x = grams * a + b
+        x = grams * a
+        x += b
         x ^= x >> np.uint64(33)
         x *= np.uint64(0xC4CEB9FE1A85EC53)
         x ^= x >> np.uint64(29)
-        x[crossing] = np.uint64(2**64 - 1)
-        lows[k] = np.minimum.reduceat(x, starts)
-    keys = np.empty((len(paragraphs), BANDS), np.uint64)
+        lows[k] = np.minimum.reduceat(x, places)[::2]
+    keys = np.empty((len(start), BANDS), np.uint64)
     for band in range(BANDS):
-        key = np.full(len(paragraphs), band + 1, np.uint64)
+        key = np.full(len(start), band + 1, np.uint64)
         for r in range(ROWS):
             key = (key ^ lows[band * ROWS + r]) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(32)
@@ -140,28 +147,6 @@ def shingles(words: list[bytes]) -> frozenset:
     return frozenset(zip(*(words[i:] for i in range(WIDTH))))
 
 
-def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list, list[int], list[list[bytes]]]]:
-    """(numbers, doc ids, places, words) of a partition's paragraphs, some at a time; the numbers start from its index
-    and name a paragraph within one job."""
-    uid = TaskContext.get().partitionId() << 40
-    doc, pos, words = [], [], []
-    for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text = text.as_py()
-            for p, (s, e) in enumerate(paragraph_spans(text)):
-                w = text[s:e].lower().split()
-                if len(w) >= MIN_WORDS:
-                    doc.append(i)
-                    pos.append(p)
-                    words.append(w)
-            if len(doc) >= 20_000:
-                yield np.arange(uid, uid + len(doc)), doc, pos, words
-                uid += len(doc)
-                doc, pos, words = [], [], []
-    if doc:
-        yield np.arange(uid, uid + len(doc)), doc, pos, words
-
-
 class Unit(NamedTuple):
     """A stretch of a text that is compared: paragraphs ``pos`` to ``pos + size``, words ``start`` to ``end``."""
 
@@ -242,114 +227,209 @@ def short_keys(words: list[bytes], start: int, end: int) -> list[bytes]:
     return keys or [before + b"\n\n" + own + b"\n\n" + after]
 
 
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """As ``_paragraphs``, for the units of ``text_units``: (numbers, doc ids, places, words, digests, is a line, distance
-    to the number of the unit's line or -1, paragraphs, is the row before it again). A short unit has a row for each of
-    its keys."""
-    base = TaskContext.get().partitionId() << 40
-    cols: list[list] = [[] for _ in range(8)]
+class Cut(NamedTuple):
+    """Units of some texts, a row each; a short unit has a row for each of its keys. The numbers start from the partition's
+    index and name a row within one job."""
 
-    def taken() -> tuple:
-        nonlocal base, cols
-        n = len(cols[0])
-        out = (np.arange(base, base + n), *cols)
-        base, cols = base + n, [[] for _ in range(8)]
+    uid: np.ndarray
+    n_words: np.ndarray
+    digests: list[bytes]
+    bands: np.ndarray    # zeros for short units
+    doc: list
+    pos: list[int]
+    up: list[int]        # distance to the number of the unit's line, or -1
+    size: list[int]      # paragraphs
+    again: list[bool]    # the row before is of the same unit
+    body: list           # the words; none for short units
+
+
+def _units(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[Cut]:
+    """A partition's units, some at a time: those of ``text_units``, or else its paragraphs of MIN_WORDS words at least."""
+    base = TaskContext.get().partitionId() << 40
+    rows: list[tuple] = []
+    flat: list[bytes] = []
+
+    def taken() -> Cut:
+        nonlocal base, rows, flat
+        start, end, line, digests, *rest = zip(*rows)
+        start, end = np.array(start), np.array(end)
+        bands = np.zeros((len(rows), BANDS), np.uint64)
+        long = np.flatnonzero(end - start >= MIN_WORDS)
+        if len(long):
+            bands[long] = band_keys(flat, start[long], end[long])
+            bands[np.array(line)] ^= np.uint64(LINE_MARK)
+        out = Cut(np.arange(base, base + len(rows)), end - start, digests, bands, *rest)
+        base, rows, flat = base + len(rows), [], []
         return out
 
+    digest = xxhash.xxh3_128_digest
     for batch in batches:
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
-            spans = paragraph_spans(text)
-            parts = [text[s:e].lower().split() for s, e in spans]
-            flat = [w for part in parts for w in part]
-            line = 0  # row of the line
-            for k, u in enumerate(text_units(spans, parts, text)):
-                words = flat[u.start:u.end]
-                if u.line == k:
-                    line = len(cols[0])
+            spans, lower = paragraph_spans(text), text.lower()
+            parts = [lower[s:e].split() for s, e in spans]
+            words = [w for part in parts for w in part]
+            joined, at = b" ".join(words), [0, *accumulate(len(w) + 1 for w in words)]
+            if whole:
+                units = text_units(spans, parts, text)
+            else:
+                ends = list(accumulate(map(len, parts)))
+                units = [Unit(p, 1, e - len(w), e, -1) for p, (e, w) in enumerate(zip(ends, parts)) if len(w) >= MIN_WORDS]
+            line, off = 0, len(flat)  # row of the line, place of the text's words
+            for k, (pos, size, start, end, of) in enumerate(units):
+                if end - start < MIN_WORDS:
+                    up = len(rows) - line if of >= 0 else -1
+                    for n, key in enumerate(short_keys(words, start, end)):
+                        rows.append((off + start, off + end, False, digest(key), i, pos, up + n if up >= 0 else -1, size, n > 0, None))
+                    continue
+                body = joined[at[start]:at[end] - 1]
                 # Lines are compared with lines, paragraphs with paragraphs: a line is no copy of its own paragraph.
-                if len(words) < MIN_WORDS:
-                    keys = short_keys(flat, u.start, u.end)
+                if of == k:
+                    line = len(rows)
+                    rows.append((off + start, off + end, True, digest(b"\n" + body), i, pos, 0, size, False, body))
                 else:
-                    keys = [(b"\n" if u.line == k else b"") + b" ".join(words)]
-                for n, key in enumerate(keys):
-                    up = len(cols[0]) - line if u.line >= 0 else -1
-                    for col, x in zip(cols, (i, u.pos, words, xxhash.xxh3_128_digest(key), u.line == k, up, u.size, n > 0)):
-                        col.append(x)
-            if len(cols[0]) >= 2_000:
+                    rows.append((off + start, off + end, False, digest(body), i, pos, len(rows) - line if of >= 0 else -1, size, False, body))
+            flat += words
+            if len(rows) >= 4_000:
                 yield taken()
-    if cols[0]:
+    if rows:
         yield taken()
 
 
-def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """``_paragraphs`` in the form of ``_passages``."""
-    for uid, doc, pos, words in _paragraphs(batches):
-        n = len(words)
-        yield uid, doc, pos, words, [xxhash.xxh3_128_digest(b" ".join(w)) for w in words], [False] * n, [-1] * n, [1] * n, [False] * n
+def _place(keys: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
+    """The slice that a key is in, and the 32 bits that stand for it there."""
+    return (keys >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32), keys & LOW
+
+
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The values between the cuts, as binaries."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
 
+def _keys(batches: Iterator[pa.RecordBatch], whole: bool, slices: int) -> Iterator[pa.RecordBatch]:
+    """(slice, digests, bands): the keys of a partition's units by slice, two holders of a key at most. Digests as 32 bits,
+    band keys as 32 bits above 32 bits of the other half of the digest."""
+    held: list[tuple] = []
 
-UNITS = "d1 long, d2 long, uid long, rep long, doc_id long, pos int, n_words int, bands binary, up int, size int, again boolean"
+    def packed() -> pa.RecordBatch:
+        d, bands, banded = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        own, first, count = np.unique(d[:, 0], return_index=True, return_counts=True)
+        own = np.repeat(own, np.minimum(count, 2))
+        first = first[banded[first]]
+        keys = bands[first].ravel()
+        order = np.argsort(keys)
+        keys, tags = keys[order], np.repeat(d[first, 1] & LOW, BANDS)[order]
+        some = np.ones(len(keys), bool)
+        some[2:] = keys[2:] != keys[:-2]
+        edges, columns = np.arange(slices + 1), []
+        for k, tag in ((own, None), (keys[some], tags[some])):
+            part, low = _place(k, slices)
+            columns.append(_packed(low.astype("<u4") if tag is None else (low << np.uint64(32) | tag).astype("<u8"), np.searchsorted(part, edges)))
+        batch = pa.record_batch([pa.array(np.arange(slices, dtype=np.int32)), *columns], ["slice", "digests", "bands"])
+        return batch.filter(pa.array(np.any([pa.compute.binary_length(c).to_numpy() > 0 for c in columns], axis=0)))
 
+    for c in _units(batches, whole):
+        held.append((np.frombuffer(b"".join(c.digests), "<u8").reshape(-1, 2), c.bands, c.n_words >= MIN_WORDS))
+        if sum(len(x[2]) for x in held) >= PACKED:
+            yield packed()
+    if held:
+        yield packed()
 
-def _cut(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
-    """Digest and band keys of each unit; a copy of an earlier one of this task names that one as ``rep``.
+
+def _repeated(rows: pa.Table) -> pa.Table:
+    """(slice, keys, n): the digests of a slice that come twice, and the band keys that come with different digests."""
+    digests = np.sort(np.frombuffer(b"".join(rows.column("digests").to_pylist()), "<u4"))
+    bands = np.unique(np.frombuffer(b"".join(rows.column("bands").to_pylist()), "<u8")) >> np.uint64(32)
+    twice = np.unique(np.concatenate([x[1:][x[1:] == x[:-1]] for x in (digests, bands)]).astype("<u4"))
+    return pa.table({"slice": rows.column("slice").slice(0, 1), "keys": pa.array([twice.tobytes()], pa.binary()), "n": pa.array([len(twice)], pa.int64())})
+
+
+def _bit(low: np.ndarray, size: int, probe: int) -> np.ndarray:
+    return (((low + np.uint64(1)) * PROBES[probe] >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+
+
+def _filters(batches: Iterator[pa.RecordBatch], size: int, probes: int) -> Iterator[pa.RecordBatch]:
+    """Bloom filters of ``size`` bits, one per slice."""
+    for batch in batches:
+        out = []
+        for keys in batch.column(1).to_pylist():
+            low, bits = np.frombuffer(keys, "<u4").astype(np.uint64), np.zeros(size, bool)
+            for probe in range(probes):
+                bits[_bit(low, size, probe)] = True
+            out.append(np.packbits(bits, bitorder="little").tobytes())
+        yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["slice", "bits"])
+
+
+def wanted_keys(rows: DataFrame, whole: bool, bits: int = FILTER_BITS) -> tuple[np.ndarray, int, int, int]:
+    """The filter (bits, slices, bits of a slice, probes) of the digests and band keys that several units share."""
+    spark = rows.sparkSession
+    slices = SLICES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    repeated = materialize(rows.mapInArrow(lambda it: _keys(it, whole, slices), "slice int, digests binary, bands binary")
+                           .groupBy("slice").applyInArrow(_repeated, "slice int, keys binary, n long"), "paragraph-keys")
+    _release(spark)
+    n = repeated.agg(F.sum("n")).first()[0] or 0
+    size = max(64, min(bits, 16 * n) // slices // 8 * 8)
+    probes = max(1, min(len(PROBES), round(.7 * size * slices / max(n, 1))))
+    table = repeated.select("slice", "keys").mapInArrow(lambda it: _filters(it, size, probes), "slice int, bits binary").toArrow()
+    out = np.zeros((slices, size // 8), np.uint8)
+    for k, x in zip(table.column("slice").to_pylist(), table.column("bits")):
+        out[k] = np.frombuffer(x.as_py(), np.uint8)
+    return out.ravel(), slices, size, probes
+
+
+def in_filter(keys: np.ndarray, wanted: tuple[np.ndarray, int, int, int]) -> np.ndarray:
+    bits, slices, size, probes = wanted
+    (part, low), left = _place(keys, slices), np.arange(len(keys))
+    part = part.astype(np.int64) * size
+    for probe in range(probes):
+        at = part + _bit(low, size, probe)
+        hit = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+        part, low, left = part[hit], low[hit], left[hit]
+    out = np.zeros(len(keys), bool)
+    out[left] = True
+    return out
+
+
+UNITS = "d1 long, d2 long, uid long, rep long, doc_id long, pos int, n_words int, bands array<long>, up int, size int, again boolean, body binary"
+
+
+def _cut(batches: Iterator[pa.RecordBatch], whole: bool = False, wanted=None) -> Iterator[pa.RecordBatch]:
+    """Digest, band keys and words of each unit with a key in the filter (of all without one); a copy of an earlier one of
+    this task names that one as ``rep``.
 
     Copies travel under their ``rep`` instead of the digest (d2 is null), so they do not meet in one task.
     """
     first: dict[bytes, int] = {}
-    for uid, doc, pos, words, digests, lines, up, size, again in (_passages if whole else _plain)(batches):
-        rep = []
-        for u, d in zip(uid.tolist(), digests):
-            r = first.get(d)
+    for c in _units(batches, whole):
+        d = np.frombuffer(b"".join(c.digests), "<i8").reshape(-1, 2)
+        shared = np.repeat(c.n_words[:, None] >= MIN_WORDS, BANDS, 1)  # band keys
+        keep = np.arange(len(d))
+        if wanted is not None:
+            shared &= in_filter(c.bands.ravel(), wanted.value).reshape(shared.shape)
+            keep = np.flatnonzero(shared.any(1) | in_filter(d[:, 0].view(np.uint64), wanted.value))
+        if not len(keep):
+            continue
+        places, uid, d, rep = keep.tolist(), c.uid[keep], d[keep], []
+        for u, i in zip(uid.tolist(), places):
+            r = first.get(c.digests[i])
             if r is None:
                 r = u
                 if len(first) < REMEMBERED:
-                    first[d] = u
+                    first[c.digests[i]] = u
             rep.append(r)
         rep = np.array(rep)
         own = rep == uid
-        d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        lead = np.flatnonzero(own)
-        bands = np.full(len(words), None, object)
-        banded = lead[[len(words[i]) >= MIN_WORDS for i in lead]] if len(lead) else lead
-        if len(banded):
-            keys = band_keys([words[i] for i in banded])
-            keys[np.array(lines)[banded]] ^= np.uint64(LINE_MARK)
-            bands[banded] = [k.tobytes() for k in keys]
+        shared = shared[keep] & own[:, None]
+        near = shared.any(1)
+        ends = np.concatenate([[0], np.cumsum(shared.sum(1))]).astype(np.int32)
+        bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(c.bands[keep][shared].view(np.int64)), mask=pa.array(~near))
+        of = lambda col, kind: pa.array([col[i] for i in places], kind)
         yield pa.record_batch(
-            [pa.array(np.where(own, d[:, 0], rep)), pa.array(d[:, 1], mask=~own), pa.array(uid), pa.array(rep), pa.array(doc, pa.int64()),
-             pa.array(pos, pa.int32()), pa.array([len(w) for w in words], pa.int32()), pa.array(bands, pa.binary()),
-             pa.array(up, pa.int32()), pa.array(size, pa.int32()), pa.array(again, pa.bool_())],
-            ["d1", "d2", "uid", "rep", "doc_id", "pos", "n_words", "bands", "up", "size", "again"])
-
-
-def wanted_bitmap(digests: DataFrame) -> np.ndarray:
-    """Bits of the digests' first halves (column d1): BITS / 8 bytes, however many there are."""
-    bit = F.col("d1").bitwiseAND(F.lit(BITS - 1))
-    rows = digests.select(bit.alias("b")).select(F.shiftright("b", 5).alias("word"), F.expr("shiftleft(1L, cast(b & 31 as int))").alias("m"))
-    table = rows.groupBy("word").agg(F.bit_or("m").alias("m")).toArrow()
-    bits = np.zeros(BITS // 32, np.uint32)
-    bits[table.column("word").to_numpy()] = table.column("m").to_numpy().astype(np.uint32)
-    return bits
-
-
-def _bodies(batches: Iterator[pa.RecordBatch], wanted, whole: bool = False) -> Iterator[pa.RecordBatch]:
-    """(d1, d2, words) of the paragraphs whose bit is set, copies seen by the task left out as far as remembered."""
-    bits = wanted.value
-    sent: set[bytes] = set()
-    for _, _, _, words, digests, *_ in (_passages if whole else _plain)(batches):
-        d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        b = d[:, 0] & (BITS - 1)
-        mine = []
-        for i in np.flatnonzero((bits[b >> 5] >> (b & 31).astype(np.uint32)) & 1).tolist():
-            if digests[i] not in sent:
-                mine.append(i)
-                if len(sent) < REMEMBERED:
-                    sent.add(digests[i])
-        if mine:
-            yield pa.record_batch([pa.array(d[mine, 0]), pa.array(d[mine, 1]), pa.array([b" ".join(words[i]) for i in mine], pa.binary())],
-                                  ["d1", "d2", "body"])
+            [pa.array(np.where(own, d[:, 0], rep)), pa.array(d[:, 1], mask=~own), pa.array(uid), pa.array(rep), of(c.doc, pa.int64()),
+             of(c.pos, pa.int32()), pa.array(c.n_words[keep].astype(np.int32)), bands, of(c.up, pa.int32()), of(c.size, pa.int32()),
+             of(c.again, pa.bool_()), pa.array([c.body[i] if x else None for i, x in zip(places, near.tolist())], pa.binary())],
+            [f.split()[0] for f in UNITS.split(", ")])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
@@ -387,11 +467,11 @@ def _number(batch: pa.RecordBatch, keys: int, number: int, key: tuple | None, mo
     return (batch, numbers, np.zeros(n, bool), new), 0, None
 
 
-CLASSES = "cid long, uid long, rep long, doc_id long, pos int, n_words int, many boolean, bands binary, d1 long, d2 long, up int, size int, again boolean"
+CLASSES = "cid long, uid long, rep long, doc_id long, pos int, n_words int, many boolean, bands array<long>, up int, size int, again boolean, body binary"
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by digest with their class (its first row's number); band keys stay on that row."""
+    """Rows sorted by digest with their class (its first row's number); band keys and words stay on that row."""
     names = [f.split()[0] for f in CLASSES.split(", ")]
 
     def leaders() -> Iterator[pa.RecordBatch]:
@@ -402,8 +482,8 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if copies.num_rows:
                 n = copies.num_rows
                 passed.append(pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, pa.int64()), *[copies.column(c) for c in (2, 3, 4, 5, 6)], pa.array([True] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), copies.column(8), copies.column(9), copies.column(10)],
-                    names=names))
+                    [pa.nulls(n, pa.int64()), *[copies.column(c) for c in (2, 3, 4, 5, 6)], pa.array([True] * n), pa.nulls(n, pa.list_(pa.int64())),
+                     *[copies.column(c) for c in (8, 9, 10)], pa.nulls(n, pa.binary())], names=names))
             yield batch.filter(own)
 
     passed: list[pa.RecordBatch] = []
@@ -415,9 +495,9 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.maximum.accumulate(np.where(lead, np.arange(len(number)), -1))
         cids = np.where(first >= 0, uid[np.maximum(first, 0)], cid)
         cid = int(cids[-1])
-        bands = pa.compute.if_else(pa.array(lead), batch.column(7), pa.nulls(batch.num_rows, pa.binary()))
-        yield pa.RecordBatch.from_arrays([pa.array(cids), *[batch.column(c) for c in (2, 3, 4, 5, 6)], pa.array(~lead | goes_on), bands,
-                                          batch.column(0), batch.column(1), batch.column(8), batch.column(9), batch.column(10)], names=names)
+        leading = pa.array(np.arange(batch.num_rows), mask=~lead)
+        yield pa.RecordBatch.from_arrays([pa.array(cids), *[batch.column(c) for c in (2, 3, 4, 5, 6)], pa.array(~lead | goes_on), batch.column(7).take(leading),
+                                          *[batch.column(c) for c in (8, 9, 10)], batch.column(11).take(leading)], names=names)
     yield from passed
 
 
@@ -477,25 +557,19 @@ def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
         yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
 
 
-def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK,
-               whole: bool = False) -> DataFrame:
-    """(a, b): verified links between classes, enough to join every group. ``rows``: (doc_id, text)."""
-    firsts = classes.filter(F.col("bands").isNotNull())  # one row per class of units that are not short
-    key = F.conv(F.hex(F.reverse(F.substring("bands", F.lit(1) + F.col("band") * 8, F.lit(8)))), 16, -10).cast("long")
-    keyed = firsts.select("cid", "bands", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")).select(key.alias("key"), "cid")
+def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """(a, b): verified links between classes, enough to join every group. ``rows``, (doc_id, text), are those that the
+    classes come from; they are not read again, as the classes hold their words."""
+    firsts = classes.filter(F.col("bands").isNotNull())  # one row per class of units that may have a near-copy
+    keyed = firsts.select(F.explode("bands").alias("key"), "cid")
     found = materialize(keyed.repartition("key").sortWithinPartitions("key", "cid")
                         .mapInArrow(_buckets, "key long, cid long, place long"), "paragraph-buckets")
     large = found.filter(F.col("place") >= block).groupBy("key").agg(F.max("place").alias("last"))
     cut = (found.join(large.select("key", F.expr(f"cast(last div {block} as int)").alias("blocks")), "key", "left").na.fill(0, ["blocks"])
            .withColumn("part", F.expr(f"cast(place div {block} as int)"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks")))))
-    needed = materialize(firsts.select("cid", "d1", "d2").join(found.select("cid").distinct(), "cid"), "paragraph-needed")
-    wanted = classes.sparkSession.sparkContext.broadcast(wanted_bitmap(needed))
-    bodies = (rows.mapInArrow(lambda it: _bodies(it, wanted, whole), "d1 long, d2 long, body binary")
-              .groupBy("d1", "d2").agg(F.first("body").alias("body"))  # copies from other tasks
-              .join(needed, ["d1", "d2"]).select("cid", "body"))
     units = (cut.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cid")
-             .join(bodies, "cid").select("key", "i", "j", "part", "cid", "body"))
+             .join(firsts.select("cid", "body"), "cid").select("key", "i", "j", "part", "cid", "body"))
     return (units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(lambda it: _verify(it, similarity), "a long, b long"))
 
@@ -503,10 +577,13 @@ def near_links(rows: DataFrame, classes: DataFrame, similarity: float = SIMILARI
 def _members(docs: DataFrame, similarity: float, whole: bool) -> DataFrame:
     """(cid, uid, doc_id, pos, n_words, up, size, again, root) of every unit in a cluster of several."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    units = rows.mapInArrow(lambda it: _cut(it, whole), UNITS)
+    wanted = docs.sparkSession.sparkContext.broadcast(wanted_keys(rows, whole))
+    units = rows.mapInArrow(lambda it: _cut(it, whole, wanted), UNITS)
     classes = materialize(units.repartition("d1", "d2").sortWithinPartitions("d1", "d2", "uid")
                           .mapInArrow(_classes, CLASSES), "paragraph-classes")
-    roots = connected_components(near_links(rows, classes, similarity, whole=whole)).select(F.col("node").alias("cid"), "root")
+    _release(docs.sparkSession)
+    roots = connected_components(near_links(rows, classes, similarity)).select(F.col("node").alias("cid"), "root")
+    _release(docs.sparkSession)
     leaders, columns = classes.filter("rep = uid"), ["cid", "uid", "doc_id", "pos", "n_words", "up", "size", "again"]
     copies = materialize(classes.filter("rep <> uid").drop("cid").join(leaders.select(F.col("uid").alias("rep"), "cid"), "rep")
                          .select(*columns), "paragraph-copies")
