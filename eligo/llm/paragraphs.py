@@ -44,7 +44,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, compress, count
 from typing import NamedTuple
 
 import numpy as np
@@ -73,30 +73,44 @@ PACKED = 200_000  # units whose keys are packed at a time
 PROBES = tuple(np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64))
 LOW = np.uint64(2**32 - 1)
 
-_BREAK = re.compile(rb"[.!?][ \t\x0b\x0c\r]+|\n")
+_BREAK = re.compile(rb"[.!?\n](?:(?<=\n)|[ \t\x0b\x0c\r]+)")  # one set of first bytes: the search skips to them
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+class CutWord(dict):
+    """Whether a long run is cut after the word."""
+
+    def __missing__(self, word: bytes) -> bool:
+        cut = zlib.crc32(word) % CUT_EVERY == 0
+        if len(self) < REMEMBERED:
+            self[word] = cut
+        return cut
+
+
+def _cuts():
+    return worker_cache().setdefault("cut-words", CutWord()).__getitem__
+
+
 def paragraph_spans(text: bytes) -> list[tuple[int, int]]:
     """Byte spans of the text's paragraphs, in order; what lies between them is white space."""
     out, at = [], 0
-    for m in [*_BREAK.finditer(text), None]:
-        end = (m.start() + (text[m.start()] != 10) if m else len(text))
-        piece = text[at:end]
-        if piece.count(b" ") < LONG_RUN:
-            if piece.strip():
+    for start, after in [*map(re.Match.span, _BREAK.finditer(text)), (len(text), len(text))]:
+        end = start + 1 if start < after and text[start] != 10 else start
+        if text.count(b" ", at, end) < LONG_RUN:
+            if at < end and not text[at:end].isspace():
                 out.append((at, end))
         else:
-            first, n, last = None, 0, 0
-            for w in _WORD.finditer(piece):
-                first = w.start() if first is None else first
-                n, last = n + 1, w.end()
-                if n >= LAST_CUT or zlib.crc32(w.group().lower()) % CUT_EVERY == 0:
-                    out.append((at + first, at + last))
-                    first, n = None, 0
-            if first is not None:
-                out.append((at + first, at + last))
-        at = m.end() if m else end
+            piece = text[at:end]
+            words = [w.span() for w in _WORD.finditer(piece)]
+            first = 0
+            for n in [*compress(count(1), map(_cuts(), piece.lower().split())), len(words)]:
+                while n - first > LAST_CUT:
+                    out.append((at + words[first][0], at + words[first + LAST_CUT - 1][1]))
+                    first += LAST_CUT
+                if n > first:
+                    out.append((at + words[first][0], at + words[n - 1][1]))
+                    first = n
+        at = after
     return out
 
 
@@ -199,9 +213,10 @@ def text_units(spans: list[tuple[int, int]], words: list[list[bytes]], text: byt
             j = i
             while j < end and len(words[j]) < MIN_WORDS:
                 j += 1
-            for a, b in merged(words, i, j) if j > i else [(i, i + 1)]:
+            j = max(j, i + 1)
+            for a, b in merged(words, i, j) if starts[j] - starts[i] >= 2 * MIN_WORDS and len(words[i]) < MIN_WORDS else [(i, j)]:
                 out.append(Unit(a, b - a, starts[a], starts[b], line))
-            i = max(j, i + 1)
+            i = j
 
     at = waiting = 0  # lines from ``waiting`` on are short
     while at < len(spans):
@@ -269,7 +284,7 @@ def _units(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[Cut]:
             spans, lower = paragraph_spans(text), text.lower()
             parts = [lower[s:e].split() for s, e in spans]
             words = [w for part in parts for w in part]
-            joined, at = b" ".join(words), [0, *accumulate(len(w) + 1 for w in words)]
+            joined, at = b" ".join(words), [0, *accumulate(map(len, words))]  # ends of the words, without the blanks
             if whole:
                 units = text_units(spans, parts, text)
             else:
@@ -282,7 +297,7 @@ def _units(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[Cut]:
                     for n, key in enumerate(short_keys(words, start, end)):
                         rows.append((off + start, off + end, False, digest(key), i, pos, up + n if up >= 0 else -1, size, n > 0, None))
                     continue
-                body = joined[at[start]:at[end] - 1]
+                body = joined[at[start] + start:at[end] + end - 1]
                 # Lines are compared with lines, paragraphs with paragraphs: a line is no copy of its own paragraph.
                 if of == k:
                     line = len(rows)

@@ -96,3 +96,80 @@ def test_passages_of_short_lines_and_short_pieces(spark, tmp_path):
     assert left[2] == (lines[0] + " " + lines[-1]).split()  # all of the verse goes
     assert left[4] == rows[3][1].split()[:12] + rows[3][1].split()[-12:]  # the reply goes with what stands around it
     assert all(left[i] == rows[i - 1][1].split() for i in (1, 3, 5, 6)) and left[7] == []
+
+
+def _some_rows(rng, n=60):
+    own = lambda k: " ".join("w%d" % rng.randrange(10**6) for _ in range(k)) + "."
+    rows = [(i, "\n".join(" ".join(own(rng.randint(3, 30)) for _ in range(3)) for _ in range(4))) for i in range(n)]
+    near = rows[0][1].split()
+    near[len(near) // 2] = "changed"
+    return [*rows, (n, rows[1][1]), (n + 1, " ".join(rows[0][1].split())), (n + 2, " ".join(near)), (n + 3, rows[2][1].split("\n")[0])]
+
+
+def test_only_units_that_share_a_key_are_shuffled(spark, tmp_path, monkeypatch):
+    docs = tables.write(spark, _some_rows(random.Random(11)), "doc_id long, text string", tmp_path)
+    written, plain = {}, P.materialize
+
+    def counted(df, name, *more):
+        out = plain(df, name, *more)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(P, "materialize", counted)
+    found = P.shared_passages(docs).count()
+    rows = docs.selectExpr("doc_id", "cast(text as binary) text")
+    units = rows.mapInArrow(lambda it: P._cut(it, True), P.UNITS).count()
+    assert found > 30 and written["paragraph-classes"] < units / 3
+
+
+def test_filter_of_shared_keys(spark, tmp_path):
+    """It has every digest met twice and every band key of different digests, few others, and if too small only passes more."""
+    docs = tables.write(spark, _some_rows(random.Random(12)), "doc_id long, text string", tmp_path)
+    rows = docs.selectExpr("doc_id", "cast(text as binary) text")
+    digests, holders = defaultdict(int), defaultdict(set)
+    for r in rows.mapInArrow(lambda it: P._cut(it, True), P.UNITS).select("uid", "rep", "d1", "d2", "bands").collect():
+        if r.d2 is None:
+            digests[r.rep] += 1
+        else:
+            digests[r.d1 % 2**64] += 1
+            digests[r.uid] = digests.get(r.uid, 0)
+            for key in r.bands or []:
+                holders[key % 2**64].add((r.d1, r.d2))
+    lead = {r.uid: r.d1 % 2**64 for r in rows.mapInArrow(lambda it: P._cut(it, True), P.UNITS).filter("uid = rep").select("uid", "d1").collect()}
+    want = {d for d, n in digests.items() if n > 1 and d not in lead} | {lead[u] for u, n in digests.items() if u in lead and n}
+    want |= {k for k, h in holders.items() if len(h) > 1}
+    other = [d for d in {*lead.values(), *holders} if d not in want]
+    wanted = P.wanted_keys(rows, True)
+    has = lambda keys, f: P.in_filter(P.np.array(list(keys), P.np.uint64), f)
+    assert len(want) > 20 and len(other) > 500 and has(want, wanted).all() and has(other, wanted).mean() < .1
+    small = P.wanted_keys(rows, True, bits=64)
+    assert has(want, small).all()
+
+
+def test_spans_end_where_they_did():
+    """Sentence ends, line ends and cuts of long runs, against the definition word by word."""
+    import re
+    import zlib
+
+    def plain(text):
+        out, at = [], 0
+        for m in [*re.finditer(rb"(?<=[.!?])[ \t\x0b\x0c\r]+|\n", text), None]:
+            end = m.start() if m else len(text)
+            if text[at:end].count(b" ") < P.LONG_RUN:
+                out += [(at, end)] if text[at:end].strip() else []
+            else:
+                first, n, last = None, 0, 0
+                for w in re.finditer(rb"[^\x20\x09-\x0D]+", text[at:end]):
+                    first, n, last = w.start() if first is None else first, n + 1, w.end()
+                    if n >= P.LAST_CUT or zlib.crc32(w.group().lower()) % P.CUT_EVERY == 0:
+                        out.append((at + first, at + last))
+                        first, n = None, 0
+                out += [(at + first, at + last)] if first is not None else []
+            at = m.end() if m else end
+        return out
+
+    rng = random.Random(5)
+    for words in (5, 400):
+        for _ in range(150):
+            text = b"".join(rng.choice([b"W%d" % rng.randrange(words), b" ", b" ", b" w", b"\t", b". ", b".", b"!\n", b"\r\n", b"\x0b"][:rng.randint(3, 10)]) for _ in range(500))
+            assert P.paragraph_spans(text) == plain(text)
